@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "year_month_prefix", "year_month_of_date", "month_start", "nan_to_null",
-    "is_object", "is_array", "json_field", "json_field_or", "array_field",
+    "is_object", "is_present", "json_field", "json_field_or", "array_field",
     "safe_pearson", "round6", "ts_text",
 ]
 
@@ -35,13 +35,19 @@ def nan_to_null(c: Column) -> Column:
     return F.nanvl(c, F.lit(None).cast("double"))
 
 
-def is_object(v: Column) -> Column:
-    """True when a VARIANT holds a JSON object (NULL for SQL NULL)."""
-    return F.schema_of_variant(v).startswith("OBJECT")
+def is_object(v: Column, path: str = "$") -> Column:
+    """True when the VARIANT value at ``path`` is a JSON object.
+
+    A cast to the empty struct succeeds for any object and fails for every
+    other kind, without walking the value (``schema_of_variant`` would
+    infer the schema of the whole document).
+    """
+    return F.try_variant_get(v, path, "struct<>").isNotNull()
 
 
-def is_array(v: Column) -> Column:
-    return F.schema_of_variant(v).startswith("ARRAY")
+def is_present(v: Column, path: str) -> Column:
+    """True when the member exists (an explicit JSON null counts)."""
+    return F.try_variant_get(v, path, "variant").isNotNull()
 
 
 def json_field(v: Column, path: str, type_: str) -> Column:
@@ -54,8 +60,7 @@ def json_field_or(v: Column, path: str, type_: str, default: Column) -> Column:
 
     An explicit JSON null stays NULL (the reference would print ``None``).
     """
-    present = F.try_variant_get(v, path, "variant").isNotNull()
-    return F.when(present, F.try_variant_get(v, path, type_)).otherwise(default)
+    return F.when(is_present(v, path), F.try_variant_get(v, path, type_)).otherwise(default)
 
 
 def array_field(v: Column, path: str) -> Column:

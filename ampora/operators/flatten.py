@@ -2,8 +2,14 @@
 
 ``from_json`` with a fixed schema turns a whole array NULL when one item has
 the wrong shape; the original skips only that item.  Parsing to VARIANT and
-exploding ``array<variant>`` with object guards keeps item-level skipping.
-All work is per row (Generate nodes), no shuffle.
+exploding ``array<variant>`` keeps item-level skipping.  All work is per row
+(Project + Generate), no shuffle.
+
+Plan shape matters here: each document is parsed once, in its own
+projection, and every check reads the parsed value.  Validation errors are
+raised from the *generator input* rather than from a filter -- a filter
+would be pushed below the parse projection and re-parse the text once per
+referenced field.
 """
 
 from __future__ import annotations
@@ -14,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ampora.constants import BALANCE_ENDPOINT, BALANCE_SOURCE, DAILY_SERIES
-from ampora.functions.columns import array_field, is_object, json_field, json_field_or
+from ampora.functions.columns import array_field, is_object, is_present, json_field, json_field_or
 from ampora.schemas import BALANCE_FLAT, WEATHER_DAILY
 
 
@@ -23,11 +29,19 @@ def fallback_timestamp() -> str:
     return datetime.now(timezone.utc).isoformat()
 
 
-def _strict(df: DataFrame, reasons: Column, what: str) -> DataFrame:
-    # A raise_error in a projection that is later pruned never fires; inside
-    # a filter it always does (even under count()).
-    msg = F.concat(F.lit(f"Invalid {what} document: "), F.array_join(reasons, ", "))
-    return df.where(F.assert_true(F.size(reasons) == 0, msg).isNull())
+def guarded(rows: Column, violations: Column, strict: bool, what: str) -> Column:
+    """Generator input that is NULL (no rows) for an invalid document, or
+    raises in ``strict`` mode."""
+    ok = F.size(violations) == 0
+    if not strict:
+        return F.when(ok, rows)
+    msg = F.concat(F.lit(f"Invalid {what} document: "), F.array_join(violations, ", "))
+    return F.when(ok, rows).otherwise(F.raise_error(msg))
+
+
+def parsed(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
+    """Input columns plus ``_v``: the document parsed once (NULL if not JSON)."""
+    return docs.select(*docs.columns, F.try_parse_json(F.col(doc_col)).alias("_v"))
 
 
 # ---------------------------------------------------------------------------
@@ -36,23 +50,24 @@ def _strict(df: DataFrame, reasons: Column, what: str) -> DataFrame:
 
 def balance_envelope(docs: DataFrame, fallback_ts: str | None = None,
                      doc_col: str = "doc") -> DataFrame:
-    """Per document: envelope metadata with defaults, the payload, and the
-    list of reasons the document is invalid (empty when valid).
+    """Per document: envelope metadata with defaults, the block list, and the
+    reasons the document is invalid (empty when valid).
 
     A wrapper exists when ``payload`` is an object.  Without it the document
     itself is the payload, slug and name are '' and the geo id is NULL.
+    Missing ``included`` means no blocks; present but not a list is invalid.
     """
     ts = fallback_ts or fallback_timestamp()
-    v = F.try_parse_json(F.col(doc_col))
-    d = docs.withColumn("_v", v).withColumn("_p", F.try_variant_get("_v", "$.payload", "variant"))
-    wrapped = F.coalesce(is_object(F.col("_p")), F.lit(False))
+    d = parsed(docs, doc_col)
     vv = F.col("_v")
+    wrapped = is_object(vv, "$.payload")
 
     def pick(path, default):
         return F.when(wrapped, json_field_or(vv, path, "string", F.lit(default))).otherwise(F.lit(default))
 
-    payload = F.when(wrapped, F.col("_p")).otherwise(vv)
-    d = d.select(
+    blocks = F.when(wrapped, array_field(vv, "$.payload.included")).otherwise(array_field(vv, "$.included"))
+    inc_present = F.when(wrapped, is_present(vv, "$.payload.included")).otherwise(is_present(vv, "$.included"))
+    e = d.select(
         *docs.columns,
         pick("$.source", BALANCE_SOURCE).alias("source"),
         pick("$.endpoint", BALANCE_ENDPOINT).alias("endpoint"),
@@ -60,16 +75,14 @@ def balance_envelope(docs: DataFrame, fallback_ts: str | None = None,
         pick("$.region_name", "").alias("region_name"),
         F.when(wrapped, json_field(vv, "$.redata_geo_id", "bigint")).alias("redata_geo_id"),
         pick("$.extracted_at", ts).alias("ingestion_timestamp"),
-        payload.alias("payload"),
+        blocks.alias("blocks"),
+        is_object(vv).alias("_top_obj"), inc_present.alias("_inc_present"),
     )
-    inc_present = F.try_variant_get("payload", "$.included", "variant").isNotNull()
     reasons = F.array_compact(F.array(
-        F.when(~F.coalesce(is_object(F.try_parse_json(F.col(doc_col))), F.lit(False)),
-               F.lit("top level is not a JSON object")),
-        F.when(F.col("payload").isNotNull() & inc_present
-               & array_field(F.col("payload"), "$.included").isNull(),
+        F.when(~F.col("_top_obj"), F.lit("top level is not a JSON object")),
+        F.when(F.col("_top_obj") & F.col("_inc_present") & F.col("blocks").isNull(),
                F.lit("'included' is not a list"))))
-    return d.withColumn("violations", reasons)
+    return e.withColumn("violations", reasons).drop("_top_obj", "_inc_present")
 
 
 def balance_violations(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
@@ -78,26 +91,18 @@ def balance_violations(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
     return env.where(F.size("violations") > 0).select(*docs.columns, "violations")
 
 
-def flatten_balance(docs: DataFrame, fallback_ts: str | None = None, strict: bool = True,
-                    doc_col: str = "doc") -> DataFrame:
-    """Three explodes (blocks -> content records -> values) to the 22 columns.
+def explode_balance(env: DataFrame, blocks: Column) -> DataFrame:
+    """Blocks -> content records -> values, to the 22 flat columns.
 
-    Non-object blocks, records and values are skipped; a ``content`` or
-    ``values`` that is not a list skips that block or record.  ``strict``
-    raises on documents the original refuses; otherwise they are dropped
-    (see ``balance_violations`` for the rejects).
+    A non-object block or record has no ``attributes.content`` /
+    ``attributes.values`` array and yields nothing; non-object value items
+    are filtered out.
     """
-    env = balance_envelope(docs, fallback_ts, doc_col)
-    env = _strict(env, F.col("violations"), "balance") if strict else \
-        env.where(F.size("violations") == 0)
-    b = env.select("*", F.explode(array_field(F.col("payload"), "$.included")).alias("b")) \
-        .where(is_object(F.col("b")))
-    r = b.select("*", F.explode(array_field(F.col("b"), "$.attributes.content")).alias("r")) \
-        .where(is_object(F.col("r")))
+    b = env.select("*", F.explode(blocks).alias("b"))
+    r = b.select("*", F.explode(array_field(F.col("b"), "$.attributes.content")).alias("r"))
     x = r.select("*", F.explode(array_field(F.col("r"), "$.attributes.values")).alias("x")) \
         .where(is_object(F.col("x")))
     bv, rv, xv = F.col("b"), F.col("r"), F.col("x")
-    dt_present = F.try_variant_get(xv, "$.datetime", "variant").isNotNull()
     dt = json_field(xv, "$.datetime", "string")
     out = x.select(
         "source", "endpoint", F.col("region_slug_doc").alias("region_slug"), "region_name",
@@ -114,7 +119,9 @@ def flatten_balance(docs: DataFrame, fallback_ts: str | None = None, strict: boo
         json_field(rv, "$.attributes['last-update']", "string").alias("last_update"),
         json_field(rv, "$.attributes.total", "double").alias("total"),
         json_field(rv, "$.attributes['total-percentage']", "double").alias("total_percentage"),
-        F.when(dt_present, F.substring(dt, 1, 7)).otherwise(F.lit("")).alias("year_month"),
+        # month key = first 7 characters of the datetime *text* ('' if absent)
+        F.when(is_present(xv, "$.datetime"), F.substring(dt, 1, 7)).otherwise(F.lit(""))
+        .alias("year_month"),
         dt.alias("datetime"),
         json_field(xv, "$.value", "double").alias("value"),
         json_field(xv, "$.percentage", "double").alias("percentage"),
@@ -122,42 +129,37 @@ def flatten_balance(docs: DataFrame, fallback_ts: str | None = None, strict: boo
     return out.select(*[F.col(f.name).cast(f.dataType) for f in BALANCE_FLAT.fields])
 
 
+def flatten_balance(docs: DataFrame, fallback_ts: str | None = None, strict: bool = True,
+                    doc_col: str = "doc") -> DataFrame:
+    """Balance documents -> 22-column flat rows.
+
+    ``strict`` raises on documents the original refuses; otherwise they are
+    dropped (``balance_violations`` lists them).
+    """
+    env = balance_envelope(docs, fallback_ts, doc_col)
+    return explode_balance(env, guarded(F.col("blocks"), F.col("violations"), strict, "balance"))
+
+
 # ---------------------------------------------------------------------------
 # Weather documents
 
 _SERIES_TYPES = {s: ("array<bigint>" if s == "weather_code" else "array<double>")
                  for s in DAILY_SERIES}
+_ENV = [f.name for f in WEATHER_DAILY.fields[:9]]
 
 
 def weather_arrays(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
     """Per document: envelope columns, ``time`` and the seven series arrays,
-    and the reasons the document is invalid."""
-    v = F.try_parse_json(F.col(doc_col))
-    d = docs.withColumn("_v", v)
+    and the reasons the original would raise on the document."""
+    d = parsed(docs, doc_col)
     vv = F.col("_v")
-    payload = F.try_variant_get(vv, "$.payload", "variant")
-    daily = F.try_variant_get(vv, "$.payload.daily", "variant")
-    time_v = F.try_variant_get(vv, "$.payload.daily.time", "variant")
-    time_a = F.try_variant_get(vv, "$.payload.daily.time", "array<string>")
-    n = F.coalesce(F.size(time_a), F.lit(0))
-    checks = [
-        F.when(~F.coalesce(is_object(vv), F.lit(False)), F.lit("top level is not a JSON object")),
-        F.when(payload.isNotNull() & ~is_object(payload), F.lit("'payload' is not an object")),
-        F.when(daily.isNotNull() & ~is_object(daily), F.lit("'payload.daily' is not an object")),
-        F.when(time_v.isNotNull() & time_a.isNull(), F.lit("'payload.daily.time' is not a list")),
-    ]
-    for s in DAILY_SERIES:
-        sv = F.try_variant_get(vv, f"$.payload.daily.{s}", "variant")
-        sa = F.try_variant_get(vv, f"$.payload.daily.{s}", "array<variant>")
-        checks.append(F.when((n > 0) & sv.isNotNull() & sa.isNull(),
-                             F.lit(f"'payload.daily.{s}' is not a list")))
-        checks.append(F.when((n > 0) & sa.isNotNull() & (F.size(sa) != n),
-                             F.concat(F.lit(f"'payload.daily.{s}' has "),
-                                      F.size(sa).cast("string"), F.lit(" values, expected "),
-                                      n.cast("string"))))
-        checks.append(F.when((n > 0) & sv.isNull(),
-                             F.concat(F.lit(f"'payload.daily.{s}' has 0 values, expected "),
-                                      n.cast("string"))))
+    keep = [c for c in docs.columns if c not in set(_ENV)]
+    flags = [is_object(vv).alias("_top"),
+             is_present(vv, "$.payload").alias("_p"), is_object(vv, "$.payload").alias("_po"),
+             is_present(vv, "$.payload.daily").alias("_d"),
+             is_object(vv, "$.payload.daily").alias("_do"),
+             is_present(vv, "$.payload.daily.time").alias("_t")]
+    flags += [is_present(vv, f"$.payload.daily.{s}").alias(f"_s_{s}") for s in DAILY_SERIES]
     env = [json_field(vv, "$.source", "string").alias("source"),
            json_field(vv, "$.extracted_at", "string").alias("ingestion_timestamp"),
            json_field(vv, "$.region_slug", "string").alias("region_slug"),
@@ -167,33 +169,48 @@ def weather_arrays(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
            json_field(vv, "$.longitude", "double").alias("longitude"),
            json_field(vv, "$.timezone", "string").alias("timezone"),
            json_field(vv, "$.weather_point_type", "string").alias("weather_point_type")]
-    series = [F.try_variant_get(vv, f"$.payload.daily.{s}", t).alias(s) for s, t in _SERIES_TYPES.items()]
-    keep = [c for c in docs.columns if c not in {"source", "region_slug", "region_name"}]
-    return d.select(*keep, *env, time_a.alias("time"), *series,
+    arrays = [F.try_variant_get(vv, "$.payload.daily.time", "array<string>").alias("time")]
+    arrays += [F.try_variant_get(vv, f"$.payload.daily.{s}", t).alias(s)
+               for s, t in _SERIES_TYPES.items()]
+    e = d.select(*keep, *env, *arrays, *flags)
+
+    n = F.coalesce(F.size("time"), F.lit(0))
+    checks = [
+        F.when(~F.col("_top"), F.lit("top level is not a JSON object")),
+        F.when(F.col("_p") & ~F.col("_po"), F.lit("'payload' is not an object")),
+        F.when(F.col("_d") & ~F.col("_do"), F.lit("'payload.daily' is not an object")),
+        F.when(F.col("_t") & F.col("time").isNull(), F.lit("'payload.daily.time' is not a list")),
+    ]
+    for s in DAILY_SERIES:
+        present, arr = F.col(f"_s_{s}"), F.col(s)
+        # a missing series counts as an empty list; checks run only when
+        # there is at least one date (the original loops over dates)
+        size = F.when(present, F.size(arr)).otherwise(F.lit(0))
+        checks.append(F.when((n > 0) & present & arr.isNull(),
+                             F.lit(f"'payload.daily.{s}' is not a list")))
+        checks.append(F.when((n > 0) & (~present | arr.isNotNull()) & (size != n),
+                             F.concat(F.lit(f"'payload.daily.{s}' has "), size.cast("string"),
+                                      F.lit(" values, expected "), n.cast("string"))))
+    return e.select(*keep, *_ENV, "time", *DAILY_SERIES,
                     F.array_compact(F.array(*checks)).alias("violations"))
 
 
 def weather_violations(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
     """One row per (document, reason) the original would raise on."""
     w = weather_arrays(docs, doc_col)
-    keep = [c for c in docs.columns if c != doc_col and c not in {"region_slug"}]
+    keep = [c for c in docs.columns if c != doc_col and c != "region_slug"]
     return w.select(*keep, "region_slug", F.explode("violations").alias("violation"))
 
 
-def zip_daily(arrays: DataFrame) -> DataFrame:
-    """``arrays_zip`` + ``inline``: one row per day, 17 columns."""
+def zip_daily(arrays: DataFrame, strict: bool = True, what: str = "weather") -> DataFrame:
+    """``arrays_zip`` + ``inline``: one row per day, 17 columns.  Lengths were
+    checked first (``arrays_zip`` would pad short series with NULL)."""
     z = F.arrays_zip(F.col("time").alias("date"), *[F.col(s) for s in DAILY_SERIES])
-    env = [f.name for f in WEATHER_DAILY.fields[:9]]
-    out = arrays.select(*env, F.inline(z))
+    out = arrays.select(*_ENV, F.inline(guarded(z, F.col("violations"), strict, what)))
     return out.select(*[F.col(f.name).cast(f.dataType) for f in WEATHER_DAILY.fields])
 
 
 def flatten_weather(docs: DataFrame, strict: bool = True, doc_col: str = "doc") -> DataFrame:
-    """Zip-explode the parallel daily arrays into one row per day.
-
-    Lengths are checked before zipping (``arrays_zip`` would pad with NULL);
-    ``strict`` raises like the original, otherwise bad documents are dropped.
-    """
-    a = weather_arrays(docs, doc_col)
-    a = _strict(a, F.col("violations"), "weather") if strict else a.where(F.size("violations") == 0)
-    return zip_daily(a)
+    """Zip-explode the parallel daily arrays into one row per day; ``strict``
+    raises like the original, otherwise bad documents yield no rows."""
+    return zip_daily(weather_arrays(docs, doc_col), strict)

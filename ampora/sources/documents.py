@@ -53,7 +53,7 @@ def parse_documents(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
     v = F.try_parse_json(F.col(doc_col))
     return (docs.withColumn("v", v)
             .withColumn("parse_ok", F.col("v").isNotNull())
-            .withColumn("is_object", F.coalesce(is_object(F.col("v")), F.lit(False))))
+            .withColumn("is_object", is_object(F.col("v"))))
 
 
 def split_documents(docs: DataFrame, doc_col: str = "doc") -> tuple[DataFrame, DataFrame]:
