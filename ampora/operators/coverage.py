@@ -60,7 +60,9 @@ def coverage_gaps(catalog: DataFrame, facts: DataFrame, start_year: int, end_yea
                         F.expr("interval 1 month"))
     grid = catalog.select("region_slug", F.explode(months).alias("_m")).select(
         "region_slug", F.date_format("_m", "yyyy-MM").alias("year_month"))
-    have = facts.select("region_slug", F.col(month_col).alias("year_month"))
+    # distinct keys first: the aggregate combines map-side, so the anti join
+    # shuffles one row per (region, month) and task instead of every fact row
+    have = facts.select("region_slug", F.col(month_col).alias("year_month")).distinct()
     return grid.join(have, ["region_slug", "year_month"], "left_anti")
 
 

@@ -7,6 +7,7 @@ regions is then partition pruning, and every document stays one row.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,28 +15,36 @@ from ampora.functions.columns import is_object
 
 
 def scan_documents(spark: SparkSession, root: str, region_slugs: list[str] | None = None,
-                   one_per_file: bool = False) -> DataFrame:
-    """Documents with their file name and modification time, newest first.
-
-    ``region_slugs`` prunes partitions; a requested region without any
-    document is an error (checked by an anti join of requested vs found
-    partition values -- only the requested list reaches the driver).
-    ``one_per_file`` reads every file whole (``wholetext``), for landings
-    that hold a single pretty-printed document per file.
+                   one_per_file: bool = False, newest_first: bool = False) -> DataFrame:
+    """Documents with their file name and modification time.
+
+    ``region_slugs`` reads only those partition folders; a requested region
+    without a folder is an error, found from the folder listing alone (no
+    data is read to check it).  ``one_per_file`` reads every file whole
+    (``wholetext``), for landings that hold one pretty-printed document per
+    file.  Row order carries no meaning downstream, so the original's
+    newest-first file order is opt-in (``newest_first``): it is a global sort.
     """
     reader = spark.read.option("wholetext", True) if one_per_file else spark.read
-    docs = reader.text(root).select(
+    base = root.rstrip("/")
+    if region_slugs:
+        paths = [f"{base}/region_slug={s}" for s in dict.fromkeys(region_slugs)]
+        try:
+            raw = reader.option("basePath", base).text(paths)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            missing = [p.rsplit("=", 1)[1] for p in paths if p in str(e)]
+            raise FileNotFoundError(f"No documents for regions: {missing or region_slugs}") from e
+    else:
+        raw = reader.text(base)
+    docs = raw.select(
         "region_slug", F.col("value").alias("doc"),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_modification_time").alias("file_mtime"))
-    if region_slugs:
-        wanted = spark.createDataFrame([(s,) for s in region_slugs], "region_slug string")
-        found = docs.select("region_slug").where(F.col("region_slug").isin(region_slugs)).distinct()
-        missing = [r.region_slug for r in wanted.join(found, "region_slug", "left_anti").collect()]
-        if missing:
-            raise FileNotFoundError(f"No documents for regions: {sorted(missing)}")
-        docs = docs.where(F.col("region_slug").isin(region_slugs))
-    return docs.orderBy(F.col("file_mtime").desc(), F.col("file_name"))
+    if newest_first:
+        docs = docs.orderBy(F.col("file_mtime").desc(), F.col("file_name"))
+    return docs
 
 
 def latest_document(docs: DataFrame, order_col: str, tie_col: str) -> DataFrame:
