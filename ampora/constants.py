@@ -56,6 +56,34 @@ METRIC_LABELS_EN = [
     ("Cogeneración", "Cogeneration"),
 ]
 
+# --- fixed values: Spanish weather labels per metric (English ones are in
+#     RELATIONSHIPS); the default relationship uses "Temperatura media" ------
+WEATHER_LABELS_ES = [
+    ("Demanda en b.c.", "Temperatura media"),
+    ("Generación renovable", "Radiación solar total"),
+    ("Generación no renovable", "Temperatura media"),
+    ("Eólica", "Viento máximo medio"),
+    ("Solar fotovoltaica", "Radiación total"),
+    ("Solar térmica", "Radiación total"),
+    ("Hidráulica", "Precipitación total"),
+    ("Ciclo combinado", "Temperatura media"),
+    ("Cogeneración", "Temperatura media"),
+]
+DEFAULT_WEATHER_LABEL = {"es": "Temperatura media", "en": "Average temperature"}
+
+# --- fixed values: table headers of the analysis outputs, per language ------
+UI_LABELS = {
+    "es": {"year_month": "Año-mes", "region": "Comunidad", "metric": "Métrica energética",
+           "energy_value": "Valor energético", "series": "serie", "mean": "media",
+           "min": "mínimo", "max": "máximo", "std": "desviación estándar",
+           "energy_variable": "variable_energética", "weather_variable": "variable_climática",
+           "pearson": "correlación_pearson"},
+    "en": {"year_month": "Year-month", "region": "Region", "metric": "Energy metric",
+           "energy_value": "Energy value", "series": "series", "mean": "mean", "min": "min",
+           "max": "max", "std": "standard deviation", "energy_variable": "energy_variable",
+           "weather_variable": "weather_variable", "pearson": "pearson_correlation"},
+}
+
 # --- fixed values: metric -> (group, weather column, English weather label,
 #     show scatter); metrics not listed fall back to RELATIONSHIP_DEFAULT ---
 RELATIONSHIPS = [

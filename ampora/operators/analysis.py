@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ampora.constants import MONTHLY_MEASURES, RELATIONSHIP_DEFAULT
+from ampora.constants import DEFAULT_WEATHER_LABEL, MONTHLY_MEASURES, RELATIONSHIP_DEFAULT, UI_LABELS
 from ampora.functions.columns import month_start, safe_pearson
 
 GROUP = ["region_name", "metric_type"]
@@ -25,10 +25,12 @@ def curated_extract(curated: DataFrame) -> DataFrame:
             .orderBy("region_name", "year_month", "metric_type"))
 
 
-def with_relationship(df: DataFrame, relationships: DataFrame) -> DataFrame:
+def with_relationship(df: DataFrame, relationships: DataFrame, language: str = "en") -> DataFrame:
     """Attach group / weather column / label / scatter flag per metric, with
-    the configured default for metrics not in the table."""
-    g, wc, wl, sc = RELATIONSHIP_DEFAULT
+    the configured default for metrics not in the table.  The table is a
+    short configuration list, so the planner broadcasts it."""
+    g, wc, _, sc = RELATIONSHIP_DEFAULT
+    wl = DEFAULT_WEATHER_LABEL[language]
     r = relationships.select(
         "metric_type",
         F.col("relationship_group").alias("_rg"), F.col("weather_column").alias("_wc"),
@@ -50,8 +52,8 @@ def weather_value(column_name: Column) -> Column:
     return expr
 
 
-def with_weather_value(df: DataFrame, relationships: DataFrame) -> DataFrame:
-    out = with_relationship(df, relationships)
+def with_weather_value(df: DataFrame, relationships: DataFrame, language: str = "en") -> DataFrame:
+    out = with_relationship(df, relationships, language)
     return out.withColumn("weather_value", weather_value(F.col("weather_column")))
 
 
@@ -99,6 +101,7 @@ def energy_weather_corr(df: DataFrame, group: list[str] = GROUP) -> DataFrame:
     both = F.col("value").isNotNull() & F.col("weather_value").isNotNull()
     return df.groupBy(*group).agg(
         F.first("weather_column").alias("weather_column"),
+        F.first("weather_label").alias("weather_label"),
         F.count(F.when(both, 1)).alias("n_pairs"),
         safe_pearson(F.col("value"), F.col("weather_value")).alias("pearson_correlation"))
 
@@ -148,3 +151,38 @@ def scatter_pairs(df: DataFrame) -> DataFrame:
     return df.where(F.col("show_scatter")).select(
         "region_name", "year_month", "metric_type", "weather_column",
         "weather_value", "value")
+
+
+# ---------------------------------------------------------------------------
+# Presentation: the same tables with the headers and row labels the original
+# shows, per language.  Pure renames / literal maps, no extra work.
+
+
+def present_detail(detail: DataFrame, language: str = "en") -> DataFrame:
+    """``monthly_detail`` with localized headers; the weather measure keeps
+    its per-metric label in ``weather_label`` (one header cannot name a
+    different measure on every row of a grouped table)."""
+    t = UI_LABELS[language]
+    return detail.withColumnsRenamed({"year_month": t["year_month"], "region_name": t["region"],
+                                      "metric_label": t["metric"], "value": t["energy_value"]})
+
+
+def present_summary(stats: DataFrame, language: str = "en") -> DataFrame:
+    """``summary_stats`` rows labelled like the original: the energy row is
+    'Energy value', the weather row carries the weather label.  ``stats``
+    must come from a frame with ``weather_label`` in the group."""
+    t = UI_LABELS[language]
+    label = F.when(F.col("series") == "energy", F.lit(t["energy_value"])).otherwise(F.col("weather_label"))
+    return stats.withColumn("series", label).withColumnsRenamed(
+        {"series": t["series"], "mean": t["mean"], "min": t["min"], "max": t["max"], "std": t["std"]})
+
+
+def present_correlation(corr: DataFrame, language: str = "en") -> DataFrame:
+    """``energy_weather_corr`` as the original's three-column table (plus the
+    group columns)."""
+    t = UI_LABELS[language]
+    keep = [c for c in corr.columns if c not in ("weather_column", "weather_label", "n_pairs",
+                                                  "pearson_correlation")]
+    return corr.select(*keep, F.lit(t["energy_value"]).alias(t["energy_variable"]),
+                       F.col("weather_label").alias(t["weather_variable"]),
+                       F.col("pearson_correlation").alias(t["pearson"]))

@@ -13,13 +13,22 @@ carries value rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ampora.functions.columns import array_field, is_object, is_present, json_field
 from ampora.operators.flatten import guarded, parsed, weather_arrays, zip_daily
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys`` where NULL matches NULL (a missing id is a key
+    of its own, as in the original's dict lookups)."""
+    r = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = [left[k].eqNullSafe(r[f"_k_{k}"]) for k in keys]
+    return left.join(r, cond).drop(*[f"_k_{k}" for k in keys])
+
+
 def balance_records(payloads: DataFrame, payload_col: str = "payload") -> DataFrame:
     """(region_slug, year, block, record) rows of yearly payload documents.
 
@@ -58,13 +67,18 @@ def balance_records(payloads: DataFrame, payload_col: str = "payload") -> DataFr
 def merge_balance_years(payloads: DataFrame, payload_col: str = "payload") -> DataFrame:
     """Flattened rows of the merged balance payload of every region."""
     rec = balance_records(payloads, payload_col)
-    wb = Window.partitionBy("region_slug", "group_id")
-    # (region, group) hash partitioning also satisfies the finer record
-    # window, so both windows share one exchange.
-    wr = Window.partitionBy("region_slug", "group_id", "metric_id")
-    rec = (rec.withColumn("_battrs", F.min_by("block_attrs", "year").over(wb))
-              .withColumn("_rattrs", F.min_by("record_attrs", "year").over(wr))
-              .withColumn("n_years", F.size(F.collect_set("year").over(wr))))
+    # Per-key attributes come from grouped aggregates (combined map-side, one
+    # row per block / record key), joined back onto the record rows.  That
+    # side is small -- AQE broadcasts it from its measured size, and if it is
+    # not small the sort-merge join's skew handling splits a hot region.  A
+    # window here would put every record row of a hot region in one task.
+    blocks = rec.groupBy("region_slug", "group_id").agg(
+        F.min_by("block_attrs", "year").alias("_battrs"))
+    records = rec.groupBy("region_slug", "group_id", "metric_id").agg(
+        F.min_by("record_attrs", "year").alias("_rattrs"),
+        F.countDistinct("year").alias("n_years"))
+    keys = _join_null_safe(records, blocks, ["region_slug", "group_id"])
+    rec = _join_null_safe(rec, keys, ["region_slug", "group_id", "metric_id"])
     x = rec.select("*", F.explode("values").alias("x")).where(is_object(F.col("x")))
     xv = F.col("x")
     once = F.col("n_years") == 1

@@ -9,16 +9,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ampora.constants import METRIC_LABELS_EN, RELATIONSHIPS
+from ampora.constants import METRIC_LABELS_EN, RELATIONSHIPS, WEATHER_LABELS_ES
 
 RELATIONSHIP_SCHEMA = ("metric_type string, relationship_group string, weather_column string, "
                        "weather_label string, show_scatter boolean")
 
 
-def relationship_table(spark: SparkSession, rows=None) -> DataFrame:
-    return spark.createDataFrame(list(RELATIONSHIPS if rows is None else rows), RELATIONSHIP_SCHEMA)
+def relationship_table(spark: SparkSession, rows=None, language: str = "en") -> DataFrame:
+    """Metric -> relationship rows.  For the built-in table ``language``
+    picks the weather label; custom ``rows`` carry their own label."""
+    if rows is None:
+        rows = RELATIONSHIPS
+        if language == "es":
+            es = dict(WEATHER_LABELS_ES)
+            rows = [(m, g, c, es[m], sc) for m, g, c, _, sc in RELATIONSHIPS]
+    return spark.createDataFrame(list(rows), RELATIONSHIP_SCHEMA)
 
 
-def label_table(spark: SparkSession, rows=None) -> DataFrame:
-    return spark.createDataFrame(list(METRIC_LABELS_EN if rows is None else rows),
-                                 "metric_type string, metric_label string")
+def label_table(spark: SparkSession, rows=None, language: str = "en") -> DataFrame:
+    """Metric -> display label.  Spanish labels are the metric names."""
+    if rows is None:
+        rows = METRIC_LABELS_EN if language == "en" else [(m, m) for m, _ in METRIC_LABELS_EN]
+    return spark.createDataFrame(list(rows), "metric_type string, metric_label string")

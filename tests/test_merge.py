@@ -53,3 +53,12 @@ def test_weather_merge_scalar_series_is_error(spark):
                                "region_slug string, year string, doc string")
     with pytest.raises(Exception, match="precipitation_sum' is not a list"):
         merge_weather_years(df).collect()
+
+
+def test_missing_record_ids_still_merge(spark):
+    p1 = payload("2023", [(None, 1.0)])
+    p2 = payload("2024", [(None, 2.0)])
+    df = spark.createDataFrame([("r", "2023", json.dumps(p1)), ("r", "2024", json.dumps(p2))],
+                               "region_slug string, year string, payload string")
+    rows = merge_balance_years(df).collect()
+    assert len(rows) == 4 and {r.n_years for r in rows} == {2} and {r.total for r in rows} == {None}

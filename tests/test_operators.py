@@ -162,3 +162,19 @@ def test_not_null_counts(spark):
     df = spark.createDataFrame([(None, 1), ("x", None), (None, 2)], "a string, b int")
     r = {x.column_name: (x.failures, x.passed) for x in not_null_counts(df, "t", ["a", "b"]).collect()}
     assert r == {"a": (2, False), "b": (1, False)}
+
+
+def test_presentation_tables_spanish(spark):
+    from ampora.sources.config import label_table
+    cw = an.with_weather_value(_mart(spark), relationship_table(spark, language="es"), "es")
+    assert {r.weather_label for r in cw.collect()} == {"Viento máximo medio", "Temperatura media"}
+    st = an.present_summary(an.summary_stats(cw, ["region_name", "metric_type", "weather_label"]), "es")
+    assert "desviación estándar" in st.columns
+    assert {r["serie"] for r in st.collect()} == {"Valor energético", "Viento máximo medio",
+                                                  "Temperatura media"}
+    c = an.present_correlation(an.energy_weather_corr(cw), "es").collect()
+    assert {r["variable_climática"] for r in c} == {"Viento máximo medio", "Temperatura media"}
+    det = an.present_detail(an.monthly_detail(an.curated_extract(curate(_mart(spark))).transform(
+        lambda d: an.with_weather_value(d, relationship_table(spark))), label_table(spark)), "en")
+    assert det.columns[:4] == ["Year-month", "Region", "Energy metric", "Energy value"]
+    assert {r["Energy metric"] for r in det.collect()} == {"Wind"}
