@@ -73,3 +73,12 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None,
     root = root or scratch_path(spark, "pipeline")
     land_fixture_documents(spark, sf_dir, root)
     return run_from_landing(spark, root, curated_metrics or fx.FIXTURE_CURATED)
+
+
+def publish_models(spark: SparkSession, result: PipelineResult, prefix: str = "") -> None:
+    """Staging models as temp views, marts as views over their written tables
+    (the marts were materialised by ``run_from_landing``)."""
+    result.stg_balance.createOrReplaceTempView(f"{prefix}stg_redata_balance_electrico")
+    result.stg_weather.createOrReplaceTempView(f"{prefix}stg_openmeteo_monthly")
+    result.mart.createOrReplaceTempView(f"{prefix}mart_energy_weather_monthly")
+    result.curated.createOrReplaceTempView(f"{prefix}mart_energy_weather_monthly_curated")

@@ -84,3 +84,10 @@ def payload_errors(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
     """
     has = F.coalesce(F.array_contains(F.json_object_keys(F.col(doc_col)), "errors"), F.lit(False))
     return docs.withColumn("has_errors", has)
+
+
+def read_daily_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Flattened daily weather written as CSV (header row), with the fixed
+    17-column schema instead of inference."""
+    from ampora.schemas import WEATHER_DAILY
+    return spark.read.schema(WEATHER_DAILY).option("header", True).csv(path)

@@ -61,3 +61,23 @@ def test_stream_ingest_is_incremental(spark, tmp_dir):
         q.awaitTermination(120)
     raw = spark.read.parquet(f"{tmp_dir}/raw")
     assert raw.count() == 2 and dict(raw.dtypes)["datetime"] == "timestamp"
+
+
+def test_daily_csv_roundtrip(spark, tmp_dir):
+    from ampora.operators.flatten import flatten_weather
+    from ampora.sources.documents import read_daily_csv
+    from tests.test_flatten import weather_doc
+    d = flatten_weather(spark.createDataFrame([(json.dumps(weather_doc()),)], "doc string"))
+    wr.write_processed(d, f"{tmp_dir}/daily", fmt="csv")
+    back = read_daily_csv(spark, f"{tmp_dir}/daily")
+    assert sorted(back.collect()) == sorted(d.collect())
+
+
+def test_pipeline_publishes_models(spark, tmp_dir):
+    from ampora.plans.pipeline import publish_models, run_pipeline
+    r = run_pipeline(spark, "/root/testdata/sf0.001", root=f"{tmp_dir}/p")
+    publish_models(spark, r)
+    n = spark.sql("select count(*) c from mart_energy_weather_monthly").first().c
+    assert n == spark.sql("select count(*) c from stg_redata_balance_electrico").first().c
+    cur = spark.sql("select distinct metric_type from mart_energy_weather_monthly_curated").collect()
+    assert {x.metric_type for x in cur} == {"1-URGENT", "2-HIGH", "3-MEDIUM"}
