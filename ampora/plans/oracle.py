@@ -32,8 +32,8 @@ c_all as (
   select lower(n_name) as region_slug, n_name as display_name, lower(r_name) as region_type,
          'ccaa' as redata_geo_limit, n_nationkey as redata_geo_id,
          n_name || ' capital' as weather_location_name,
-         n_nationkey * 7.5 - 60.0 as latitude,
-         n_regionkey * 45.0 - 90.0 + n_nationkey * 0.5 as longitude,
+         cast(n_nationkey * 7.5 - 60.0 as double) as latitude,
+         cast(n_regionkey * 45.0 - 90.0 + n_nationkey * 0.5 as double) as longitude,
          case when r_name = 'EUROPE' then 'Europe/Madrid' when r_name = 'AFRICA' then 'Africa/Ceuta'
               else 'Atlantic/Canary' end as timezone,
          'regional_capital' as weather_point_type,

@@ -36,8 +36,14 @@ ORACLE: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None = None):
+    """Register a query (and its oracle).  Every query pins the session zone
+    to UTC first: warehouse timestamps are instants rendered in UTC."""
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ensure_utc(spark)
+            return fn(spark, sf_dir)
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
