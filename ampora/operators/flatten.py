@@ -5,8 +5,8 @@ the wrong shape; the original skips only that item.  Parsing to VARIANT and
 exploding ``array<variant>`` keeps item-level skipping.  All work is per row
 (Project + Generate), no shuffle.
 
-Plan shape matters here: each document is parsed once, in its own
-projection, and every check reads the parsed value.  Validation errors are
+Plan shape matters here: each document is parsed once (see ``parsed``),
+and every check reads the parsed value.  Validation errors are
 raised from the *generator input* rather than from a filter -- a filter
 would be pushed below the parse projection and re-parse the text once per
 referenced field.
@@ -40,8 +40,16 @@ def guarded(rows: Column, violations: Column, strict: bool, what: str) -> Column
 
 
 def parsed(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
-    """Input columns plus ``_v``: the document parsed once (NULL if not JSON)."""
-    return docs.select(*docs.columns, F.try_parse_json(F.col(doc_col)).alias("_v"))
+    """Input columns plus ``_v``: the document parsed once (NULL if not JSON).
+
+    The parse sits in a one-element ``explode`` (a Generate node).  Filters
+    written or inferred later (``explode(col)`` implies ``size(col) > 0``)
+    are pushed down through projections by substituting column definitions;
+    a predicate on ``_v`` cannot cross the Generate that produces it, so the
+    text is never re-parsed per field.
+    """
+    one = F.array(F.try_parse_json(F.col(doc_col)))
+    return docs.select(*docs.columns, F.explode(one).alias("_v"))
 
 
 # ---------------------------------------------------------------------------
