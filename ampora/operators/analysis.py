@@ -107,12 +107,17 @@ def energy_weather_corr(df: DataFrame, group: list[str] = GROUP) -> DataFrame:
 
 
 def filter_options(df: DataFrame) -> DataFrame:
-    """Distinct non-null region names, metrics and months, as (kind, option)."""
-    parts = [df.select(F.lit(kind).alias("option_kind"), F.col(c).cast("string").alias("option_value"))
-             for kind, c in (("region", "region_name"), ("metric", "metric_type"),
-                             ("month", "year_month"))]
-    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return u.dropna().distinct().orderBy("option_kind", "option_value")
+    """Distinct non-null region names, metrics and months, as (kind, option).
+
+    One pass: each row emits its three options, then one distinct (combined
+    map-side), instead of three scans of the input.
+    """
+    opts = F.array(*[F.struct(F.lit(kind).alias("option_kind"),
+                              F.col(c).cast("string").alias("option_value"))
+                     for kind, c in (("region", "region_name"), ("metric", "metric_type"),
+                                     ("month", "year_month"))])
+    return (df.select(F.inline(opts)).dropna().distinct()
+            .orderBy("option_kind", "option_value"))
 
 
 def period_bounds(df: DataFrame) -> DataFrame:
@@ -139,11 +144,9 @@ def monthly_detail(df: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def series_long(df: DataFrame) -> DataFrame:
-    """Energy and weather line series as one long table."""
-    cols = ["region_name", "metric_type", "year_month"]
-    e = df.select(*cols, F.lit("energy").alias("series"), F.col("value").alias("y"))
-    w = df.select(*cols, F.lit("weather").alias("series"), F.col("weather_value").alias("y"))
-    return e.unionByName(w)
+    """Energy and weather line series as one long table (one pass, ``stack``)."""
+    return df.selectExpr("region_name", "metric_type", "year_month",
+                         "stack(2, 'energy', value, 'weather', weather_value) as (series, y)")
 
 
 def scatter_pairs(df: DataFrame) -> DataFrame:
