@@ -76,3 +76,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def local_cpus() -> int:
     return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
+
+
+def scale_conf(input_bytes: int, total_cores: int,
+               target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of input.
+
+    Initial shuffle width ~ input / 256 MB (at least 2x cores) so no reduce
+    task spills badly even before AQE looks at the data; AQE then coalesces
+    small partitions to the advisory size and splits skewed ones.  Scan
+    splits stay at 256 MB.  Broadcasts stay size-checked by the planner:
+    the threshold is raised only moderately (64 MB), never to "always".
+    """
+    width = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }

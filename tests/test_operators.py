@@ -178,3 +178,10 @@ def test_presentation_tables_spanish(spark):
         lambda d: an.with_weather_value(d, relationship_table(spark))), label_table(spark)), "en")
     assert det.columns[:4] == ["Year-month", "Region", "Energy metric", "Energy value"]
     assert {r["Energy metric"] for r in det.collect()} == {"Wind"}
+
+
+def test_scale_conf_widths():
+    from ampora.session import scale_conf
+    c = scale_conf(100 * 1024 ** 4, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert int(scale_conf(10, 8)["spark.sql.shuffle.partitions"]) == 16
