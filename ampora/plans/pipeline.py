@@ -62,9 +62,9 @@ def run_from_landing(spark: SparkSession, root: str, curated_metrics: list[str]
     stg_w = stage_weather(wm, dedup=False)
     mart_path, cur_path = f"{root}/marts/mart_energy_weather_monthly", \
         f"{root}/marts/mart_energy_weather_monthly_curated"
-    mart_energy_weather(stg_b, stg_w).write.mode("overwrite").parquet(mart_path)
+    wr.write_mart(mart_energy_weather(stg_b, stg_w), mart_path)
     mart = spark.read.parquet(mart_path)
-    curate(mart, curated_metrics).write.mode("overwrite").parquet(cur_path)
+    wr.write_mart(curate(mart, curated_metrics), cur_path)
     return PipelineResult(root, stg_b, stg_w, mart, spark.read.parquet(cur_path))
 
 

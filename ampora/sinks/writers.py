@@ -19,6 +19,15 @@ def write_landing(docs: DataFrame, root: str, doc_col: str = "doc") -> None:
      .partitionBy("region_slug").text(root))
 
 
+def write_mart(df: DataFrame, path: str) -> None:
+    """Full replace of a mart, partitioned by month and sorted by region and
+    metric inside each file: a period slice prunes folders, a region or
+    metric filter skips row groups by their min/max statistics."""
+    (df.repartition("year_month").sortWithinPartitions("region_name", "metric_type")
+     .write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("year_month").parquet(path))
+
+
 def write_processed(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Full replace of a processed flat table (CSV keeps a header row)."""
     w = df.write.mode("overwrite")

@@ -81,3 +81,15 @@ def test_pipeline_publishes_models(spark, tmp_dir):
     assert n == spark.sql("select count(*) c from stg_redata_balance_electrico").first().c
     cur = spark.sql("select distinct metric_type from mart_energy_weather_monthly_curated").collect()
     assert {x.metric_type for x in cur} == {"1-URGENT", "2-HIGH", "3-MEDIUM"}
+
+
+def test_mart_slice_prunes_partitions(spark, tmp_dir):
+    from ampora.operators.analysis import slice_filter
+    from ampora.plans.pipeline import run_pipeline
+    r = run_pipeline(spark, "/root/testdata/sf0.001", root=f"{tmp_dir}/p")
+    s = slice_filter(r.curated, "NATION_7", "1-URGENT", "1996-01", "1996-12")
+    plan = s._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year_month" in plan and "year_month" in plan
+    assert "PushedFilters: [IsNotNull(region_name), IsNotNull(metric_type), EqualTo(region_name,NATION_7)" in plan
+    assert s.count() == r.curated.where("region_name = 'NATION_7' and metric_type = '1-URGENT' "
+                                        "and year_month between '1996-01' and '1996-12'").count()
