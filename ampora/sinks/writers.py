@@ -12,9 +12,13 @@ from ampora.operators.dedup import dedup_latest
 
 def write_landing(docs: DataFrame, root: str, doc_col: str = "doc") -> None:
     """JSON Lines partitioned by region; a rerun replaces only the regions it
-    carries (dynamic partition overwrite)."""
+    carries (dynamic partition overwrite).
+
+    No shuffle by region: every input task writes its own file per region it
+    holds, so a region with a third of all documents is written by many tasks,
+    not one.
+    """
     (docs.select("region_slug", F.col(doc_col).alias("value"))
-     .repartition("region_slug")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("region_slug").text(root))
 
@@ -22,8 +26,14 @@ def write_landing(docs: DataFrame, root: str, doc_col: str = "doc") -> None:
 def write_mart(df: DataFrame, path: str) -> None:
     """Full replace of a mart, partitioned by month and sorted by region and
     metric inside each file: a period slice prunes folders, a region or
-    metric filter skips row groups by their min/max statistics."""
-    (df.repartition("year_month").sortWithinPartitions("region_name", "metric_type")
+    metric filter skips row groups by their min/max statistics.
+
+    Range partitioning on (month, region, metric) splits a hot month over
+    several tasks (boundaries come from a sample), instead of hashing the
+    whole month into one.
+    """
+    (df.repartitionByRange("year_month", "region_name", "metric_type")
+     .sortWithinPartitions("year_month", "region_name", "metric_type")
      .write.mode("overwrite").option("partitionOverwriteMode", "static")
      .partitionBy("year_month").parquet(path))
 
