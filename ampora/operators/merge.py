@@ -13,7 +13,7 @@ carries value rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ampora.functions.columns import array_field, is_object, is_present, json_field
@@ -34,6 +34,8 @@ def balance_records(payloads: DataFrame, payload_col: str = "payload") -> DataFr
 
     ``payloads`` has ``region_slug``, ``year`` and the payload as JSON text.
     A payload whose ``included`` is not a list is an error, as in the original.
+    Every block also yields one marker row (``is_block``, no record), so a
+    block is "seen" in a year even when its content holds no valid record.
     """
     p = parsed(payloads, payload_col)
     vv = F.col("_v")
@@ -43,11 +45,15 @@ def balance_records(payloads: DataFrame, payload_col: str = "payload") -> DataFr
                                          F.lit("'included' is not a list"))))
     b = p.select("region_slug", "year",
                  F.explode(guarded(F.col("_inc"), bad, True, "balance payload")).alias("b"))
-    # a non-object block or record has no content / values array: no rows
-    r = b.select("*", F.explode(array_field(F.col("b"), "$.attributes.content")).alias("r"))
+    # a non-object block has no content array; non-object records are dropped
+    marker = F.lit(None).cast("variant")
+    content = array_field(F.col("b"), "$.attributes.content")
+    items = F.concat(F.array(marker), F.coalesce(content, F.array(marker)))
+    r = b.select("*", F.posexplode(items).alias("_pos", "r")) \
+        .where((F.col("_pos") == 0) | is_object(F.col("r")))
     bv, rv = F.col("b"), F.col("r")
     return r.select(
-        "region_slug", "year",
+        "region_slug", "year", (F.col("_pos") == 0).alias("is_block"),
         json_field(bv, "$.id", "string").alias("group_id"),
         F.struct(json_field(bv, "$.type", "string").alias("group_type"),
                  json_field(bv, "$.attributes.title", "string").alias("group_title")).alias("block_attrs"),
@@ -67,18 +73,25 @@ def balance_records(payloads: DataFrame, payload_col: str = "payload") -> DataFr
 def merge_balance_years(payloads: DataFrame, payload_col: str = "payload") -> DataFrame:
     """Flattened rows of the merged balance payload of every region."""
     rec = balance_records(payloads, payload_col)
-    # Per-key attributes come from grouped aggregates (combined map-side, one
-    # row per block / record key), joined back onto the record rows.  That
-    # side is small -- AQE broadcasts it from its measured size, and if it is
-    # not small the sort-merge join's skew handling splits a hot region.  A
-    # window here would put every record row of a hot region in one task.
-    blocks = rec.groupBy("region_slug", "group_id").agg(
-        F.min_by("block_attrs", "year").alias("_battrs"))
-    records = rec.groupBy("region_slug", "group_id", "metric_id").agg(
+    # Per-key facts come from ONE grouped aggregate (combined map-side: one
+    # row per block key and per record key), joined back onto the record
+    # rows, so payloads are parsed twice in all and value rows are never
+    # shuffled by key.  Block attributes reach their records by a window over
+    # the *aggregated* key rows (one row per key: its size is the number of
+    # metrics of a block, not data volume).  The key table is small: AQE
+    # broadcasts it from its measured size, and if it is not small the
+    # sort-merge join's skew handling splits a hot region.  A window over the
+    # record rows themselves would put a hot region in one task.
+    keys = rec.groupBy("region_slug", "group_id", "is_block", "metric_id").agg(
+        F.min_by("block_attrs", "year").alias("_battrs"),
         F.min_by("record_attrs", "year").alias("_rattrs"),
         F.countDistinct("year").alias("n_years"))
-    keys = _join_null_safe(records, blocks, ["region_slug", "group_id"])
-    rec = _join_null_safe(rec, keys, ["region_slug", "group_id", "metric_id"])
+    per_block = Window.partitionBy("region_slug", "group_id")
+    keyed = (keys.withColumn("_battrs", F.first(F.when(F.col("is_block"), F.col("_battrs")),
+                                                ignorenulls=True).over(per_block))
+             .where(~F.col("is_block")).drop("is_block"))
+    rec = _join_null_safe(rec.where(~F.col("is_block")).drop("is_block"), keyed,
+                          ["region_slug", "group_id", "metric_id"])
     x = rec.select("*", F.explode("values").alias("x")).where(is_object(F.col("x")))
     xv = F.col("x")
     once = F.col("n_years") == 1

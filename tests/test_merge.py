@@ -62,3 +62,13 @@ def test_missing_record_ids_still_merge(spark):
                                "region_slug string, year string, payload string")
     rows = merge_balance_years(df).collect()
     assert len(rows) == 4 and {r.n_years for r in rows} == {2} and {r.total for r in rows} == {None}
+
+
+def test_block_attributes_from_first_year_even_without_records(spark):
+    p1 = {"included": [{"id": "g1", "type": "G", "attributes": {"title": "first", "content": "x"}}]}
+    p2 = payload("2024", [("a", 3.0)])
+    df = spark.createDataFrame([("r", "2023", json.dumps(p1)), ("r", "2024", json.dumps(p2))],
+                               "region_slug string, year string, payload string")
+    rows = merge_balance_years(df).collect()
+    assert len(rows) == 2 and {r.group_title for r in rows} == {"first"}
+    assert {r.total for r in rows} == {3.0}
