@@ -25,19 +25,18 @@ def scan_documents(spark: SparkSession, root: str, region_slugs: list[str] | Non
     file.  Row order carries no meaning downstream, so the original's
     newest-first file order is opt-in (``newest_first``): it is a global sort.
     """
-    reader = spark.read.option("wholetext", True) if one_per_file else spark.read
     base = root.rstrip("/")
     if region_slugs:
         paths = [f"{base}/region_slug={s}" for s in dict.fromkeys(region_slugs)]
         try:
-            raw = reader.option("basePath", base).text(paths)
+            raw = spark.read.option("basePath", base).text(paths, wholetext=one_per_file)
         except AnalysisException as e:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
             missing = [p.rsplit("=", 1)[1] for p in paths if p in str(e)]
             raise FileNotFoundError(f"No documents for regions: {missing or region_slugs}") from e
     else:
-        raw = reader.text(base)
+        raw = spark.read.text(base, wholetext=one_per_file)
     docs = raw.select(
         "region_slug", F.col("value").alias("doc"),
         F.col("_metadata.file_name").alias("file_name"),
@@ -91,3 +90,45 @@ def read_daily_csv(spark: SparkSession, path: str) -> DataFrame:
     17-column schema instead of inference."""
     from ampora.schemas import WEATHER_DAILY
     return spark.read.schema(WEATHER_DAILY).option("header", True).csv(path)
+
+
+# --- fixed values: per-region file names of a one-document-per-file landing --
+BALANCE_FILE_PATTERN = "redata_{slug}_monthly_sample.json"
+WEATHER_FILE_PATTERN = "openmeteo_{slug}_daily_sample.json"
+
+
+def scan_named_documents(spark: SparkSession, folder: str, pattern: str,
+                         region_slugs: list[str] | None = None,
+                         file_name: str | None = None) -> DataFrame:
+    """One-document-per-file landing (pretty-printed JSON, any size per file).
+
+    Resolution as in the original: an explicit ``file_name``, else one file
+    per requested region (``pattern`` with ``{slug}``), else every ``*.json``
+    in the folder.  A named or requested file that does not exist is an
+    error, raised from the file listing alone.  ``region_slug`` is taken from
+    the file name when it matches ``pattern``.
+    """
+    base = folder.rstrip("/")
+    if file_name:
+        paths = [f"{base}/{file_name}"]
+    elif region_slugs:
+        paths = [f"{base}/{pattern.format(slug=s)}" for s in dict.fromkeys(region_slugs)]
+    else:
+        paths = [f"{base}/*.json"]
+    try:
+        raw = spark.read.text(paths, wholetext=True)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        raise FileNotFoundError(f"JSON file not found: {[p for p in paths if p in str(e)] or paths}") from e
+    prefix, suffix = pattern.split("{slug}")
+    name = F.col("_metadata.file_name")
+    slug = F.regexp_extract(name, "^" + _re_escape(prefix) + "(.*)" + _re_escape(suffix) + "$", 1)
+    return raw.select(F.nullif(slug, F.lit("")).alias("region_slug"), F.col("value").alias("doc"),
+                      name.alias("file_name"),
+                      F.col("_metadata.file_modification_time").alias("file_mtime"))
+
+
+def _re_escape(text: str) -> str:
+    import re
+    return re.escape(text)

@@ -93,3 +93,24 @@ def test_mart_slice_prunes_partitions(spark, tmp_dir):
     assert "PushedFilters: [IsNotNull(region_name), IsNotNull(metric_type), EqualTo(region_name,NATION_7)" in plan
     assert s.count() == r.curated.where("region_name = 'NATION_7' and metric_type = '1-URGENT' "
                                         "and year_month between '1996-01' and '1996-12'").count()
+
+
+def test_named_document_files(spark, tmp_dir):
+    import os
+    from ampora.operators.flatten import flatten_balance
+    from ampora.sources.documents import (BALANCE_FILE_PATTERN, latest_document,
+                                          scan_named_documents)
+    os.makedirs(tmp_dir)
+    for slug in ("madrid", "aragon"):
+        with open(f"{tmp_dir}/redata_{slug}_monthly_sample.json", "w", encoding="utf-8") as f:
+            json.dump(balance_doc(V, region_slug=slug), f, indent=2)
+    all_docs = scan_named_documents(spark, tmp_dir, BALANCE_FILE_PATTERN)
+    assert sorted(r.region_slug for r in all_docs.collect()) == ["aragon", "madrid"]
+    one = scan_named_documents(spark, tmp_dir, BALANCE_FILE_PATTERN, ["madrid"])
+    assert flatten_balance(one, "t").count() == 1
+    named = scan_named_documents(spark, tmp_dir, BALANCE_FILE_PATTERN,
+                                 file_name="redata_aragon_monthly_sample.json")
+    assert [r.region_slug for r in named.collect()] == ["aragon"]
+    assert latest_document(all_docs, "file_mtime", "file_name").count() == 1
+    with pytest.raises(FileNotFoundError):
+        scan_named_documents(spark, tmp_dir, BALANCE_FILE_PATTERN, ["madrid", "nowhere"])
