@@ -133,7 +133,7 @@ def with_(*parts: str) -> str:
     return "with " + ",".join(parts) + "\n"
 
 
-def _ts_text(expr: str) -> str:
+def ts_text(expr: str) -> str:
     return f"strftime({expr}, '%Y-%m-%d %H:%M:%S')"
 
 

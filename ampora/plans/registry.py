@@ -5,12 +5,11 @@ oracle SQL with identical column names."""
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampora.constants import BALANCE_KEY, DAILY_SERIES, WEATHER_MONTHLY_KEY
+from ampora.constants import BALANCE_KEY, DAILY_SERIES
 from ampora.functions.columns import round6, ts_text
 from ampora.operators import analysis as an
 from ampora.operators import coverage as cov
@@ -231,7 +230,7 @@ def q_monthly_weather(spark, sf):
     return _monthly(spark, sf)
 
 
-_TWO = o.with_(o.E_EXT, o.FLAT) + f"""
+_TWO_LOADS = o.with_(o.E_EXT, o.FLAT) + f"""
 , two as (
   select region_slug, metric_id, datetime, metric_type, group_type, year_month,
          '{fx.INGESTED_AT}' as ingestion_timestamp, value from flat
@@ -239,7 +238,7 @@ _TWO = o.with_(o.E_EXT, o.FLAT) + f"""
   select region_slug, metric_id, datetime, metric_type, group_type, year_month,
          '{fx.REINGESTED_AT}' as ingestion_timestamp, value + 1 from flat where metric_type = '1-URGENT')
 """
-_NEWEST = o.with_(o.E_EXT, o.FLAT) + f"""
+_NEWEST_PER_KEY = o.with_(o.E_EXT, o.FLAT) + f"""
 select region_slug, metric_id, datetime,
        case when metric_type = '1-URGENT' then '{fx.REINGESTED_AT}' else '{fx.INGESTED_AT}' end
          as ingestion_timestamp,
@@ -251,7 +250,7 @@ def _two_ingestions(spark, sf):
     return fx.two_ingestions(fx.balance_flat(spark, sf))
 
 
-@register("dedup_latest", _NEWEST)
+@register("dedup_latest", _NEWEST_PER_KEY)
 def q_dedup_latest(spark, sf):
     d = dedup_latest(_two_ingestions(spark, sf), BALANCE_KEY)
     return d.select("region_slug", "metric_id", "datetime", "ingestion_timestamp", "value")
@@ -259,7 +258,7 @@ def q_dedup_latest(spark, sf):
 
 @register("stg_balance", o.with_(o.E_EXT, o.FLAT) + f"""
 select region_slug, metric_id, metric_type, group_type, year_month,
-       {o._ts_text(o.UTC_DT)} as datetime,
+       {o.ts_text(o.UTC_DT)} as datetime,
        case when metric_type = '1-URGENT' then '2024-02-01 00:00:00' else '2024-01-01 00:00:00' end
          as ingestion_timestamp,
        case when metric_type = '1-URGENT' then value + 1 else value end as value,
@@ -307,7 +306,7 @@ def _loaded_raw(spark, sf):
     return path
 
 
-@register("append_load", _TWO + """
+@register("append_load", _TWO_LOADS + """
 select region_slug, metric_id, year_month,
        case when ingestion_timestamp = '2024-01-01T00:00:00+00:00' then '2024-01-01 00:00:00'
             else '2024-02-01 00:00:00' end as ingestion_timestamp, value from two""")
@@ -318,7 +317,7 @@ def q_append_load(spark, sf):
                     ts_text(F.col("ingestion_timestamp")).alias("ingestion_timestamp"), "value")
 
 
-@register("load_row_count", _TWO + """
+@register("load_row_count", _TWO_LOADS + """
 select 'redata_balance_electrico' as table_name, count(*) as n_rows from two""")
 def q_load_row_count(spark, sf):
     t = wr.read_table(spark, _loaded_raw(spark, sf))
@@ -439,7 +438,7 @@ def q_range_violations(spark, sf):
     return cov.range_violations(_grid(spark, sf), DAILY_SERIES)
 
 
-@register("extract_completeness", _GRID.replace("with ", "with ", 1) + "," + o.WD + """
+@register("extract_completeness", _GRID + "," + o.WD + """
 , req as (select region_slug, count(*) as requested_n from grid group by region_slug),
 dl as (select region_slug, count(distinct substr(date, 1, 4)) as delivered_n from wd
        group by region_slug),

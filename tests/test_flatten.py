@@ -3,8 +3,6 @@
 import json
 
 import pytest
-from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from ampora.constants import BALANCE_ENDPOINT, BALANCE_SOURCE, DAILY_SERIES
 from ampora.operators.flatten import (balance_envelope, balance_violations, flatten_balance,
