@@ -114,3 +114,17 @@ def test_named_document_files(spark, tmp_dir):
     assert latest_document(all_docs, "file_mtime", "file_name").count() == 1
     with pytest.raises(FileNotFoundError):
         scan_named_documents(spark, tmp_dir, BALANCE_FILE_PATTERN, ["madrid", "nowhere"])
+
+
+def test_stream_weather_quarantines_bad_documents(spark, tmp_dir):
+    from ampora.streaming.ingest import ingest_weather_daily
+    from tests.test_flatten import weather_doc
+    landing = f"{tmp_dir}/landing"
+    good, short = weather_doc(), weather_doc(temperature_2m_min=[1.0])
+    wr.write_landing(_docs(spark, [("a", good), ("b", short)]), landing)
+    for q in ingest_weather_daily(spark, landing, f"{tmp_dir}/daily", f"{tmp_dir}/bad",
+                                  f"{tmp_dir}/ck"):
+        q.awaitTermination(120)
+    assert spark.read.parquet(f"{tmp_dir}/daily").count() == 2
+    bad = spark.read.parquet(f"{tmp_dir}/bad").collect()
+    assert len(bad) == 1 and "temperature_2m_min' has 1 values" in bad[0].reason
