@@ -1,4 +1,4 @@
-"""End-to-end batch pipeline: landed documents -> curated mart.
+"""End-to-end batch flow: landed documents -> curated mart.
 
 Each stage writes a table under the shared root; those writes double as
 lineage cuts, so a lost executor only recomputes from the last table.
@@ -22,7 +22,7 @@ from ampora.sources.documents import scan_documents
 
 
 @dataclass
-class PipelineResult:
+class BatchResult:
     root: str
     stg_balance: DataFrame
     stg_weather: DataFrame
@@ -37,7 +37,7 @@ def land_fixture_documents(spark: SparkSession, sf_dir: str, root: str) -> None:
 
 
 def run_from_landing(spark: SparkSession, root: str, curated_metrics: list[str] | None = None,
-                     region_slugs: list[str] | None = None) -> PipelineResult:
+                     region_slugs: list[str] | None = None) -> BatchResult:
     ensure_utc(spark)
     p = f"{root}/processed"
     # flatten (per row, no shuffle) -> processed tables
@@ -65,17 +65,17 @@ def run_from_landing(spark: SparkSession, root: str, curated_metrics: list[str]
     wr.write_mart(mart_energy_weather(stg_b, stg_w), mart_path)
     mart = spark.read.parquet(mart_path)
     wr.write_mart(curate(mart, curated_metrics), cur_path)
-    return PipelineResult(root, stg_b, stg_w, mart, spark.read.parquet(cur_path))
+    return BatchResult(root, stg_b, stg_w, mart, spark.read.parquet(cur_path))
 
 
-def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None,
-                 curated_metrics: list[str] | None = None) -> PipelineResult:
-    root = root or scratch_path(spark, "pipeline")
+def run_batch(spark: SparkSession, sf_dir: str, root: str | None = None,
+                 curated_metrics: list[str] | None = None) -> BatchResult:
+    root = root or scratch_path(spark, "batch")
     land_fixture_documents(spark, sf_dir, root)
     return run_from_landing(spark, root, curated_metrics or fx.FIXTURE_CURATED)
 
 
-def publish_models(spark: SparkSession, result: PipelineResult, prefix: str = "") -> None:
+def publish_models(spark: SparkSession, result: BatchResult, prefix: str = "") -> None:
     """Staging models as temp views, marts as views over their written tables
     (the marts were materialised by ``run_from_landing``)."""
     result.stg_balance.createOrReplaceTempView(f"{prefix}stg_redata_balance_electrico")

@@ -647,10 +647,10 @@ def q_not_null_report(spark, sf):
                             "mart_energy_weather_monthly_curated": cur})
 
 
-# --- whole pipeline -------------------------------------------------------------
+# --- whole batch flow -------------------------------------------------------------
 
 
-@register("pipeline_curated", _ECW + "select * from cur")
-def q_pipeline_curated(spark, sf):
-    from ampora.plans.pipeline import run_pipeline
-    return run_pipeline(spark, sf).curated
+@register("end_to_end_curated", _ECW + "select * from cur")
+def q_end_to_end_curated(spark, sf):
+    from ampora.plans.batch import run_batch
+    return run_batch(spark, sf).curated

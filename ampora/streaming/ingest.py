@@ -1,6 +1,6 @@
 """Incremental append of newly landed documents into a raw table.
 
-The batch pipeline re-reads the whole landing; this variant picks up only
+The batch flow re-reads the whole landing; this variant picks up only
 documents added since the last run (file source + checkpoint), flattens
 them (stateless, per row) and appends to a raw table through the parquet
 file sink, which is exactly-once: a retried micro-batch never appends twice.

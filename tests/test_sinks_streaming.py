@@ -73,9 +73,9 @@ def test_daily_csv_roundtrip(spark, tmp_dir):
     assert sorted(back.collect()) == sorted(d.collect())
 
 
-def test_pipeline_publishes_models(spark, tmp_dir):
-    from ampora.plans.pipeline import publish_models, run_pipeline
-    r = run_pipeline(spark, "/root/testdata/sf0.001", root=f"{tmp_dir}/p")
+def test_batch_publishes_models(spark, tmp_dir):
+    from ampora.plans.batch import publish_models, run_batch
+    r = run_batch(spark, "/root/testdata/sf0.001", root=f"{tmp_dir}/p")
     publish_models(spark, r)
     n = spark.sql("select count(*) c from mart_energy_weather_monthly").first().c
     assert n == spark.sql("select count(*) c from stg_redata_balance_electrico").first().c
@@ -85,8 +85,8 @@ def test_pipeline_publishes_models(spark, tmp_dir):
 
 def test_mart_slice_prunes_partitions(spark, tmp_dir):
     from ampora.operators.analysis import slice_filter
-    from ampora.plans.pipeline import run_pipeline
-    r = run_pipeline(spark, "/root/testdata/sf0.001", root=f"{tmp_dir}/p")
+    from ampora.plans.batch import run_batch
+    r = run_batch(spark, "/root/testdata/sf0.001", root=f"{tmp_dir}/p")
     s = slice_filter(r.curated, "NATION_7", "1-URGENT", "1996-01", "1996-12")
     plan = s._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year_month" in plan and "year_month" in plan
