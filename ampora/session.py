@@ -33,7 +33,8 @@ def build_session(master: str | None = None, app_name: str = "ampora",
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false")
     for key, value in CORE_CONF.items():
-        builder = builder.config(key, value)
+        if key not in (extra_conf or {}):
+            builder = builder.config(key, value)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra_conf or {}).items():
