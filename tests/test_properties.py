@@ -89,3 +89,26 @@ def test_merge_over_any_year_split(spark, by_year):
                    total_of[rid] if len(years_of[rid]) == 1 else None, first[rid])
                   for y, recs in by_year.items() for rid, _, months in recs for m in months)
     assert got == want
+
+
+rows_strategy = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.sampled_from(["m", "n"]),
+                                   st.one_of(st.none(), st.integers(0, 3)),
+                                   st.integers(0, 5)), max_size=25)
+
+
+@SETTINGS
+@given(rows_strategy)
+def test_dedup_matches_model(spark, rows):
+    import datetime as dt
+    from ampora.operators.dedup import dedup_latest
+    df = spark.createDataFrame(
+        [(k, m, None if t is None else dt.datetime(2024, 1, 1 + t), float(v)) for k, m, t, v in rows],
+        "region_slug string, metric_id string, ingestion_timestamp timestamp, value double")
+    got = sorted((r.region_slug, r.metric_id, r.value)
+                 for r in dedup_latest(df, ["region_slug", "metric_id"]).collect())
+    best = {}
+    for k, m, t, v in rows:
+        rank = (t is not None, -1 if t is None else t, v)  # newest first, NULL last, then value
+        if (k, m) not in best or rank > best[(k, m)][0]:
+            best[(k, m)] = (rank, float(v))
+    assert got == sorted((k, m, v) for (k, m), (_, v) in best.items())
