@@ -3,7 +3,7 @@ rewrites never overwrite the path they read from."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,9 +64,15 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols, *extra)
 
 
-def append_load(df: DataFrame, path: str, schema: T.StructType) -> None:
-    """Append into a fixed-schema table, creating it when absent."""
-    conform(df, schema).write.mode("append").parquet(path)
+def append_load(df: DataFrame, path: str, schema: T.StructType) -> int:
+    """Append into a fixed-schema table, creating it when absent.
+
+    Returns the number of rows appended, observed on the write itself (an
+    ``Observation`` metric), so no second pass over the data is needed.
+    """
+    obs = Observation("append_load")
+    conform(df, schema).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
+    return int(obs.get["rows"])
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

@@ -36,7 +36,7 @@ def test_append_dedup_rewrite(spark, tmp_dir):
     from ampora.operators.flatten import flatten_balance
     flat = flatten_balance(_docs(spark, [("a", balance_doc(V))]), "t")
     raw, dst = f"{tmp_dir}/raw", f"{tmp_dir}/raw2"
-    wr.append_load(flat, raw, BALANCE_RAW)
+    assert wr.append_load(flat, raw, BALANCE_RAW) == 1
     later = flat.withColumn("ingestion_timestamp", F.lit("2030-01-01T00:00:00+00:00")) \
         .withColumn("value", F.lit(2.0)).withColumn("extra", F.lit("x"))
     wr.append_load(later, raw, BALANCE_RAW)
@@ -128,3 +128,11 @@ def test_stream_weather_quarantines_bad_documents(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/daily").count() == 2
     bad = spark.read.parquet(f"{tmp_dir}/bad").collect()
     assert len(bad) == 1 and "temperature_2m_min' has 1 values" in bad[0].reason
+
+
+def test_split_documents(spark):
+    from ampora.sources.documents import split_documents
+    d = spark.createDataFrame([(1, '{"a": 1}'), (2, "[1]"), (3, "{bad")], "id int, doc string")
+    good, bad = split_documents(d)
+    assert [r.id for r in good.collect()] == [1]
+    assert sorted((r.id, r.reason) for r in bad.collect()) == [(2, "not_an_object"), (3, "invalid_json")]
