@@ -15,7 +15,8 @@ from ampora.operators.aggregate import daily_to_monthly
 from ampora.operators.flatten import fallback_timestamp, flatten_balance, flatten_weather
 from ampora.operators.models import curate, mart_energy_weather, stage_balance, stage_weather
 from ampora.plans import fixtures as fx
-from ampora.schemas import BALANCE_RAW, WEATHER_MONTHLY_RAW
+from ampora.schemas import (BALANCE_FLAT, BALANCE_RAW, WEATHER_DAILY, WEATHER_MONTHLY_FLAT,
+                            WEATHER_MONTHLY_RAW)
 from ampora.session import ensure_utc, scratch_path
 from ampora.sinks import writers as wr
 from ampora.sources.documents import scan_documents
@@ -37,21 +38,36 @@ def land_fixture_documents(spark: SparkSession, sf_dir: str, root: str) -> None:
 
 
 def run_from_landing(spark: SparkSession, root: str, curated_metrics: list[str] | None = None,
-                     region_slugs: list[str] | None = None) -> BatchResult:
+                     region_slugs: list[str] | None = None,
+                     processed_format: str = "parquet") -> BatchResult:
+    """Flatten -> monthly -> append -> dedup rewrite -> staging -> marts.
+
+    ``processed_format="csv"`` hands the flat tables over as CSV with a
+    header, like the original; they are read back with the fixed schemas
+    (never inferred), and blank fields load as NULL.
+    """
     ensure_utc(spark)
     p = f"{root}/processed"
+
+    def processed(name, schema):
+        path = f"{p}/{name}"
+        if processed_format == "csv":
+            return spark.read.schema(schema).option("header", True).csv(path)
+        return spark.read.parquet(path)
+
     # flatten (per row, no shuffle) -> processed tables
     bal_docs = scan_documents(spark, f"{root}/landing/balance", region_slugs)
-    wr.write_processed(flatten_balance(bal_docs, fallback_timestamp()), f"{p}/balance")
+    wr.write_processed(flatten_balance(bal_docs, fallback_timestamp()), f"{p}/balance",
+                       processed_format)
     w_docs = scan_documents(spark, f"{root}/landing/weather", region_slugs)
-    wr.write_processed(flatten_weather(w_docs), f"{p}/weather_daily")
+    wr.write_processed(flatten_weather(w_docs), f"{p}/weather_daily", processed_format)
     # daily -> monthly (map-side partial aggregation)
-    monthly = daily_to_monthly(spark.read.parquet(f"{p}/weather_daily"))
-    wr.write_processed(monthly, f"{p}/weather_monthly")
+    monthly = daily_to_monthly(processed("weather_daily", WEATHER_DAILY))
+    wr.write_processed(monthly, f"{p}/weather_monthly", processed_format)
     # append into the raw tables, then rewrite them deduplicated elsewhere
     r = f"{root}/raw"
-    wr.append_load(spark.read.parquet(f"{p}/balance"), f"{r}/balance", BALANCE_RAW)
-    wr.append_load(spark.read.parquet(f"{p}/weather_monthly"), f"{r}/weather_monthly",
+    wr.append_load(processed("balance", BALANCE_FLAT), f"{r}/balance", BALANCE_RAW)
+    wr.append_load(processed("weather_monthly", WEATHER_MONTHLY_FLAT), f"{r}/weather_monthly",
                    WEATHER_MONTHLY_RAW)
     bal = wr.dedup_rewrite(spark, f"{r}/balance", f"{r}/balance_dedup", BALANCE_KEY)
     wm = wr.dedup_rewrite(spark, f"{r}/weather_monthly", f"{r}/weather_monthly_dedup",
@@ -69,10 +85,12 @@ def run_from_landing(spark: SparkSession, root: str, curated_metrics: list[str]
 
 
 def run_batch(spark: SparkSession, sf_dir: str, root: str | None = None,
-                 curated_metrics: list[str] | None = None) -> BatchResult:
+              curated_metrics: list[str] | None = None,
+              processed_format: str = "parquet") -> BatchResult:
     root = root or scratch_path(spark, "batch")
     land_fixture_documents(spark, sf_dir, root)
-    return run_from_landing(spark, root, curated_metrics or fx.FIXTURE_CURATED)
+    return run_from_landing(spark, root, curated_metrics or fx.FIXTURE_CURATED,
+                            processed_format=processed_format)
 
 
 def publish_models(spark: SparkSession, result: BatchResult, prefix: str = "") -> None:

@@ -136,3 +136,14 @@ def test_split_documents(spark):
     good, bad = split_documents(d)
     assert [r.id for r in good.collect()] == [1]
     assert sorted((r.id, r.reason) for r in bad.collect()) == [(2, "not_an_object"), (3, "invalid_json")]
+
+
+def test_batch_csv_handover_equals_parquet(spark, tmp_dir):
+    from ampora.plans.batch import run_batch
+    a = run_batch(spark, "/root/testdata/sf0.001", root=f"{tmp_dir}/pq").curated
+    b = run_batch(spark, "/root/testdata/sf0.001", root=f"{tmp_dir}/csv", processed_format="csv").curated
+    cols = sorted(a.columns)
+    assert a.count() > 0
+    a, b = a.select(cols), b.select(cols)
+    assert a.count() == b.count()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
