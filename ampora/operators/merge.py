@@ -82,9 +82,11 @@ def merge_balance_years(payloads: DataFrame, payload_col: str = "payload") -> Da
     # broadcasts it from its measured size, and if it is not small the
     # sort-merge join's skew handling splits a hot region.  A window over the
     # record rows themselves would put a hot region in one task.
+    # min over (year, attributes): the first year wins and equal years are
+    # resolved by a total order, so a retried task picks the same row
     keys = rec.groupBy("region_slug", "group_id", "is_block", "metric_id").agg(
-        F.min_by("block_attrs", "year").alias("_battrs"),
-        F.min_by("record_attrs", "year").alias("_rattrs"),
+        F.min(F.struct("year", "block_attrs"))["block_attrs"].alias("_battrs"),
+        F.min(F.struct("year", "record_attrs"))["record_attrs"].alias("_rattrs"),
         F.countDistinct("year").alias("n_years"))
     per_block = Window.partitionBy("region_slug", "group_id")
     keyed = (keys.withColumn("_battrs", F.first(F.when(F.col("is_block"), F.col("_battrs")),
@@ -122,14 +124,14 @@ def merge_weather_years(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
     Each yearly document is checked on its own (a non-list or short series
     is an error -- stricter than the original, which checks after merging).
     The envelope of a region's first year is kept: it comes from a grouped
-    ``min_by`` (one row per region, combined map-side, so a region with a
+    ``min`` over (year, envelope) (one row per region, combined map-side, so a region with a
     third of all documents is still cheap) joined back on the region.
     """
     a = weather_arrays(docs, doc_col)
     env_cols = ["source", "ingestion_timestamp", "region_name", "location_name", "latitude",
                 "longitude", "timezone", "weather_point_type"]
     first = a.groupBy("region_slug").agg(
-        F.min_by(F.struct(*env_cols), "year").alias("_env"))
+        F.min(F.struct("year", F.struct(*env_cols).alias("e")))["e"].alias("_env"))
     merged = a.drop(*env_cols).join(first, "region_slug").select(
         "*", *[F.col(f"_env.{c}").alias(c) for c in env_cols]).drop("_env")
     return zip_daily(merged, strict=True, what="weather payload")
