@@ -124,8 +124,9 @@ def merge_weather_years(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
     Each yearly document is checked on its own (a non-list or short series
     is an error -- stricter than the original, which checks after merging).
     The envelope of a region's first year is kept: it comes from a grouped
-    ``min`` over (year, envelope) (one row per region, combined map-side, so a region with a
-    third of all documents is still cheap) joined back on the region.
+    ``min`` over (year, envelope) -- one row per region, combined map-side,
+    so a region with a third of all documents is still cheap -- joined back
+    on the region.
     """
     a = weather_arrays(docs, doc_col)
     env_cols = ["source", "ingestion_timestamp", "region_name", "location_name", "latitude",
