@@ -85,6 +85,13 @@ def payload_errors(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
     return docs.withColumn("has_errors", has)
 
 
+def split_error_payloads(docs: DataFrame, doc_col: str = "doc") -> tuple[DataFrame, DataFrame]:
+    """(good, rejects) by the top-level ``errors`` member; nothing collected."""
+    flagged = payload_errors(docs, doc_col)
+    return (flagged.where(~F.col("has_errors")).drop("has_errors"),
+            flagged.where(F.col("has_errors")).drop("has_errors"))
+
+
 def read_daily_csv(spark: SparkSession, path: str) -> DataFrame:
     """Flattened daily weather written as CSV (header row), with the fixed
     17-column schema instead of inference."""

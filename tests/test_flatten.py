@@ -144,3 +144,9 @@ def test_weather_payload_not_object_is_an_error(spark):
     with pytest.raises(Exception, match="'payload' is not an object"):
         flatten_weather(docs(spark, {"payload": [1]})).collect()
     assert flatten_weather(docs(spark, {"source": "x"})).count() == 0
+
+
+def test_split_error_payloads(spark):
+    from ampora.sources.documents import split_error_payloads
+    good, bad = split_error_payloads(docs(spark, {"errors": []}, {"included": []}, "x"))
+    assert sorted(r.id for r in good.collect()) == [1, 2] and [r.id for r in bad.collect()] == [0]
