@@ -7,3 +7,29 @@ distributed from scan to write.
 """
 
 __version__ = "0.1.0"
+
+from ampora.operators.aggregate import daily_to_monthly
+from ampora.operators.analysis import (curated_extract, energy_weather_corr, filter_options,
+                                       metric_labels, monthly_detail, period_bounds,
+                                       present_correlation, present_detail, present_summary,
+                                       scatter_pairs, series_long, share_kpi, slice_filter,
+                                       slice_kpis, summary_stats, with_relationship,
+                                       with_weather_value)
+from ampora.operators.coverage import (coverage_gaps, coverage_grid, extract_completeness,
+                                       range_violations, select_regions, unknown_regions)
+from ampora.operators.dedup import dedup_latest
+from ampora.operators.flatten import (balance_envelope, balance_violations, flatten_balance,
+                                      flatten_weather, weather_violations)
+from ampora.operators.merge import merge_balance_years, merge_weather_years
+from ampora.operators.models import curate, mart_energy_weather, stage_balance, stage_weather
+from ampora.operators.quality import not_null_report
+from ampora.session import build_session, scale_conf
+from ampora.sinks.writers import (append_load, dedup_rewrite, write_landing, write_mart,
+                                  write_processed)
+from ampora.sources.catalog import load_regions, region_catalog
+from ampora.sources.config import label_table, relationship_table
+from ampora.sources.documents import (latest_document, parse_documents, payload_errors,
+                                      read_daily_csv, scan_documents, scan_named_documents,
+                                      split_documents, split_error_payloads)
+
+__all__ = [n for n in dir() if not n.startswith("_")]
