@@ -91,3 +91,29 @@ def dedup_rewrite(spark: SparkSession, src: str, dst: str, keys: list[str],
         raise ValueError("dedup_rewrite must write to a new location")
     dedup_latest(read_table(spark, src), keys, order_by).write.mode("overwrite").parquet(dst)
     return read_table(spark, dst)
+
+
+def append_load_table(spark: SparkSession, df: DataFrame, table: str, schema: T.StructType,
+                      database: str = "raw") -> int:
+    """Catalog form of ``append_load``: creates the database and table when
+    absent, adds new nullable input columns to the table (field addition),
+    then appends by column name.  Returns the rows appended."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    name = f"`{database}`.`{table}`"
+    rows = conform(df, schema)
+    if not spark.catalog.tableExists(table, database):
+        obs = Observation("append_load_table")
+        rows.observe(obs, F.count(F.lit(1)).alias("rows")).write.format("parquet") \
+            .saveAsTable(f"{database}.{table}")
+        return int(obs.get["rows"])
+    current = spark.table(name)
+    new = [f for f in rows.schema.fields if f.name not in current.columns]
+    if new:
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({cols})")
+        current = spark.table(name)
+    aligned = rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast(current.schema[c].dataType).alias(c)
+                            for c in current.columns])
+    obs = Observation("append_load_table")
+    aligned.observe(obs, F.count(F.lit(1)).alias("rows")).write.insertInto(name)
+    return int(obs.get["rows"])

@@ -147,3 +147,15 @@ def test_batch_csv_handover_equals_parquet(spark, tmp_dir):
     a, b = a.select(cols), b.select(cols)
     assert a.count() == b.count()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_append_load_table_adds_fields(spark):
+    from ampora.operators.flatten import flatten_balance
+    flat = flatten_balance(_docs(spark, [("a", balance_doc(V))]), "t")
+    assert wr.append_load_table(spark, flat, "balance_t", BALANCE_RAW, "raw_test") == 1
+    more = flat.withColumn("extra", F.lit("x")).withColumn("value", F.lit(5.0))
+    assert wr.append_load_table(spark, more, "balance_t", BALANCE_RAW, "raw_test") == 1
+    t = spark.table("raw_test.balance_t")
+    assert t.count() == 2 and "extra" in t.columns
+    assert sorted(r.value for r in t.collect()) == [1.0, 5.0]
+    assert t.where("extra is null").count() == 1
