@@ -101,7 +101,7 @@ def append_load_table(spark: SparkSession, df: DataFrame, table: str, schema: T.
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     name = f"`{database}`.`{table}`"
     rows = conform(df, schema)
-    if not spark.catalog.tableExists(table, database):
+    if not spark.catalog.tableExists(f"{database}.{table}"):
         obs = Observation("append_load_table")
         rows.observe(obs, F.count(F.lit(1)).alias("rows")).write.format("parquet") \
             .saveAsTable(f"{database}.{table}")
