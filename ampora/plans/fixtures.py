@@ -94,9 +94,17 @@ def weather_daily_core(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalog_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Region catalogue as text columns, the way a CSV with a header reads."""
+    """Region catalogue as text columns, the way a CSV with a header reads.
+
+    The weather location of a region is its first supplier by name (a
+    grouped ``min`` over ``supplier``, so the catalogue scan grows with the
+    data), or '<nation> capital' when the nation has no supplier.
+    """
     n = read(spark, sf_dir, "nation")
     r = read(spark, sf_dir, "region")
+    loc = read(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("n_nationkey")) \
+        .agg(F.min("s_name").alias("_loc"))
+    n = n.join(loc, "n_nationkey", "left")
     k = F.col("n_nationkey")
     active = (F.when(k >= INACTIVE_FROM_NATION, F.lit("FALSE"))
               .when(F.col("n_regionkey") == 0, F.lit(" True "))
@@ -111,7 +119,8 @@ def catalog_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower("r_name").alias("region_type"),
         F.lit("ccaa").alias("redata_geo_limit"),
         k.cast("string").alias("redata_geo_id"),
-        F.concat(F.col("n_name"), F.lit(" capital")).alias("weather_location_name"),
+        F.coalesce(F.col("_loc"), F.concat(F.col("n_name"), F.lit(" capital")))
+        .alias("weather_location_name"),
         (k * 7.5 - 60.0).cast("string").alias("latitude"),
         (F.col("n_regionkey") * 45.0 - 90.0 + k * 0.5).cast("string").alias("longitude"),
         tz.alias("timezone"),

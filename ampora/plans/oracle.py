@@ -31,14 +31,16 @@ C = f"""
 c_all as (
   select lower(n_name) as region_slug, n_name as display_name, lower(r_name) as region_type,
          'ccaa' as redata_geo_limit, n_nationkey as redata_geo_id,
-         n_name || ' capital' as weather_location_name,
+         coalesce(sl.loc, n_name || ' capital') as weather_location_name,
          cast(n_nationkey * 7.5 - 60.0 as double) as latitude,
          cast(n_regionkey * 45.0 - 90.0 + n_nationkey * 0.5 as double) as longitude,
          case when r_name = 'EUROPE' then 'Europe/Madrid' when r_name = 'AFRICA' then 'Africa/Ceuta'
               else 'Atlantic/Canary' end as timezone,
          'regional_capital' as weather_point_type,
          n_nationkey < {fx.INACTIVE_FROM_NATION} as is_active, n_regionkey
-  from nation join region on n_regionkey = r_regionkey),
+  from nation join region on n_regionkey = r_regionkey
+       left join (select s_nationkey, min(s_name) as loc from supplier group by s_nationkey) sl
+         on sl.s_nationkey = n_nationkey),
 c as (select * exclude (n_regionkey) from c_all where is_active)"""
 
 WD = f"""
