@@ -185,3 +185,50 @@ def test_scale_conf_widths():
     c = scale_conf(100 * 1024 ** 4, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert int(scale_conf(10, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def _daily_row(ts, date, v):
+    return ("s", ts, "r", "R", "L", 1.0, 2.0, "tz", "p", date, v, v, v, v, 1, v, v)
+
+
+_DAILY_SCHEMA = ("source string, ingestion_timestamp string, region_slug string, region_name string, "
+                 "location_name string, latitude double, longitude double, timezone string, "
+                 "weather_point_type string, date string, temperature_2m_max double, "
+                 "temperature_2m_mean double, temperature_2m_min double, precipitation_sum double, "
+                 "weather_code long, wind_speed_10m_max double, shortwave_radiation_sum double")
+
+
+def test_t6_two_loads_of_a_month_stay_two_rows_until_dedup(spark):
+    from ampora.operators.models import stage_weather
+    from ampora.schemas import WEATHER_MONTHLY_RAW
+    from ampora.sinks.writers import conform
+    d = spark.createDataFrame([_daily_row("2024-01-01T00:00:00+00:00", "2024-01-01", 1.0),
+                               _daily_row("2024-02-01T00:00:00+00:00", "2024-01-01", 3.0)], _DAILY_SCHEMA)
+    m = daily_to_monthly(d)
+    assert m.count() == 2
+    s = stage_weather(conform(m, WEATHER_MONTHLY_RAW)).collect()
+    assert len(s) == 1 and s[0].temperature_2m_max_avg == 3.0
+
+
+def test_t10_blank_text_loads_as_null(spark):
+    from ampora.operators.quality import not_null_counts
+    from ampora.schemas import BALANCE_RAW
+    from ampora.sinks.writers import conform
+    df = spark.createDataFrame([("", "m", "2025-01-01T00:00:00.000+01:00")],
+                               "region_slug string, metric_id string, datetime string")
+    c = conform(df, BALANCE_RAW)
+    assert c.first().region_slug is None
+    r = {x.column_name: x.failures for x in not_null_counts(c, "t", ["region_slug"]).collect()}
+    assert r == {"region_slug": 1}
+
+
+def test_t12_same_metric_in_two_groups_collapses(spark):
+    from ampora.operators.models import stage_balance
+    from ampora.schemas import BALANCE_RAW
+    from ampora.sinks.writers import conform
+    rows = [("r", "g1", "m", "2025-01-01T00:00:00.000+01:00", "2024-01-01T00:00:00+00:00", 1.0),
+            ("r", "g2", "m", "2025-01-01T00:00:00.000+01:00", "2024-02-01T00:00:00+00:00", 2.0)]
+    df = spark.createDataFrame(rows, "region_slug string, group_id string, metric_id string, "
+                                     "datetime string, ingestion_timestamp string, value double")
+    s = stage_balance(conform(df, BALANCE_RAW)).collect()
+    assert len(s) == 1 and s[0].group_id == "g2" and s[0].value == 2.0
