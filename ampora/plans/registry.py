@@ -339,6 +339,31 @@ def q_dedup_rewrite(spark, sf):
                     ts_text(F.col("ingestion_timestamp")).alias("ingestion_timestamp"), "value")
 
 
+_UPSERT_SQL = o.with_(o.E_EXT, o.FLAT) + """
+select region_slug, metric_id, year_month,
+       case when metric_type = '1-URGENT' then '2024-02-01 00:00:00' else '2024-01-01 00:00:00' end
+         as ingestion_timestamp,
+       case when metric_type = '1-URGENT' then value + 1 else value end as value
+from flat"""
+
+
+@register("upsert_rewrite", _UPSERT_SQL)
+def q_upsert_rewrite(spark, sf):
+    """Two loads upserted into a month-partitioned raw table: only the months
+    each load touches are rewritten."""
+    path = scratch_path(spark, "raw_balance_upsert")
+    # loads arrive as processed tables (written once), as in the batch flow
+    processed = scratch_path(spark, "processed_balance_loads")
+    wr.write_processed(_two_ingestions(spark, sf), processed)
+    flat = spark.read.parquet(processed)
+    for ts in (fx.INGESTED_AT, fx.REINGESTED_AT):
+        load = wr.conform(flat.where(F.col("ingestion_timestamp") == ts), BALANCE_RAW)
+        wr.upsert_latest(spark, load, path, BALANCE_KEY)
+    t = spark.read.parquet(path)
+    return t.select("region_slug", "metric_id", F.col("year_month").cast("string").alias("year_month"),
+                    ts_text(F.col("ingestion_timestamp")).alias("ingestion_timestamp"), "value")
+
+
 @register("processed_roundtrip", o.with_(o.E_EXT, o.FLAT) + f"select {_FLAT_COLS} from flat")
 def q_processed_roundtrip(spark, sf):
     path = scratch_path(spark, "processed_balance")

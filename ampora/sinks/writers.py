@@ -3,6 +3,7 @@ rewrites never overwrite the path they read from."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -117,3 +118,43 @@ def append_load_table(spark: SparkSession, df: DataFrame, table: str, schema: T.
     obs = Observation("append_load_table")
     aligned.observe(obs, F.count(F.lit(1)).alias("rows")).write.insertInto(name)
     return int(obs.get["rows"])
+
+
+def upsert_latest(spark: SparkSession, batch: DataFrame, path: str, keys: list[str],
+                  partition_col: str = "year_month", order_by: str = "ingestion_timestamp") -> list:
+    """Append a load and keep the newest row per key, rewriting only the
+    partitions the load touches.
+
+    The table is partitioned by ``partition_col``, which must be a function
+    of the key (equal keys always land in the same partition), so a dedup
+    inside the touched partitions equals a dedup of the whole table.  Steps:
+    the touched partition values (bounded by the calendar, not the data)
+    come to the driver; the old rows of those partitions (partition pruning)
+    plus the batch are deduplicated into a staging folder under the shared
+    root; a second job copies the staging folder over those partitions with
+    dynamic partition overwrite (one job cannot read and overwrite the same
+    partitions).  Untouched partitions are never read or rewritten.
+    Returns the touched partition values.
+    """
+    from ampora.session import scratch_path
+    touched = sorted(r[0] for r in batch.select(partition_col).distinct().collect())
+    if not touched:
+        return []
+    try:
+        old = read_table(spark, path).where(F.col(partition_col).isin(touched))
+        both = old.unionByName(batch, allowMissingColumns=True)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        both = batch
+    staging = scratch_path(spark, "upsert")
+    # Range partitioning on (partition, key) clusters rows by key -- the
+    # window needs no further exchange -- and gives each task a contiguous
+    # slice of partitions (few files per partition), while a hot partition
+    # is still split over several tasks by key range.
+    ranged = both.repartitionByRange(partition_col, *keys)
+    (dedup_latest(ranged, [partition_col, *keys], order_by).write.mode("overwrite")
+     .partitionBy(partition_col).parquet(staging))
+    (spark.read.parquet(staging).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+    return touched

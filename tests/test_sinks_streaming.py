@@ -159,3 +159,26 @@ def test_append_load_table_adds_fields(spark):
     assert t.count() == 2 and "extra" in t.columns
     assert sorted(r.value for r in t.collect()) == [1.0, 5.0]
     assert t.where("extra is null").count() == 1
+
+
+def test_upsert_rewrites_only_touched_months(spark, tmp_dir):
+    import datetime as dt
+    import glob
+    import os
+    schema = ("region_slug string, metric_id string, datetime string, year_month string, "
+              "ingestion_timestamp timestamp, value double")
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
+    first = spark.createDataFrame([("r", "m", "2024-01-01", "2024-01", t1, 1.0),
+                                   ("r", "m", "2024-02-01", "2024-02", t1, 2.0)], schema)
+    path = f"{tmp_dir}/raw"
+    assert wr.upsert_latest(spark, first, path, ["region_slug", "metric_id", "datetime"]) == [
+        "2024-01", "2024-02"]
+    jan_files = sorted(glob.glob(f"{path}/year_month=2024-01/*.parquet"))
+    jan_mtimes = [os.path.getmtime(f) for f in jan_files]
+    again = spark.createDataFrame([("r", "m", "2024-02-01", "2024-02", t2, 20.0),
+                                   ("r", "m", "2024-02-01", "2024-02", t1, 9.0)], schema)
+    assert wr.upsert_latest(spark, again, path, ["region_slug", "metric_id", "datetime"]) == ["2024-02"]
+    t = spark.read.parquet(path)
+    assert sorted((r.year_month, r.value) for r in t.collect()) == [("2024-01", 1.0), ("2024-02", 20.0)]
+    assert sorted(glob.glob(f"{path}/year_month=2024-01/*.parquet")) == jan_files
+    assert [os.path.getmtime(f) for f in jan_files] == jan_mtimes
