@@ -39,12 +39,16 @@ def land_fixture_documents(spark: SparkSession, sf_dir: str, root: str) -> None:
 
 def run_from_landing(spark: SparkSession, root: str, curated_metrics: list[str] | None = None,
                      region_slugs: list[str] | None = None,
-                     processed_format: str = "parquet") -> BatchResult:
+                     processed_format: str = "parquet", raw_mode: str = "rewrite") -> BatchResult:
     """Flatten -> monthly -> append -> dedup rewrite -> staging -> marts.
 
     ``processed_format="csv"`` hands the flat tables over as CSV with a
     header, like the original; they are read back with the fixed schemas
     (never inferred), and blank fields load as NULL.
+
+    ``raw_mode="rewrite"`` appends and then rewrites each raw table
+    deduplicated (the original's two jobs); ``"upsert"`` keeps month-
+    partitioned raw tables and rewrites only the months a load touches.
     """
     ensure_utc(spark)
     p = f"{root}/processed"
@@ -66,12 +70,19 @@ def run_from_landing(spark: SparkSession, root: str, curated_metrics: list[str]
     wr.write_processed(monthly, f"{p}/weather_monthly", processed_format)
     # append into the raw tables, then rewrite them deduplicated elsewhere
     r = f"{root}/raw"
-    wr.append_load(processed("balance", BALANCE_FLAT), f"{r}/balance", BALANCE_RAW)
-    wr.append_load(processed("weather_monthly", WEATHER_MONTHLY_FLAT), f"{r}/weather_monthly",
-                   WEATHER_MONTHLY_RAW)
-    bal = wr.dedup_rewrite(spark, f"{r}/balance", f"{r}/balance_dedup", BALANCE_KEY)
-    wm = wr.dedup_rewrite(spark, f"{r}/weather_monthly", f"{r}/weather_monthly_dedup",
-                          WEATHER_MONTHLY_KEY)
+    bal_load = processed("balance", BALANCE_FLAT)
+    wm_load = processed("weather_monthly", WEATHER_MONTHLY_FLAT)
+    if raw_mode == "upsert":
+        wr.upsert_latest(spark, wr.conform(bal_load, BALANCE_RAW), f"{r}/balance", BALANCE_KEY)
+        wr.upsert_latest(spark, wr.conform(wm_load, WEATHER_MONTHLY_RAW), f"{r}/weather_monthly",
+                         WEATHER_MONTHLY_KEY)
+        bal, wm = wr.read_table(spark, f"{r}/balance"), wr.read_table(spark, f"{r}/weather_monthly")
+    else:
+        wr.append_load(bal_load, f"{r}/balance", BALANCE_RAW)
+        wr.append_load(wm_load, f"{r}/weather_monthly", WEATHER_MONTHLY_RAW)
+        bal = wr.dedup_rewrite(spark, f"{r}/balance", f"{r}/balance_dedup", BALANCE_KEY)
+        wm = wr.dedup_rewrite(spark, f"{r}/weather_monthly", f"{r}/weather_monthly_dedup",
+                              WEATHER_MONTHLY_KEY)
     # models: staging is a view (the raw tables were just deduplicated on the
     # same keys, so the staging dedup is skipped); marts are written tables
     stg_b = stage_balance(bal, dedup=False)
@@ -86,11 +97,11 @@ def run_from_landing(spark: SparkSession, root: str, curated_metrics: list[str]
 
 def run_batch(spark: SparkSession, sf_dir: str, root: str | None = None,
               curated_metrics: list[str] | None = None,
-              processed_format: str = "parquet") -> BatchResult:
+              processed_format: str = "parquet", raw_mode: str = "rewrite") -> BatchResult:
     root = root or scratch_path(spark, "batch")
     land_fixture_documents(spark, sf_dir, root)
     return run_from_landing(spark, root, curated_metrics or fx.FIXTURE_CURATED,
-                            processed_format=processed_format)
+                            processed_format=processed_format, raw_mode=raw_mode)
 
 
 def publish_models(spark: SparkSession, result: BatchResult, prefix: str = "") -> None:

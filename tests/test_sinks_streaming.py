@@ -182,3 +182,13 @@ def test_upsert_rewrites_only_touched_months(spark, tmp_dir):
     assert sorted((r.year_month, r.value) for r in t.collect()) == [("2024-01", 1.0), ("2024-02", 20.0)]
     assert sorted(glob.glob(f"{path}/year_month=2024-01/*.parquet")) == jan_files
     assert [os.path.getmtime(f) for f in jan_files] == jan_mtimes
+
+
+def test_batch_upsert_mode_equals_rewrite(spark, tmp_dir):
+    from ampora.plans.batch import run_batch
+    a = run_batch(spark, "/root/testdata/sf0.001", root=f"{tmp_dir}/rw").curated
+    b = run_batch(spark, "/root/testdata/sf0.001", root=f"{tmp_dir}/up", raw_mode="upsert").curated
+    cols = sorted(a.columns)
+    a, b = a.select(cols), b.select(cols)
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
