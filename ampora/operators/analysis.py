@@ -97,11 +97,16 @@ def summary_stats(df: DataFrame, group: list[str] = GROUP) -> DataFrame:
 
 
 def energy_weather_corr(df: DataFrame, group: list[str] = GROUP) -> DataFrame:
-    """Pairwise-complete Pearson correlation of value and weather per group."""
+    """Pairwise-complete Pearson correlation of value and weather per group.
+
+    The weather column and label depend on the metric alone, so they are
+    grouping keys rather than ``first()`` aggregates: every aggregate buffer
+    stays numeric and the plan is a hash aggregate (a string ``first`` would
+    force a sort-based aggregate over all rows).
+    """
     both = F.col("value").isNotNull() & F.col("weather_value").isNotNull()
-    return df.groupBy(*group).agg(
-        F.first("weather_column").alias("weather_column"),
-        F.first("weather_label").alias("weather_label"),
+    keys = list(group) + [c for c in ("weather_column", "weather_label") if c not in group]
+    return df.groupBy(*keys).agg(
         F.count(F.when(both, 1)).alias("n_pairs"),
         safe_pearson(F.col("value"), F.col("weather_value")).alias("pearson_correlation"))
 

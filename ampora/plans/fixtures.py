@@ -96,14 +96,15 @@ def weather_daily_core(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Region catalogue as text columns, the way a CSV with a header reads.
 
-    The weather location of a region is its first supplier by name (a
-    grouped ``min`` over ``supplier``, so the catalogue scan grows with the
-    data), or '<nation> capital' when the nation has no supplier.
+    The weather location of a region is named after its first supplier (a
+    grouped ``min`` of the numeric key over ``supplier``, so the catalogue
+    scan grows with the data and stays a hash aggregate), or
+    '<nation> capital' when the nation has no supplier.
     """
     n = read(spark, sf_dir, "nation")
     r = read(spark, sf_dir, "region")
     loc = read(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("n_nationkey")) \
-        .agg(F.min("s_name").alias("_loc"))
+        .agg(F.concat(F.lit("Supplier "), F.min("s_suppkey").cast("string")).alias("_loc"))
     n = n.join(loc, "n_nationkey", "left")
     k = F.col("n_nationkey")
     active = (F.when(k >= INACTIVE_FROM_NATION, F.lit("FALSE"))

@@ -39,7 +39,8 @@ c_all as (
          'regional_capital' as weather_point_type,
          n_nationkey < {fx.INACTIVE_FROM_NATION} as is_active, n_regionkey
   from nation join region on n_regionkey = r_regionkey
-       left join (select s_nationkey, min(s_name) as loc from supplier group by s_nationkey) sl
+       left join (select s_nationkey, 'Supplier ' || cast(min(s_suppkey) as varchar) as loc
+                  from supplier group by s_nationkey) sl
          on sl.s_nationkey = n_nationkey),
 c as (select * exclude (n_regionkey) from c_all where is_active)"""
 

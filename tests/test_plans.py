@@ -57,3 +57,9 @@ def test_grid_is_a_generator_not_a_cross_join(spark):
     p = plan(ent.queries()["coverage_grid"](spark, SF))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
     assert "Generate explode(" in p
+
+
+def test_grouped_statistics_use_hash_aggregates(spark):
+    for name in ("energy_weather_corr", "summary_stats", "slice_kpis", "share_kpi"):
+        p = plan(ent.queries()[name](spark, SF))
+        assert "SortAggregate" not in p and "ObjectHashAggregate" not in p, name
