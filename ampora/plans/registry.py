@@ -23,7 +23,7 @@ from ampora.operators.quality import not_null_report
 from ampora.plans import fixtures as fx
 from ampora.plans import oracle as o
 from ampora.schemas import BALANCE_RAW, WEATHER_MONTHLY_RAW
-from ampora.session import ensure_utc, scratch_path
+from ampora.session import ensure_utc, scratch_path, shared_root
 from ampora.sinks import writers as wr
 from ampora.sources import documents as docs_src
 from ampora.sources.catalog import region_catalog
@@ -661,10 +661,15 @@ union all
 select 'mart_energy_weather_monthly_curated', col, 0, true
 from (values ('region_slug'), ('year_month'), ('metric_type'), ('value')) t(col)""")
 def q_not_null_report(spark, sf):
+    """Data tests over the four models.  The staging tables every later model
+    depends on are checkpointed (reliable, shared folder), so the expensive
+    part -- the fact tables built from the base tables -- is computed once,
+    not once per dependent model; the marts are cheap joins over them."""
+    shared_root(spark)
     flat = fx.balance_flat(spark, sf).withColumn(
         "metric_type", F.when(F.col("metric_type") != "5-LOW", F.col("metric_type")))
-    stg_b = stage_balance(wr.conform(flat, BALANCE_RAW))
-    stg_w = stage_weather(wr.conform(_monthly(spark, sf), WEATHER_MONTHLY_RAW))
+    stg_b = stage_balance(wr.conform(flat, BALANCE_RAW)).checkpoint()
+    stg_w = stage_weather(wr.conform(_monthly(spark, sf), WEATHER_MONTHLY_RAW)).checkpoint()
     mart = mart_energy_weather(stg_b, stg_w)
     cur = curate(mart, fx.FIXTURE_CURATED)
     return not_null_report({"stg_redata_balance_electrico": stg_b, "stg_openmeteo_monthly": stg_w,
