@@ -63,3 +63,26 @@ def test_grouped_statistics_use_hash_aggregates(spark):
     for name in ("energy_weather_corr", "summary_stats", "slice_kpis", "share_kpi"):
         p = plan(ent.queries()[name](spark, SF))
         assert "SortAggregate" not in p and "ObjectHashAggregate" not in p, name
+
+
+def test_weather_dedup_exchange_serves_the_join(spark, tmp_dir):
+    from ampora.operators.models import mart_energy_weather, stage_balance, stage_weather
+    from ampora.plans import registry as rg
+    from ampora.schemas import BALANCE_RAW, WEATHER_MONTHLY_RAW
+    from ampora.sinks.writers import conform
+    conform(fx.balance_flat(spark, SF), BALANCE_RAW).write.parquet(f"{tmp_dir}/b")
+    conform(rg._monthly(spark, SF), WEATHER_MONTHLY_RAW).write.parquet(f"{tmp_dir}/w")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                          "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        m = mart_energy_weather(stage_balance(spark.read.parquet(f"{tmp_dir}/b")),
+                                stage_weather(spark.read.parquet(f"{tmp_dir}/w")))
+        p = plan(m)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin" in p
+    weather_branch = p[p.index("Window [row_number() windowspecdefinition(region_slug", p.index("Scan")):]
+    assert weather_branch.count("Exchange hashpartitioning(") == 1
