@@ -112,3 +112,29 @@ def test_dedup_matches_model(spark, rows):
         if (k, m) not in best or rank > best[(k, m)][0]:
             best[(k, m)] = (rank, float(v))
     assert got == sorted((k, m, v) for (k, m), (_, v) in best.items())
+
+
+series_value = st.one_of(st.integers(0, 3), st.just("scalar"), st.none())  # length, scalar, missing
+
+
+@SETTINGS
+@given(st.integers(0, 3), st.lists(series_value, min_size=7, max_size=7))
+def test_weather_flatten_matches_model(spark, n_days, spec):
+    from ampora.constants import DAILY_SERIES
+    from ampora.operators.flatten import flatten_weather, weather_violations
+    daily = {"time": [f"2024-01-0{i + 1}" for i in range(n_days)]}
+    for s, v in zip(DAILY_SERIES, spec):
+        if v == "scalar":
+            daily[s] = 1.5
+        elif v is not None:
+            daily[s] = [1] * v
+    doc = json.dumps({"region_slug": "r", "payload": {"daily": daily}})
+    df = spark.createDataFrame([(doc,)], "doc string")
+    # model: no dates -> no rows and no checks; otherwise every series must be
+    # a list as long as the dates (a missing one counts as an empty list)
+    def bad(v):
+        return v == "scalar" or (0 if v is None else v) != n_days
+    invalid = n_days > 0 and any(bad(v) for v in spec)
+    rows = flatten_weather(df, strict=False).count()
+    assert rows == (0 if invalid else n_days)
+    assert (weather_violations(df).count() > 0) == invalid
