@@ -232,3 +232,15 @@ def test_t12_same_metric_in_two_groups_collapses(spark):
                                      "datetime string, ingestion_timestamp string, value double")
     s = stage_balance(conform(df, BALANCE_RAW)).collect()
     assert len(s) == 1 and s[0].group_id == "g2" and s[0].value == 2.0
+
+
+def test_argument_errors(spark):
+    cat = spark.createDataFrame([("a", 1, 1.0, 1.0, "tz")],
+                                "region_slug string, redata_geo_id int, latitude double, "
+                                "longitude double, timezone string")
+    with pytest.raises(ValueError, match="start year"):
+        cov.coverage_grid(cat, 2025, 2024)
+    with pytest.raises(ValueError, match="Unknown columns"):
+        dedup_latest(_raw(spark), ["nope"])
+    with pytest.raises(ValueError, match="Unknown columns"):
+        dedup_latest(_raw(spark), ["region_slug"], order_by="missing_ts")
