@@ -71,10 +71,13 @@ def balance_envelope(docs: DataFrame, fallback_ts: str | None = None,
     wrapped = is_object(vv, "$.payload")
 
     def pick(path, default):
-        return F.when(wrapped, json_field_or(vv, path, "string", F.lit(default))).otherwise(F.lit(default))
+        value = json_field_or(vv, path, "string", F.lit(default))
+        return F.when(wrapped, value).otherwise(F.lit(default))
 
-    blocks = F.when(wrapped, array_field(vv, "$.payload.included")).otherwise(array_field(vv, "$.included"))
-    inc_present = F.when(wrapped, is_present(vv, "$.payload.included")).otherwise(is_present(vv, "$.included"))
+    blocks = F.when(wrapped, array_field(vv, "$.payload.included")) \
+        .otherwise(array_field(vv, "$.included"))
+    inc_present = F.when(wrapped, is_present(vv, "$.payload.included")) \
+        .otherwise(is_present(vv, "$.included"))
     e = d.select(
         *docs.columns,
         pick("$.source", BALANCE_SOURCE).alias("source"),

@@ -113,7 +113,8 @@ def append_load_table(spark: SparkSession, df: DataFrame, table: str, schema: T.
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({cols})")
         current = spark.table(name)
-    aligned = rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast(current.schema[c].dataType).alias(c)
+    aligned = rows.select(*[F.col(c) if c in rows.columns
+                            else F.lit(None).cast(current.schema[c].dataType).alias(c)
                             for c in current.columns])
     obs = Observation("append_load_table")
     aligned.observe(obs, F.count(F.lit(1)).alias("rows")).write.insertInto(name)
