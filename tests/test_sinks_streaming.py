@@ -208,3 +208,13 @@ def test_rerun_keeps_no_duplicates(spark, tmp_dir):
             ["region_slug", "metric_id", "datetime"]).count()
         if mode == "rewrite":  # the append-only raw table does hold both loads
             assert wr.read_table(spark, f"{root}/raw/balance").count() == 2 * again.stg_balance.count()
+
+
+def test_scan_newest_first(spark, tmp_dir):
+    import time as _t
+    root = f"{tmp_dir}/landing"
+    wr.write_landing(_docs(spark, [("a", balance_doc(V))]), root)
+    _t.sleep(1.1)
+    wr.write_landing(_docs(spark, [("b", balance_doc(V))]), root)
+    order = [r.region_slug for r in scan_documents(spark, root, newest_first=True).collect()]
+    assert order == ["b", "a"]
