@@ -150,3 +150,12 @@ def test_split_error_payloads(spark):
     from ampora.sources.documents import split_error_payloads
     good, bad = split_error_payloads(docs(spark, {"errors": []}, {"included": []}, "x"))
     assert sorted(r.id for r in good.collect()) == [1, 2] and [r.id for r in bad.collect()] == [0]
+
+
+def test_non_object_attributes_are_skipped(spark):
+    v = [{"datetime": "2025-01-01T00:00:00.000+01:00", "value": 1.0}]
+    d = balance_doc(v)
+    d["payload"]["included"].append({"type": "X", "id": "x", "attributes": [1, 2]})
+    d["payload"]["included"][0]["attributes"]["content"].append({"id": "r", "attributes": "text"})
+    rows = flatten_balance(docs(spark, d), TS).collect()
+    assert [(r.group_id, r.metric_id) for r in rows] == [("dem", "m1")]
