@@ -122,7 +122,8 @@ def append_load_table(spark: SparkSession, df: DataFrame, table: str, schema: T.
 
 
 def upsert_latest(spark: SparkSession, batch: DataFrame, path: str, keys: list[str],
-                  partition_col: str = "year_month", order_by: str = "ingestion_timestamp") -> list:
+                  partition_col: str = "year_month", order_by: str = "ingestion_timestamp",
+                  max_partitions: int = 100_000) -> list:
     """Append a load and keep the newest row per key, rewriting only the
     partitions the load touches.
 
@@ -135,14 +136,19 @@ def upsert_latest(spark: SparkSession, batch: DataFrame, path: str, keys: list[s
     root; a second job copies the staging folder over those partitions with
     dynamic partition overwrite (one job cannot read and overwrite the same
     partitions).  Untouched partitions are never read or rewritten.
-    Returns the touched partition values.
+    At most ``max_partitions`` values are brought to the driver; a load that
+    touches more rewrites the whole table the same way (exact, just wider).
+    Returns the touched partition values (``None`` after a whole-table pass).
     """
     from ampora.session import scratch_path
-    touched = sorted(r[0] for r in batch.select(partition_col).distinct().collect())
-    if not touched:
+    probe = batch.select(partition_col).distinct().limit(max_partitions + 1).collect()
+    if not probe:
         return []
+    touched = None if len(probe) > max_partitions else sorted(r[0] for r in probe)
     try:
-        old = read_table(spark, path).where(F.col(partition_col).isin(touched))
+        old = read_table(spark, path)
+        if touched is not None:
+            old = old.where(F.col(partition_col).isin(touched))
         both = old.unionByName(batch, allowMissingColumns=True)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):

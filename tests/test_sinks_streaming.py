@@ -218,3 +218,16 @@ def test_scan_newest_first(spark, tmp_dir):
     wr.write_landing(_docs(spark, [("b", balance_doc(V))]), root)
     order = [r.region_slug for r in scan_documents(spark, root, newest_first=True).collect()]
     assert order == ["b", "a"]
+
+
+def test_upsert_beyond_partition_bound_is_still_exact(spark, tmp_dir):
+    import datetime as dt
+    schema = "k string, year_month string, ingestion_timestamp timestamp, value double"
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
+    path = f"{tmp_dir}/raw"
+    first = spark.createDataFrame([("a", "2024-01", t1, 1.0), ("b", "2024-02", t1, 2.0)], schema)
+    assert wr.upsert_latest(spark, first, path, ["k"], max_partitions=1) is None
+    again = spark.createDataFrame([("a", "2024-01", t2, 10.0), ("b", "2024-02", t1, 3.0)], schema)
+    wr.upsert_latest(spark, again, path, ["k"], max_partitions=1)
+    got = sorted((r.k, r.value) for r in spark.read.parquet(path).collect())
+    assert got == [("a", 10.0), ("b", 3.0)]
