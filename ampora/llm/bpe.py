@@ -22,7 +22,7 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 CACHE_ENTRIES = 800_000      # pieces a worker remembers
 CACHE_PIECE = 96             # longer pieces are encoded anew each time
+LEARN_ROWS = 500             # texts whose new pieces are encoded together
 PAIR_ENTRIES = 1_500_000
 
 
@@ -132,12 +133,19 @@ class Tokenizer:
         #: Only tokens that their own merges produce can be in an encoding.
         self.words = [i for i in sorted(self.bytes_of) if i not in special
                       and (i in self.parts or len(self.bytes_of[i]) == 1)]
-        self.automaton = SuffixAutomaton([self.bytes_of[i] for i in self.words])
         self.ending: dict[int, tuple[tuple[int, int], ...]] = {}
         self.fits: dict[tuple[int, int], bool] = {}
         self.spaced = _Pieces(self, " ")
         self.raw = _Pieces(self, "")
 
+    @cached_property
+    def automaton(self) -> SuffixAutomaton:
+        return SuffixAutomaton([self.bytes_of[i] for i in self.words])
+
+    @cached_property
+    def tables(self) -> _Tables:
+        return _Tables(self)
+
     def compatible(self, left: int, right: int) -> bool:
         """Whether no merge crosses the border of two adjacent tokens.
 
@@ -246,17 +254,160 @@ class Tokenizer:
             return b""
         if SPACE_RUN.search(text):
             return b"".join(map(self.raw.__getitem__, UNIT.findall(text)))
-        units = text.replace("\n", " \n").split(" ")
+        units = blank_units(text)
         return self.raw[units[0]] + b"".join(map(self.spaced.__getitem__, units[1:]))
 
+    def learn(self, texts: list[str]) -> None:
+        """Encode the units of some texts that aren't remembered yet, the Latin words all at once."""
+        units: set[str] = set()
+        for text in texts:
+            if not SPACE_RUN.search(text):
+                units.update(blank_units(text))
+        units.difference_update(self.spaced)
+        if len(self.spaced) + len(units) > CACHE_ENTRIES:
+            self.spaced.clear()
+        line_end = self.raw["\n"]
+        rows, words = [], []
+        for unit in units:
+            body = unit[1:] if unit[:1] == "\n" else unit
+            word = body.rstrip(".,")
+            if word.isalpha() and len(word) <= LONGEST // 2 and max(word) < LATIN_END:
+                rows.append((unit, body[len(word):]))
+                words.append((word if body is not unit else " " + word).encode())
+        raw, spaced = self.raw, self.spaced
+        for (unit, tail), packed in zip(rows, self.tables.encode(words), strict=True):
+            if tail:
+                packed += raw[tail]
+            spaced[unit] = line_end + packed if unit[:1] == "\n" else packed
+
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
 LATIN_END = "\u0250"   # letters below it are letters in every version of Unicode
+LONGEST = 64           # bytes of a word that is encoded together with others
 SPACE_RUN, UNIT = re.compile(r"\s\s"), re.compile(r"\s*\S+|\s+")
 
 
+def blank_units(text: str) -> list[str]:
+    """The first unit, then units with a blank before them, but for those that start with a line end."""
+    return text.replace("\n", " \n").split(" ")
+
+
+class _Tables:
+    """The same prefix tables for many short Latin words at once, as arrays.
+
+    Position by position, all words take their automaton step, then try the tokens
+    that end there, longest first, until each has the one that fits.
+    """
+
+    def __init__(self, owner: Tokenizer) -> None:
+        auto = owner.automaton
+        self.owner, n = owner, len(auto.step)
+        used = [0x20, *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0xCA)]
+        self.column = np.full(256, -1, np.int16)
+        self.column[used] = np.arange(len(used))
+        self.next = np.full((n, len(used)), -1, np.int32)
+        for s, step in enumerate(auto.step):
+            for byte, to in step.items():
+                if self.column[byte] >= 0:
+                    self.next[s, self.column[byte]] = to
+        self.link = np.array(auto.link, np.int32)
+        self.depth = np.array(auto.depth, np.int16)
+        ending = [owner.ending_at(s) for s in range(n)]
+        count = np.array([len(x) for x in ending])
+        self.first = np.concatenate([[0], np.cumsum(count)])
+        flat = [x for y in ending for x in y]
+        self.size = np.array([x[0] for x in flat], np.int64)
+        self.token = np.array([x[1] for x in flat], np.int64)
+        self.keys = np.full(1 << 20, -1, np.int64)      # known pairs: open addressing
+        self.fits = np.zeros(1 << 20, bool)
+        self.known = 0
+
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of each word."""
+        if not words:
+            return []
+        sizes = np.array([len(w) for w in words])
+        order = np.argsort(-sizes, kind="stable")
+        n, sizes = len(words), sizes[order]
+        width = int(sizes[0])
+        text = np.frombuffer(b"".join(words[i].ljust(width) for i in order.tolist()), np.uint8).reshape(n, width)
+        column = self.column[text]
+        last, length = np.zeros((width + 1, n), np.int64), np.zeros((width + 1, n), np.int64)
+        state, have = np.zeros(n, np.int32), np.zeros(n, np.int16)
+        for i in range(1, width + 1):
+            m = int(np.searchsorted(-sizes, -i, "right"))      # words of i bytes or more
+            to = self.next[state[:m], column[:m, i - 1]]
+            stuck = np.flatnonzero(to < 0)
+            while len(stuck):
+                state[stuck] = self.link[state[stuck]]
+                have[stuck] = self.depth[state[stuck]]
+                to[stuck] = self.next[state[stuck], column[stuck, i - 1]]
+                stuck = stuck[to[stuck] < 0]
+            state[:m] = to
+            have[:m] += 1
+            left, nth = np.arange(m), self.first[to]
+            while len(left):
+                size, token = self.size[nth[left]], self.token[nth[left]]
+                right = size <= have[left]
+                inner = np.flatnonzero(right & (size < i))
+                right[inner] = self._compatible(last[i - size[inner], left[inner]], token[inner])
+                done = left[right]
+                last[i, done], length[i, done] = token[right], size[right]
+                left = left[~right]
+                nth[left] += 1
+        out, count, at, rows = np.zeros((width, n), np.uint32), np.zeros(n, np.int64), sizes.copy(), np.arange(n)
+        while len(rows):
+            count[rows] += 1
+            out[width - count[rows], rows] = last[at[rows], rows]
+            at[rows] -= length[at[rows], rows]
+            rows = rows[at[rows] > 0]
+        flat = np.ascontiguousarray(out.T).tobytes()
+        result: list[bytes] = [b""] * n
+        for k, (i, c) in enumerate(zip(order.tolist(), count.tolist(), strict=True)):
+            result[i] = flat[4 * (width * (k + 1) - c):4 * width * (k + 1)]
+        return result
+
+    def _compatible(self, before: np.ndarray, token: np.ndarray) -> np.ndarray:
+        key = before << 20 | token
+        slot = self._slot(key)
+        new = np.flatnonzero(self.keys[slot] != key)
+        if len(new):
+            found = np.unique(key[new])
+            compatible = self.owner.compatible
+            self._add(found, np.array([compatible(k >> 20, k & 0xFFFFF) for k in found.tolist()]))
+            slot = self._slot(key)
+        return self.fits[slot]
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        """Where each key is, or the free place where it belongs."""
+        top = len(self.keys) - 1
+        slot = (key * 0x9E3779B1 >> 9) & top
+        off = np.flatnonzero((self.keys[slot] != key) & (self.keys[slot] >= 0))
+        while len(off):
+            slot[off] = (slot[off] + 1) & top
+            off = off[(self.keys[slot[off]] != key[off]) & (self.keys[slot[off]] >= 0)]
+        return slot
+
+    def _add(self, key: np.ndarray, fits: np.ndarray) -> None:
+        """Enter pairs that aren't known yet; the table doubles before it is half full."""
+        if (self.known + len(key)) * 2 > len(self.keys):
+            held = self.keys >= 0
+            key, fits = np.concatenate([key, self.keys[held]]), np.concatenate([fits, self.fits[held]])
+            grown = len(self.keys)
+            while len(key) * 2 > grown:
+                grown *= 2
+            self.keys, self.fits, self.known = np.full(grown, -1, np.int64), np.zeros(grown, bool), 0
+        self.known += len(key)
+        while len(key):
+            slot, one = np.unique(self._slot(key), return_index=True)
+            self.keys[slot], self.fits[slot] = key[one], fits[one]
+            rest = np.ones(len(key), bool)
+            rest[one] = False
+            key, fits = key[rest], fits[rest]
+
+
 class _Pieces(dict):
     """Packed ids by unit; ``lead`` stands before each unit, unless it starts with a line end."""
 
@@ -290,28 +441,30 @@ def tokenizer(path: str) -> Tokenizer:
 def token_ids(text: Column, tokenizer_path: str) -> Column:
     """Ids of a text column as ``array<int>``; null texts give an empty array."""
 
-    @F.arrow_udf("array<int>")
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tok = tokenizer(tokenizer_path)
         for batch in batches:
-            ids = [tok.encode(t or "") for t in batch.to_pylist()]
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-            values = np.concatenate(ids) if ids else np.empty(0, np.uint32)
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(values.astype(np.int32)))
+            parts = []
+            for at in range(0, len(batch), LEARN_ROWS):
+                texts = [t or "" for t in batch.slice(at, LEARN_ROWS).to_pylist()]
+                tok.learn(texts)
+                parts += [tok.encode(t).view(np.int32) for t in texts]
+            ends = np.cumsum([0, *map(len, parts)], dtype=np.int32)
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *parts])))
 
-    return encode(text)
+    return F.arrow_udf(ids, "array<int>")(text)
 
 
 def decoded_text(ids: Column, tokenizer_path: str) -> Column:
     """Text of an id column (``array<int>``, special tokens included); null ids give ''."""
 
-    @F.arrow_udf("string")
-    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tok = tokenizer(tokenizer_path)
         for batch in batches:
-            yield pa.array([tok.decode(x or ()) for x in batch.to_pylist()], pa.string())
+            yield pa.array((tok.decode(x.values.to_numpy(zero_copy_only=False).tolist() if x.is_valid else ())
+                            for x in batch), pa.string(), size=len(batch))
 
-    return decode(ids)
+    return F.arrow_udf(texts, "string")(ids)
 
 
 def _free(df: DataFrame, *names: str) -> None:
