@@ -45,3 +45,10 @@ def op7_bag_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_dedup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contamination
+
+    return contamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -106,7 +106,7 @@ def shingles(words: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray,
         for d in np.flatnonzero(short):
             h = U(int(count[d]))
             for w in words[bounds[d]:bounds[d + 1]]:
-                h = mix(np.array([w + h], U) * U(_BASE))[0]
+                h = mix((np.array([w]) + np.array([h])) * U(_BASE))[0]
             own.append(h)
         docs = np.concatenate([docs, np.flatnonzero(short)])
         hashes = np.concatenate([hashes, np.array(own, U)])
