@@ -21,7 +21,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cached_property, lru_cache
 from itertools import chain
 
@@ -30,10 +30,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CACHE_ENTRIES = 800_000      # pieces a worker remembers
+CACHE_ENTRIES = 200_000      # pieces a worker remembers, in each of two generations
 CACHE_PIECE = 96             # longer pieces are encoded anew each time
 LEARN_ROWS = 500             # texts whose new pieces are encoded together
-PAIR_ENTRIES = 1_500_000
+PAIR_ENTRIES = 200_000       # pairs remembered for pieces encoded singly
+PAIR_SLOTS = 1 << 22         # and, at most, for pieces encoded together
 
 
 class SuffixAutomaton:
@@ -100,15 +101,13 @@ class Tokenizer:
     """A byte-level BPE tokenizer file, encoded by prefix tables."""
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer as Library
-
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, pre = spec["model"], spec["pre_tokenizer"] or {}
         if (model["type"] != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space")
                 or spec["normalizer"] or model.get("dropout") or model.get("ignore_merges")):
             raise ValueError(f"{path}: not a plain byte-level BPE file")
-        self.cut = Library.from_file(path).pre_tokenizer.pre_tokenize_str
+        self.path = path
         self.byte_of = byte_alphabet()
         as_bytes = lambda s: bytes(self.byte_of[c] for c in s)
         self.bytes_of: dict[int, bytes] = {i: as_bytes(s) for s, i in model["vocab"].items()}
@@ -138,6 +137,13 @@ class Tokenizer:
         self.spaced = _Pieces(self, " ")
         self.raw = _Pieces(self, "")
 
+    @cached_property
+    def cut(self) -> Callable[[str], list[tuple[str, tuple[int, int]]]]:
+        """The file's own pre-tokenizer."""
+        from tokenizers import Tokenizer as Library
+
+        return Library.from_file(self.path).pre_tokenizer.pre_tokenize_str
+
     @cached_property
     def automaton(self) -> SuffixAutomaton:
         return SuffixAutomaton([self.bytes_of[i] for i in self.words])
@@ -154,7 +160,6 @@ class Tokenizer:
         before the touching pieces were made part of larger ones.  Of equal times the
         one further left comes first.
         """
-        key = (left, right)
         parts, merged, never = self.parts, self.merged, 1 << 60
         gone_left = gone_right = never   # when the touching piece vanishes in a larger one
         fits = True
@@ -173,14 +178,17 @@ class Tokenizer:
                 gone_left, left = a[0], a[2]
             else:
                 gone_right, right = b[0], b[1]
+        return fits
+
+    def _remembered(self, left: int, right: int) -> bool:
         if len(self.fits) >= PAIR_ENTRIES:
             self.fits.clear()
-        self.fits[key] = fits
-        return fits
+        known = self.fits[left, right] = self.compatible(left, right)
+        return known
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """Ids of one piece: fill the table of last tokens, then walk it backwards."""
-        auto, fits, compatible = self.automaton, self.fits, self.compatible
+        auto, fits, compatible = self.automaton, self.fits, self._remembered
         step, link, depth, ending = auto.step, auto.link, auto.depth, self.ending
         n = len(piece)
         last, length = [0] * (n + 1), [0] * (n + 1)
@@ -264,8 +272,10 @@ class Tokenizer:
             if not SPACE_RUN.search(text):
                 units.update(blank_units(text))
         units.difference_update(self.spaced)
-        if len(self.spaced) + len(units) > CACHE_ENTRIES:
-            self.spaced.clear()
+        known = self.spaced.older
+        for unit in units & known.keys():
+            self.spaced.keep(unit, known[unit])
+        units.difference_update(known)
         line_end = self.raw["\n"]
         rows, words = [], []
         for unit in units:
@@ -278,7 +288,7 @@ class Tokenizer:
         for (unit, tail), packed in zip(rows, self.tables.encode(words), strict=True):
             if tail:
                 packed += raw[tail]
-            spaced[unit] = line_end + packed if unit[:1] == "\n" else packed
+            spaced.keep(unit, line_end + packed if unit[:1] == "\n" else packed)
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
@@ -393,7 +403,7 @@ class _Tables:
     def _add(self, key: np.ndarray, fits: np.ndarray) -> None:
         """Enter pairs that aren't known yet; the table doubles before it is half full."""
         if (self.known + len(key)) * 2 > len(self.keys):
-            held = self.keys >= 0
+            held = self.keys >= 0 if len(self.keys) < PAIR_SLOTS else np.zeros(len(self.keys), bool)
             key, fits = np.concatenate([key, self.keys[held]]), np.concatenate([fits, self.fits[held]])
             grown = len(self.keys)
             while len(key) * 2 > grown:
@@ -409,20 +419,30 @@ class _Tables:
 
 
 class _Pieces(dict):
-    """Packed ids by unit; ``lead`` stands before each unit, unless it starts with a line end."""
+    """Packed ids by unit; ``lead`` stands before each unit, unless it starts with a line end.
+
+    When full, what it holds becomes the older generation, from which units in use come back.
+    """
 
     def __init__(self, owner: Tokenizer, lead: str) -> None:
         self.owner, self.lead = owner, lead
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, unit: str) -> bytes:
-        whole = unit if self.lead and unit[:1] == "\n" else self.lead + unit
-        packed = self.owner.encode_unit(whole).tobytes() if whole else b""
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
+        packed = self.older.get(unit)
+        if packed is None:
+            whole = unit if self.lead and unit[:1] == "\n" else self.lead + unit
+            packed = self.owner.encode_unit(whole).tobytes() if whole else b""
         if len(unit) <= CACHE_PIECE:
-            self[unit] = packed
+            self.keep(unit, packed)
         return packed
 
+    def keep(self, unit: str, packed: bytes) -> None:
+        if len(self) >= CACHE_ENTRIES:
+            self.older = dict(self)
+            self.clear()
+        self[unit] = packed
+
 
 def byte_alphabet() -> dict[str, int]:
     """The printable characters that stand for the 256 bytes in byte-level files: printable
@@ -444,13 +464,12 @@ def token_ids(text: Column, tokenizer_path: str) -> Column:
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tok = tokenizer(tokenizer_path)
         for batch in batches:
-            parts = []
             for at in range(0, len(batch), LEARN_ROWS):
                 texts = [t or "" for t in batch.slice(at, LEARN_ROWS).to_pylist()]
                 tok.learn(texts)
-                parts += [tok.encode(t).view(np.int32) for t in texts]
-            ends = np.cumsum([0, *map(len, parts)], dtype=np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *parts])))
+                parts = [tok.encode(t).view(np.int32) for t in texts]
+                ends = np.cumsum([0, *map(len, parts)], dtype=np.int32)
+                yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *parts])))
 
     return F.arrow_udf(ids, "array<int>")(text)
 

@@ -52,3 +52,17 @@ def op6_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
     from .decontaminate import contamination
 
     return contamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_positive_unlabelled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import quality_scores
+
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import toxicity_scores
+
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
