@@ -137,12 +137,17 @@ class Windows:
 _ready: dict[str, Windows] = {}
 
 
+def _windows(key: str, items) -> Windows:  # noqa: ANN001 - a Spark broadcast
+    """The windows of a block, made once in a worker."""
+    if key not in _ready:
+        _ready.clear()
+        _ready[key] = Windows(items.value)
+    return _ready[key]
+
+
 def _hits(text: Column, key: str, items) -> Column:  # noqa: ANN001 - a Spark broadcast
     def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        if key not in _ready:
-            _ready.clear()
-            _ready[key] = Windows(items.value)
-        windows = _ready[key]
+        windows = _windows(key, items)
         kind = pa.struct([("n_words", pa.int64()), ("items", pa.list_(pa.string())), ("spans", pa.list_(
             pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
         kind = pa.struct([kind.field("n_words"), kind.field("spans"), kind.field("items")])

@@ -66,3 +66,10 @@ def op10_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import toxicity_scores
 
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_context_mixing_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_files import token_file_digests
+
+    return token_file_digests(table(spark, sf_dir, "documents"), tokenizer_path())
