@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CACHE_ENTRIES = 200_000      # pieces a worker remembers, in each of two generations
+CACHE_ENTRIES = 150_000      # pieces a worker remembers, in each of two generations
 CACHE_PIECE = 96             # longer pieces are encoded anew each time
 LEARN_ROWS = 500             # texts whose new pieces are encoded together
 PAIR_ENTRIES = 200_000       # pairs remembered for pieces encoded singly
@@ -104,10 +104,9 @@ class Tokenizer:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, pre = spec["model"], spec["pre_tokenizer"] or {}
-        if (model["type"] != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space")
+        if (model["type"] != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True)
                 or spec["normalizer"] or model.get("dropout") or model.get("ignore_merges")):
             raise ValueError(f"{path}: not a plain byte-level BPE file")
-        self.path = path
         self.byte_of = byte_alphabet()
         as_bytes = lambda s: bytes(self.byte_of[c] for c in s)
         self.bytes_of: dict[int, bytes] = {i: as_bytes(s) for s, i in model["vocab"].items()}
@@ -139,10 +138,10 @@ class Tokenizer:
 
     @cached_property
     def cut(self) -> Callable[[str], list[tuple[str, tuple[int, int]]]]:
-        """The file's own pre-tokenizer."""
-        from tokenizers import Tokenizer as Library
+        """The library's byte-level pre-tokenizer."""
+        from tokenizers.pre_tokenizers import ByteLevel
 
-        return Library.from_file(self.path).pre_tokenizer.pre_tokenize_str
+        return ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
 
     @cached_property
     def automaton(self) -> SuffixAutomaton:
@@ -290,6 +289,12 @@ class Tokenizer:
                 packed += raw[tail]
             spaced.keep(unit, line_end + packed if unit[:1] == "\n" else packed)
 
+    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of some texts as signed 32-bit integers; null texts have none."""
+        known = [t or "" for t in texts]
+        self.learn(known)
+        return [self.encode(t).view(np.int32) for t in known]
+
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
@@ -325,6 +330,7 @@ class _Tables:
         self.link = np.array(auto.link, np.int32)
         self.depth = np.array(auto.depth, np.int16)
         ending = [owner.ending_at(s) for s in range(n)]
+        owner.ending.clear()        # single pieces ask for few states
         count = np.array([len(x) for x in ending])
         self.first = np.concatenate([[0], np.cumsum(count)])
         flat = [x for y in ending for x in y]
@@ -465,15 +471,16 @@ def token_ids(text: Column, tokenizer_path: str) -> Column:
         tok = tokenizer(tokenizer_path)
         for batch in batches:
             for at in range(0, len(batch), LEARN_ROWS):
-                texts = [t or "" for t in batch.slice(at, LEARN_ROWS).to_pylist()]
-                tok.learn(texts)
-                parts = [tok.encode(t).view(np.int32) for t in texts]
-                ends = np.cumsum([0, *map(len, parts)], dtype=np.int32)
-                yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *parts])))
+                yield _id_lists(tok.encode_all(batch.slice(at, LEARN_ROWS).to_pylist()))
 
     return F.arrow_udf(ids, "array<int>")(text)
 
 
+def _id_lists(ids: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *ids])))
+
+
 def decoded_text(ids: Column, tokenizer_path: str) -> Column:
     """Text of an id column (``array<int>``, special tokens included); null ids give ''."""
 
@@ -504,9 +511,27 @@ def decode(df: DataFrame, tokenizer_path: str, ids_col: str = "token_ids", text_
     return df.withColumn(text_col, decoded_text(F.col(ids_col), tokenizer_path))
 
 
+def encode_and_decode(df: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col: str = "token_ids",
+                      decoded_col: str = "decoded") -> DataFrame:
+    """``encode`` and then ``decode``, in one pass of the Python workers."""
+    _free(df, ids_col, decoded_col)
+
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tok = tokenizer(tokenizer_path)
+        for batch in batches:
+            for at in range(0, len(batch), LEARN_ROWS):
+                ids = _id_lists(tok.encode_all(batch.slice(at, LEARN_ROWS).to_pylist()))
+                ends, values = ids.offsets.to_pylist(), ids.values.to_numpy()
+                texts = pa.array([tok.decode(values[a:b].tolist()) for a, b in zip(ends, ends[1:])], pa.string())
+                yield pa.StructArray.from_arrays([ids, texts], ["ids", "text"])
+
+    pair = F.arrow_udf(both, "struct<ids:array<int>,text:string>")(F.col(text_col))
+    return df.withColumn(ids_col, pair).withColumn(decoded_col, F.col(ids_col)["text"]).withColumn(ids_col, F.col(ids_col)["ids"])
+
+
 def bpe_digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """Encode then decode every document; return counts and digests of ids and decoded text."""
-    both = decode(encode(docs.select("doc_id", "text"), tokenizer_path), tokenizer_path)
+    both = encode_and_decode(docs.select("doc_id", "text"), tokenizer_path)
     return both.select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),

@@ -7,9 +7,10 @@ bands of ``REGISTERS / BANDS`` registers propose pairs; every pair that counts a
 has an exact similarity of at least ``THRESHOLD``.  A class is a connected component of links.
 
 A bucket is never expanded into its pairs.  Its members are first compared with one
-leader; a bucket whose members then are in one class is done.  In the others, members
-of different classes are compared by their signatures, in blocks of bounded size.  So all
-pairs that share a bucket are decided, whatever the bucket's size.
+leader, the one that shares the most buckets with others; a bucket whose members then are in
+one class is done.  In the others, members of different classes are compared by their
+signatures, in blocks of bounded size.  So all pairs that share a bucket are decided,
+whatever the bucket's size.  Pairs are verified in groups that share most of their texts.
 
 Rows: null and empty texts, and texts without words, have no shingles and form classes of
 their own.  Equal texts are one node, so groups of copies cost no pairs.  Rows with a null
@@ -35,8 +36,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 30, 5
 REGISTERS = BANDS * ROWS     # at similarity 0.8 a pair is missed with probability 7e-6
-SIGNS = 0.55                 # share of equal registers below which a pair isn't verified (over 6 deviations)
-BLOCK = 256                  # members of a bucket compared at once
+SIGNS = 0.65                 # share of equal registers below which a pair isn't verified (over 4.5 deviations)
+BLOCK = 256                  # members of a bucket, or bags, that are compared at once
 
 
 def bag_minhash(docs: np.ndarray, hashes: np.ndarray, n_docs: int, m: int = REGISTERS) -> np.ndarray:
@@ -138,19 +139,21 @@ def _bag_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array(out, pa.binary())
 
 
-def _alike_batches(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+def _alike(x: np.ndarray, y: np.ndarray) -> bool:
     """Whether two bags overlap by ``THRESHOLD`` or more."""
-    for left, right in batches:
-        out = []
-        for a, b in zip(left, right, strict=True):
-            x, y = (np.frombuffer(v.as_buffer(), U) for v in (a, b))
-            most = min(len(x), len(y))
-            if most < THRESHOLD * max(len(x), len(y)):
-                out.append(False)
-                continue
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(both >= THRESHOLD * (len(x) + len(y) - both) - 1e-9)
-        yield pa.array(out, pa.bool_())
+    if min(len(x), len(y)) < THRESHOLD * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= THRESHOLD * (len(x) + len(y) - both) - 1e-9
+
+
+def _links(pairs: pd.DataFrame, bags: pd.DataFrame) -> pd.DataFrame:
+    """The pairs of one group that are alike; an id with several bags is linked by any of them."""
+    held: dict[int, list[np.ndarray]] = {}
+    for i, bag in zip(bags["id"], bags["bag"], strict=True):
+        held.setdefault(i, []).append(np.frombuffer(bag, U))
+    near = [any(_alike(x, y) for x in held[a] for y in held[b]) for a, b in zip(pairs["a"], pairs["b"], strict=True)]
+    return pairs.loc[near, ["a", "b"]]
 
 
 def _signature(text: Column) -> Column:
@@ -161,10 +164,6 @@ def _bag(text: Column) -> Column:
     return F.arrow_udf(_bag_batches, "binary")(text)
 
 
-def _alike(left: Column, right: Column) -> Column:
-    return F.arrow_udf(_alike_batches, "boolean")(left, right)
-
-
 def _kept(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: a table in the shared folder."""
     path = scratch_path(spark, name)
@@ -172,15 +171,22 @@ def _kept(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose bags are alike."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = (docs.select(F.col("doc_id").alias("id"), "text")
-             .join(needed, "id", "left_semi"))
-    bags = _kept(spark, texts.select("id", _bag(F.col("text")).alias("bag")), "near-bags")
-    near = (pairs.join(bags.select(F.col("id").alias("b"), F.col("bag").alias("bag_b")), "b")
-            .join(bags.select(F.col("id").alias("a"), F.col("bag").alias("bag_a")), "a"))
-    return near.where(_alike(F.col("bag_a"), F.col("bag_b"))).select("a", "b")
+def _verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame, bags: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """(the pairs that are alike, bags read for them).
+
+    pairs: a, b and x, y, the group in which a pair is verified.  A text's bag goes to each of
+    its groups once, not to each of its pairs.
+    """
+    used = _kept(spark, pairs.select("x", "y", F.explode(F.array("a", "b")).alias("id")).distinct(), "near-used")
+    needed = used.select("id").distinct()
+    if bags is not None:
+        needed = needed.join(bags.select("id").distinct(), "id", "left_anti")
+    texts = docs.select(F.col("doc_id").alias("id"), "text").join(needed, "id", "left_semi")
+    new = _kept(spark, texts.select("id", _bag(F.col("text")).alias("bag")), "near-bags")
+    bags = new if bags is None else bags.union(new)
+    found = (pairs.groupBy("x", "y").cogroup(used.join(bags, "id").groupBy("x", "y"))
+             .applyInPandas(_links, "a bigint, b bigint"))
+    return _kept(spark, found, "near-links"), bags
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
@@ -217,7 +223,7 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 def _cross(members: DataFrame) -> DataFrame:
     """Pairs of members of one bucket, but of different classes, whose signatures agree enough.
 
-    members: bucket, id, root, n_words, signs.  Of each bucket, the members of its largest class
+    members: bucket, band, id, root, n_words, signs.  Of each bucket, the members of its largest class
     are compared with the rest, and the rest among themselves, in blocks of about ``BLOCK``.
     """
     sizes = members.groupBy("bucket", "root").count()
@@ -238,27 +244,37 @@ def _cross(members: DataFrame) -> DataFrame:
         (-1 - i).alias("i"), F.col("block").alias("j")))
     with_rest = F.transform(F.sequence(F.lit(0), F.col("rest_blocks") - 1), lambda j: F.struct(
         (-1 - F.col("block")).alias("i"), j.alias("j")))
-    dealt = blocks.select("bucket", "id", "root", "n_words", "signs", "is_main", F.explode(
-        F.when(F.col("is_main"), with_rest).otherwise(F.concat(to_rest, to_main))).alias("task"))
-
-    def near(part: pd.DataFrame) -> pd.DataFrame:
-        ids, roots, n = part["id"].to_numpy(), part["root"].to_numpy(), part["n_words"].to_numpy()
-        signs = np.stack([np.frombuffer(x, np.uint16) for x in part["signs"]])
-        left = np.flatnonzero(part["is_main"]) if part["is_main"].any() else np.arange(len(ids))
-        right = np.flatnonzero(~part["is_main"])
-        a, b = [], []
-        for i in left:
-            other = right[(roots[right] != roots[i])]
-            # of two texts of n and m words, a similarity of THRESHOLD needs n - 4 >= THRESHOLD * (m - 4)
-            fits = np.minimum(n[other], n[i]) >= THRESHOLD * np.maximum(n[other], n[i]) - SHINGLE
-            other = other[fits]
-            other = other[(signs[other] == signs[i]).mean(axis=1) >= SIGNS]
-            a += [ids[i]] * len(other)
-            b += list(ids[other])
-        x, y = np.array(a, np.int64), np.array(b, np.int64)
-        return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)}).drop_duplicates()
-
-    return dealt.groupBy("bucket", "task").applyInPandas(near, "a bigint, b bigint").distinct()
+    dealt = blocks.select(
+        "bucket", "band", "id", "root", "n_words", "signs",
+        F.when(F.col("is_main"), -1 - F.col("block")).otherwise(F.col("block")).alias("place"),
+        F.explode(F.when(F.col("is_main"), with_rest).otherwise(F.concat(to_rest, to_main))).alias("task"))
+    return dealt.groupBy("bucket", "task").applyInPandas(_near, "a bigint, b bigint")
+
+
+def _near(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of two blocks, or of one, that are near by their signatures.
+
+    A pair is given by the first band that it shares only.
+    """
+    ids, roots, n, place = (part[c].to_numpy() for c in ("id", "root", "n_words", "place"))
+    signs = np.stack([np.frombuffer(x, np.uint16) for x in part["signs"]])
+    band, task = int(part["band"].iloc[0]), key[1]
+    left, right = np.flatnonzero(place == task["i"]), np.flatnonzero(place == task["j"])
+    found = []
+    for at in range(0, len(left), 32):
+        some = left[at:at + 32]
+        # of two texts of n and m words, a similarity of THRESHOLD needs n - 4 >= THRESHOLD * (m - 4)
+        less, more = np.minimum.outer(n[some], n[right]), np.maximum.outer(n[some], n[right])
+        fits = (roots[some][:, None] != roots[right][None, :]) & (less >= THRESHOLD * more - SHINGLE)
+        i, j = np.nonzero(fits)
+        for lo in range(0, len(i), 1 << 14):
+            a, b = some[i[lo:lo + (1 << 14)]], right[j[lo:lo + (1 << 14)]]
+            same = signs[a] == signs[b]
+            ok = same.mean(axis=1) >= SIGNS
+            ok[ok] = same[ok].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band
+            found.append(np.stack([ids[a[ok]], ids[b[ok]]]))
+    x, y = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
+    return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)}).drop_duplicates()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -276,22 +292,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = _kept(spark, signed.join(same, "content", "left").select(
         "doc_id", F.coalesce("first", "doc_id").alias("id"), "n_words", "bands", "signs"), "near-nodes")
     own = nodes.where("doc_id = id AND n_words > 0")
-    in_bucket = own.select("id", F.explode("bands").alias("bucket"))
-    leaders = in_bucket.groupBy("bucket").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    shared = _kept(spark, in_bucket.join(leaders.select("bucket", "leader"), "bucket"), "near-shared")
-    stars = _kept(spark, shared.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b"))
-                  .distinct(), "near-stars")
-    links = _kept(spark, _verified(spark, stars, known), "near-links")
+    in_bucket = own.select("id", F.posexplode("bands").alias("band", "bucket"))
+    sizes = in_bucket.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    shared = _kept(spark, in_bucket.join(sizes, "bucket"), "near-shared")
+    central = shared.groupBy("id").agg(F.sum("n").alias("score"))
+    ranked = shared.join(central, "id").groupBy("bucket").agg(F.max(F.struct("score", "id"))["id"].alias("leader"))
+    stars = _kept(spark, shared.join(ranked, "bucket").where("id <> leader").select(
+        F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), "near-stars")
+    rays = stars.groupBy(F.col("a").alias("x")).agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    grouped = stars.join(rays, F.col("a") == F.col("x")).select(
+        "a", "b", "x", F.pmod(F.xxhash64("b"), "parts").alias("y"))
+    links, bags = _verified(spark, grouped, known, None)
     roots = components(spark, links)
 
-    rooted = shared.join(roots, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
+    rooted = shared.join(roots, "id", "left").select("bucket", "band", "id", F.coalesce("root", "id").alias("root"))
     mixed = rooted.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-    members = (rooted.join(mixed.select("bucket"), "bucket", "left_semi")
-               .join(own.select("id", "n_words", "signs"), "id"))
-    rest = _kept(spark, _cross(_kept(spark, members, "near-mixed"))
-                 .join(stars, ["a", "b"], "left_anti"), "near-rest")
+    members = _kept(spark, rooted.join(mixed.select("bucket"), "bucket", "left_semi")
+                    .join(own.select("id", "n_words", "signs"), "id"), "near-mixed")
+    tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = _kept(spark, _cross(members).join(tested, ["a", "b"], "left_anti"), "near-rest")
     if not rest.isEmpty():
-        more = _kept(spark, _verified(spark, rest, known), "near-more")
+        # texts of one bucket are in one cell, split by hash if it is large; a pair goes to its two cells' group
+        home = members.groupBy("id").agg(F.min("bucket").alias("home"))
+        parts = home.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+        cell = _kept(spark, home.join(parts, "home").select(
+            "id", F.xxhash64("home", F.pmod(F.xxhash64("id"), "parts")).alias("cell")), "near-cells")
+        placed = (rest.join(cell.select(F.col("id").alias("a"), F.col("cell").alias("p")), "a")
+                  .join(cell.select(F.col("id").alias("b"), F.col("cell").alias("q")), "b")
+                  .select("a", "b", F.least("p", "q").alias("x"), F.greatest("p", "q").alias("y")))
+        more, _ = _verified(spark, placed, known, bags)
         if not more.isEmpty():
             roots = components(spark, links.union(more))
     out = nodes.join(roots, "id", "left").select("doc_id", F.coalesce("root", "id").alias("class_id"))

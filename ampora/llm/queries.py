@@ -73,3 +73,34 @@ def op5_context_mixing_token_files(spark: SparkSession, sf_dir: str) -> DataFram
     from .token_files import token_file_digests
 
     return token_file_digests(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query
+def op3_ngram_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .labelled_urls import labelled_urls
+    from .url_filter import judge, learn
+
+    labelled = spark.createDataFrame(labelled_urls(), "url string, blocked int")
+    return judge(table(spark, sf_dir, "pages").select("page_id", "url"), learn(spark, labelled)).drop("url")
+
+
+@query
+def op4_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import archive_digests
+
+    return archive_digests(table(spark, sf_dir, "pages"))
+
+
+# payloads are at least 100 bytes of UTF-8 or less, equal ones go to the smallest page_id
+ORACLE["op4_seekable_warc"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), g AS (
+  SELECT *, octet_length(encode(payload)) AS payload_bytes,
+         min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM g
+"""
