@@ -131,3 +131,14 @@ WITH v AS (
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
 """
+
+
+@query
+def op8_tfidf_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .licenses import license_scan
+
+    # documents have no paths: a source is a tree, a language a directory of it
+    place = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return license_scan(table(spark, sf_dir, "documents").select("doc_id", place.alias("path"), "text"))
