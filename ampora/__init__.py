@@ -27,7 +27,7 @@ from ampora.session import build_session, scale_conf
 from ampora.sinks.writers import (append_load, dedup_rewrite, write_landing, write_mart,
                                   write_processed)
 from ampora.sources.catalog import load_regions, region_catalog
-from ampora.sources.config import label_table, relationship_table
+from ampora.sources.config import label_rows, relationship_rows
 from ampora.sources.documents import (latest_document, parse_documents, payload_errors,
                                       read_daily_csv, scan_documents, scan_named_documents,
                                       split_documents, split_error_payloads)

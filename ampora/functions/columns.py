@@ -6,20 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "year_month_prefix", "year_month_of_date", "month_start", "nan_to_null",
+    "year_month_of_date", "month_start", "nan_to_null",
     "is_object", "is_present", "json_field", "json_field_or", "array_field",
     "safe_pearson", "round6", "ts_text",
 ]
 
 
-def year_month_prefix(text: Column) -> Column:
-    """Month key = first seven characters of the *string* datetime.
-
-    Casting first would shift ``2025-01-01T00:00+01:00`` to December in UTC.
-    """
-    return F.substring(text, 1, 7)
-
-
 def year_month_of_date(value: Column) -> Column:
     """``yyyy-MM`` of a date-like value (string, date or timestamp)."""
     return F.date_format(F.to_date(value), "yyyy-MM")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ampora.constants import DEFAULT_WEATHER_LABEL, MONTHLY_MEASURES, RELATIONSHIP_DEFAULT, UI_LABELS
 from ampora.functions.columns import month_start, safe_pearson
+from ampora.sources.config import Relationship, lookup
 
 GROUP = ["region_name", "metric_type"]
 
@@ -25,22 +26,17 @@ def curated_extract(curated: DataFrame) -> DataFrame:
             .orderBy("region_name", "year_month", "metric_type"))
 
 
-def with_relationship(df: DataFrame, relationships: DataFrame, language: str = "en") -> DataFrame:
+def with_relationship(df: DataFrame, relationships: list[Relationship], language: str = "en") -> DataFrame:
     """Attach group / weather column / label / scatter flag per metric, with
-    the configured default for metrics not in the table.  The table is a
-    short configuration list, so the planner broadcasts it."""
+    the configured default for metrics not in the list.  A literal lookup per
+    row: nothing is joined or shuffled."""
     g, wc, _, sc = RELATIONSHIP_DEFAULT
-    wl = DEFAULT_WEATHER_LABEL[language]
-    r = relationships.select(
-        "metric_type",
-        F.col("relationship_group").alias("_rg"), F.col("weather_column").alias("_wc"),
-        F.col("weather_label").alias("_wl"), F.col("show_scatter").alias("_sc"))
-    return (df.join(r, "metric_type", "left")
-            .withColumn("relationship_group", F.coalesce("_rg", F.lit(g)))
-            .withColumn("weather_column", F.coalesce("_wc", F.lit(wc)))
-            .withColumn("weather_label", F.coalesce("_wl", F.lit(wl)))
-            .withColumn("show_scatter", F.coalesce("_sc", F.lit(sc)))
-            .drop("_rg", "_wc", "_wl", "_sc"))
+    default = {"relationship_group": g, "weather_column": wc,
+               "weather_label": DEFAULT_WEATHER_LABEL[language], "show_scatter": sc}
+    metric = F.col("metric_type")
+    return df.withColumns({
+        name: F.coalesce(lookup(metric, [(r[0], r[k]) for r in relationships]), F.lit(default[name]))
+        for k, name in enumerate(default, 1)})
 
 
 def weather_value(column_name: Column) -> Column:
@@ -52,7 +48,7 @@ def weather_value(column_name: Column) -> Column:
     return expr
 
 
-def with_weather_value(df: DataFrame, relationships: DataFrame, language: str = "en") -> DataFrame:
+def with_weather_value(df: DataFrame, relationships: list[Relationship], language: str = "en") -> DataFrame:
     out = with_relationship(df, relationships, language)
     return out.withColumn("weather_value", weather_value(F.col("weather_column")))
 
@@ -129,17 +125,13 @@ def period_bounds(df: DataFrame) -> DataFrame:
     return df.agg(F.min("year_month").alias("first_month"), F.max("year_month").alias("last_month"))
 
 
-def metric_labels(df: DataFrame, labels: DataFrame) -> DataFrame:
+def metric_labels(df: DataFrame, labels: list[tuple[str, str]]) -> DataFrame:
     """Label per metric, falling back to the metric itself; NULL -> ''."""
-    lab = labels.select("metric_type", F.col("metric_label").alias("_lab"))
-    return (df.join(lab, "metric_type", "left")
-            .withColumn("metric_label",
-                        F.when(F.col("metric_type").isNull(), F.lit(""))
-                        .otherwise(F.coalesce("_lab", "metric_type")))
-            .drop("_lab"))
+    metric = F.col("metric_type")
+    return df.withColumn("metric_label", F.coalesce(lookup(metric, labels), metric, F.lit("")))
 
 
-def monthly_detail(df: DataFrame, labels: DataFrame) -> DataFrame:
+def monthly_detail(df: DataFrame, labels: list[tuple[str, str]]) -> DataFrame:
     """Detail table: month text, region, metric label, energy, weather.
     ``df`` must carry ``weather_value``/``weather_label`` and a DATE month."""
     out = metric_labels(df, labels)

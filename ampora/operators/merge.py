@@ -3,7 +3,7 @@
 Balance: blocks matched by ``id``, records by ``id`` inside a block; values
 are concatenated; descriptive attributes come from the first year a block or
 record is seen; ``total`` / ``total-percentage`` become NULL for a record
-delivered in two or more years.  Weather: every daily array is appended and
+that two or more payloads hold.  Weather: every daily array is appended and
 the envelope of the first year is kept.
 
 Work is done at record level (one row per region, block, record and year,
@@ -87,7 +87,8 @@ def merge_balance_years(payloads: DataFrame, payload_col: str = "payload") -> Da
     keys = rec.groupBy("region_slug", "group_id", "is_block", "metric_id").agg(
         F.min(F.struct("year", "block_attrs"))["block_attrs"].alias("_battrs"),
         F.min(F.struct("year", "record_attrs"))["record_attrs"].alias("_rattrs"),
-        F.countDistinct("year").alias("n_years"))
+        # payloads, not years: a year delivered again has its values twice, and no total
+        F.count(F.when(~F.col("is_block"), 1)).alias("n_payloads"))
     per_block = Window.partitionBy("region_slug", "group_id")
     keyed = (keys.withColumn("_battrs", F.first(F.when(F.col("is_block"), F.col("_battrs")),
                                                 ignorenulls=True).over(per_block))
@@ -96,7 +97,7 @@ def merge_balance_years(payloads: DataFrame, payload_col: str = "payload") -> Da
                           ["region_slug", "group_id", "metric_id"])
     x = rec.select("*", F.explode("values").alias("x")).where(is_object(F.col("x")))
     xv = F.col("x")
-    once = F.col("n_years") == 1
+    once = F.col("n_payloads") == 1
     dt_present = is_present(xv, "$.datetime")
     dt = json_field(xv, "$.datetime", "string")
     return x.select(
@@ -115,7 +116,7 @@ def merge_balance_years(payloads: DataFrame, payload_col: str = "payload") -> Da
         dt.alias("datetime"),
         json_field(xv, "$.value", "double").alias("value"),
         json_field(xv, "$.percentage", "double").alias("percentage"),
-        F.col("n_years").cast("long").alias("n_years"))
+        F.col("n_payloads").cast("long").alias("n_payloads"))
 
 
 def merge_weather_years(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
@@ -133,6 +134,7 @@ def merge_weather_years(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
                 "longitude", "timezone", "weather_point_type"]
     first = a.groupBy("region_slug").agg(
         F.min(F.struct("year", F.struct(*env_cols).alias("e")))["e"].alias("_env"))
-    merged = a.drop(*env_cols).join(first, "region_slug").select(
+    # a document without a region is a region of its own
+    merged = _join_null_safe(a.drop(*env_cols), first, ["region_slug"]).select(
         "*", *[F.col(f"_env.{c}").alias(c) for c in env_cols]).drop("_env")
     return zip_daily(merged, strict=True, what="weather payload")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ampora.constants import BALANCE_KEY, WEATHER_MONTHLY_KEY
 from ampora.operators.aggregate import daily_to_monthly
@@ -73,16 +74,19 @@ def run_from_landing(spark: SparkSession, root: str, curated_metrics: list[str]
     bal_load = processed("balance", BALANCE_FLAT)
     wm_load = processed("weather_monthly", WEATHER_MONTHLY_FLAT)
     if raw_mode == "upsert":
-        wr.upsert_latest(spark, wr.conform(bal_load, BALANCE_RAW), f"{r}/balance", BALANCE_KEY)
+        wr.upsert_latest(spark, wr.conform(bal_load, BALANCE_RAW), f"{r}/balance", BALANCE_KEY,
+                         wr.utc_month("datetime"))
         wr.upsert_latest(spark, wr.conform(wm_load, WEATHER_MONTHLY_RAW), f"{r}/weather_monthly",
-                         WEATHER_MONTHLY_KEY)
-        bal, wm = wr.read_table(spark, f"{r}/balance"), wr.read_table(spark, f"{r}/weather_monthly")
+                         WEATHER_MONTHLY_KEY, F.col("year_month"))
+        bal = wr.read_upserted(spark, f"{r}/balance", BALANCE_RAW)
+        wm = wr.read_upserted(spark, f"{r}/weather_monthly", WEATHER_MONTHLY_RAW)
     else:
         wr.append_load(bal_load, f"{r}/balance", BALANCE_RAW)
         wr.append_load(wm_load, f"{r}/weather_monthly", WEATHER_MONTHLY_RAW)
-        bal = wr.dedup_rewrite(spark, f"{r}/balance", f"{r}/balance_dedup", BALANCE_KEY)
+        bal = wr.dedup_rewrite(spark, f"{r}/balance", f"{r}/balance_dedup", BALANCE_KEY,
+                               schema=BALANCE_RAW)
         wm = wr.dedup_rewrite(spark, f"{r}/weather_monthly", f"{r}/weather_monthly_dedup",
-                              WEATHER_MONTHLY_KEY)
+                              WEATHER_MONTHLY_KEY, schema=WEATHER_MONTHLY_RAW)
     # models: staging is a view (the raw tables were just deduplicated on the
     # same keys, so the staging dedup is skipped); marts are written tables
     stg_b = stage_balance(bal, dedup=False)

@@ -1,7 +1,7 @@
 """Domain tables bound onto the driver's TPC-H-style tables.
 
 E  energy fact      orders x customer x nation, per nation, month, priority
-WD daily weather    lineitem x supplier x nation (nations < 20), per day
+WD daily weather    lineitem x supplier x nation, per day; nations >= 20 under a station slug
 C  catalogue        nation x region (nations >= 23 inactive)
 plus documents built from E and WD, so the document operators have real,
 data-sized input whose flattened form is known exactly.
@@ -29,7 +29,8 @@ FIXTURE_RELATIONSHIPS = [
     ("2-HIGH", "A", "wind_speed_10m_max_avg", "Average maximum wind speed", True),
     ("3-MEDIUM", "B", "precipitation_sum_total", "Total precipitation", True),
 ]
-WEATHER_NATION_LIMIT = 20
+FIXTURE_LABELS = [("1-URGENT", "Urgent"), ("3-MEDIUM", "Medium")]
+STATION_FROM_NATION = 20
 INACTIVE_FROM_NATION = 23
 COVERAGE_START_YEAR = 1995
 COVERAGE_END_YEAR = 2001
@@ -69,19 +70,26 @@ def energy_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return energy_fact_ext(spark, sf_dir).drop("n_nationkey")
 
 
+def weather_slug() -> Column:
+    """Region of a nation's weather.  Nations from ``STATION_FROM_NATION`` on report
+    under a station's slug, which no energy region has: left joins miss there."""
+    slug = F.lower("n_name")
+    return F.when(F.col("n_nationkey") < STATION_FROM_NATION, slug).otherwise(
+        F.concat(slug, F.lit("_station")))
+
+
 def weather_daily_core(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """WD: one row per nation (< 20) and ship date."""
+    """WD: one row per nation and ship date."""
     li = read(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_shipdate", "l_discount", "l_quantity", "l_linenumber", "l_tax",
         "l_extendedprice")
     sup = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    nation = read(spark, sf_dir, "nation").select("n_nationkey", "n_name") \
-        .where(F.col("n_nationkey") < WEATHER_NATION_LIMIT)
+    nation = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = li.join(sup, li.l_suppkey == sup.s_suppkey).join(
         nation, F.col("s_nationkey") == F.col("n_nationkey"))
     tmax = F.round(F.max("l_discount") * 100, 0)
     tmin = F.round(F.min("l_discount") * 100, 0)
-    return j.groupBy(F.lower("n_name").alias("region_slug"), F.col("n_name").alias("region_name"),
+    return j.groupBy(weather_slug().alias("region_slug"), F.col("n_name").alias("region_name"),
                      F.to_date("l_shipdate").alias("date")).agg(
         tmax.alias("temperature_2m_max"),
         ((tmax + tmin) / 2).alias("temperature_2m_mean"),
@@ -133,9 +141,9 @@ def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WD with the nine envelope columns of a flattened weather document."""
     from ampora.sources.catalog import catalog_all
     cat = catalog_all(catalog_raw(spark, sf_dir)).select(
-        "region_slug", F.col("weather_location_name").alias("location_name"), "latitude",
+        F.col("display_name").alias("region_name"), F.col("weather_location_name").alias("location_name"), "latitude",
         "longitude", "timezone", "weather_point_type")
-    wd = weather_daily_core(spark, sf_dir).join(cat, "region_slug")
+    wd = weather_daily_core(spark, sf_dir).join(cat, "region_name")
     return wd.select(
         F.lit(WEATHER_SOURCE).alias("source"), F.lit(INGESTED_AT).alias("ingestion_timestamp"),
         "region_slug", "region_name", "location_name", "latitude", "longitude", "timezone",
@@ -223,8 +231,7 @@ def weather_documents(spark: SparkSession, sf_dir: str, broken_region_key: int |
     from ampora.constants import DAILY_SERIES
     p = weather_payload_columns(weather_daily(spark, sf_dir))
     if broken_region_key is not None:
-        nation = read(spark, sf_dir, "nation").select(
-            F.lower("n_name").alias("region_slug"), "n_regionkey")
+        nation = read(spark, sf_dir, "nation").select(weather_slug().alias("region_slug"), "n_regionkey")
         p = p.join(nation, "region_slug")
         cut = F.slice("wind_speed_10m_max", 1, F.size("wind_speed_10m_max") - 1)
         p = p.withColumn("wind_speed_10m_max",

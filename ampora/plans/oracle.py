@@ -46,7 +46,8 @@ c as (select * exclude (n_regionkey) from c_all where is_active)"""
 
 WD = f"""
 wd_core as (
-  select lower(n_name) as region_slug, n_name as region_name, cast(l_shipdate as date) as d,
+  select case when n_nationkey < {fx.STATION_FROM_NATION} then lower(n_name)
+              else lower(n_name) || '_station' end as region_slug, n_name as region_name, cast(l_shipdate as date) as d,
          round(max(l_discount)*100, 0) as temperature_2m_max,
          (round(max(l_discount)*100, 0) + round(min(l_discount)*100, 0)) / 2 as temperature_2m_mean,
          round(min(l_discount)*100, 0) as temperature_2m_min,
@@ -55,8 +56,7 @@ wd_core as (
          round(max(l_tax)*100, 0) as wind_speed_10m_max,
          round(cast(sum(cast(l_extendedprice as decimal(18,2))) as double), 0) as shortwave_radiation_sum
   from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey
-  where n_nationkey < {fx.WEATHER_NATION_LIMIT}
-  group by lower(n_name), n_name, cast(l_shipdate as date)),
+  group by n_nationkey, n_name, cast(l_shipdate as date)),
 wd as (
   select 'open_meteo' as source, '{fx.INGESTED_AT}' as ingestion_timestamp,
          w.region_slug, w.region_name, c_all.weather_location_name as location_name,
@@ -64,7 +64,7 @@ wd as (
          strftime(d, '%Y-%m-%d') as date,
          temperature_2m_max, temperature_2m_mean, temperature_2m_min, precipitation_sum,
          weather_code, wind_speed_10m_max, shortwave_radiation_sum, c_all.n_regionkey
-  from wd_core w join c_all on w.region_slug = c_all.region_slug)"""
+  from wd_core w join c_all on w.region_name = c_all.display_name)"""
 
 W = """
 w as (

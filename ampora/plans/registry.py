@@ -27,7 +27,7 @@ from ampora.session import ensure_utc, scratch_path, shared_root
 from ampora.sinks import writers as wr
 from ampora.sources import documents as docs_src
 from ampora.sources.catalog import region_catalog
-from ampora.sources.config import label_table, relationship_table
+from ampora.sources.config import label_rows, relationship_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -71,7 +71,7 @@ def _curated_w(spark, sf, extract=False):
     cur = _curated(spark, sf)
     if extract:
         cur = an.curated_extract(cur)
-    return an.with_weather_value(cur, relationship_table(spark, fx.FIXTURE_RELATIONSHIPS))
+    return an.with_weather_value(cur, relationship_rows(fx.FIXTURE_RELATIONSHIPS))
 
 
 _ECW = o.with_(o.E_EXT, o.C, o.WD, o.W, o.M, o.REL, o.CURW)
@@ -190,33 +190,43 @@ def q_series_length_violations(spark, sf):
 
 _MERGE_COLS = ("region_slug, group_type, group_id, group_title, metric_type, metric_id, "
                "metric_group_id, metric_title, metric_description, is_composite, last_update, "
-               "total, total_percentage, year_month, datetime, value, percentage, n_years")
+               "total, total_percentage, year_month, datetime, value, percentage, n_payloads")
 
 
 @register("merge_balance_years", o.with_(o.E_EXT, o.FLAT) + f"""
-, ry as (select region_slug, group_id, metric_id, count(distinct substr(year_month, 1, 4)) as n_years,
-               min(substr(year_month, 1, 4)) as first_year
-        from flat group by region_slug, group_id, metric_id)
-select f.region_slug, group_type, f.group_id, group_title, metric_type, f.metric_id,
+, d as (select * replace (case when n_nationkey <> 2 then region_slug end as region_slug),
+               substr(year_month, 1, 4) as yr from flat),
+two as (select * from d union all select * from d where n_nationkey = 1 and yr = '1996'),
+ry as (select n_nationkey, group_id, metric_id, min(yr) as first_year,
+              count(distinct yr) + max(case when n_nationkey = 1 and yr = '1996' then 1 else 0 end) as n_payloads
+       from d group by n_nationkey, group_id, metric_id)
+select region_slug, group_type, f.group_id, group_title, metric_type, f.metric_id,
        metric_group_id, metric_type || ' ' || first_year as metric_title, metric_description,
        is_composite, last_update,
-       case when n_years = 1 then total end as total,
-       case when n_years = 1 then total_percentage end as total_percentage,
-       year_month, datetime, value, percentage, n_years
-from flat f join ry on f.region_slug = ry.region_slug and f.group_id = ry.group_id
-                   and f.metric_id = ry.metric_id""")
+       case when n_payloads = 1 then total end as total,
+       case when n_payloads = 1 then total_percentage end as total_percentage,
+       year_month, datetime, value, percentage, n_payloads
+from two f join ry on f.n_nationkey = ry.n_nationkey and f.group_id = ry.group_id
+                  and f.metric_id = ry.metric_id""")
 def q_merge_balance_years(spark, sf):
-    p = fx.balance_payloads(spark, sf).select("region_slug", "year",
-                                               F.to_json("payload").alias("payload"))
-    return merge_balance_years(p).select(*[c.strip() for c in _MERGE_COLS.split(",")])
+    """One region's payloads have no slug, and one delivers a year twice."""
+    p = fx.balance_payloads(spark, sf).select(
+        F.when(F.col("geo_id") != 2, F.col("region_slug")).alias("region_slug"), "geo_id", "year",
+        F.to_json("payload").alias("payload"))
+    again = p.where("geo_id = 1 AND year = '1996'")
+    return merge_balance_years(p.unionByName(again)).select(*[c.strip() for c in _MERGE_COLS.split(",")])
 
 
 @register("merge_weather_years", o.with_(o.C, o.WD) + f"""
 , fy as (select region_slug as rs, min(substr(date, 1, 4)) as fy from wd group by region_slug)
+select * replace (case when region_slug <> 'nation_3' then region_slug end as region_slug) from (
 select {_WD_COLS.replace('ingestion_timestamp,', "fy || '" + fx.YEAR_END_STAMP + "' as ingestion_timestamp,")}
-from wd join fy on wd.region_slug = fy.rs""")
+from wd join fy on wd.region_slug = fy.rs)""")
 def q_merge_weather_years(spark, sf):
-    return merge_weather_years(fx.weather_documents(spark, sf))
+    """One region's documents have no slug."""
+    docs = fx.weather_documents(spark, sf)
+    return merge_weather_years(docs.withColumn("doc", F.replace("doc", F.lit('"region_slug":"nation_3",'), F.lit("")))
+                               .drop("region_slug"))
 
 
 # --- aggregation, dedup, staging, loads -------------------------------------
@@ -347,19 +357,30 @@ select region_slug, metric_id, year_month,
 from flat"""
 
 
-@register("upsert_rewrite", _UPSERT_SQL)
+@register("upsert_rewrite", _UPSERT_SQL + """
+union all
+select region_slug, metric_id, nullif(year_month, year_month), '2024-02-01 00:00:00', value + 1
+from flat where metric_type = '1-URGENT' and n_nationkey = 0 and year_month = '1996-01'""")
 def q_upsert_rewrite(spark, sf):
     """Two loads upserted into a month-partitioned raw table: only the months
-    each load touches are rewritten."""
+    each load touches are rewritten.  The second load delivers the same instants in another
+    offset, and one value without a datetime, twice."""
     path = scratch_path(spark, "raw_balance_upsert")
     # loads arrive as processed tables (written once), as in the batch flow
     processed = scratch_path(spark, "processed_balance_loads")
     wr.write_processed(_two_ingestions(spark, sf), processed)
     flat = spark.read.parquet(processed)
-    for ts in (fx.INGESTED_AT, fx.REINGESTED_AT):
-        load = wr.conform(flat.where(F.col("ingestion_timestamp") == ts), BALANCE_RAW)
-        wr.upsert_latest(spark, load, path, BALANCE_KEY)
-    t = spark.read.parquet(path)
+    again = flat.where(F.col("ingestion_timestamp") == fx.REINGESTED_AT)
+    undated = again.where("redata_geo_id = 0 AND year_month = '1996-01'").withColumns(
+        {"year_month": F.lit(None).cast("string"), "datetime": F.lit(None).cast("string")})
+    # the month starts an hour earlier in UTC
+    shifted = again.withColumn("datetime", F.date_format(
+        F.to_timestamp("datetime"), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    loads = (flat.where(F.col("ingestion_timestamp") == fx.INGESTED_AT),
+             shifted.unionByName(undated).unionByName(undated))
+    for rows in loads:
+        wr.upsert_latest(spark, wr.conform(rows, BALANCE_RAW), path, BALANCE_KEY, wr.utc_month("datetime"))
+    t = wr.read_upserted(spark, path, BALANCE_RAW)
     return t.select("region_slug", "metric_id", F.col("year_month").cast("string").alias("year_month"),
                     ts_text(F.col("ingestion_timestamp")).alias("ingestion_timestamp"), "value")
 
@@ -507,7 +528,7 @@ select distinct m.metric_type, coalesce(rel.relationship_group, 'C') as relation
 from m left join rel on m.metric_type = rel.metric_type""")
 def q_relationship_lookup(spark, sf):
     metrics = _mart(spark, sf).select("metric_type").distinct()
-    return an.with_relationship(metrics, relationship_table(spark, fx.FIXTURE_RELATIONSHIPS))
+    return an.with_relationship(metrics, relationship_rows(fx.FIXTURE_RELATIONSHIPS))
 
 
 @register("metric_weather_value", _ECW + """
@@ -544,13 +565,19 @@ def q_slice_kpis(spark, sf):
 
 
 @register("share_kpi", _ECW + """
-, a as (select region_name, metric_type, avg(percentage) as mn, max(abs(percentage)) as mx
-        from cv where percentage is not null group by region_name, metric_type)
+, p as (select region_name, metric_type,
+               case when metric_type = '2-HIGH' then percentage * 100 else percentage end as percentage
+        from cv where percentage is not null),
+a as (select region_name, metric_type, avg(percentage) as mn, max(abs(percentage)) as mx
+        from p group by region_name, metric_type)
 select region_name, metric_type,
        round(case when mx <= 1 then mn * 100 else mn end, 6) as share_pct
 from a""")
 def q_share_kpi(spark, sf):
-    s = an.share_kpi(_curated_w(spark, sf))
+    """One metric delivers percentages, so both branches of the scale rule run."""
+    rows = _curated_w(spark, sf).withColumn("percentage", F.when(
+        F.col("metric_type") == "2-HIGH", F.col("percentage") * 100).otherwise(F.col("percentage")))
+    s = an.share_kpi(rows)
     return s.select("region_name", "metric_type", round6(F.col("share_pct")).alias("share_pct"))
 
 
@@ -606,10 +633,12 @@ def q_period_bounds(spark, sf):
 
 
 @register("monthly_detail", _ECW + """
-select year_month, region_name, metric_type as metric_label, value, weather_label, weather_value
+select year_month, region_name,
+       case metric_type when '1-URGENT' then 'Urgent' when '3-MEDIUM' then 'Medium' else metric_type end
+         as metric_label, value, weather_label, weather_value
 from cv""")
 def q_monthly_detail(spark, sf):
-    return an.monthly_detail(_curated_w(spark, sf, extract=True), label_table(spark))
+    return an.monthly_detail(_curated_w(spark, sf, extract=True), label_rows(fx.FIXTURE_LABELS))
 
 
 @register("series_long", _ECW + """
@@ -632,12 +661,13 @@ def q_scatter_pairs(spark, sf):
 
 @register("metric_labels", o.with_(o.E_EXT) + """
 select distinct nullif(metric_type, '5-LOW') as metric_type,
-       coalesce(nullif(metric_type, '5-LOW'), '') as metric_label
+       case metric_type when '1-URGENT' then 'Urgent' when '3-MEDIUM' then 'Medium' when '5-LOW' then ''
+                        else metric_type end as metric_label
 from e""")
 def q_metric_labels(spark, sf):
     e = fx.energy_fact(spark, sf).select(
         F.when(F.col("metric_type") != "5-LOW", F.col("metric_type")).alias("metric_type")).distinct()
-    return an.metric_labels(e, label_table(spark))
+    return an.metric_labels(e, label_rows(fx.FIXTURE_LABELS))
 
 
 # --- data quality -------------------------------------------------------------

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -54,15 +53,20 @@ def shared_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables and lineage cuts.
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared, durable
-    folder there).  Only when it is unset -- local tests -- a private folder
-    is created and registered, so later calls agree on it.
+    folder there).  Only a local master may go without: the driver and its
+    tasks are one process then, and a private folder is set, so later calls
+    agree on it.  Anywhere else a missing setting is an error, as tables
+    written to one machine's disk would be missed by the others.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="ampora-ckpt-")
+        master = spark.conf.get("spark.master", "") or ""
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch-{uuid.uuid4().hex[:12]}"
         spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
@@ -82,10 +86,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_cpus() -> int:
-    return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
-
-
 def scale_conf(input_bytes: int, total_cores: int,
                target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Settings for a cluster run over ``input_bytes`` of input.

@@ -4,7 +4,7 @@ rewrites never overwrite the path they read from."""
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,13 +76,16 @@ def append_load(df: DataFrame, path: str, schema: T.StructType) -> int:
     return int(obs.get["rows"])
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read a loaded table, merging schemas of appends that added columns."""
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Read a loaded table: by its fixed schema if given, else by merging the
+    schemas of appends that added columns, which reads every file's footer."""
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
 def dedup_rewrite(spark: SparkSession, src: str, dst: str, keys: list[str],
-                  order_by: str = "ingestion_timestamp") -> DataFrame:
+                  order_by: str = "ingestion_timestamp", schema: T.StructType | None = None) -> DataFrame:
     """Rewrite keeping the newest row per key into a *new* location.
 
     Reading and overwriting one path in the same job is not possible in
@@ -90,8 +93,8 @@ def dedup_rewrite(spark: SparkSession, src: str, dst: str, keys: list[str],
     """
     if src.rstrip("/") == dst.rstrip("/"):
         raise ValueError("dedup_rewrite must write to a new location")
-    dedup_latest(read_table(spark, src), keys, order_by).write.mode("overwrite").parquet(dst)
-    return read_table(spark, dst)
+    dedup_latest(read_table(spark, src, schema), keys, order_by).write.mode("overwrite").parquet(dst)
+    return read_table(spark, dst, schema)
 
 
 def append_load_table(spark: SparkSession, df: DataFrame, table: str, schema: T.StructType,
@@ -121,47 +124,49 @@ def append_load_table(spark: SparkSession, df: DataFrame, table: str, schema: T.
     return int(obs.get["rows"])
 
 
+PART = "load_part"
+
+
+def utc_month(timestamp_col: str) -> Column:
+    """Partition of a typed timestamp key: its month in UTC, whatever offset it was delivered in."""
+    return F.date_format(timestamp_col, "yyyy-MM")
+
+
+def read_upserted(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """An upserted table by its fixed schema: no footer is read to find one."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField(PART, T.StringType())])).parquet(path)
+
+
 def upsert_latest(spark: SparkSession, batch: DataFrame, path: str, keys: list[str],
-                  partition_col: str = "year_month", order_by: str = "ingestion_timestamp",
-                  max_partitions: int = 100_000) -> list:
+                  part: Column, order_by: str = "ingestion_timestamp") -> None:
     """Append a load and keep the newest row per key, rewriting only the
     partitions the load touches.
 
-    The table is partitioned by ``partition_col``, which must be a function
-    of the key (equal keys always land in the same partition), so a dedup
-    inside the touched partitions equals a dedup of the whole table.  Steps:
-    the touched partition values (bounded by the calendar, not the data)
-    come to the driver; the old rows of those partitions (partition pruning)
-    plus the batch are deduplicated into a staging folder under the shared
-    root; a second job copies the staging folder over those partitions with
-    dynamic partition overwrite (one job cannot read and overwrite the same
-    partitions).  Untouched partitions are never read or rewritten.
-    At most ``max_partitions`` values are brought to the driver; a load that
-    touches more rewrites the whole table the same way (exact, just wider).
-    Returns the touched partition values (``None`` after a whole-table pass).
+    ``part`` is the partition of a row, a function of the typed key, so equal
+    keys always land in the same partition and a dedup inside the touched
+    partitions equals a dedup of the whole table; NULL is a partition of its
+    own.  The touched partitions stay a table: old rows are semi-joined with
+    it, and together with the batch deduplicated into a staging folder
+    under the shared root; a second job copies that over the touched
+    partitions with dynamic partition overwrite (one job cannot read and
+    overwrite the same partitions).  Other partitions are never rewritten.
     """
     from ampora.session import scratch_path
-    probe = batch.select(partition_col).distinct().limit(max_partitions + 1).collect()
-    if not probe:
-        return []
-    touched = None if len(probe) > max_partitions else sorted(r[0] for r in probe)
+    new = batch.withColumn(PART, F.coalesce(part.cast("string"), F.lit("none")))
+    touched = new.select(PART).distinct()
     try:
-        old = read_table(spark, path)
-        if touched is not None:
-            old = old.where(F.col(partition_col).isin(touched))
-        both = old.unionByName(batch, allowMissingColumns=True)
+        old = read_upserted(spark, path, batch.schema)
+        both = old.join(touched, PART, "left_semi").select(*new.columns).unionByName(new)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        both = batch
+        both = new
     staging = scratch_path(spark, "upsert")
     # Range partitioning on (partition, key) clusters rows by key -- the
     # window needs no further exchange -- and gives each task a contiguous
     # slice of partitions (few files per partition), while a hot partition
     # is still split over several tasks by key range.
-    ranged = both.repartitionByRange(partition_col, *keys)
-    (dedup_latest(ranged, [partition_col, *keys], order_by).write.mode("overwrite")
-     .partitionBy(partition_col).parquet(staging))
-    (spark.read.parquet(staging).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
-    return touched
+    ranged = both.repartitionByRange(PART, *keys)
+    dedup_latest(ranged, [PART, *keys], order_by).write.mode("overwrite").partitionBy(PART).parquet(staging)
+    (read_upserted(spark, staging, batch.schema).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path))

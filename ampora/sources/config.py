@@ -1,33 +1,40 @@
-"""Configuration tables (metric labels, metric -> weather relationship).
+"""Configuration lists (metric labels, metric -> weather relationship).
 
-These come from short fixed lists, so their size is bounded by the
-configuration, not by the data; joins against them are broadcast by the
-planner's size check.
+They are short fixed lists, so operators turn them into literal map expressions:
+no join, and an aggregate above the lookup still combines directly on the scan.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 from ampora.constants import METRIC_LABELS_EN, RELATIONSHIPS, WEATHER_LABELS_ES
 
-RELATIONSHIP_SCHEMA = ("metric_type string, relationship_group string, weather_column string, "
-                       "weather_label string, show_scatter boolean")
+Relationship = tuple[str, str, str, str, bool]
 
 
-def relationship_table(spark: SparkSession, rows=None, language: str = "en") -> DataFrame:
-    """Metric -> relationship rows.  For the built-in table ``language``
-    picks the weather label; custom ``rows`` carry their own label."""
-    if rows is None:
-        rows = RELATIONSHIPS
-        if language == "es":
-            es = dict(WEATHER_LABELS_ES)
-            rows = [(m, g, c, es[m], sc) for m, g, c, _, sc in RELATIONSHIPS]
-    return spark.createDataFrame(list(rows), RELATIONSHIP_SCHEMA)
+def relationship_rows(rows: list[Relationship] | None = None, language: str = "en") -> list[Relationship]:
+    """(metric_type, relationship_group, weather_column, weather_label, show_scatter).
+    For the built-in list ``language`` picks the weather label; custom ``rows`` carry their own."""
+    if rows is not None:
+        return list(rows)
+    if language == "es":
+        es = dict(WEATHER_LABELS_ES)
+        return [(m, g, c, es[m], sc) for m, g, c, _, sc in RELATIONSHIPS]
+    return list(RELATIONSHIPS)
 
 
-def label_table(spark: SparkSession, rows=None, language: str = "en") -> DataFrame:
-    """Metric -> display label.  Spanish labels are the metric names."""
-    if rows is None:
-        rows = METRIC_LABELS_EN if language == "en" else [(m, m) for m, _ in METRIC_LABELS_EN]
-    return spark.createDataFrame(list(rows), "metric_type string, metric_label string")
+def label_rows(rows: list[tuple[str, str]] | None = None, language: str = "en") -> list[tuple[str, str]]:
+    """(metric_type, label).  Spanish labels are the metric names."""
+    if rows is not None:
+        return list(rows)
+    return list(METRIC_LABELS_EN) if language == "en" else [(m, m) for m, _ in METRIC_LABELS_EN]
+
+
+def lookup(key: Column, pairs: list[tuple[str, object]]) -> Column:
+    """Value of ``key`` in a fixed list; NULL if absent or if the key is NULL."""
+    if not pairs:
+        return F.lit(None)
+    table = F.create_map(*[F.lit(x) for pair in pairs for x in pair])
+    return F.try_element_at(table, key)

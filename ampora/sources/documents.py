@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from ampora.functions.columns import is_object
 
 
+# the folder's slug stays text: inferred, "01" would be the number 1
+LANDING = "value string, region_slug string"
+
+
 def scan_documents(spark: SparkSession, root: str, region_slugs: list[str] | None = None,
                    one_per_file: bool = False, newest_first: bool = False) -> DataFrame:
     """Documents with their file name and modification time.
@@ -29,14 +33,14 @@ def scan_documents(spark: SparkSession, root: str, region_slugs: list[str] | Non
     if region_slugs:
         paths = [f"{base}/region_slug={s}" for s in dict.fromkeys(region_slugs)]
         try:
-            raw = spark.read.option("basePath", base).text(paths, wholetext=one_per_file)
+            raw = spark.read.schema(LANDING).option("basePath", base).text(paths, wholetext=one_per_file)
         except AnalysisException as e:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
             missing = [p.rsplit("=", 1)[1] for p in paths if p in str(e)]
             raise FileNotFoundError(f"No documents for regions: {missing or region_slugs}") from e
     else:
-        raw = spark.read.text(base, wholetext=one_per_file)
+        raw = spark.read.schema(LANDING).text(base, wholetext=one_per_file)
     docs = raw.select(
         "region_slug", F.col("value").alias("doc"),
         F.col("_metadata.file_name").alias("file_name"),

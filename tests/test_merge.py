@@ -24,7 +24,7 @@ def test_totals_null_when_record_in_two_years(spark):
     out = {(r.metric_id, r.year_month): r for r in merge_balance_years(df).collect()}
     assert len(out) == 8
     a = out[("a", "2024-02")]
-    assert a.total is None and a.total_percentage is None and a.n_years == 2
+    assert a.total is None and a.total_percentage is None and a.n_payloads == 2
     assert a.metric_title == "a 2023" and a.metric_type == "T2023" and a.group_title == "G2023"
     assert out[("b", "2023-01")].total == 5.0 and out[("c", "2024-01")].total == 7.0
 
@@ -61,7 +61,7 @@ def test_missing_record_ids_still_merge(spark):
     df = spark.createDataFrame([("r", "2023", json.dumps(p1)), ("r", "2024", json.dumps(p2))],
                                "region_slug string, year string, payload string")
     rows = merge_balance_years(df).collect()
-    assert len(rows) == 4 and {r.n_years for r in rows} == {2} and {r.total for r in rows} == {None}
+    assert len(rows) == 4 and {r.n_payloads for r in rows} == {2} and {r.total for r in rows} == {None}
 
 
 def test_block_attributes_from_first_year_even_without_records(spark):

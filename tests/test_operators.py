@@ -14,7 +14,7 @@ from ampora.operators.dedup import dedup_latest
 from ampora.operators.models import curate, mart_energy_weather
 from ampora.operators.quality import not_null_counts
 from ampora.sources.catalog import load_regions
-from ampora.sources.config import relationship_table
+from ampora.sources.config import relationship_rows
 
 
 def test_catalog_keeps_active_rows(spark, tmp_dir):
@@ -113,7 +113,7 @@ def test_mart_keeps_energy_rows_and_curates(spark):
 
 
 def test_grouped_kpis_follow_relationships(spark):
-    cw = an.with_weather_value(_mart(spark), relationship_table(spark))
+    cw = an.with_weather_value(_mart(spark), relationship_rows())
     wind = cw.where(F.col("metric_type") == "Eólica")
     assert {r.weather_column for r in wind.collect()} == {"wind_speed_10m_max_avg"}
     other = cw.where(F.col("metric_type") == "Otra").first()
@@ -134,7 +134,7 @@ def test_select_regions_unknown_slug(spark):
     cat = spark.createDataFrame([("a",), ("b",)], "region_slug string")
     facts = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "region_slug string, v int")
     assert [r.v for r in cov.select_regions(facts, cat, ["a", "a"]).collect()] == [1]
-    with pytest.raises(ValueError, match="Unknown region slug: z"):
+    with pytest.raises(ValueError, match="region not in the catalogue: z"):
         cov.select_regions(facts, cat, ["a", "z"])
     assert [r.v for r in cov.unknown_regions(facts, cat).collect()] == [3]
 
@@ -165,8 +165,8 @@ def test_not_null_counts(spark):
 
 
 def test_presentation_tables_spanish(spark):
-    from ampora.sources.config import label_table
-    cw = an.with_weather_value(_mart(spark), relationship_table(spark, language="es"), "es")
+    from ampora.sources.config import label_rows
+    cw = an.with_weather_value(_mart(spark), relationship_rows(language="es"), "es")
     assert {r.weather_label for r in cw.collect()} == {"Viento máximo medio", "Temperatura media"}
     st = an.present_summary(an.summary_stats(cw, ["region_name", "metric_type", "weather_label"]), "es")
     assert "desviación estándar" in st.columns
@@ -175,7 +175,7 @@ def test_presentation_tables_spanish(spark):
     c = an.present_correlation(an.energy_weather_corr(cw), "es").collect()
     assert {r["variable_climática"] for r in c} == {"Viento máximo medio", "Temperatura media"}
     det = an.present_detail(an.monthly_detail(an.curated_extract(curate(_mart(spark))).transform(
-        lambda d: an.with_weather_value(d, relationship_table(spark))), label_table(spark)), "en")
+        lambda d: an.with_weather_value(d, relationship_rows())), label_rows()), "en")
     assert det.columns[:4] == ["Year-month", "Region", "Energy metric", "Energy value"]
     assert {r["Energy metric"] for r in det.collect()} == {"Wind"}
 

@@ -165,25 +165,46 @@ def test_upsert_rewrites_only_touched_months(spark, tmp_dir):
     import datetime as dt
     import glob
     import os
-    schema = ("region_slug string, metric_id string, datetime string, year_month string, "
+    schema = ("region_slug string, metric_id string, datetime timestamp, year_month string, "
               "ingestion_timestamp timestamp, value double")
     t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
-    first = spark.createDataFrame([("r", "m", "2024-01-01", "2024-01", t1, 1.0),
-                                   ("r", "m", "2024-02-01", "2024-02", t1, 2.0)], schema)
+    keys = ["region_slug", "metric_id", "datetime"]
+    jan, feb = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
+
+    def load(*rows):
+        df = spark.createDataFrame(list(rows), schema)
+        wr.upsert_latest(spark, df, path, keys, wr.utc_month("datetime"))
+        return df
+
     path = f"{tmp_dir}/raw"
-    assert wr.upsert_latest(spark, first, path, ["region_slug", "metric_id", "datetime"]) == [
-        "2024-01", "2024-02"]
-    jan_files = sorted(glob.glob(f"{path}/year_month=2024-01/*.parquet"))
+    first = load(("r", "m", jan, "2024-01", t1, 1.0), ("r", "m", feb, "2024-02", t1, 2.0))
+    jan_files = sorted(glob.glob(f"{path}/load_part=2024-01/*.parquet"))
     jan_mtimes = [os.path.getmtime(f) for f in jan_files]
-    again = spark.createDataFrame([("r", "m", "2024-02-01", "2024-02", t2, 20.0),
-                                   ("r", "m", "2024-02-01", "2024-02", t1, 9.0)], schema)
-    assert wr.upsert_latest(spark, again, path, ["region_slug", "metric_id", "datetime"]) == ["2024-02"]
-    t = spark.read.parquet(path)
+    load(("r", "m", feb, "2024-02", t2, 20.0), ("r", "m", feb, "2024-03", t1, 9.0))
+    t = wr.read_upserted(spark, path, first.schema)
     assert sorted((r.year_month, r.value) for r in t.collect()) == [("2024-01", 1.0), ("2024-02", 20.0)]
-    assert sorted(glob.glob(f"{path}/year_month=2024-01/*.parquet")) == jan_files
+    assert jan_files and sorted(glob.glob(f"{path}/load_part=2024-01/*.parquet")) == jan_files
     assert [os.path.getmtime(f) for f in jan_files] == jan_mtimes
 
 
+def test_upsert_equals_rewrite_for_undated_and_shifted_rows(spark, tmp_dir):
+    from ampora.constants import BALANCE_KEY
+    from ampora.schemas import BALANCE_RAW
+    cols = "region_slug string, metric_id string, datetime string, year_month string, ingestion_timestamp string, value double"
+    early, late = "2024-01-01T00:00:00+00:00", "2024-02-01T00:00:00+00:00"
+    loads = [[("r", "m", "2025-01-01T00:00:00+01:00", "2025-01", early, 1.0), ("r", "m", None, "", early, 2.0)],
+             [("r", "m", "2024-12-31T23:00:00Z", "2024-12", late, 3.0), ("r", "m", None, "", late, 4.0)],
+             [("r", "m", None, None, early, 5.0)]]
+    up, app = f"{tmp_dir}/up", f"{tmp_dir}/app"
+    for rows in loads:
+        df = wr.conform(spark.createDataFrame(rows, cols), BALANCE_RAW)
+        wr.upsert_latest(spark, df, up, BALANCE_KEY, wr.utc_month("datetime"))
+        wr.append_load(df, app, BALANCE_RAW)
+    rewritten = wr.dedup_rewrite(spark, app, f"{tmp_dir}/once", BALANCE_KEY, schema=BALANCE_RAW)
+    assert sorted(r.value for r in wr.read_upserted(spark, up, BALANCE_RAW).collect()) == [3.0, 4.0]
+    assert sorted(r.value for r in rewritten.collect()) == [3.0, 4.0]
+
+
 def test_batch_upsert_mode_equals_rewrite(spark, tmp_dir):
     from ampora.plans.batch import run_batch
     a = run_batch(spark, "/root/testdata/sf0.001", root=f"{tmp_dir}/rw").curated
@@ -218,16 +239,3 @@ def test_scan_newest_first(spark, tmp_dir):
     wr.write_landing(_docs(spark, [("b", balance_doc(V))]), root)
     order = [r.region_slug for r in scan_documents(spark, root, newest_first=True).collect()]
     assert order == ["b", "a"]
-
-
-def test_upsert_beyond_partition_bound_is_still_exact(spark, tmp_dir):
-    import datetime as dt
-    schema = "k string, year_month string, ingestion_timestamp timestamp, value double"
-    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
-    path = f"{tmp_dir}/raw"
-    first = spark.createDataFrame([("a", "2024-01", t1, 1.0), ("b", "2024-02", t1, 2.0)], schema)
-    assert wr.upsert_latest(spark, first, path, ["k"], max_partitions=1) is None
-    again = spark.createDataFrame([("a", "2024-01", t2, 10.0), ("b", "2024-02", t1, 3.0)], schema)
-    wr.upsert_latest(spark, again, path, ["k"], max_partitions=1)
-    got = sorted((r.k, r.value) for r in spark.read.parquet(path).collect())
-    assert got == [("a", 10.0), ("b", 3.0)]
