@@ -9,13 +9,14 @@ has an exact similarity of at least ``THRESHOLD``.  A class is a connected compo
 A bucket is never expanded into its pairs.  Its members are first compared with one
 leader, the one that shares the most buckets with others; a bucket whose members then are in
 one class is done.  In the others, members of different classes are compared by their
-signatures, in blocks of bounded size.  So all pairs that share a bucket are decided,
-whatever the bucket's size.  Pairs are verified in groups that share most of their texts.
+signatures, in blocks of bounded size; pairs whose distances to the leader differ by more than
+1 - ``THRESHOLD`` need no look, as 1 - similarity is a metric.  So all pairs that share a bucket
+are decided, whatever the bucket's size.  Pairs are verified in groups that share most of their texts.
 
 Rows: null and empty texts, and texts without words, have no shingles and form classes of
 their own.  Equal texts are one node, so groups of copies cost no pairs.  Rows with a null
-``doc_id`` take no part: their class is null.  Rows that share a ``doc_id`` share a class
-and are linked by any of their texts.
+``doc_id`` take no part: their class is null.  Of rows that share a ``doc_id`` each
+has the class of its own text; an id's links are those of any text that it is the smallest id of.
 Further columns are not read.  An empty table gives an empty table.
 """
 
@@ -36,7 +37,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 30, 5
 REGISTERS = BANDS * ROWS     # at similarity 0.8 a pair is missed with probability 7e-6
-SIGNS = 0.65                 # share of equal registers below which a pair isn't verified (over 4.5 deviations)
+SIGNS = 0.68                 # share of equal registers below which a pair isn't verified (3.7 deviations)
+MARKS = 1 << 23              # bits of the mark table that thins texts before their join
 BLOCK = 256                  # members of a bucket, or bags, that are compared at once
 
 
@@ -139,21 +141,19 @@ def _bag_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array(out, pa.binary())
 
 
-def _alike(x: np.ndarray, y: np.ndarray) -> bool:
-    """Whether two bags overlap by ``THRESHOLD`` or more."""
-    if min(len(x), len(y)) < THRESHOLD * max(len(x), len(y)):
-        return False
+def _similarity(x: np.ndarray, y: np.ndarray) -> float:
+    """Weighted Jaccard similarity of two bags."""
     both = len(np.intersect1d(x, y, assume_unique=True))
-    return both >= THRESHOLD * (len(x) + len(y) - both) - 1e-9
+    return both / (len(x) + len(y) - both)
 
 
-def _links(pairs: pd.DataFrame, bags: pd.DataFrame) -> pd.DataFrame:
-    """The pairs of one group that are alike; an id with several bags is linked by any of them."""
+def _compared(pairs: pd.DataFrame, bags: pd.DataFrame) -> pd.DataFrame:
+    """The pairs of one group with their similarity; an id with several bags has its best."""
     held: dict[int, list[np.ndarray]] = {}
     for i, bag in zip(bags["id"], bags["bag"], strict=True):
         held.setdefault(i, []).append(np.frombuffer(bag, U))
-    near = [any(_alike(x, y) for x in held[a] for y in held[b]) for a, b in zip(pairs["a"], pairs["b"], strict=True)]
-    return pairs.loc[near, ["a", "b"]]
+    near = [max(_similarity(x, y) for x in held[a] for y in held[b]) for a, b in zip(pairs["a"], pairs["b"], strict=True)]
+    return pairs[["a", "b"]].assign(similarity=np.array(near, float))
 
 
 def _signature(text: Column) -> Column:
@@ -171,22 +171,53 @@ def _kept(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _marked(ids: DataFrame) -> bytes:
+    """A table of ``MARKS`` bits with a bit for the hash of each id: 1 MB, whatever the number of ids."""
+    at = F.pmod(F.xxhash64("id"), F.lit(MARKS))
+    rows = (ids.select((F.floor(at / 4096)).alias("page"), F.pmod(at, F.lit(4096)).alias("bit"))
+            .groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bits")).collect())
+    table = bytearray(MARKS // 8)
+    for r in rows:
+        table[r["page"] * 512:(r["page"] + 1) * 512] = r["bits"][:512]
+    return bytes(table)
+
+
+def _is_marked(spark: SparkSession, table: bytes, column: Column) -> Column:
+    """Whether a hash's bit is set; it is for every id of the table, and by chance for few others."""
+    sent = spark.sparkContext.broadcast(table)
+
+    def look(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bits = np.frombuffer(sent.value, np.uint8)
+        for batch in batches:
+            at = batch.to_numpy(zero_copy_only=False)
+            yield pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
+
+    return F.arrow_udf(look, "boolean")(F.pmod(F.xxhash64(column), F.lit(MARKS)))
+
+
 def _verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame, bags: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """(the pairs that are alike, bags read for them).
+    """(the pairs with their similarity, bags read for them).
 
     pairs: a, b and x, y, the group in which a pair is verified.  A text's bag goes to each of
-    its groups once, not to each of its pairs.
+    its groups once, not to each of its pairs.  Texts that no pair needs are left out by a
+    table of marks before the join moves any.
     """
-    used = _kept(spark, pairs.select("x", "y", F.explode(F.array("a", "b")).alias("id")).distinct(), "near-used")
+    ends = pairs.select("x", "y", F.col("a").alias("id")).union(pairs.select("x", "y", F.col("b").alias("id")))
+    used = _kept(spark, ends.distinct(), "near-used")
     needed = used.select("id").distinct()
     if bags is not None:
         needed = needed.join(bags.select("id").distinct(), "id", "left_anti")
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(needed, "id", "left_semi")
+    texts = docs.select(F.col("doc_id").alias("id"), "text")
+    texts = texts.where(_is_marked(spark, _marked(needed), F.col("id"))).join(needed, "id", "left_semi")
     new = _kept(spark, texts.select("id", _bag(F.col("text")).alias("bag")), "near-bags")
     bags = new if bags is None else bags.union(new)
     found = (pairs.groupBy("x", "y").cogroup(used.join(bags, "id").groupBy("x", "y"))
-             .applyInPandas(_links, "a bigint, b bigint"))
-    return _kept(spark, found, "near-links"), bags
+             .applyInPandas(_compared, "a bigint, b bigint, similarity double"))
+    return _kept(spark, found, "near-compared"), bags
+
+
+def _links(compared: DataFrame) -> DataFrame:
+    return compared.where(F.col("similarity") >= THRESHOLD - 1e-12).select("a", "b")
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
@@ -223,7 +254,7 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 def _cross(members: DataFrame) -> DataFrame:
     """Pairs of members of one bucket, but of different classes, whose signatures agree enough.
 
-    members: bucket, band, id, root, n_words, signs.  Of each bucket, the members of its largest class
+    members: bucket, band, id, root, far (distance to the bucket's leader), n_words, signs.  Of each bucket, the members of its largest class
     are compared with the rest, and the rest among themselves, in blocks of about ``BLOCK``.
     """
     sizes = members.groupBy("bucket", "root").count()
@@ -245,7 +276,7 @@ def _cross(members: DataFrame) -> DataFrame:
     with_rest = F.transform(F.sequence(F.lit(0), F.col("rest_blocks") - 1), lambda j: F.struct(
         (-1 - F.col("block")).alias("i"), j.alias("j")))
     dealt = blocks.select(
-        "bucket", "band", "id", "root", "n_words", "signs",
+        "bucket", "band", "id", "root", "far", "n_words", "signs",
         F.when(F.col("is_main"), -1 - F.col("block")).otherwise(F.col("block")).alias("place"),
         F.explode(F.when(F.col("is_main"), with_rest).otherwise(F.concat(to_rest, to_main))).alias("task"))
     return dealt.groupBy("bucket", "task").applyInPandas(_near, "a bigint, b bigint")
@@ -257,6 +288,7 @@ def _near(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
     A pair is given by the first band that it shares only.
     """
     ids, roots, n, place = (part[c].to_numpy() for c in ("id", "root", "n_words", "place"))
+    far = part["far"].to_numpy()
     signs = np.stack([np.frombuffer(x, np.uint16) for x in part["signs"]])
     band, task = int(part["band"].iloc[0]), key[1]
     left, right = np.flatnonzero(place == task["i"]), np.flatnonzero(place == task["j"])
@@ -266,6 +298,7 @@ def _near(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         # of two texts of n and m words, a similarity of THRESHOLD needs n - 4 >= THRESHOLD * (m - 4)
         less, more = np.minimum.outer(n[some], n[right]), np.maximum.outer(n[some], n[right])
         fits = (roots[some][:, None] != roots[right][None, :]) & (less >= THRESHOLD * more - SHINGLE)
+        fits &= np.abs(np.subtract.outer(far[some], far[right])) <= 1 - THRESHOLD + 1e-9
         i, j = np.nonzero(fits)
         for lo in range(0, len(i), 1 << 14):
             a, b = some[i[lo:lo + (1 << 14)]], right[j[lo:lo + (1 << 14)]]
@@ -289,25 +322,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     copies = worded.groupBy("content").agg(F.min("doc_id").alias("id"), F.count("*").alias("n"))
     # texts without copies need no representative but themselves
     same = _kept(spark, copies.where("n > 1").select("content", F.col("id").alias("first")), "near-copies")
-    nodes = _kept(spark, signed.join(same, "content", "left").select(
-        "doc_id", F.coalesce("first", "doc_id").alias("id"), "n_words", "bands", "signs"), "near-nodes")
-    own = nodes.where("doc_id = id AND n_words > 0")
+    nodes = _kept(spark, signed.select("doc_id", "content").join(same, "content", "left").select(
+        "doc_id", "content", F.coalesce("first", "doc_id").alias("id")), "near-nodes")
+    copied = nodes.where("doc_id <> id").select("doc_id", "content")
+    own = worded.join(copied, ["doc_id", "content"], "left_anti").withColumnRenamed("doc_id", "id")
     in_bucket = own.select("id", F.posexplode("bands").alias("band", "bucket"))
     sizes = in_bucket.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     shared = _kept(spark, in_bucket.join(sizes, "bucket"), "near-shared")
     central = shared.groupBy("id").agg(F.sum("n").alias("score"))
-    ranked = shared.join(central, "id").groupBy("bucket").agg(F.max(F.struct("score", "id"))["id"].alias("leader"))
+    ranked = _kept(spark, shared.join(central, "id").groupBy("bucket").agg(
+        F.max(F.struct("score", "id"))["id"].alias("leader")), "near-leaders")
     stars = _kept(spark, shared.join(ranked, "bucket").where("id <> leader").select(
         F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), "near-stars")
     rays = stars.groupBy(F.col("a").alias("x")).agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
     grouped = stars.join(rays, F.col("a") == F.col("x")).select(
         "a", "b", "x", F.pmod(F.xxhash64("b"), "parts").alias("y"))
-    links, bags = _verified(spark, grouped, known, None)
+    compared, bags = _verified(spark, grouped, known, None)
+    links = _links(compared)
     roots = components(spark, links)
 
     rooted = shared.join(roots, "id", "left").select("bucket", "band", "id", F.coalesce("root", "id").alias("root"))
     mixed = rooted.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-    members = _kept(spark, rooted.join(mixed.select("bucket"), "bucket", "left_semi")
+    distance = compared.groupBy(F.col("a").alias("leader"), F.col("b").alias("id")).agg((1 - F.max("similarity")).alias("far"))
+    led = rooted.join(mixed.select("bucket"), "bucket", "left_semi").join(ranked, "bucket")
+    members = _kept(spark, led.join(distance, ["leader", "id"], "left").withColumn("far", F.coalesce("far", F.lit(0.0)))
                     .join(own.select("id", "n_words", "signs"), "id"), "near-mixed")
     tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = _kept(spark, _cross(members).join(tested, ["a", "b"], "left_anti"), "near-rest")
@@ -320,7 +358,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         placed = (rest.join(cell.select(F.col("id").alias("a"), F.col("cell").alias("p")), "a")
                   .join(cell.select(F.col("id").alias("b"), F.col("cell").alias("q")), "b")
                   .select("a", "b", F.least("p", "q").alias("x"), F.greatest("p", "q").alias("y")))
-        more, _ = _verified(spark, placed, known, bags)
+        more = _links(_verified(spark, placed, known, bags)[0])
         if not more.isEmpty():
             roots = components(spark, links.union(more))
     out = nodes.join(roots, "id", "left").select("doc_id", F.coalesce("root", "id").alias("class_id"))
