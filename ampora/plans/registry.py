@@ -360,7 +360,7 @@ from flat"""
 @register("upsert_rewrite", _UPSERT_SQL + """
 union all
 select region_slug, metric_id, nullif(year_month, year_month), '2024-02-01 00:00:00', value + 1
-from flat where metric_type = '1-URGENT' and n_nationkey = 0 and year_month = '1996-01'""")
+from flat where metric_type = '1-URGENT' and n_nationkey = 0 and year_month = '1995-03'""")
 def q_upsert_rewrite(spark, sf):
     """Two loads upserted into a month-partitioned raw table: only the months
     each load touches are rewritten.  The second load delivers the same instants in another
@@ -371,7 +371,7 @@ def q_upsert_rewrite(spark, sf):
     wr.write_processed(_two_ingestions(spark, sf), processed)
     flat = spark.read.parquet(processed)
     again = flat.where(F.col("ingestion_timestamp") == fx.REINGESTED_AT)
-    undated = again.where("redata_geo_id = 0 AND year_month = '1996-01'").withColumns(
+    undated = again.where("redata_geo_id = 0 AND year_month = '1995-03'").withColumns(
         {"year_month": F.lit(None).cast("string"), "datetime": F.lit(None).cast("string")})
     # the month starts an hour earlier in UTC
     shifted = again.withColumn("datetime", F.date_format(
