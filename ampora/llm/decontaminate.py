@@ -82,12 +82,10 @@ class Windows:
         at[at == len(self.vocabulary)] = 0
         ids = np.where(self.vocabulary[at] == words, at + 1, 0).astype(np.uint32)
         # words from each position to the next unknown word or the document's end
-        stop = np.flatnonzero(ids == 0)
-        limit = np.sort(np.concatenate([stop, bounds[1:]]))
         place = np.arange(len(ids))
-        room = limit[np.searchsorted(limit, place, "left")] - place
+        stop = np.append(np.flatnonzero(ids == 0), len(ids))
         ends = bounds[1:][np.searchsorted(bounds[1:], place, "right")]
-        room = np.where(ids == 0, 0, np.minimum(room, ends - place))
+        room = np.minimum(stop[np.searchsorted(stop, place, "left")], ends) - place
         start = np.flatnonzero(room >= self.least)
         column = start[:, None] + np.arange(self.width)
         rows = np.where(np.arange(self.width) < room[start][:, None], ids[np.minimum(column, len(ids) - 1)], 0)
