@@ -62,13 +62,13 @@ def slots(host_of: Column, path_of: Column) -> Column:
 
 
 def _slots_of(mark: str, part: Column, n: int) -> Column:
+    # letters and the letters after them, side by side: no lambda looks into a whole array
     letters = F.split(F.concat(F.lit("^"), part, F.lit("$")), "")
-
-    def gram(letter: Column, at: Column) -> Column:
-        return F.concat(letter, *(F.get(letters, at + k) for k in range(1, n)))
-
-    grams = F.filter(F.transform(letters, gram), lambda g: g.isNotNull())
-    return F.transform(grams, lambda g: F.pmod(F.xxhash64(F.lit(mark), g), F.lit(SLOTS)).cast("int"))
+    grams = letters
+    for k in range(1, n):
+        grams = F.zip_with(grams, F.slice(letters, k + 1, F.size(letters)), lambda a, b: F.concat(a, b))
+    whole = F.filter(grams, lambda g: g.isNotNull())
+    return F.transform(whole, lambda g: F.pmod(F.xxhash64(F.lit(mark), g), F.lit(SLOTS)).cast("int"))
 
 
 @dataclass
