@@ -83,6 +83,7 @@ def test_range_coder_learns_and_detects_damage():
     ids = np.tile(np.arange(50, dtype=np.uint32), 400)
     block = encode_block(ids)
     assert len(block) < len(ids) // 2                       # under four bits an id, where order 0 needs 5.6
+    block = encode_block(np.random.default_rng(4).integers(0, 50_000, 5000).astype(np.uint32))
     damaged = bytearray(block)
     damaged[len(block) // 2] ^= 0xFF
     with pytest.raises(ValueError, match="checksum"):
