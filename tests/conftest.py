@@ -15,7 +15,7 @@ def spark():
     from ampora.session import build_session
     ck = tempfile.mkdtemp(prefix="ampora-test-ckpt-")
     wh = tempfile.mkdtemp(prefix="ampora-test-warehouse-")
-    s = build_session("local[*]", app_name="ampora-tests", shuffle_partitions=8,
+    s = build_session(f"local[{os.environ.get('TEST_CPUS', '*')}]", app_name="ampora-tests", shuffle_partitions=8,
                       extra_conf={"spark.checkpoint.dir": ck, "spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
