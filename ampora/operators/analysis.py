@@ -61,12 +61,14 @@ def slice_filter(df: DataFrame, region_name: str, metric_type: str,
 
 
 def slice_kpis(df: DataFrame, group: list[str] = GROUP) -> DataFrame:
-    """Distinct months, mean energy value, mean weather value per group.
-    ``df`` must carry ``weather_value`` (see ``with_weather_value``)."""
-    return df.groupBy(*group).agg(
+    """Distinct months, mean energy value, mean weather value per group, and
+    the means as text with one decimal.  ``df`` must carry ``weather_value``
+    (see ``with_weather_value``)."""
+    means = df.groupBy(*group).agg(
         F.countDistinct("year_month").cast("long").alias("n_months"),
         F.avg("value").alias("avg_value"),
         F.avg("weather_value").alias("avg_weather"))
+    return means.withColumns({f"{c}_text": F.format_number(c, 1) for c in ("avg_value", "avg_weather")})
 
 
 def share_kpi(df: DataFrame, group: list[str] = GROUP) -> DataFrame:

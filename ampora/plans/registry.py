@@ -556,12 +556,13 @@ def q_slice_filter(spark, sf):
 
 @register("slice_kpis", _ECW + """
 select region_name, metric_type, count(distinct year_month) as n_months,
-       round(avg(value), 6) as avg_value, round(avg(weather_value), 6) as avg_weather
+       round(avg(value), 6) as avg_value, round(avg(weather_value), 6) as avg_weather,
+       format('{:,.1f}', avg(value)) as avg_value_text, format('{:,.1f}', avg(weather_value)) as avg_weather_text
 from cv group by region_name, metric_type""")
 def q_slice_kpis(spark, sf):
     k = an.slice_kpis(_curated_w(spark, sf))
     return k.select("region_name", "metric_type", "n_months", round6(F.col("avg_value")).alias("avg_value"),
-                    round6(F.col("avg_weather")).alias("avg_weather"))
+                    round6(F.col("avg_weather")).alias("avg_weather"), "avg_value_text", "avg_weather_text")
 
 
 @register("share_kpi", _ECW + """
@@ -571,14 +572,15 @@ def q_slice_kpis(spark, sf):
 a as (select region_name, metric_type, avg(percentage) as mn, max(abs(percentage)) as mx
         from p group by region_name, metric_type)
 select region_name, metric_type,
-       round(case when mx <= 1 then mn * 100 else mn end, 6) as share_pct
+       round(case when mx <= 1 then mn * 100 else mn end, 6) as share_pct,
+       format('{:,.1f}', case when mx <= 1 then mn * 100 else mn end) || '%' as share_text
 from a""")
 def q_share_kpi(spark, sf):
     """One metric delivers percentages, so both branches of the scale rule run."""
     rows = _curated_w(spark, sf).withColumn("percentage", F.when(
         F.col("metric_type") == "2-HIGH", F.col("percentage") * 100).otherwise(F.col("percentage")))
     s = an.share_kpi(rows)
-    return s.select("region_name", "metric_type", round6(F.col("share_pct")).alias("share_pct"))
+    return s.select("region_name", "metric_type", round6(F.col("share_pct")).alias("share_pct"), "share_text")
 
 
 @register("summary_stats", _ECW + """
