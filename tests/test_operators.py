@@ -244,3 +244,28 @@ def test_argument_errors(spark):
         dedup_latest(_raw(spark), ["nope"])
     with pytest.raises(ValueError, match="Unknown columns"):
         dedup_latest(_raw(spark), ["region_slug"], order_by="missing_ts")
+
+
+def test_shared_root_needs_a_setting_off_local():
+    from ampora.session import shared_root
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Session:
+        conf, sparkContext = Conf(), None
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(Session())
+
+
+def test_statistics_over_a_written_mart_join_nothing_and_combine_on_the_scan(spark, tmp_dir):
+    _mart(spark).write.parquet(tmp_dir)
+    stats = an.summary_stats(an.with_weather_value(spark.read.parquet(tmp_dir), relationship_rows()))
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
+    assert plan.index("partial_") < plan.index("Scan parquet") and "region_name" in plan.split("Exchange")[1].split("\n")[0]
+    chosen = cov.select_regions(spark.read.parquet(tmp_dir), _mart(spark).select("region_slug").distinct(),
+                                [_mart(spark).first().region_slug])
+    assert "Exchange" not in chosen._jdf.queryExecution().executedPlan().toString()
