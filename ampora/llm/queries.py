@@ -139,6 +139,7 @@ def op8_tfidf_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from .licenses import license_scan
 
-    # documents have no paths: a source is a tree, a language a directory of it
+    # documents have no paths: a source is a tree, a language a directory of it; no document is named
+    # like a licence file, so none gives its licence to others
     place = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
     return license_scan(table(spark, sf_dir, "documents").select("doc_id", place.alias("path"), "text"))

@@ -3,6 +3,7 @@
 import hashlib
 import re
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -14,6 +15,7 @@ from ampora.llm.decontaminate import contamination, remove_contaminated
 from ampora.llm.labelled_urls import labelled_urls
 from ampora.llm.licenses import license_scan
 from ampora.llm.quality import fit, keep_good, quality_scores
+from ampora.llm.queries import QUERIES
 from ampora.llm.toxicity import Lexicon, drop_toxic, fold, toxicity_scores
 from ampora.llm.url_filter import judge, learn
 
@@ -193,3 +195,16 @@ def test_licences_in_documents(spark):
     got = {r.doc_id: r.how for r in license_scan(docs).collect()}
     said = duckdb.sql(f"SELECT doc_id FROM '{SF}/documents.parquet' WHERE regexp_matches(text, 'icensed under|Released under the MIT')").fetchall()
     assert {d for d, how in got.items() if how in ("header", "file")} == {d for (d,) in said}
+
+
+def test_a_short_page_does_not_license_its_directory(spark):
+    rows = [("src/en/1", "Was orer.\nThis work is licensed under the GNU General Public License, version 3."), ("src/en/2", "foo bar"),
+            ("t/LICENSE", "Was orer.\nThis work is licensed under the GNU General Public License, version 3."), ("t/en/2", "foo bar")]
+    got = {r.path: (r.license, r.how) for r in license_scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert got == {"src/en/1": ("GPL-3.0", "header"), "src/en/2": (None, "none"), "t/LICENSE": ("GPL-3.0", "file"), "t/en/2": ("GPL-3.0", "inherited")}
+
+
+def test_registered_licence_scan_inherits_nothing(spark):
+    got = Counter(r.how for r in QUERIES["op8_tfidf_license_scan"](spark, SF).collect())
+    (said,), = duckdb.sql(f"SELECT count(*) FROM '{SF}/documents.parquet' WHERE regexp_matches(text, 'icensed under|Released under the MIT')").fetchall()
+    assert got["inherited"] == got["file"] == 0 and got["header"] == said > 0
