@@ -7,17 +7,19 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from ampora.llm import decontaminate, toxicity
 from ampora.llm.decontaminate import contamination, remove_contaminated
 from ampora.llm.labelled_urls import labelled_urls
-from ampora.llm.licenses import license_scan
+from ampora.llm.licenses import TEMPLATES, Templates, full_texts, license_scan
 from ampora.llm.quality import fit, keep_good, quality_scores
 from ampora.llm.queries import QUERIES
 from ampora.llm.toxicity import Lexicon, drop_toxic, fold, toxicity_scores
 from ampora.llm.url_filter import judge, learn
+from ampora.llm.words import slices, word_hashes
 
 SF = "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -208,3 +210,101 @@ def test_registered_licence_scan_inherits_nothing(spark):
     got = Counter(r.how for r in QUERIES["op8_tfidf_license_scan"](spark, SF).collect())
     (said,), = duckdb.sql(f"SELECT count(*) FROM '{SF}/documents.parquet' WHERE regexp_matches(text, 'icensed under|Released under the MIT')").fetchall()
     assert got["inherited"] == got["file"] == 0 and got["header"] == said > 0
+
+
+CODE = "import one\n\ndef lamp(shade):\n    return shade.bulb * 17\n"
+GPL3 = """/*
+ * Lamp is a free reader of meters.
+ * Copyright (C) 2019 Ann Example <ann@example.org>
+ *
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+ */
+"""
+BSD_STYLE = """// Copyright 2014 The Lamp Authors. All rights reserved.
+// Use of this source code is governed by a BSD-style
+// license that can be found in the LICENSE file.
+"""
+APACHE = """# Copyright 2020 The Lamp Company
+#
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+"""
+LGPL21 = """ * This library is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU Lesser General Public
+ * License as published by the Free Software Foundation; either
+ * version 2.1 of the License, or (at your option) any later version.
+"""
+MIT_TEXT = """The MIT License (MIT)
+
+Copyright (c) 2015 Ann Example, Bob Example and others
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+"""
+PROSE = """The committee met in the public library on Tuesday to modify the terms of its report.
+Any person who wants a copy of the work may ask the office for one, free of charge.
+The museum is open to the public in the summer and the file of the foundation is kept there.
+A driving license is needed for the second version of the course, and you may not use your own car.
+"""
+NOTICES = {
+    "gpl.c": (GPL3 + CODE, "GPL-3.0", "header"), "gpl2.c": (GPL3.replace("version 3", "version 2") + CODE, "GPL-2.0", "header"),
+    "agpl.c": (GPL3.replace("GNU General", "GNU Affero General") + CODE, "AGPL-3.0", "header"), "bsd.go": (BSD_STYLE + CODE, "BSD-3-Clause", "header"),
+    "lgpl.c": (LGPL21 + CODE, "LGPL-2.1", "header"), "apache.py": (APACHE + CODE, "Apache-2.0", "header"), "mit/COPYING": (MIT_TEXT, "MIT", "file"),
+    "mit/of.py": (CODE, "MIT", "inherited"), "mit.txt": (MIT_TEXT, "MIT", "header"), "mit.js": (MIT_TEXT.split("The above")[0] + CODE, "MIT", "header"),
+    "tag.c": ("/* SPDX-License-Identifier: Apache-2.0 */\n" + CODE, "Apache-2.0", "header"), "tag.rs": ("// SPDX-License-Identifier: MIT\n" + CODE, "MIT", "header"),
+    "tag.h": (CODE + "# SPDX-License-Identifier: GPL-2.0-or-later\n", "GPL-2.0", "header"), "tag.md": ("<!-- SPDX-License-Identifier: WTFPL-->", "WTFPL", "header"),
+    "tags.c": ("// SPDX-License-Identifier: (GPL-2.0-only OR MIT)\n" + GPL3, "(GPL-2.0-only OR MIT)", "header"),
+    "none.c": ("// SPDX-License-Identifier: NONE\n" + CODE, None, "none"), "code.py": (CODE, None, "none"), "prose": (PROSE, None, "none"),
+    "apart.txt": ("Licensed\nunder zeta eta theta\nthe iota kappa lamda\nMIT mu nu xi\nLicense.", None, "none"),
+}
+
+
+def test_usual_notices_and_texts_among_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(F.concat(F.lit("d/"), F.col("doc_id").cast("string")).alias("path"), "text")
+    rows = spark.createDataFrame([(p, t) for p, (t, _, _) in NOTICES.items()], docs.schema)
+    got = {r.path: (r.license, r.how) for r in license_scan(docs.union(rows)).where("NOT startswith(path, 'd/')").collect()}
+    assert got == {p: (x, how) for p, (_, x, how) in NOTICES.items()}
+
+
+def test_cosines_do_not_fall_as_the_corpus_grows():
+    known = [t for _, t in (*TEMPLATES, *full_texts())]
+    ((data, ends),) = slices(pa.array([GPL3 + CODE, BSD_STYLE + CODE, MIT_TEXT, PROSE]))
+    few = Templates(known, len(TEMPLATES))
+    common = {int(k): 0.9 for k in few.number(word_hashes(*next(slices(pa.array(["the of to a and in is"]))))[0])}
+    found = []
+    for n in (10_000, 10**9):
+        templates = Templates(known, len(TEMPLATES), {k: int(share * n) for k, share in common.items()}, n)
+        found.append(np.stack([*templates.nearest_run(data, ends), *templates.nearest(*word_hashes(data, ends), whole=True)]))
+    assert np.abs(found[0] - found[1]).max() < 1e-3
+    assert (found[1][1] >= 0.6).tolist() == [True, True, True, False] and found[1][3][2] >= 0.75
+
+
+def test_runs_equal_brute_force():
+    known = [t for _, t in TEMPLATES]
+    rng = np.random.default_rng(5)
+    lines = [x for t in (GPL3, BSD_STYLE, APACHE, LGPL21, MIT_TEXT, PROSE, CODE) for x in t.split("\n")] + ["", "of the", "zeta eta"]
+    texts = ["", *("\n".join(rng.choice(lines, rng.integers(1, 30))) for _ in range(60)), *("\n".join(lines[a:a + 25]) for a in range(0, len(lines), 9)), ""]
+    templates = Templates(known, len(known), {}, 50)
+    ((data, ends),) = slices(pa.array(texts))
+    got = templates.nearest_run(data, ends)[1]
+    for text, cosine in zip(texts, got, strict=True):
+        worded = [x for x in text.split("\n") if words(x)]
+        runs = ["\n".join(worded[i:j]) for i in range(len(worded)) for j in range(i + 1, min(len(worded), i + 12) + 1)]
+        best = 0.0
+        if runs:
+            hashes, bounds = word_hashes(*next(slices(pa.array(runs))))
+            best = templates.nearest(hashes, bounds, whole=False)[1].max()
+        assert cosine == pytest.approx(best if best >= 0.6 else 0.0), text
