@@ -113,7 +113,8 @@ def _sign_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for r in range(ROWS):
                 band = mix(band + sig[:, r::ROWS])
             bands.append(mix(band + np.arange(BANDS, dtype=U)))
-            signs.append((sig >> U(48)).astype(np.uint16))
+            # a draw's top bits chose its register, so those of unequal registers are often equal: scatter them first
+            signs.append((mix(sig) >> U(48)).astype(np.uint16))
         n = np.concatenate(words) if words else np.empty(0, np.int64)
         flat = np.concatenate(bands) if bands else np.empty((0, BANDS), U)
         band_lists = pa.ListArray.from_arrays(
