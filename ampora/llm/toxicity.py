@@ -1,8 +1,10 @@
 """Toxicity score: a weighted lexicon, matched by Aho-Corasick on folded text.
 
-Folding lower-cases, turns look-alike letters and digits or signs that stand for letters into
-plain ones (the letters i, l and 1 become one), and all other ASCII signs into blanks.  A
-term is the beginning of a word.  Terms inside an exception phrase don't count.
+Folding takes compatibility forms apart, drops invisible characters, lower-cases, turns look-alike
+letters and digits or signs that stand for letters into plain ones (the letters i, l and 1 become one), and
+every other character that is no letter, mark or digit into a blank, in any script.  A text is matched with
+its accents and without them, as terms may be learned from either form; a word counts once.  A
+term is the beginning of a word, a run between blanks.  Terms inside an exception phrase don't count.
 
 The lexicon is learned from labelled texts of the training fold: of all word beginnings,
 those that far more toxic texts hold than clean ones, with the log of the ratio as weight;
@@ -17,6 +19,7 @@ are kept.  An empty table gives an empty table.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -53,20 +56,46 @@ _LOOKALIKE = {
 }
 
 
-def _folding() -> dict[int, str | None]:
-    table: dict[int, str | None] = {c: " " for c in range(0x80) if not chr(c).isalnum()}
-    table |= {0xFF41 + k: chr(0x61 + k) for k in range(26)} | {0xFF21 + k: chr(0x61 + k) for k in range(26)}
-    table |= {ord(c): x for c, x in _LOOKALIKE.items()}
-    table |= {0xAD: None, 0x200B: None, 0x200C: None, 0x200D: None, 0xFEFF: None}     # invisible
-    return {c: "i" if x == "l" else x for c, x in table.items()} | {ord("l"): "i"}
+class _Folding(dict):
+    """What becomes of each code point, by its Unicode category; found when it is first seen."""
 
+    def __missing__(self, code: int) -> str | None:
+        kind = unicodedata.category(chr(code))
+        if kind in ("Cf", "Me"):       # invisible, circles around letters
+            to = None
+        else:
+            to = chr(code) if kind[0] in "LNM" else " "
+        self[code] = to
+        return to
 
-_FOLD = _folding()
+
+_FOLD = _Folding({ord(c): "i" if x == "l" else x for c, x in _LOOKALIKE.items()} | {ord("l"): "i"})
+
+
+class _Plain(_Folding):
+    """The same without accents."""
+
+    def __missing__(self, code: int) -> str | None:
+        self[code] = None if unicodedata.category(chr(code)) == "Mn" else _FOLD[code]
+        return self[code]
+
+
+_PLAIN = _Plain()
+
+
+def forms(text: str) -> tuple[str, str]:
+    """The text with accents and without them; both have the same blanks."""
+    if text.isascii():
+        folded = text.lower().translate(_FOLD)
+        return folded, folded
+    normal = unicodedata.normalize
+    accented = normal("NFC", normal("NFKC", text).lower().translate(_FOLD))
+    return accented, normal("NFC", normal("NFD", accented).translate(_PLAIN))
 
 
 def fold(text: str) -> str:
-    """The text as terms are matched in it."""
-    return text.lower().translate(_FOLD)
+    """The text without accents, as the given terms and phrases are matched in it."""
+    return forms(text)[1]
 
 
 @dataclass
@@ -93,22 +122,35 @@ class Lexicon:
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "automaton"}
 
-    def found(self, text: str) -> tuple[float, int]:
-        """(sum of the weights of the terms found, number of words)."""
-        folded = f" {fold(text)} "
-        words = len(folded.split())
-        if not len(self.automaton):
-            return 0.0, words
-        hits: dict[int, float] = {}       # one term a word: the heaviest
-        spared: list[tuple[int, int]] = []
+    def _matches(self, folded: str) -> tuple[dict[int, float], set[int]]:
+        """(heaviest term of each word that has one, words of exception phrases), by the word's number of blanks before it."""
+        hits: dict[int, float] = {}
+        phrases: list[tuple[int, int]] = []
         for end, (size, weight) in self.automaton.iter(folded):
             start = end - size + 1
             if weight is None:
-                spared.append((start, end))
+                phrases.append((start, folded.count(" ", start + 1, end)))
             else:
                 hits[start] = max(weight, hits.get(start, 0.0))
-        total = sum(w for at, w in hits.items() if not any(a <= at < b for a, b in spared))
-        return total, words
+        number, at, blanks = {}, 0, 0
+        for start in sorted({*hits, *(x[0] for x in phrases)}):
+            blanks += folded.count(" ", at, start)
+            number[start], at = blanks, start
+        return {number[x]: w for x, w in hits.items()}, {number[x] + k for x, more in phrases for k in range(more + 1)}
+
+    def found(self, text: str) -> tuple[float, int]:
+        """(sum of the weights of the terms found, number of words)."""
+        accented, plain = (f" {x} " for x in forms(text))
+        words = len(plain.split())
+        if not len(self.automaton):
+            return 0.0, words
+        hits, spared = self._matches(plain)
+        if accented != plain:
+            more, also = self._matches(accented)
+            spared |= also
+            for at, w in more.items():
+                hits[at] = max(w, hits.get(at, 0.0))
+        return sum(w for at, w in sorted(hits.items()) if at not in spared), words
 
     def measure(self, text: str) -> tuple[float, float]:
         total, words = self.found(text)
@@ -138,7 +180,7 @@ def _calibrated(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
 def _beginnings(text: Column) -> Column:
     def begin(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([sorted({w[:k] for w in set(fold(t or "").split())
+            yield pa.array([sorted({w[:k] for w in {w for x in forms(t or "") for w in x.split()}
                                     for k in range(SHORTEST, min(LONGEST, len(w)) + 1)})
                             for t in batch.to_pylist()], pa.list_(pa.string()))
 

@@ -127,6 +127,37 @@ def test_folding_and_exceptions():
         "abcd": 5.0, "abx": 5.0, "abxy": 6.0}
 
 
+SIGNS_OF_THE_WEB = ["\u201c", "\u2018", "\u2019", "\u2013", "\u2014", "\u00ab", "\u00bb", "\u00a0", "\u202f", "\u3000", "\u3002", "\u300c", "\u2026",
+                    "\u00bf", "\u2022", "\uff01", "\u2028", "\x85", "\U0001f621", "\u00b4", "x \u200b\u2014\u200b"]
+
+
+@pytest.mark.parametrize("sign", SIGNS_OF_THE_WEB)
+def test_terms_after_signs_that_are_not_ascii(sign):
+    lexicon = Lexicon({fold("idiot"): 5.0, fold("trash"): 3.0}, (fold("trash can"),))
+    assert lexicon.found(f"you{sign}idiot{sign}. A{sign}trash{sign}heap")[0] == 8.0
+    assert lexicon.found(f"A trash{sign[-1]}can.")[0] == (3.0 if sign[-1] in "\u200b\u2026" else 0.0)
+    # whatever learning can take for a word, scoring finds
+    text = f"Ein{sign}schlimmes Wort{sign}fällt{sign}hier, niño\u00a0größer{sign}слово"
+    for word in {w for x in toxicity.forms(text) for w in x.split()}:
+        assert Lexicon({word: 1.0}, ()).found(text)[0] > 0, word
+
+
+def test_accents_compatibility_forms_and_scripts():
+    assert fold("ídiot İDIOT idio\u0308t 𝐈𝐝𝐢𝐨𝐭 ⓘⓓⓘⓞⓣ i\u200bd\u2060i\u00adot") == " ".join(["idiot"] * 6)
+    assert fold("한국어 слово हिंदी")[:4] == "한국어 " and toxicity.forms("Réel, ＩＤＩＯＴ") == ("réei  idiot", "reei  idiot") and fold("naïve Ångström") == "naive angstrom"
+    both = Lexicon({"idiot": 5.0, "réei": 2.0}, (fold("idiot proof"),))
+    assert both.found("Ídiot réel \u2014 reel idiot")[0] == 12.0 and both.found("idiot pröof, ídiot proof, réel")[0] == 2.0
+    assert fold("l1I") == "iii" and fold("") == "" and fold("a\tb\nc_d") == "a b c d"
+    assert all(fold(chr(c)) == " " for c in range(0x80) if not chr(c).isalnum() and chr(c) not in "@$")
+
+
+def test_quoted_terms_are_dropped(spark):
+    texts = ["A quiet walk by the river with a friend", "\u201cidiot\u201d \u2014 \u00abmoron\u00bb\u00a0scum", "You \u2014\u00edd\u00edot\u2014, you\u00a0moron"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert [r.doc_id for r in drop_toxic(docs, none).collect()] == [0]
+
+
 URLS = [None, "", "no scheme", "http://", "://x", "http://A.NET", "http://a.net/", "http://xnet/", "http://NET/x", "https://example.net/en/1?q#f",
         "http://www.example.net/en/", "http://example.net/de/", "http://EXAMPLE.com/de/x", "http://a.org/fr/?x", "http://a.org/FR/",
         "http://casino-win.example.org/en/1", "http://www.museum.example.com/en/3", "http://h?x/y", "http://h#x/y",
