@@ -143,3 +143,46 @@ def op8_tfidf_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     # like a licence file, so none gives its licence to others
     place = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
     return license_scan(table(spark, sf_dir, "documents").select("doc_id", place.alias("path"), "text"))
+
+
+@query
+def op13_bit_plane_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .bit_planes import clusters, digest, seed_order
+    from .cover_tree import scaled
+
+    rows = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").cast("long").alias("vec_id"), scaled(F.col("embedding")).alias("vector"))
+    return clusters(rows, seed_order(F.col("vec_id"))).withColumn("centroid_sha256", digest(F.col("centroid"))).drop("centroid")
+
+
+def _rounds_sql(rounds: int) -> str:
+    """Ten moves of eight centroids, one common table expression after the other."""
+    nearest = """, a{r} AS MATERIALIZED (
+  SELECT rn, cluster, distance FROM (
+    SELECT v.rn, c.cluster, CAST(list_dot_product(v.q, v.q) - 2 * list_dot_product(v.q, c.q) + list_dot_product(c.q, c.q) AS BIGINT) AS distance,
+           row_number() OVER (PARTITION BY v.rn ORDER BY list_dot_product(c.q, c.q) - 2 * list_dot_product(v.q, c.q), c.cluster) AS nth
+    FROM v CROSS JOIN c{r} c) WHERE nth = 1)"""
+    move = """, c{n} AS MATERIALIZED (
+  SELECT c.cluster, coalesce(m.q, c.q) AS q FROM c{r} c LEFT JOIN (
+    SELECT cluster, list(CAST(s // n - CASE WHEN s % n < 0 THEN 1 ELSE 0 END AS DOUBLE) ORDER BY i) AS q FROM (
+      SELECT cluster, i, CAST(sum(CAST(v.q[i] AS BIGINT)) AS BIGINT) AS s, count(*) AS n
+      FROM a{r} a JOIN v USING (rn) CROSS JOIN range(1, 65) t(i) GROUP BY cluster, i) GROUP BY cluster) m USING (cluster))"""
+    return "".join(nearest.format(r=r) + move.format(r=r, n=r + 1) for r in range(rounds)) + nearest.format(r=rounds)
+
+
+ORACLE["op13_bit_plane_clusters"] = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rn, vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('3:' || CAST(vec_id AS VARCHAR)), q) - 1 AS INTEGER) AS cluster, q
+  FROM v QUALIFY cluster < 8
+){_rounds_sql(10)}
+SELECT v.vec_id, a.cluster, a.distance, CAST(sum(a.distance) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a.distance) OVER () AS BIGINT) AS inertia,
+       sha256(list_aggregate(list_transform(c.q, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), 'string_agg', ',')) AS centroid_sha256
+FROM a10 a JOIN v USING (rn) JOIN c10 c USING (cluster)
+"""
