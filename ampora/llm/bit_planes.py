@@ -6,8 +6,8 @@ centroid is the sum of weight_i * weight_j * p(plane_i & plane_j) over their pla
 and the squared distance is |v|^2 - 2<v,c> + |c|^2.  The bits of each plane, counted by cluster, give the sums that
 move the centroids.
 
-Vectors are packed once, into a table in the shared folder.  A round is one pass over it: each task sends a row of 64
-sums per cluster, Spark adds them up, and only the centroids come to the driver.  No vector is shuffled.
+Vectors are packed once, into a table in the shared folder.  A round is one pass over it: each task sends 64 sums
+per cluster, Spark adds them up, and only the centroids come to the driver.  No vector is shuffled.
 
 Rows: vectors that are null, or don't have 64 components, or hold null, NaN or infinite ones take no part.  Repeated rows
 and rows without an id count each for themselves; rows without an id become first centroids only if too few others are there.
@@ -134,13 +134,13 @@ def moved(vectors: DataFrame, centroids: np.ndarray) -> np.ndarray:
                     bits = unpack(words[low:low + CHUNK]).reshape(len(member), -1).astype(np.float32)
                     per_plane = (member.T @ bits).astype(np.int64).reshape(k, len(value), COMPONENTS)
                     total += (per_plane * value[:, None]).sum(axis=1)
-        yield pd.DataFrame({"cluster": np.arange(k), "n": count, "sums": list(total)})
+        yield pd.DataFrame({"cluster": np.repeat(np.arange(k), COMPONENTS), "at": np.tile(np.arange(COMPONENTS), k),
+                            "n": np.repeat(count, COMPONENTS), "total": total.ravel()})
 
-    part = vectors.mapInPandas(sums, "cluster int, n long, sums array<long>")
+    part = vectors.mapInPandas(sums, "cluster int, at int, n long, total long").where("n > 0")
     new = centroids.copy()
-    for r in part.groupBy("cluster").agg(F.sum("n").alias("n"), F.array(
-            *[F.sum(F.col("sums")[i]) for i in range(COMPONENTS)]).alias("sums")).where("n > 0").collect():
-        new[r["cluster"]] = [s // r["n"] for s in r["sums"]]
+    for r in part.groupBy("cluster", "at").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).collect():
+        new[r["cluster"], r["at"]] = r["total"] // r["n"]
     return new
 
 
