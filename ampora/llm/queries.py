@@ -186,3 +186,34 @@ SELECT v.vec_id, a.cluster, a.distance, CAST(sum(a.distance) OVER (PARTITION BY
        sha256(list_aggregate(list_transform(c.q, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), 'string_agg', ',')) AS centroid_sha256
 FROM a10 a JOIN v USING (rn) JOIN c10 c USING (cluster)
 """
+
+
+@query
+def op12_chebyshev_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .cover_tree import scaled
+    from .whitening import whiten
+
+    whole = F.transform(scaled(F.col("embedding")), lambda x: x + 100_000)
+    done = whiten(table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("vector")))
+    if done is None:
+        return spark.createDataFrame([], "vec_id long, component int, n long, deviation long, whitened double, "
+                                         "explained double, identity_error double")
+    share = F.array(*[F.lit(float(e / done.components.total)) for e in done.components.variances])
+    # beyond 63 bits the exact sum stays as text, and the number is null
+    each = done.rows.select("vec_id", F.expr("try_cast(deviation AS long)").alias("deviation"), "deviation",
+                            F.posexplode("whitened").alias("at", "whitened")).toDF("vec_id", "deviation", "exact", "at", "whitened")
+    return each.select("vec_id", (F.col("at") + 1).cast("int").alias("component"), F.lit(done.moments.n).cast("long").alias("n"),
+                       "deviation", "whitened", share[F.col("at")].alias("explained"),
+                       F.lit(done.identity_error).alias("identity_error"), F.col("exact").alias("deviation_text"))
+
+
+@query
+def op11_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .learned_partitions import nearest
+
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("vector"))
+    return nearest(rows, F.col("vec_id") % 20 == 0)
