@@ -11,10 +11,10 @@ Fit, on a bounded sample (``SAMPLE`` rows, those with the smallest hashes of the
    hold ``TARGET`` of their neighbours is what queries are routed to.
 
 Every row is indexed by 3.  Every query goes to its most probable parts until their probability reaches that share and they
-hold more than ``k`` points.  Parts are searched whole, in blocks of bounded size, by queries in blocks, and the best
-are ranked by the product of the original components in double precision, added from left to right.  Equal vectors are one
+hold more than ``k`` points.  Parts are searched whole: a block of queries of neighbouring parts meets, in one task, a shard of
+neighbouring parts (or of one large part), both of bounded size, and hands on each query's best.  They are ranked by the product of the original components in double precision, added from left to right.  Equal vectors are one
 point that stands for its smallest ids, so a vector that a third of all rows hold costs no more than others; a group of near
-copies is spread over parts by 2 and over blocks after that.
+copies is spread over parts by 2 and over shards after that.
 
 Rows: those with a null id, or a vector that is null, empty, zero, or holds null, NaN or infinite components take no part.
 Vectors of different lengths have no product; each length has an index of its own, for at most ``LENGTHS`` of them (more: a
@@ -38,7 +38,7 @@ from ..session import scratch_path
 SAMPLE, NEAR = 12_288, 20
 PART, PARTS, LEAST = 512, 128, 48        # rows per part, parts at most, sample rows per part at least
 TARGET = 0.95
-BLOCK, QUERY_BLOCK = 4096, 2048
+BLOCK, QUERY_BLOCK, SHARD = 4096, 512, 65_536
 LENGTHS = 64
 
 
@@ -252,31 +252,53 @@ def _nearest(known: DataFrame, k: int) -> DataFrame:
         for vectors in batches:
             yield pd.Series([r.astype(np.int32) for r in model.routes(_matrix(vectors), sizes, k + 1)])
 
-    query_points = points.select("name", "vector").join(queries.select("name").distinct(), "name", "left_semi")
-    routed = _kept(query_points.select("name", "vector", F.explode(route("vector")).alias("part")), "routes")
-    blocks, chunks = -(-sizes // BLOCK), -(-_counts(routed, parts) // QUERY_BLOCK)
-
-    # each block of points meets each block of the queries that are routed to its part
-    def per_part(counts: np.ndarray) -> Column:
-        return F.array(*[F.lit(max(int(c), 1)).cast("long") for c in counts])[F.col("part")]
-
-    def every(counts: np.ndarray) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("long"), per_part(counts) - 1))
-
-    def own(counts: np.ndarray) -> Column:
-        return F.pmod(F.xxhash64("name"), per_part(counts))
-
-    left = routed.select("part", own(chunks).alias("chunk"), every(blocks).alias("block"), "name", "vector")
-    right = points.select("part", own(blocks).alias("block"), every(chunks).alias("chunk"), "name", "vector")
+    query_points = points.select("name", "vector", "part").join(queries.select("name").distinct(), "name", "left_semi")
+    routed = _kept(query_points.select("name", "vector", "part", route("vector").alias("routes")), "routes")
+
+    # a query block meets a shard of the parts that its queries are routed to; neighbouring parts have neighbouring
+    # numbers, so the queries of a block share most of theirs
+    def numbered(counts: np.ndarray, most: int) -> tuple[Column, Column, Column]:
+        """First number, numbers, and a row's own number, of blocks of ``most`` rows that each part's rows are dealt to."""
+        splits = np.maximum(-(-counts // most), 1)
+        first, at, held = np.zeros(parts, np.int64), 0, 0
+        for p in range(parts):
+            if held and (held + counts[p] > most or splits[p] > 1):
+                at, held = at + 1, 0
+            first[p] = at
+            at, held = (at + splits[p], 0) if splits[p] > 1 else (at, held + counts[p])
+        low, many = (F.array(*[F.lit(int(x)).cast("long") for x in xs]) for xs in (first, splits))
+        return low, many, low[F.col("part")] + F.pmod(F.xxhash64("name"), many[F.col("part")])
+
+    _, _, block = numbered(_counts(routed, parts), QUERY_BLOCK)
+    low, many, shard = numbered(sizes, SHARD)
+    shards = F.array_distinct(F.flatten(F.transform("routes", lambda p: F.sequence(low[p], low[p] + many[p] - 1))))
+    left = routed.select(block.alias("block"), F.explode(shards).alias("shard"), "name", "vector", "routes")
+    meets = routed.select(block.alias("block"), F.explode("routes").alias("part")).distinct()
+    right = points.select("part", shard.alias("shard"), "name", "vector").join(meets, "part")
 
     def search(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(p):
             return pd.DataFrame({"query": [], "name": [], "score": []}).astype({"query": "int64", "name": "int64"})
-        names = p["name"].to_numpy(np.int64)
-        at, to, score = best(_matrix(q["vector"]), _matrix(p["vector"]), names, k + 1)
-        return pd.DataFrame({"query": q["name"].to_numpy(np.int64)[at], "name": names[to], "score": score})
-
-    key = ["part", "block", "chunk"]
+        asked, names, of = _matrix(q["vector"]), p["name"].to_numpy(np.int64), p["part"].to_numpy()
+        goes = np.zeros((len(q), parts), bool)
+        for row, to in enumerate(q["routes"]):
+            goes[row, to] = True
+        found = []
+        for number in np.unique(of):
+            some, rows = np.flatnonzero(goes[:, number]), np.flatnonzero(of == number)
+            for at in range(0, len(rows) if len(some) else 0, BLOCK):
+                here = rows[at:at + BLOCK]
+                at_q, at_p, score = best(asked[some], _matrix(p["vector"].iloc[here]), names[here], k + 1)
+                found.append((some[at_q], here[at_p], score))
+        if not found:
+            return search(q.iloc[:0], p)
+        at_q, at_p, score = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((names[at_p], -score, at_q))
+        at_q, at_p, score = at_q[order], at_p[order], score[order]
+        keep = np.arange(len(at_q)) - np.searchsorted(at_q, at_q) <= k
+        return pd.DataFrame({"query": q["name"].to_numpy(np.int64)[at_q[keep]], "name": names[at_p[keep]], "score": score[keep]})
+
+    key = ["block", "shard"]
     found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(search, "query long, name long, score double")
     by_name = Window.partitionBy("query").orderBy(F.col("score").desc(), "name")
     found = _kept(found.withColumn("nth", F.row_number().over(by_name)).where(F.col("nth") <= k + 1).drop("nth"), "found")

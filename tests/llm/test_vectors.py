@@ -177,7 +177,7 @@ def near_table(n=2400):
 
 
 def test_learned_partitions_find_the_nearest(spark, monkeypatch):
-    for name, value in (("BLOCK", 256), ("QUERY_BLOCK", 32), ("SAMPLE", 1500), ("PART", 128)):
+    for name, value in (("BLOCK", 64), ("QUERY_BLOCK", 32), ("SHARD", 300), ("SAMPLE", 1500), ("PART", 128)):
         monkeypatch.setattr(lp, name, value)
     rows = near_table()
     rows += [(100, rows[100][1]), (9000, None), (9020, [1.0] * 15 + [None]), (9040, [float("nan")] * 16), (9060, [float("inf")] * 16),
