@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "year_month_of_date", "month_start", "nan_to_null",
-    "is_object", "is_present", "json_field", "json_field_or", "array_field",
+    "is_object", "is_present", "json_field", "json_field_or", "array_field", "uncastable", "json_text",
     "safe_pearson", "round6", "ts_text",
 ]
 
@@ -60,6 +60,25 @@ def array_field(v: Column, path: str) -> Column:
     return F.try_variant_get(v, path, "array<variant>")
 
 
+def uncastable(v: Column, path: str, type_: str) -> Column:
+    """True when the member is there, is not JSON null, and is no value of the numeric type.
+
+    ``json_field`` gives NULL for all three of absent, null and uncastable.  Text that reads as a number is
+    one, as in a CSV load; a boolean isn't, and a fraction is no whole number.
+    """
+    raw = F.try_variant_get(v, path, "variant")
+    bad = F.try_variant_get(v, path, type_).isNull() | (F.schema_of_variant(raw) == "BOOLEAN")
+    if type_ == "bigint":
+        number = F.try_variant_get(v, path, "double")
+        bad = bad | (number != F.floor(number))
+    return F.coalesce(raw.isNotNull() & ~F.is_variant_null(raw) & bad, F.lit(False))
+
+
+def json_text(v: Column, path: str = "$") -> Column:
+    """The member as JSON text, for messages."""
+    return F.to_json(F.try_variant_get(v, path, "variant"))
+
+
 def safe_pearson(x: Column, y: Column) -> Column:
     """Pairwise-complete Pearson correlation that never raises.
 

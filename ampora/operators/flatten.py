@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ampora.constants import BALANCE_ENDPOINT, BALANCE_SOURCE, DAILY_SERIES
-from ampora.functions.columns import array_field, is_object, is_present, json_field, json_field_or
+from ampora.functions.columns import (array_field, is_object, is_present, json_field,
+                                      json_field_or, json_text, uncastable)
 from ampora.schemas import BALANCE_FLAT, WEATHER_DAILY
 
 
@@ -86,6 +87,8 @@ def balance_envelope(docs: DataFrame, fallback_ts: str | None = None,
         pick("$.region_name", "").alias("region_name"),
         F.when(wrapped, json_field(vv, "$.redata_geo_id", "bigint")).alias("redata_geo_id"),
         pick("$.extracted_at", ts).alias("ingestion_timestamp"),
+        F.coalesce(json_field(vv, "$.requested_years[0]", "string"),
+                   F.substring(json_field(vv, "$.requested_start_date", "string"), 1, 4)).alias("delivery_year"),
         blocks.alias("blocks"),
         is_object(vv).alias("_top_obj"), inc_present.alias("_inc_present"),
     )
@@ -102,16 +105,68 @@ def balance_violations(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
     return env.where(F.size("violations") > 0).select(*docs.columns, "violations")
 
 
-def explode_balance(env: DataFrame, blocks: Column) -> DataFrame:
+_RECORD_MEASURES, _VALUE_MEASURES = ("total", "total-percentage"), ("value", "percentage")
+
+
+def _bad(v: Column, prefix: str, names: tuple[str, ...]) -> Column:
+    return F.greatest(*[uncastable(v, f"{prefix}['{n}']", "double") for n in names])
+
+
+def record_reasons(record: Column) -> Column:
+    """What is wrong with the measures of a record and of its values (an empty array if nothing is).
+
+    The list of reasons is only made for a record that has some.
+    """
+    values = F.coalesce(array_field(record, "$.attributes.values"), F.array().cast("array<variant>"))
+
+    def named(v: Column, prefix: str, names: tuple[str, ...], at: Column) -> Column:
+        return F.array_compact(F.array(*[
+            F.when(uncastable(v, f"{prefix}['{n}']", "double"),
+                   F.concat(at, F.lit(f"{n} is not a number: "), json_text(v, f"{prefix}['{n}']"))) for n in names]))
+
+    each = F.flatten(F.transform(values, lambda x, i: named(x, "$", _VALUE_MEASURES, F.concat(
+        F.lit("values["), i.cast("string"), F.lit("].")))))
+    some = _bad(record, "$.attributes", _RECORD_MEASURES) | F.exists(values, lambda x: _bad(x, "$", _VALUE_MEASURES))
+    return F.when(some, F.concat(named(record, "$.attributes", _RECORD_MEASURES, F.lit("")), each)) \
+        .otherwise(F.array().cast("array<string>"))
+
+
+def checked_values(record: Column, strict: bool, what: str = "balance") -> Column:
+    """The values of a record, for a generator.  Badly typed measures, which the original's load
+    refuses, raise in ``strict`` mode; otherwise the values that hold them are left out, and all values of a record whose
+    totals are badly typed."""
+    values = array_field(record, "$.attributes.values")
+    if strict:
+        reasons = record_reasons(record)
+        at = F.coalesce(json_field(record, "$.id", "string"), F.lit("null"))
+        return F.when(F.size(reasons) == 0, values).otherwise(F.raise_error(F.concat(
+            F.lit(f"Invalid {what} record "), at, F.lit(": "), F.array_join(reasons, ", "))))
+    return F.when(~_bad(record, "$.attributes", _RECORD_MEASURES),
+                  F.filter(values, lambda x: ~_bad(x, "$", _VALUE_MEASURES)))
+
+
+def measure_violations(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
+    """One row per badly typed measure of valid balance documents: the document's columns, block and record ids, and a
+    ``violation`` that names the field and shows its text."""
+    env = balance_envelope(docs, "", doc_col)
+    b = env.select("*", F.explode(guarded(F.col("blocks"), F.col("violations"), False, "balance")).alias("b"))
+    r = b.select("*", F.explode(array_field(F.col("b"), "$.attributes.content")).alias("r"))
+    keep = [c for c in docs.columns if c != doc_col]
+    return r.select(*keep, json_field(F.col("b"), "$.id", "string").alias("group_id"),
+                    json_field(F.col("r"), "$.id", "string").alias("metric_id"),
+                    F.explode(record_reasons(F.col("r"))).alias("violation"))
+
+
+def explode_balance(env: DataFrame, blocks: Column, strict: bool = True) -> DataFrame:
     """Blocks -> content records -> values, to the 22 flat columns.
 
     A non-object block or record has no ``attributes.content`` /
     ``attributes.values`` array and yields nothing; non-object value items
-    are filtered out.
+    are filtered out.  ``strict``: see ``checked_values``.
     """
     b = env.select("*", F.explode(blocks).alias("b"))
     r = b.select("*", F.explode(array_field(F.col("b"), "$.attributes.content")).alias("r"))
-    x = r.select("*", F.explode(array_field(F.col("r"), "$.attributes.values")).alias("x")) \
+    x = r.select("*", F.explode(checked_values(F.col("r"), strict)).alias("x")) \
         .where(is_object(F.col("x")))
     bv, rv, xv = F.col("b"), F.col("r"), F.col("x")
     dt = json_field(xv, "$.datetime", "string")
@@ -144,11 +199,11 @@ def flatten_balance(docs: DataFrame, fallback_ts: str | None = None, strict: boo
                     doc_col: str = "doc") -> DataFrame:
     """Balance documents -> 22-column flat rows.
 
-    ``strict`` raises on documents the original refuses; otherwise they are
-    dropped (``balance_violations`` lists them).
+    ``strict`` raises on documents the original refuses and on badly typed measures; otherwise they are
+    dropped (``balance_violations`` and ``measure_violations`` list them).
     """
     env = balance_envelope(docs, fallback_ts, doc_col)
-    return explode_balance(env, guarded(F.col("blocks"), F.col("violations"), strict, "balance"))
+    return explode_balance(env, guarded(F.col("blocks"), F.col("violations"), strict, "balance"), strict)
 
 
 # ---------------------------------------------------------------------------
@@ -156,6 +211,7 @@ def flatten_balance(docs: DataFrame, fallback_ts: str | None = None, strict: boo
 
 _SERIES_TYPES = {s: ("array<bigint>" if s == "weather_code" else "array<double>")
                  for s in DAILY_SERIES}
+_ELEMENT_TYPES = {s: t.removeprefix("array<").removesuffix(">") for s, t in _SERIES_TYPES.items()}
 _ENV = [f.name for f in WEATHER_DAILY.fields[:9]]
 
 
@@ -183,7 +239,10 @@ def weather_arrays(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
     arrays = [F.try_variant_get(vv, "$.payload.daily.time", "array<string>").alias("time")]
     arrays += [F.try_variant_get(vv, f"$.payload.daily.{s}", t).alias(s)
                for s, t in _SERIES_TYPES.items()]
-    e = d.select(*keep, *env, *arrays, *flags)
+    arrays += [array_field(vv, f"$.payload.daily.{s}").alias(f"_raw_{s}") for s in DAILY_SERIES]
+    year = F.coalesce(json_field(vv, "$.requested_years[0]", "string"),
+                      F.substring(json_field(vv, "$.requested_start_date", "string"), 1, 4))
+    e = d.select(*keep, *env, *arrays, *flags, year.alias("delivery_year"))
 
     n = F.coalesce(F.size("time"), F.lit(0))
     checks = [
@@ -202,8 +261,19 @@ def weather_arrays(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
         checks.append(F.when((n > 0) & (~present | arr.isNotNull()) & (size != n),
                              F.concat(F.lit(f"'payload.daily.{s}' has "), size.cast("string"),
                                       F.lit(" values, expected "), n.cast("string"))))
-    return e.select(*keep, *_ENV, "time", *DAILY_SERIES,
-                    F.array_compact(F.array(*checks)).alias("violations"))
+    # elements that are there but no numbers; their list is only made for a series that has some
+    bad = [F.when(n > 0, _bad_elements(s, t)) for s, t in _ELEMENT_TYPES.items()]
+    return e.select(*keep, *_ENV, "delivery_year", "time", *DAILY_SERIES,
+                    F.concat(F.array_compact(F.array(*checks)), *[F.coalesce(b, F.array().cast("array<string>")) for b in bad])
+                    .alias("violations"))
+
+
+def _bad_elements(series: str, type_: str) -> Column:
+    """What is wrong with the elements of a series; NULL if nothing is."""
+    raw, what = F.col(f"_raw_{series}"), "a whole number" if type_ == "bigint" else "a number"
+    named = F.array_compact(F.transform(raw, lambda x, i: F.when(uncastable(x, "$", type_), F.concat(
+        F.lit(f"'payload.daily.{series}["), i.cast("string"), F.lit(f"]' is not {what}: "), json_text(x)))))
+    return F.when(F.exists(raw, lambda x: uncastable(x, "$", type_)), named)
 
 
 def weather_violations(docs: DataFrame, doc_col: str = "doc") -> DataFrame:

@@ -6,18 +6,23 @@ record is seen; ``total`` / ``total-percentage`` become NULL for a record
 that two or more payloads hold.  Weather: every daily array is appended and
 the envelope of the first year is kept.
 
-Work is done at record level (one row per region, block, record and year,
-a bounded count per key) before the values are exploded, so no shuffle ever
-carries value rows.
+Documents are parsed once, into a narrow table under the shared folder (balance: a row per region,
+block, record and payload with its values as one typed array; weather: a row per document with its
+arrays).  Facts per key come from one grouped aggregate over a few columns of that table, joined back
+to it; values are exploded last, so no grouping carries value rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ampora.constants import DAILY_SERIES
 from ampora.functions.columns import array_field, is_object, is_present, json_field
-from ampora.operators.flatten import guarded, parsed, weather_arrays, zip_daily
+from ampora.operators.flatten import (balance_envelope, checked_values, guarded, weather_arrays,
+                                      zip_daily)
+from ampora.schemas import BALANCE_FLAT, WEATHER_ENVELOPE
+from ampora.session import scratch_path
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -29,22 +34,37 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
     return left.join(r, cond).drop(*[f"_k_{k}" for k in keys])
 
 
-def balance_records(payloads: DataFrame, payload_col: str = "payload") -> DataFrame:
-    """(region_slug, year, block, record) rows of yearly payload documents.
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """A table under the shared folder, read back by its schema."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
-    ``payloads`` has ``region_slug``, ``year`` and the payload as JSON text.
-    A payload whose ``included`` is not a list is an error, as in the original.
-    Every block also yields one marker row (``is_block``, no record), so a
+
+def _year(docs: DataFrame) -> Column:
+    """Year of a delivery: a column of that name, else what the document says was requested; without either it is the last."""
+    known = [F.col("year").cast("string")] if "year" in docs.columns else []
+    return F.coalesce(*known, F.col("delivery_year"), F.lit("9999"))
+
+
+def balance_records(docs: DataFrame, doc_col: str = "doc", fallback_ts: str | None = None,
+                    strict: bool = True) -> DataFrame:
+    """A row per region, payload, block and record of yearly balance documents.
+
+    The region is the landing folder's ``region_slug`` where the input has that column, else the envelope's.
+    A payload whose ``included`` is not a list is an error in ``strict`` mode, as in the original, and so is a badly typed
+    measure.  Every block also yields one marker row (``is_block``, no record), so a
     block is "seen" in a year even when its content holds no valid record.
     """
-    p = parsed(payloads, payload_col)
-    vv = F.col("_v")
-    p = p.select("region_slug", "year", array_field(vv, "$.included").alias("_inc"),
-                 is_present(vv, "$.included").alias("_has"))
-    bad = F.array_compact(F.array(F.when(F.col("_has") & F.col("_inc").isNull(),
-                                         F.lit("'included' is not a list"))))
-    b = p.select("region_slug", "year",
-                 F.explode(guarded(F.col("_inc"), bad, True, "balance payload")).alias("b"))
+    env = balance_envelope(docs, fallback_ts, doc_col)
+    slug = F.col("region_slug_doc")
+    region = slug
+    if "region_slug" in docs.columns:
+        region, slug = F.col("region_slug"), F.when((slug == "") & F.col("region_slug").isNotNull(), F.col("region_slug")).otherwise(slug)
+    head = F.struct("source", "endpoint", slug.alias("region_slug"), "region_name", "redata_geo_id", "ingestion_timestamp")
+    b = env.select(region.alias("region"), _year(docs).alias("year"), head.alias("envelope"), F.explode(
+        guarded(F.col("blocks"), F.col("violations"), strict, "balance payload")).alias("b"))
     # a non-object block has no content array; non-object records are dropped
     marker = F.lit(None).cast("variant")
     content = array_field(F.col("b"), "$.attributes.content")
@@ -52,8 +72,11 @@ def balance_records(payloads: DataFrame, payload_col: str = "payload") -> DataFr
     r = b.select("*", F.posexplode(items).alias("_pos", "r")) \
         .where((F.col("_pos") == 0) | is_object(F.col("r")))
     bv, rv = F.col("b"), F.col("r")
+    values = F.transform(F.filter(checked_values(rv, strict, "balance payload"), lambda x: is_object(x)), lambda x: F.struct(
+        json_field(x, "$.datetime", "string").alias("datetime"), is_present(x, "$.datetime").alias("dated"),
+        json_field(x, "$.value", "double").alias("value"), json_field(x, "$.percentage", "double").alias("percentage")))
     return r.select(
-        "region_slug", "year", (F.col("_pos") == 0).alias("is_block"),
+        "region", "year", "envelope", (F.col("_pos") == 0).alias("is_block"),
         json_field(bv, "$.id", "string").alias("group_id"),
         F.struct(json_field(bv, "$.type", "string").alias("group_type"),
                  json_field(bv, "$.attributes.title", "string").alias("group_title")).alias("block_attrs"),
@@ -67,16 +90,19 @@ def balance_records(payloads: DataFrame, payload_col: str = "payload") -> DataFr
         .alias("record_attrs"),
         json_field(rv, "$.attributes.total", "double").alias("total"),
         json_field(rv, "$.attributes['total-percentage']", "double").alias("total_percentage"),
-        array_field(rv, "$.attributes.values").alias("values"))
+        values.alias("values"))
+
 
+def merge_balance_years(docs: DataFrame, doc_col: str = "doc", fallback_ts: str | None = None,
+                        strict: bool = True) -> DataFrame:
+    """The 22 flat columns of the merged balance payload of every region, and ``n_payloads``.
 
-def merge_balance_years(payloads: DataFrame, payload_col: str = "payload") -> DataFrame:
-    """Flattened rows of the merged balance payload of every region."""
-    rec = balance_records(payloads, payload_col)
+    The envelope is that of a region's first year, as in ``merge_weather_years``.
+    """
+    rec = _written(balance_records(docs, doc_col, fallback_ts, strict), "merge-balance")
     # Per-key facts come from ONE grouped aggregate (combined map-side: one
     # row per block key and per record key), joined back onto the record
-    # rows, so payloads are parsed twice in all and value rows are never
-    # shuffled by key.  Block attributes reach their records by a window over
+    # rows, so value rows are never shuffled by key.  Block attributes reach their records by a window over
     # the *aggregated* key rows (one row per key: its size is the number of
     # metrics of a block, not data volume).  The key table is small: AQE
     # broadcasts it from its measured size, and if it is not small the
@@ -84,57 +110,52 @@ def merge_balance_years(payloads: DataFrame, payload_col: str = "payload") -> Da
     # record rows themselves would put a hot region in one task.
     # min over (year, attributes): the first year wins and equal years are
     # resolved by a total order, so a retried task picks the same row
-    keys = rec.groupBy("region_slug", "group_id", "is_block", "metric_id").agg(
+    keys = rec.groupBy("region", "group_id", "is_block", "metric_id").agg(
         F.min(F.struct("year", "block_attrs"))["block_attrs"].alias("_battrs"),
         F.min(F.struct("year", "record_attrs"))["record_attrs"].alias("_rattrs"),
+        F.min(F.struct("year", "envelope")).alias("_first"),
         # payloads, not years: a year delivered again has its values twice, and no total
         F.count(F.when(~F.col("is_block"), 1)).alias("n_payloads"))
-    per_block = Window.partitionBy("region_slug", "group_id")
+    per_block = Window.partitionBy("region", "group_id")
+    per_region = Window.partitionBy("region")
     keyed = (keys.withColumn("_battrs", F.first(F.when(F.col("is_block"), F.col("_battrs")),
                                                 ignorenulls=True).over(per_block))
-             .where(~F.col("is_block")).drop("is_block"))
-    rec = _join_null_safe(rec.where(~F.col("is_block")).drop("is_block"), keyed,
-                          ["region_slug", "group_id", "metric_id"])
-    x = rec.select("*", F.explode("values").alias("x")).where(is_object(F.col("x")))
-    xv = F.col("x")
+             .withColumn("_env", F.min("_first").over(per_region)["envelope"])
+             .where(~F.col("is_block")).drop("is_block", "_first"))
+    rec = _join_null_safe(rec.where(~F.col("is_block")).drop("is_block", "envelope"), keyed,
+                          ["region", "group_id", "metric_id"])
+    x = rec.select("*", F.explode("values").alias("x"))
     once = F.col("n_payloads") == 1
-    dt_present = is_present(xv, "$.datetime")
-    dt = json_field(xv, "$.datetime", "string")
-    return x.select(
-        "region_slug", "year",
+    out = x.select(
+        F.col("_env.*"),
         F.col("_battrs.group_type").alias("group_type"), "group_id",
         F.col("_battrs.group_title").alias("group_title"),
-        F.col("_rattrs.metric_type").alias("metric_type"), "metric_id",
-        F.col("_rattrs.metric_group_id").alias("metric_group_id"),
-        F.col("_rattrs.metric_title").alias("metric_title"),
-        F.col("_rattrs.metric_description").alias("metric_description"),
-        F.col("_rattrs.is_composite").alias("is_composite"),
-        F.col("_rattrs.last_update").alias("last_update"),
+        "_rattrs.metric_type", "metric_id", "_rattrs.metric_group_id", "_rattrs.metric_title",
+        "_rattrs.metric_description", "_rattrs.is_composite", "_rattrs.last_update",
         F.when(once, F.col("total")).alias("total"),
         F.when(once, F.col("total_percentage")).alias("total_percentage"),
-        F.when(dt_present, F.substring(dt, 1, 7)).otherwise(F.lit("")).alias("year_month"),
-        dt.alias("datetime"),
-        json_field(xv, "$.value", "double").alias("value"),
-        json_field(xv, "$.percentage", "double").alias("percentage"),
+        F.when(F.col("x.dated"), F.substring("x.datetime", 1, 7)).otherwise(F.lit("")).alias("year_month"),
+        "x.datetime", "x.value", "x.percentage",
         F.col("n_payloads").cast("long").alias("n_payloads"))
+    return out.select(*[F.col(f.name).cast(f.dataType) for f in BALANCE_FLAT.fields], "n_payloads")
 
 
-def merge_weather_years(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
+def merge_weather_years(docs: DataFrame, doc_col: str = "doc", strict: bool = True) -> DataFrame:
     """Daily rows of the merged weather payload of every region.
 
     Each yearly document is checked on its own (a non-list or short series
     is an error -- stricter than the original, which checks after merging).
     The envelope of a region's first year is kept: it comes from a grouped
-    ``min`` over (year, envelope) -- one row per region, combined map-side,
-    so a region with a third of all documents is still cheap -- joined back
-    on the region.
+    ``min`` over (year, envelope) -- one row per region, combined map-side over the envelope columns of the written
+    table, so a region with a third of all documents is still cheap -- joined back
+    on the region by its measured size.
     """
-    a = weather_arrays(docs, doc_col)
-    env_cols = ["source", "ingestion_timestamp", "region_name", "location_name", "latitude",
-                "longitude", "timezone", "weather_point_type"]
+    a = _written(weather_arrays(docs, doc_col).select(*WEATHER_ENVELOPE, "time", *DAILY_SERIES, "violations", _year(docs).alias("year")),
+                 "merge-weather")
+    env_cols = [c for c in WEATHER_ENVELOPE if c != "region_slug"]
     first = a.groupBy("region_slug").agg(
         F.min(F.struct("year", F.struct(*env_cols).alias("e")))["e"].alias("_env"))
     # a document without a region is a region of its own
     merged = _join_null_safe(a.drop(*env_cols), first, ["region_slug"]).select(
         "*", *[F.col(f"_env.{c}").alias(c) for c in env_cols]).drop("_env")
-    return zip_daily(merged, strict=True, what="weather payload")
+    return zip_daily(merged, strict=strict, what="weather payload")

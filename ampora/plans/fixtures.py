@@ -158,14 +158,28 @@ def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 # unbounded group.
 
 
-def balance_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Yearly balance payloads: (region_slug, region_name, geo_id, year, payload struct)."""
+def balance_payloads(spark: SparkSession, sf_dir: str, bad_measures: bool = False) -> DataFrame:
+    """Yearly balance payloads: (region_slug, region_name, geo_id, year, payload struct).
+
+    ``bad_measures``: values and totals are delivered as text; '5-LOW' has no number in June, nor a total '2-HIGH' in 1993.
+    """
     e = energy_fact_ext(spark, sf_dir).withColumn("year", F.substring("year_month", 1, 4))
+
+    def value(c):
+        if not bad_measures:
+            return c
+        return F.when((F.col("metric_type") == "5-LOW") & F.col("year_month").endswith("-06"), F.lit("abc")).otherwise(c.cast("string"))
+
+    def total(c):
+        if not bad_measures:
+            return c
+        return F.when((F.col("metric_type") == "2-HIGH") & (F.col("year") == "1993"), F.lit("n/a")).otherwise(c.cast("string"))
+
     rec_keys = ["region_slug", "region_name", "n_nationkey", "year", "group_type", "metric_type"]
     recs = e.groupBy(*rec_keys).agg(
         F.sort_array(F.collect_list(F.struct(
             F.concat("year_month", F.lit(DATETIME_SUFFIX)).alias("datetime"),
-            F.col("value"), F.col("percentage")))).alias("values"),
+            value(F.col("value")).alias("value"), F.col("percentage")))).alias("values"),
         F.sum("value").alias("total"),
         F.count(F.lit(1)).cast("double").alias("total_percentage"))
     record = F.struct(
@@ -177,7 +191,7 @@ def balance_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
             .alias("description"),
             (F.col("group_type") == "high").alias("composite"),
             F.lit(LAST_UPDATE).alias("last-update"),
-            F.col("total"), F.col("total_percentage").alias("total-percentage"),
+            total(F.col("total")).alias("total"), F.col("total_percentage").alias("total-percentage"),
             F.col("values")).alias("attributes"))
     blocks = recs.groupBy("region_slug", "region_name", "n_nationkey", "year", "group_type").agg(
         F.sort_array(F.collect_list(F.struct(F.col("metric_type").alias("_k"), record.alias("r"))))
@@ -193,9 +207,9 @@ def balance_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.transform("bs", lambda x: x["b"]).alias("included")).alias("payload"))
 
 
-def balance_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed balance documents (JSON text), one per region and year."""
-    p = balance_payloads(spark, sf_dir)
+def balance_documents(spark: SparkSession, sf_dir: str, bad_measures: bool = False) -> DataFrame:
+    """Landed balance documents (JSON text), one per region and year; ``bad_measures``: see ``balance_payloads``."""
+    p = balance_payloads(spark, sf_dir, bad_measures)
     env = F.struct(
         F.lit(BALANCE_SOURCE).alias("source"), F.lit(BALANCE_ENDPOINT).alias("endpoint"),
         "region_slug", "region_name", F.col("geo_id").alias("redata_geo_id"),
@@ -221,12 +235,14 @@ def weather_payload_columns(wd: DataFrame) -> DataFrame:
     return g.select(*env, "year", *daily)
 
 
-def weather_documents(spark: SparkSession, sf_dir: str, broken_region_key: int | None = None
-                      ) -> DataFrame:
+def weather_documents(spark: SparkSession, sf_dir: str, broken_region_key: int | None = None,
+                      bad_elements: bool = False) -> DataFrame:
     """Landed weather documents, one per region and year.
 
     ``broken_region_key``: for nations of that TPC-H region the
     ``wind_speed_10m_max`` series loses its last element (a length defect).
+    ``bad_elements``: on the 15th of a month of 1995 the ``temperature_2m_max`` is "bad", on the 20th of one of 1997 the
+    ``weather_code`` is a fraction; on other days one is delivered as text, the other as a decimal.
     """
     from ampora.constants import DAILY_SERIES
     p = weather_payload_columns(weather_daily(spark, sf_dir))
@@ -237,6 +253,11 @@ def weather_documents(spark: SparkSession, sf_dir: str, broken_region_key: int |
         p = p.withColumn("wind_speed_10m_max",
                          F.when(F.col("n_regionkey") == broken_region_key, cut)
                          .otherwise(F.col("wind_speed_10m_max"))).drop("n_regionkey")
+    if bad_elements:
+        p = p.withColumn("temperature_2m_max", F.transform(F.arrays_zip("time", "temperature_2m_max"), lambda x: F.when(
+            x["time"].rlike("^1995-..-15"), F.lit("bad")).otherwise(x["temperature_2m_max"].cast("string"))))
+        p = p.withColumn("weather_code", F.transform(F.arrays_zip("time", "weather_code"), lambda x: F.when(
+            x["time"].rlike("^1997-..-20"), F.lit(1.5)).otherwise(x["weather_code"].cast("double"))))
     units = F.struct(*[F.lit("unit").alias(s) for s in DAILY_SERIES])
     payload = F.struct(F.struct("time", *DAILY_SERIES).alias("daily"), units.alias("daily_units"))
     env = F.struct(

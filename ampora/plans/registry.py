@@ -4,26 +4,29 @@ oracle SQL with identical column names."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampora.constants import BALANCE_KEY, DAILY_SERIES
+from ampora.constants import BALANCE_KEY, DAILY_SERIES, NOT_NULL_TESTS
 from ampora.functions.columns import round6, ts_text
 from ampora.operators import analysis as an
 from ampora.operators import coverage as cov
 from ampora.operators.aggregate import daily_to_monthly
 from ampora.operators.dedup import dedup_latest
 from ampora.operators.flatten import (balance_envelope, flatten_balance, flatten_weather,
-                                      weather_violations)
+                                      measure_violations, weather_violations)
 from ampora.operators.merge import merge_balance_years, merge_weather_years
 from ampora.operators.models import curate, mart_energy_weather, stage_balance, stage_weather
-from ampora.operators.quality import not_null_report
+from ampora.operators.quality import observed, observed_report
 from ampora.plans import fixtures as fx
 from ampora.plans import oracle as o
-from ampora.schemas import BALANCE_RAW, WEATHER_MONTHLY_RAW
-from ampora.session import ensure_utc, scratch_path, shared_root
+from ampora.plans.batch import CURATED, MART, RAW_BALANCE, STG_BALANCE, STG_WEATHER, run_batch
+from ampora.schemas import BALANCE_FLAT, BALANCE_RAW, WEATHER_MONTHLY_RAW
+from ampora.session import ensure_utc, scratch_path
+from ampora.sinks import tables
 from ampora.sinks import writers as wr
 from ampora.sources import documents as docs_src
 from ampora.sources.catalog import region_catalog
@@ -119,6 +122,29 @@ def q_payload_errors(spark, sf):
     return docs_src.payload_errors(fx.event_documents(spark, sf)).select("event_id", "has_errors")
 
 
+_REASON = """
+, r as (select p.*, events.event_type, case when not parse_ok then 'invalid_json' when not is_object then 'not_an_object'
+                    when list_contains(json_keys(case when is_object then doc else '{}' end), 'errors') then 'errors_member' end as reason
+        from p join events using (event_id))
+"""
+
+
+def _routes(spark, sf):
+    docs = docs_src.routed_documents(fx.event_documents(spark, sf).drop("ts"))
+    return wr.write_routes(docs, scratch_path(spark, "routes"))
+
+
+@register("routed_documents", _EVDOCS + _REASON + "select event_id, event_type, doc from r where reason is null")
+def q_routed_documents(spark, sf):
+    """The table of good documents of a write that fills it and the rejects in one pass."""
+    return _routes(spark, sf).good
+
+
+@register("routed_rejects", _EVDOCS + _REASON + "select event_id, event_type, doc, reason from r where reason is not null")
+def q_routed_rejects(spark, sf):
+    return _routes(spark, sf).rejects
+
+
 # --- flatten ----------------------------------------------------------------
 
 @register("envelope_defaults", o.with_(o.E_EXT) + f"""
@@ -186,35 +212,75 @@ def q_series_length_violations(spark, sf):
     return v.select("region_slug", "year", "violation")
 
 
-# --- merge --------------------------------------------------------------------
+@register("typed_measure_violations", o.with_(o.E_EXT, o.FLAT) + """
+, d as (select *, substr(year_month, 1, 4) as yr,
+               row_number() over (partition by region_slug, metric_id, substr(year_month, 1, 4) order by year_month) - 1 as nth
+        from flat)
+select region_slug, yr as year, group_id, metric_id,
+       'values[' || cast(nth as varchar) || '].value is not a number: "abc"' as violation
+from d where metric_type = '5-LOW' and year_month like '%-06'
+union all
+select distinct region_slug, yr, group_id, metric_id, 'total is not a number: "n/a"'
+from d where metric_type = '2-HIGH' and yr = '1993'""")
+def q_typed_measure_violations(spark, sf):
+    return measure_violations(fx.balance_documents(spark, sf, bad_measures=True))
+
+
+@register("typed_measures_left_out", o.with_(o.E_EXT, o.FLAT) + f"""
+select {_FLAT_COLS} from flat
+where not (metric_type = '5-LOW' and year_month like '%-06') and not (metric_type = '2-HIGH' and year_month like '1993%')""")
+def q_typed_measures_left_out(spark, sf):
+    """Numbers that come as text load; values that are none are left out, all of them where a total is none."""
+    return flatten_balance(fx.balance_documents(spark, sf, bad_measures=True), fx.FALLBACK_TS, strict=False)
+
+
+@register("typed_series_violations", o.with_(o.C, o.WD) + """
+, d as (select region_slug, substr(date, 1, 4) as year, date,
+               cast(row_number() over (partition by region_slug, substr(date, 1, 4) order by date) - 1 as varchar) as nth
+        from wd)
+select region_slug, year, '''payload.daily.temperature_2m_max[' || nth || ']'' is not a number: "bad"' as violation
+from d where date like '1995-%-15'
+union all
+select region_slug, year, '''payload.daily.weather_code[' || nth || ']'' is not a whole number: 1.5'
+from d where date like '1997-%-20'""")
+def q_typed_series_violations(spark, sf):
+    v = weather_violations(fx.weather_documents(spark, sf, bad_elements=True))
+    return v.select("region_slug", "year", "violation")
 
-_MERGE_COLS = ("region_slug, group_type, group_id, group_title, metric_type, metric_id, "
-               "metric_group_id, metric_title, metric_description, is_composite, last_update, "
-               "total, total_percentage, year_month, datetime, value, percentage, n_payloads")
 
+@register("typed_series_flatten", o.with_(o.C, o.WD) + f"""
+select {_WD_YEAR_TS} from wd where substr(date, 1, 4) || region_slug not in (
+  select substr(date, 1, 4) || region_slug from wd where date like '1995-%-15' or date like '1997-%-20')""")
+def q_typed_series_flatten(spark, sf):
+    """Documents whose series hold elements that are no numbers yield no rows; others' text and decimals load as numbers."""
+    return flatten_weather(fx.weather_documents(spark, sf, bad_elements=True), strict=False)
 
-@register("merge_balance_years", o.with_(o.E_EXT, o.FLAT) + f"""
-, d as (select * replace (case when n_nationkey <> 2 then region_slug end as region_slug),
-               substr(year_month, 1, 4) as yr from flat),
+
+# --- merge --------------------------------------------------------------------
+
+@register("merge_balance_years", o.with_(o.E_EXT, o.FLAT) + """
+, d as (select *, substr(year_month, 1, 4) as yr from flat),
 two as (select * from d union all select * from d where n_nationkey = 1 and yr = '1996'),
 ry as (select n_nationkey, group_id, metric_id, min(yr) as first_year,
               count(distinct yr) + max(case when n_nationkey = 1 and yr = '1996' then 1 else 0 end) as n_payloads
        from d group by n_nationkey, group_id, metric_id)
-select region_slug, group_type, f.group_id, group_title, metric_type, f.metric_id,
+select source, endpoint, case when f.n_nationkey = 2 then '' else region_slug end as region_slug, region_name,
+       redata_geo_id, ingestion_timestamp, group_type, f.group_id, group_title, metric_type, f.metric_id,
        metric_group_id, metric_type || ' ' || first_year as metric_title, metric_description,
        is_composite, last_update,
        case when n_payloads = 1 then total end as total,
        case when n_payloads = 1 then total_percentage end as total_percentage,
-       year_month, datetime, value, percentage, n_payloads
+       year_month, datetime, value, percentage
 from two f join ry on f.n_nationkey = ry.n_nationkey and f.group_id = ry.group_id
                   and f.metric_id = ry.metric_id""")
 def q_merge_balance_years(spark, sf):
-    """One region's payloads have no slug, and one delivers a year twice."""
-    p = fx.balance_payloads(spark, sf).select(
-        F.when(F.col("geo_id") != 2, F.col("region_slug")).alias("region_slug"), "geo_id", "year",
-        F.to_json("payload").alias("payload"))
-    again = p.where("geo_id = 1 AND year = '1996'")
-    return merge_balance_years(p.unionByName(again)).select(*[c.strip() for c in _MERGE_COLS.split(",")])
+    """One region's documents have no slug, neither in the landing nor inside, and one region delivers a year twice."""
+    d = fx.balance_documents(spark, sf).select(
+        F.when(F.col("region_slug") != "nation_2", F.col("region_slug")).alias("region_slug"), "year",
+        F.replace("doc", F.lit('"region_slug":"nation_2",'), F.lit("")).alias("doc"))
+    again = d.where("region_slug = 'nation_1' AND year = '1996'")
+    docs = d.unionByName(again).drop("year")
+    return merge_balance_years(docs, fallback_ts=fx.FALLBACK_TS).select(*BALANCE_FLAT.fieldNames())
 
 
 @register("merge_weather_years", o.with_(o.C, o.WD) + f"""
@@ -226,7 +292,7 @@ def q_merge_weather_years(spark, sf):
     """One region's documents have no slug."""
     docs = fx.weather_documents(spark, sf)
     return merge_weather_years(docs.withColumn("doc", F.replace("doc", F.lit('"region_slug":"nation_3",'), F.lit("")))
-                               .drop("region_slug"))
+                               .drop("region_slug", "year"))
 
 
 # --- aggregation, dedup, staging, loads -------------------------------------
@@ -322,7 +388,7 @@ select region_slug, metric_id, year_month,
             else '2024-02-01 00:00:00' end as ingestion_timestamp, value from two""")
 def q_append_load(spark, sf):
     ensure_utc(spark)
-    t = wr.read_table(spark, _loaded_raw(spark, sf))
+    t = wr.read_table(spark, _loaded_raw(spark, sf), BALANCE_RAW)
     return t.select("region_slug", "metric_id", "year_month",
                     ts_text(F.col("ingestion_timestamp")).alias("ingestion_timestamp"), "value")
 
@@ -330,7 +396,7 @@ def q_append_load(spark, sf):
 @register("load_row_count", _TWO_LOADS + """
 select 'redata_balance_electrico' as table_name, count(*) as n_rows from two""")
 def q_load_row_count(spark, sf):
-    t = wr.read_table(spark, _loaded_raw(spark, sf))
+    t = wr.read_table(spark, _loaded_raw(spark, sf), BALANCE_RAW)
     return t.agg(F.count(F.lit(1)).alias("n_rows")).select(
         F.lit("redata_balance_electrico").alias("table_name"), "n_rows")
 
@@ -344,11 +410,49 @@ from flat""")
 def q_dedup_rewrite(spark, sf):
     ensure_utc(spark)
     src = _loaded_raw(spark, sf)
-    t = wr.dedup_rewrite(spark, src, scratch_path(spark, "raw_balance_dedup"), BALANCE_KEY)
+    t = wr.dedup_rewrite(spark, src, scratch_path(spark, "raw_balance_dedup"), BALANCE_KEY, BALANCE_RAW)
+    return t.select("region_slug", "metric_id", "year_month",
+                    ts_text(F.col("ingestion_timestamp")).alias("ingestion_timestamp"), "value")
+
+
+def _database(spark):
+    """A new database, under the shared folder."""
+    name = f"ampora_query_{uuid.uuid4().hex[:12]}"
+    tables.create_database(spark, name)
+    return name
+
+
+@register("dedup_table", ORACLE["dedup_rewrite"])
+def q_dedup_table(spark, sf):
+    """Load, rewrite, load again and rewrite again, all under one table name."""
+    db = _database(spark)
+    flat = _two_ingestions(spark, sf)
+    for stamp in (fx.INGESTED_AT, fx.REINGESTED_AT):
+        wr.append_load_table(spark, flat.where(F.col("ingestion_timestamp") == stamp), RAW_BALANCE, BALANCE_RAW, db)
+        wr.dedup_table(spark, f"{db}.{RAW_BALANCE}", BALANCE_KEY)
+    t = spark.table(f"{db}.{RAW_BALANCE}")
     return t.select("region_slug", "metric_id", "year_month",
                     ts_text(F.col("ingestion_timestamp")).alias("ingestion_timestamp"), "value")
 
 
+@register("append_load_table", _TWO_LOADS + """
+select region_slug, metric_id, year_month,
+       case when ingestion_timestamp = '2024-01-01T00:00:00+00:00' then '2024-01-01 00:00:00'
+            else '2024-02-01 00:00:00' end as ingestion_timestamp, value,
+       case when ingestion_timestamp <> '2024-01-01T00:00:00+00:00' then metric_id || '!' end as checked_by
+from two""")
+def q_append_load_table(spark, sf):
+    """Two loads into a catalog table; the second has a column that the table lacks."""
+    db = _database(spark)
+    flat = _two_ingestions(spark, sf)
+    wr.append_load_table(spark, flat.where(F.col("ingestion_timestamp") == fx.INGESTED_AT), RAW_BALANCE, BALANCE_RAW, db)
+    more = flat.where(F.col("ingestion_timestamp") == fx.REINGESTED_AT).withColumn("checked_by", F.concat("metric_id", F.lit("!")))
+    wr.append_load_table(spark, more, RAW_BALANCE, BALANCE_RAW, db)
+    t = spark.table(f"{db}.{RAW_BALANCE}")
+    return t.select("region_slug", "metric_id", "year_month",
+                    ts_text(F.col("ingestion_timestamp")).alias("ingestion_timestamp"), "value", "checked_by")
+
+
 _UPSERT_SQL = o.with_(o.E_EXT, o.FLAT) + """
 select region_slug, metric_id, year_month,
        case when metric_type = '1-URGENT' then '2024-02-01 00:00:00' else '2024-01-01 00:00:00' end
@@ -365,7 +469,7 @@ def q_upsert_rewrite(spark, sf):
     """Two loads upserted into a month-partitioned raw table: only the months
     each load touches are rewritten.  The second load delivers the same instants in another
     offset, and one value without a datetime, twice."""
-    path = scratch_path(spark, "raw_balance_upsert")
+    name = f"{_database(spark)}.{RAW_BALANCE}"
     # loads arrive as processed tables (written once), as in the batch flow
     processed = scratch_path(spark, "processed_balance_loads")
     wr.write_processed(_two_ingestions(spark, sf), processed)
@@ -379,8 +483,8 @@ def q_upsert_rewrite(spark, sf):
     loads = (flat.where(F.col("ingestion_timestamp") == fx.INGESTED_AT),
              shifted.unionByName(undated).unionByName(undated))
     for rows in loads:
-        wr.upsert_latest(spark, wr.conform(rows, BALANCE_RAW), path, BALANCE_KEY, wr.utc_month("datetime"))
-    t = wr.read_upserted(spark, path, BALANCE_RAW)
+        wr.upsert_latest(spark, wr.conform(rows, BALANCE_RAW), name, BALANCE_KEY, wr.utc_month("datetime"))
+    t = spark.table(name)
     return t.select("region_slug", "metric_id", F.col("year_month").cast("string").alias("year_month"),
                     ts_text(F.col("ingestion_timestamp")).alias("ingestion_timestamp"), "value")
 
@@ -693,20 +797,23 @@ union all
 select 'mart_energy_weather_monthly_curated', col, 0, true
 from (values ('region_slug'), ('year_month'), ('metric_type'), ('value')) t(col)""")
 def q_not_null_report(spark, sf):
-    """Data tests over the four models.  The staging tables every later model
-    depends on are checkpointed (reliable, shared folder), so the expensive
-    part -- the fact tables built from the base tables -- is computed once,
-    not once per dependent model; the marts are cheap joins over them."""
-    shared_root(spark)
+    """Data tests over the four models: the counts are metrics of the writes of the staging tables and marts, so no
+    table is scanned for them."""
     flat = fx.balance_flat(spark, sf).withColumn(
         "metric_type", F.when(F.col("metric_type") != "5-LOW", F.col("metric_type")))
-    stg_b = stage_balance(wr.conform(flat, BALANCE_RAW)).checkpoint()
-    stg_w = stage_weather(wr.conform(_monthly(spark, sf), WEATHER_MONTHLY_RAW)).checkpoint()
-    mart = mart_energy_weather(stg_b, stg_w)
-    cur = curate(mart, fx.FIXTURE_CURATED)
-    return not_null_report({"stg_redata_balance_electrico": stg_b, "stg_openmeteo_monthly": stg_w,
-                            "mart_energy_weather_monthly": mart,
-                            "mart_energy_weather_monthly_curated": cur})
+    metrics = {}
+
+    def saved(df, model):
+        df, metrics[model] = observed(df, model, dict(NOT_NULL_TESTS)[model])
+        path = scratch_path(spark, model)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    stg_b = saved(stage_balance(wr.conform(flat, BALANCE_RAW)), STG_BALANCE)
+    stg_w = saved(stage_weather(wr.conform(_monthly(spark, sf), WEATHER_MONTHLY_RAW)), STG_WEATHER)
+    mart = saved(mart_energy_weather(stg_b, stg_w), MART)
+    saved(curate(mart, fx.FIXTURE_CURATED), CURATED)
+    return observed_report(spark, metrics)
 
 
 # --- whole batch flow -------------------------------------------------------------
@@ -714,5 +821,34 @@ def q_not_null_report(spark, sf):
 
 @register("end_to_end_curated", _ECW + "select * from cur")
 def q_end_to_end_curated(spark, sf):
-    from ampora.plans.batch import run_batch
     return run_batch(spark, sf).curated
+
+
+@register("end_to_end_raw", o.with_(o.E_EXT, o.FLAT) + """
+, n as (select region_slug as rs, metric_id as mid, count(distinct substr(year_month, 1, 4)) as n_payloads,
+               min(substr(year_month, 1, 4)) as first_year
+        from flat group by region_slug, metric_id)
+select region_slug, metric_id, year_month, metric_type || ' ' || first_year as metric_title, value,
+       case when n_payloads = 1 then total end as total,
+       case when n_payloads = 1 then total_percentage end as total_percentage
+from flat join n on region_slug = rs and metric_id = mid""")
+def q_end_to_end_raw(spark, sf):
+    """The raw balance table of the whole flow, by name: a record that several years' payloads hold has no total."""
+    result = run_batch(spark, sf)
+    return spark.table(f"{result.database}.{RAW_BALANCE}").select(
+        "region_slug", "metric_id", "year_month", "metric_title", "value", "total", "total_percentage")
+
+
+@register("models_by_name", _ECW + """
+select m.region_slug, m.year_month, m.metric_type, m.value, m.precipitation_sum_total,
+       m.metric_type in ('1-URGENT', '2-HIGH', '3-MEDIUM') as is_curated, w.location_name
+from m left join w on m.region_slug = w.region_slug and m.year_month = w.year_month""")
+def q_models_by_name(spark, sf):
+    """SQL over the persistent staging view and mart tables of the whole flow, by their catalog names."""
+    db = run_batch(spark, sf).database
+    return spark.sql(f"""
+        select m.region_slug, m.year_month, m.metric_type, m.value, m.precipitation_sum_total,
+               c.metric_type is not null as is_curated, w.location_name
+        from {db}.{MART} m
+        left join {db}.{CURATED} c on m.region_slug = c.region_slug and m.year_month = c.year_month and m.metric_type = c.metric_type
+        left join {db}.{STG_WEATHER} w on m.region_slug = w.region_slug and m.year_month = w.year_month""")

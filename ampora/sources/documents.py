@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampora.functions.columns import is_object
+from ampora.functions.columns import is_object, is_present
 
 
 # the folder's slug stays text: inferred, "01" would be the number 1
@@ -69,7 +69,8 @@ def parse_documents(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
 
 
 def split_documents(docs: DataFrame, doc_col: str = "doc") -> tuple[DataFrame, DataFrame]:
-    """(objects, rejects): rejects carry a ``reason``; nothing is collected."""
+    """(objects, rejects): rejects carry a ``reason``; nothing is collected.  Each output scans and parses by itself;
+    ``routed_documents`` fills both from one pass."""
     p = parse_documents(docs, doc_col)
     good = p.where(F.col("is_object")).drop("parse_ok", "is_object")
     bad = p.where(~F.col("is_object")).select(
@@ -96,6 +97,20 @@ def split_error_payloads(docs: DataFrame, doc_col: str = "doc") -> tuple[DataFra
             flagged.where(F.col("has_errors")).drop("has_errors"))
 
 
+def routed_documents(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
+    """Input columns, ``reason`` (NULL for a good document) and ``route`` (``good`` or ``rejects``), from one parse.
+
+    A document is rejected that is no JSON, whose top level is no object, or that carries an
+    ``errors`` member.  Write it with ``sinks.writers.write_routes``: one scan fills both tables.
+    """
+    from ampora.operators.flatten import parsed
+    v = F.col("_v")
+    reason = (F.when(v.isNull(), F.lit("invalid_json")).when(~is_object(v), F.lit("not_an_object"))
+              .when(is_present(v, "$.errors"), F.lit("errors_member")))
+    p = parsed(docs, doc_col).select(*docs.columns, reason.alias("reason"))
+    return p.withColumn("route", F.when(F.col("reason").isNull(), F.lit("good")).otherwise(F.lit("rejects")))
+
+
 def read_daily_csv(spark: SparkSession, path: str) -> DataFrame:
     """Flattened daily weather written as CSV (header row), with the fixed
     17-column schema instead of inference."""
@@ -131,7 +146,7 @@ def scan_named_documents(spark: SparkSession, folder: str, pattern: str,
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        raise FileNotFoundError(f"JSON file not found: {[p for p in paths if p in str(e)] or paths}") from e
+        raise FileNotFoundError(f"no such document file: {[p for p in paths if p in str(e)] or paths}") from e
     prefix, suffix = pattern.split("{slug}")
     name = F.col("_metadata.file_name")
     slug = F.regexp_extract(name, "^" + _re_escape(prefix) + "(.*)" + _re_escape(suffix) + "$", 1)
