@@ -64,14 +64,15 @@ def uncastable(v: Column, path: str, type_: str) -> Column:
     """True when the member is there, is not JSON null, and is no value of the numeric type.
 
     ``json_field`` gives NULL for all three of absent, null and uncastable.  Text that reads as a number is
-    one, as in a CSV load; a boolean isn't, and a fraction is no whole number.
+    one and blank text is NULL, as in a CSV load; a boolean is none, and a fraction is no whole number.
     """
     raw = F.try_variant_get(v, path, "variant")
-    bad = F.try_variant_get(v, path, type_).isNull() | (F.schema_of_variant(raw) == "BOOLEAN")
+    text = F.coalesce(F.try_variant_get(v, path, "string"), F.lit("-"))     # objects and arrays have no text
+    bad = F.try_variant_get(v, path, type_).isNull() | text.isin("true", "false")
     if type_ == "bigint":
         number = F.try_variant_get(v, path, "double")
         bad = bad | (number != F.floor(number))
-    return F.coalesce(raw.isNotNull() & ~F.is_variant_null(raw) & bad, F.lit(False))
+    return F.coalesce(raw.isNotNull() & ~F.is_variant_null(raw) & (text != "") & bad, F.lit(False))
 
 
 def json_text(v: Column, path: str = "$") -> Column:

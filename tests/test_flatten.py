@@ -159,3 +159,34 @@ def test_non_object_attributes_are_skipped(spark):
     d["payload"]["included"][0]["attributes"]["content"].append({"id": "r", "attributes": "text"})
     rows = flatten_balance(docs(spark, d), TS).collect()
     assert [(r.group_id, r.metric_id) for r in rows] == [("dem", "m1")]
+
+
+def test_badly_typed_measures(spark):
+    from ampora.operators.flatten import measure_violations
+    stamp = "2025-0{}-01T00:00:00.000+01:00"
+    kinds = [1.5, "2.5", None, "abc", True, {"x": 1}, [1], "", "1e3"]
+    doc = balance_doc([{"datetime": stamp.format(i + 1), "value": v} for i, v in enumerate(kinds)])
+    doc["payload"]["included"][0]["attributes"]["content"][0]["attributes"]["values"].append({"datetime": stamp.format(9)})
+    d = docs(spark, doc)
+    bad = [r.violation for r in measure_violations(d).collect()]
+    assert [b.split(" ")[0] for b in bad] == [f"values[{i}].value" for i in (3, 4, 5, 6)]
+    assert bad[0].endswith('"abc"') and bad[1].endswith("true")
+    good = flatten_balance(d, "t", strict=False).collect()
+    assert sorted((r.value for r in good), key=str) == sorted([1.5, 2.5, None, None, 1000.0, None], key=str)
+    with pytest.raises(Exception, match="values\\[3\\].value is not a number"):
+        flatten_balance(d, "t").count()
+
+
+def test_badly_typed_series(spark):
+    from ampora.operators.flatten import flatten_weather, weather_violations
+    ok = weather_doc(temperature_2m_max=["1.5", None], weather_code=[3.0, "4"])
+    rows = flatten_weather(docs(spark, ok)).collect()
+    assert [(r.temperature_2m_max, r.weather_code) for r in rows] == [(1.5, 3), (None, 4)]
+    bad = weather_doc(temperature_2m_max=[1.0, "bad"], weather_code=[1.5, True])
+    found = sorted(r.violation for r in weather_violations(docs(spark, bad)).collect())
+    assert found == ["'payload.daily.temperature_2m_max[1]' is not a number: \"bad\"",
+                     "'payload.daily.weather_code[0]' is not a whole number: 1.5",
+                     "'payload.daily.weather_code[1]' is not a whole number: true"]
+    assert flatten_weather(docs(spark, bad), strict=False).collect() == []
+    with pytest.raises(Exception, match="is not a number"):
+        flatten_weather(docs(spark, bad)).count()

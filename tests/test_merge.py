@@ -21,7 +21,7 @@ def test_totals_null_when_record_in_two_years(spark):
     rows = [("madrid", "2023", json.dumps(payload("2023", [("a", 10.0), ("b", 5.0)]))),
             ("madrid", "2024", json.dumps(payload("2024", [("a", 11.0), ("c", 7.0)])))]
     df = spark.createDataFrame(rows, "region_slug string, year string, payload string")
-    out = {(r.metric_id, r.year_month): r for r in merge_balance_years(df).collect()}
+    out = {(r.metric_id, r.year_month): r for r in merge_balance_years(df, "payload").collect()}
     assert len(out) == 8
     a = out[("a", "2024-02")]
     assert a.total is None and a.total_percentage is None and a.n_payloads == 2
@@ -33,7 +33,7 @@ def test_included_not_list_is_error(spark):
     df = spark.createDataFrame([("r", "2024", '{"included": 5}')],
                                "region_slug string, year string, payload string")
     with pytest.raises(Exception, match="not a list"):
-        merge_balance_years(df).collect()
+        merge_balance_years(df, "payload").collect()
 
 
 def test_weather_merge_appends_and_keeps_first_envelope(spark):
@@ -60,7 +60,7 @@ def test_missing_record_ids_still_merge(spark):
     p2 = payload("2024", [(None, 2.0)])
     df = spark.createDataFrame([("r", "2023", json.dumps(p1)), ("r", "2024", json.dumps(p2))],
                                "region_slug string, year string, payload string")
-    rows = merge_balance_years(df).collect()
+    rows = merge_balance_years(df, "payload").collect()
     assert len(rows) == 4 and {r.n_payloads for r in rows} == {2} and {r.total for r in rows} == {None}
 
 
@@ -69,6 +69,33 @@ def test_block_attributes_from_first_year_even_without_records(spark):
     p2 = payload("2024", [("a", 3.0)])
     df = spark.createDataFrame([("r", "2023", json.dumps(p1)), ("r", "2024", json.dumps(p2))],
                                "region_slug string, year string, payload string")
-    rows = merge_balance_years(df).collect()
+    rows = merge_balance_years(df, "payload").collect()
     assert len(rows) == 2 and {r.group_title for r in rows} == {"first"}
     assert {r.total for r in rows} == {3.0}
+
+
+def test_merge_keeps_the_first_envelope_and_all_columns(spark):
+    from ampora.schemas import BALANCE_FLAT
+    docs = [{"source": f"s{y}", "endpoint": "e", "region_slug": "madrid", "region_name": f"M{y}", "redata_geo_id": 13,
+             "requested_years": [y], "extracted_at": f"{y}-12-31T00:00:00+00:00", "payload": payload(str(y), [("a", 1.0)])}
+            for y in (2024, 2023)]
+    docs.append({"region_slug": "lugo", "requested_start_date": "2024-01-01T00:00", "payload": payload("2024", [("a", 4.0)])})
+    df = spark.createDataFrame([(json.dumps(d),) for d in docs], "doc string")
+    out = merge_balance_years(df, fallback_ts="now")
+    assert out.columns == [*BALANCE_FLAT.fieldNames(), "n_payloads"]
+    rows = {(r.region_slug, r.year_month): r for r in out.collect()}
+    assert len(rows) == 6
+    for month in ("2023-01", "2024-02"):
+        r = rows["madrid", month]
+        assert (r.source, r.region_name, r.redata_geo_id, r.ingestion_timestamp, r.total) == (
+            "s2023", "M2023", 13, "2023-12-31T00:00:00+00:00", None)
+    assert rows["lugo", "2024-01"].total == 4.0 and rows["lugo", "2024-01"].ingestion_timestamp == "now"
+
+
+def test_merge_refuses_badly_typed_measures(spark):
+    p = payload("2024", [("a", 1.0), ("b", 2.0)])
+    p["included"][0]["attributes"]["content"][0]["attributes"]["values"][1]["value"] = "abc"
+    df = spark.createDataFrame([("r", json.dumps(p))], "region_slug string, payload string")
+    with pytest.raises(Exception, match="value is not a number"):
+        merge_balance_years(df, "payload")
+    assert len(merge_balance_years(df, "payload", strict=False).collect()) == 3

@@ -33,17 +33,31 @@ def test_monthly_rollup_combines_before_shuffle(spark):
     assert "partial_avg" in p and "partial_sum" in p
 
 
-def test_merge_windows_only_over_key_rows(spark):
-    from ampora.operators.merge import merge_balance_years
-    df = spark.createDataFrame([("r", "2024", '{"included": []}')],
-                               "region_slug string, year string, payload string")
-    m = merge_balance_years(df)
+def test_merges_parse_once_into_a_narrow_table(spark):
+    from ampora.operators.flatten import weather_arrays
+    from ampora.operators.merge import balance_records, merge_balance_years, merge_weather_years
+    docs = fx.balance_documents(spark, SF)
+    assert plan(balance_records(docs)).count("parseJson") == 1
+    m = merge_balance_years(docs)
     m.collect()  # final adaptive plan: reused exchanges show as ReusedExchange
     p = plan(m)
-    assert "isFinalPlan=true" in p
-    assert p.count("parseJson") == 2  # key aggregate + join side
-    # the only window runs over the aggregated key rows, never over records
-    assert p.index("Window [") < p.index("Aggregate") 
+    assert "isFinalPlan=true" in p and p.count("parseJson") == 0
+    # windows run over the aggregated key rows, never over records
+    assert p.index("Window [") < p.index("Aggregate")
+    weather = fx.weather_documents(spark, SF)
+    assert plan(weather_arrays(weather)).count("parseJson") == 1
+    p = plan(merge_weather_years(weather))
+    assert p.count("parseJson") == 0
+    # the side that gives each region its envelope reads no series
+    assert any("FileScan" in x and "temperature" not in x for x in p.splitlines())
+
+
+def test_data_tests_scan_nothing(spark):
+    from ampora.operators.quality import observed, observed_report
+    df, obs = observed(spark.createDataFrame([(1, None), (2, "x")], "a int, b string"), "m", ["a", "b"])
+    df.write.format("noop").mode("overwrite").save()
+    rows = observed_report(spark, {"m": obs}, [("m", ["a", "b"]), ("other", ["a"])]).collect()
+    assert [tuple(r) for r in rows] == [("m", "a", 0, True), ("m", "b", 1, False)]
 
 
 def test_scans_are_pruned(spark):

@@ -78,7 +78,7 @@ def test_merge_over_any_year_split(spark, by_year):
     rows = [("r", str(y), json.dumps(yearly_payload(y, recs))) for y, recs in by_year.items()]
     df = spark.createDataFrame(rows, "region_slug string, year string, payload string")
     got = sorted((r.metric_id, r.year_month, r.value, r.total, r.metric_title)
-                 for r in merge_balance_years(df).collect())
+                 for r in merge_balance_years(df, "payload").collect())
     years_of, first, total_of = {}, {}, {}
     for y in sorted(by_year):
         for rid, total, _ in by_year[y]:

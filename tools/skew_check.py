@@ -66,7 +66,7 @@ def main() -> None:
     spark.sparkContext.setJobGroup("monthly", "monthly")
     jobs["monthly_rows"] = daily_to_monthly(spark.read.parquet(f"{scratch}/daily")).count()
     spark.sparkContext.setJobGroup("merge", "merge")
-    jobs["merge_rows"] = merge_balance_years(spark.read.parquet(f"{scratch}/payloads")).count()
+    jobs["merge_rows"] = merge_balance_years(spark.read.parquet(f"{scratch}/payloads"), "payload").count()
     spark.stop()
 
     # per-task shuffle records read, from the event log
