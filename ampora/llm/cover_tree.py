@@ -4,11 +4,13 @@ Vectors are integers.  Equal vectors are one point that stands for its smallest
 nothing.  Points are dealt to cells of the nearest of a few pivots and cells are split into blocks of
 bounded size; so are the queries.  First each block of queries is searched against the blocks of its own
 cell, which gives each query a lower bound of its worst kept score.  Then it is searched against
-all other blocks whose centre and covering radius leave room for a better one.
+all other blocks whose centre and covering radius leave room for a better one, in those cells that do.
 
 In a task, a cover tree is built over the queries and one over the points.  A pair of nodes with centres
-c, d and covering radii r, s holds no product over <c,d> + r|d| + s|c| + rs; it is left out if that is below the
-worst kept score of the query node's queries.  All others are split, down to the products of points.
+c, d and covering radii r, s holds no product over <c,d> + r|d| + s|c| + rs, nor over (u^2 + v^2 - max(0, |c-d| - r - s)^2) / 2
+if none of their vectors is longer than u and v; it is left out if either is below the worst kept score of the query
+node's queries.  All others are split, down to single queries where these lie apart, and to the products of points.
+Vectors that don't cluster, as directions without order, leave nothing out: then all products are made, in few large ones.
 
 Rows: those with a null id, a null vector, or a null, NaN or infinite component take no part.  Vectors of
 different lengths have no product.  Ties go to smaller ids.  Repeated rows count once; a row is known by its
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 LEAF = 24                # points of a node that isn't split
+MOST = 128               # children of a node; points that need more to halve the radius don't cluster, and are a leaf
 BLOCK, QUERY_BLOCK = 4096, 512
 PER_PIVOT, PIVOTS = 16_384, 256      # a pivot for so many points, and at most so many
 EXACT = float(1 << 53)
@@ -36,41 +39,56 @@ EXACT = float(1 << 53)
 
 @dataclass
 class Node:
-    """``center`` covers ``rows`` within ``radius``; a leaf has no children."""
+    """``center`` covers ``rows`` within ``radius``, none is longer than ``longest``; a leaf has no children."""
 
     center: np.ndarray
     radius: float
+    longest: float
     rows: np.ndarray
     children: list[Node]
 
 
-def build(points: np.ndarray) -> Node | None:
+def build(points: np.ndarray, leaf: int = LEAF) -> Node | None:
     """Cover tree: the children's centres are points of the node, more than half its radius apart, and
     cover its points within half its radius."""
-    return _node(points, np.arange(len(points)), 0) if len(points) else None
+    return _node(points.astype(float), np.arange(len(points)), 0, leaf) if len(points) else None
 
 
-def _node(points: np.ndarray, rows: np.ndarray, center: int) -> Node:
-    x = points[rows].astype(float)
+def _node(points: np.ndarray, rows: np.ndarray, center: int, leaf: int) -> Node:
+    x = points[rows]
     middle = x[center]
     away = np.sqrt(((x - middle) ** 2).sum(axis=1))
     radius = float(away.max()) * (1 + 1e-12)
-    if len(rows) <= LEAF or radius == 0:
-        return Node(middle, radius, rows, [])
+    longest = float(np.sqrt((x ** 2).sum(axis=1)).max()) * (1 + 1e-12)
+    if len(rows) <= leaf or radius == 0:
+        return Node(middle, radius, longest, rows, [])
     centers, owner, nearest = [center], np.zeros(len(rows), np.int64), away
     while nearest.max() > radius / 2:
+        if len(centers) == MOST:
+            return Node(middle, radius, longest, rows, [])
         far = int(nearest.argmax())
         to = np.sqrt(((x - x[far]) ** 2).sum(axis=1))
         owner = np.where(to < nearest, len(centers), owner)
         nearest = np.minimum(nearest, to)
         centers.append(far)
     members = [np.flatnonzero(owner == k) for k in range(len(centers))]
-    # single points make up one leaf around the node's centre
-    single = np.array([m[0] for m in members if len(m) == 1], np.int64)
-    children = [_node(points, rows[m], int(np.flatnonzero(m == c)[0])) for c, m in zip(centers, members, strict=True) if len(m) > 1]
+    # single points make up one leaf around the node's centre, unless leaves are to be single points
+    single = np.array([m[0] for m in members if len(m) == 1 < leaf], np.int64)
+    children = [_node(points, rows[m], int(np.flatnonzero(m == c)[0]), leaf)
+                for c, m in zip(centers, members, strict=True) if len(m) > 1 or leaf == 1]
     if len(single):
-        children.append(Node(middle, float(away[single].max()) * (1 + 1e-12), rows[single], []))
-    return Node(middle, radius, rows, children)
+        children.append(Node(middle, float(away[single].max()) * (1 + 1e-12), longest, rows[single], []))
+    return Node(middle, radius, longest, rows, children)
+
+
+def room(product, distance, q_center, q_radius, q_longest, p_center, p_radius, p_longest, least=np.minimum, most=np.maximum):  # noqa: ANN001, ANN201
+    """The largest product that two nodes can hold: by their centres' product and radii, and by the distance
+    between them and the lengths of their longest vectors.  ``*_center``: lengths of the centres."""
+    by_product = product + q_radius * p_center + p_radius * q_center + q_radius * p_radius
+    apart = most(distance - q_radius - p_radius, distance * 0)
+    by_distance = (q_longest * q_longest + p_longest * p_longest - apart * apart) / 2
+    slack = 1e-9 * ((q_center + q_radius) * (p_center + p_radius) + q_longest * q_longest + p_longest * p_longest)
+    return least(by_product, by_distance) + slack + 1e-6
 
 
 class Search:
@@ -87,22 +105,24 @@ class Search:
         self.compared = 0
 
     def run(self) -> Search:
-        q, p = build(self.queries), build(self.points)
+        q, p = build(self.queries, 1), build(self.points)
         if q is not None and p is not None:
             self._pair(q, p)
         return self
 
     def _room(self, q: Node, p: Node) -> float:
-        a, b = np.sqrt(q.center @ q.center), np.sqrt(p.center @ p.center)
-        room = q.center @ p.center + q.radius * b + p.radius * a + q.radius * p.radius
-        return room + 1e-9 * (abs(room) + (a + q.radius) * (b + p.radius)) + 1e-6
+        away = q.center - p.center
+        return float(room(q.center @ p.center, np.sqrt(away @ away), np.sqrt(q.center @ q.center), q.radius, q.longest,
+                          np.sqrt(p.center @ p.center), p.radius, p.longest))
 
     def _pair(self, q: Node, p: Node) -> None:
         if self._room(q, p) < self.floor[q.rows].min():
             return
-        if not q.children and not p.children:
+        # a query node that is small beside the points stays whole: its queries are near to the same of them
+        narrow = not q.children or q.radius <= 2 * p.radius
+        if narrow and not p.children:
             self._products(q.rows, p.rows)
-        elif p.children and (not q.children or p.radius >= q.radius):
+        elif p.children and (narrow or p.radius >= q.radius):
             # the most promising first: it raises the worst kept scores for the others
             for child in sorted(p.children, key=lambda c: -self._room(q, c)):
                 self._pair(q, child)
@@ -117,10 +137,14 @@ class Search:
             new = (self.left[q] @ self.right[some].T).astype(np.int64)
             score = np.concatenate([self.score[q], new], axis=1)
             row = np.concatenate([self.found[q], np.broadcast_to(some, new.shape)], axis=1)
-            name = np.where(row >= 0, self.names[row], np.iinfo(np.int64).max)
-            for i in range(len(q)):
-                best = np.lexsort((name[i], -score[i]))[:self.k]
-                self.score[q[i]], self.found[q[i]] = score[i, best], row[i, best]
+            kth = -np.partition(-score, self.k - 1, axis=1)[:, self.k - 1:self.k]
+            i, j = np.nonzero(score >= kth)
+            name = np.where(row[i, j] >= 0, self.names[row[i, j]], np.iinfo(np.int64).max)
+            order = np.lexsort((name, -score[i, j], i))
+            i, j = i[order], j[order]
+            keep = np.arange(len(i)) - np.searchsorted(i, i) < self.k
+            best = j[keep].reshape(len(q), self.k)
+            self.score[q], self.found[q] = np.take_along_axis(score, best, axis=1), np.take_along_axis(row, best, axis=1)
             kth = self.score[q, -1]
             self.floor[q] = np.maximum(self.floor[q], np.where(self.found[q, -1] >= 0, kth, self.floor[q]))
 
@@ -169,14 +193,19 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     query = query.join(worst, "name", "left")
     floors = query.groupBy("query_block").agg(
         F.when(F.count("*") == F.count("floor"), F.min("floor")).alias("floor"))
-    # the stated queries against all rows, in blocks: pairs of blocks by their summaries
-    paired = (q.join(floors, "query_block").join(d.select(
-        "block", F.col("cell").alias("d_cell"), F.col("length"), F.col("center").alias("d_center"), F.col("radius").alias("d_radius")), "length"))
+    # the stated queries against all rows, in blocks: cells by their summaries, then the blocks of the cells that are left
+    asking = q.join(floors, "query_block")
+    near = asking.select("query_block", F.explode(_cells_in_reach(_summary(points, "cell"))(
+        "center", "radius", "longest", F.col("floor").cast("string"))).alias("d_cell"))
+    paired = (asking.join(near, "query_block").join(d.select(
+        "block", F.col("cell").alias("d_cell"), F.col("length"), F.col("center").alias("d_center"), F.col("radius").alias("d_radius"),
+        F.col("longest").alias("d_longest")), ["d_cell", "length"]))
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     a, b = F.sqrt(dot("center", "center")), F.sqrt(dot("d_center", "d_center"))
-    room = dot("center", "d_center") + F.col("radius") * b + F.col("d_radius") * a + F.col("radius") * F.col("d_radius")
-    room = room + 1e-9 * (F.abs(room) + (a + F.col("radius")) * (b + F.col("d_radius"))) + 1e-6
-    others = paired.where((F.col("cell") != F.col("d_cell")) & (F.col("floor").isNull() | (room >= F.col("floor"))))
+    away = F.zip_with("center", "d_center", lambda x, y: x - y)
+    most = room(dot("center", "d_center"), F.sqrt(dot(away, away)), a, F.col("radius"), F.col("longest"), b, F.col("d_radius"),
+                F.col("d_longest"), F.least, F.greatest)
+    others = paired.where((F.col("cell") != F.col("d_cell")) & (F.col("floor").isNull() | (most >= F.col("floor"))))
     second = _searched(others.select("query_block", "block"), query, data, "floor", k)
     found = (first.unionByName(second).withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k + 1)
              .join(data.select("name", "ids"), "name")
@@ -220,17 +249,47 @@ def _blocked(points: DataFrame, size: int, name: str) -> DataFrame:
         name, F.xxhash64("cell", "length", F.pmod(F.xxhash64("name"), "parts"))).drop("parts")
 
 
-def _summary(points: DataFrame, block: str) -> DataFrame:
-    """Centre and covering radius of each block."""
+def _summary(points: DataFrame, by: str) -> DataFrame:
+    """Centre, covering radius and longest vector of each block, or of each cell's vectors of one length.
 
-    def summarise(part: pd.DataFrame) -> pd.DataFrame:
-        x = _matrix(part["vector"]).astype(float)
-        center = x.mean(axis=0)
-        radius = float(np.sqrt(((x - center) ** 2).sum(axis=1)).max()) * (1 + 1e-12)
-        return pd.DataFrame({block: [part[block].iloc[0]], "cell": [part["cell"].iloc[0]], "length": [x.shape[1]],
-                             "center": [center.tolist()], "radius": [radius]})
-
-    return points.groupBy(block).applyInPandas(summarise, f"{block} long, cell int, length int, center array<double>, radius double")
+    Tasks add up their own rows, so that a cell with most points isn't one group: a cell's centre is its mean, and its radius is
+    over all its points.
+    """
+    keys = ["cell", "length"] if by == "cell" else [by, "cell", "length"]
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = [(*(key if isinstance(key, tuple) else (key,)), len(part), _matrix(part["vector"]).astype(float).sum(axis=0).tolist())
+                   for key, part in batch.groupby(keys)]
+            yield pd.DataFrame(out, columns=[*keys, "n", "total"])
+
+    types = ", ".join(f"{k} {points.schema[k].dataType.simpleString()}" for k in keys)
+    parts = points.select(*keys, "vector").mapInPandas(sums, f"{types}, n long, total array<double>")
+    mean = (parts.select(*keys, "n", F.posexplode("total").alias("at", "total")).groupBy(*keys, "at")
+            .agg((F.sum("total") / F.sum("n")).alias("mean")))
+    centers = mean.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("at", "mean"))).alias("mean")).select(
+        *keys, F.col("mean.mean").alias("center"))
+    x = F.transform("vector", lambda v: v.cast("double"))
+    square = lambda v: F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x)
+    away, size = F.sqrt(square(F.zip_with(x, "center", lambda u, v: u - v))), F.sqrt(square(x))
+    return points.join(centers, keys).groupBy(*keys).agg(
+        F.first("center").alias("center"), (F.max(away) * (1 + 1e-9)).alias("radius"), (F.max(size) * (1 + 1e-9)).alias("longest"))
+
+
+def _cells_in_reach(cells: DataFrame):  # noqa: ANN202 - a pandas_udf
+    """For a query block, the cells that leave room for a better product; at most ``PIVOTS`` cells a length, and a rest."""
+    known = [(r["cell"], r["length"], np.array(r["center"]), r["radius"], r["longest"]) for r in cells.collect()]
+
+    @F.pandas_udf("array<int>")
+    def reach(center: pd.Series, radius: pd.Series, longest: pd.Series, floor: pd.Series) -> pd.Series:
+        out = []
+        for c, r, l, low in zip(center, radius, longest, floor, strict=True):
+            c = np.asarray(c, float)
+            out.append([cell for cell, length, d, s, m in known if length == len(c) and (low is None or room(
+                c @ d, np.linalg.norm(c - d), np.linalg.norm(c), r, l, np.linalg.norm(d), s, m) >= float(int(low)))])
+        return pd.Series(out)
+
+    return reach
 
 
 def _searched(pairs: DataFrame, query: DataFrame, data: DataFrame, floor: str | None, k: int) -> DataFrame:
