@@ -220,6 +220,37 @@ def balance_documents(spark: SparkSession, sf_dir: str, bad_measures: bool = Fal
     return p.select("region_slug", "year", F.to_json(env).alias("doc"))
 
 
+def whole_balance_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One balance document per region with all its months, as a landing of one file per region holds."""
+    flat = balance_flat(spark, sf_dir)
+    value = F.struct("datetime", "value", "percentage")
+    recs = flat.groupBy("region_slug", "region_name", "redata_geo_id", "group_id", "metric_id").agg(
+        F.sort_array(F.collect_list(value)).alias("values"))
+    record = F.struct(F.col("metric_id").alias("id"), F.col("metric_id").alias("type"), F.struct("values").alias("attributes"))
+    blocks = recs.groupBy("region_slug", "region_name", "redata_geo_id", "group_id").agg(
+        F.sort_array(F.collect_list(record)).alias("content"))
+    block = F.struct(F.col("group_id").alias("id"), F.col("group_id").alias("type"), F.struct("content").alias("attributes"))
+    docs = blocks.groupBy("region_slug", "region_name", "redata_geo_id").agg(F.sort_array(F.collect_list(block)).alias("included"))
+    env = F.struct(F.lit(BALANCE_SOURCE).alias("source"), F.lit(BALANCE_ENDPOINT).alias("endpoint"), "region_slug", "region_name",
+                   "redata_geo_id", F.lit(INGESTED_AT).alias("extracted_at"), F.struct("included").alias("payload"))
+    return docs.select("region_slug", F.to_json(env, {"pretty": "true"}).alias("doc"))
+
+
+def whole_weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One weather document per region with all its days."""
+    from ampora.constants import DAILY_SERIES
+    env = ["source", "region_slug", "region_name", "location_name", "latitude", "longitude", "timezone", "weather_point_type"]
+    g = weather_daily(spark, sf_dir).groupBy(*env).agg(F.sort_array(F.collect_list(F.struct("date", *DAILY_SERIES))).alias("days"))
+    daily = F.struct(F.transform("days", lambda d: d["date"]).alias("time"),
+                     *[_series("days", s) for s in DAILY_SERIES])
+    doc = F.struct(*env, F.lit(INGESTED_AT).alias("extracted_at"), F.struct(daily.alias("daily")).alias("payload"))
+    return g.select("region_slug", F.to_json(doc, {"pretty": "true"}).alias("doc"))
+
+
+def _series(days: str, name: str) -> Column:
+    return F.transform(days, lambda d: d[name]).alias(name)
+
+
 def weather_payload_columns(wd: DataFrame) -> DataFrame:
     """Per region and year: the envelope plus the daily arrays sorted by date."""
     from ampora.constants import DAILY_SERIES

@@ -527,6 +527,43 @@ def q_scan_raw_weather(spark, sf):
     return flatten_weather(docs_src.scan_documents(spark, root))
 
 
+_THREE_WAYS = """
+select 'all' as chosen_by, * from {0} union all
+select 'regions', * from {0} where region_slug in ('nation_3', 'nation_8') union all
+select 'file', * from {0} where region_slug = 'nation_12'"""
+
+
+def _three_ways(spark, folder, pattern, flat):
+    """A landing of one file per region read whole, by a list of regions, and by a file's name."""
+    ways = {"all": {}, "regions": {"region_slugs": ["nation_8", "nation_3", "nation_8"]},
+            "file": {"file_name": pattern.format(slug="nation_12")}}
+    parts = [flat(docs_src.scan_named_documents(spark, folder, pattern, **how)).select(F.lit(by).alias("chosen_by"), "*")
+             for by, how in ways.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("scan_named_balance", o.with_(o.E_EXT, o.FLAT) + """
+, b as (select region_slug, region_name, redata_geo_id, ingestion_timestamp, group_id, metric_id, year_month, datetime, value, percentage
+        from flat)""" + _THREE_WAYS.format("b"))
+def q_scan_named_balance(spark, sf):
+    """One pretty-printed document per file, named after its region; the second write replaces the files of some regions."""
+    folder = scratch_path(spark, "named_balance")
+    docs = fx.whole_balance_documents(spark, sf)
+    stale = docs.where(F.col("region_slug").like("nation_1%")).withColumn("doc", F.lit("{}"))
+    wr.write_named_documents(stale, folder, docs_src.BALANCE_FILE_PATTERN)
+    wr.write_named_documents(docs, folder, docs_src.BALANCE_FILE_PATTERN)
+    return _three_ways(spark, folder, docs_src.BALANCE_FILE_PATTERN, lambda d: flatten_balance(d, fx.FALLBACK_TS).select(
+        "region_slug", "region_name", "redata_geo_id", "ingestion_timestamp", "group_id", "metric_id", "year_month", "datetime",
+        "value", "percentage"))
+
+
+@register("scan_named_weather", o.with_(o.C, o.WD) + f", b as (select {_WD_COLS} from wd)" + _THREE_WAYS.format("b"))
+def q_scan_named_weather(spark, sf):
+    folder = scratch_path(spark, "named_weather")
+    wr.write_named_documents(fx.whole_weather_documents(spark, sf), folder, docs_src.WEATHER_FILE_PATTERN)
+    return _three_ways(spark, folder, docs_src.WEATHER_FILE_PATTERN, flatten_weather)
+
+
 # --- coverage and conformance --------------------------------------------------
 
 _SELECTED = ["nation_1", "nation_6", "nation_11", "nation_16", "nation_21"]

@@ -4,6 +4,7 @@ rewrites never overwrite the path they read from."""
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -31,6 +32,29 @@ def write_landing(docs: DataFrame, root: str, doc_col: str = "doc") -> None:
      .partitionBy("region_slug").text(root))
 
 
+def write_named_documents(docs: DataFrame, folder: str, pattern: str, doc_col: str = "doc") -> None:
+    """One file per region, named by ``pattern`` with the region's slug in place of ``{slug}``; a rerun replaces only
+    the files of the regions it carries, each with one move of a complete file.
+
+    Each task writes the documents of its own rows: one document per region is expected, and of several that one
+    stays whose task ended last.
+    """
+    prefix, suffix = pattern.split("{slug}")
+
+    def save(rows: Iterator) -> None:
+        from pyarrow import fs
+        store, root = fs.FileSystem.from_uri(folder)
+        store.create_dir(root, recursive=True)
+        for r in rows:
+            name = f"{prefix}{r['region_slug']}{suffix}"
+            draft = f"{root}/_{name}.{uuid.uuid4().hex}"          # names with an underscore aren't read
+            with store.open_output_stream(draft) as out:
+                out.write(r["doc"].encode())
+            store.move(draft, f"{root}/{name}")
+
+    docs.where("region_slug IS NOT NULL").select("region_slug", F.col(doc_col).alias("doc")).foreachPartition(save)
+
+
 MART_ORDER = ["year_month", "region_name", "metric_type"]
 
 
