@@ -9,7 +9,8 @@ read off by following the table backwards.
 
 Texts are cut into pieces by the tokenizer file's own pre-tokenizer; added tokens
 in a text are matched first.  Pieces repeat, so each Python worker keeps a bounded
-table of pieces it has encoded; a miss is encoded, whatever its length.
+table of pieces it has encoded; a miss is encoded, whatever its length.  The automaton is made once, as arrays
+in a file that Spark sends to the executors; their workers map it and share its pages.
 
 Rows: a null text counts as empty; empty texts have no ids.  Any number of further
 columns is kept; a clashing output name raises ``ValueError``.  An empty table gives
@@ -18,21 +19,26 @@ an empty table.  Repeated rows are encoded independently.
 
 from __future__ import annotations
 
+import hashlib
 import json
+import os
 import re
+import tempfile
 from array import array
 from collections.abc import Callable, Iterator
 from functools import cached_property, lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CACHE_ENTRIES = 150_000      # pieces a worker remembers, in each of two generations
 CACHE_PIECE = 96             # longer pieces are encoded anew each time
 LEARN_ROWS = 500             # texts whose new pieces are encoded together
+STEP_ENTRIES = 50_000        # states whose transitions or ends single pieces have asked for
+TABLE_HEAD = 1024            # bytes before the arrays of a file of tables
 PAIR_ENTRIES = 200_000       # pairs remembered for pieces encoded singly
 PAIR_SLOTS = 1 << 22         # and, at most, for pieces encoded together
 
@@ -97,10 +103,86 @@ class SuffixAutomaton:
             self.up[s] = above if above in self.ends else self.up[above] if above >= 0 else -1
 
 
+class _Steps(dict):
+    """Transitions of the states that were asked for, from sorted edges."""
+
+    def __init__(self, tables: dict[str, np.ndarray]) -> None:
+        self.first, self.byte, self.to = tables["edge_first"], tables["edge_byte"], tables["edge_to"]
+
+    def __missing__(self, state: int) -> dict[int, int]:
+        a, b = int(self.first[state]), int(self.first[state + 1])
+        if len(self) >= STEP_ENTRIES:
+            self.clear()
+        self[state] = dict(zip(self.byte[a:b].tolist(), self.to[a:b].tolist(), strict=True))
+        return self[state]
+
+
+def automaton_tables(words: list[bytes], ids: list[int]) -> dict[str, np.ndarray]:
+    """The suffix automaton of a vocabulary as arrays: edges of each state in order of bytes, the same for the bytes
+    of Latin words as a dense table, links, depths, and the tokens that end in each state, longest first."""
+    auto = SuffixAutomaton(words)
+    n = len(auto.step)
+    edges = array("i", [0])
+    byte, to = array("B"), array("i")
+    for step in auto.step:
+        for b in sorted(step):
+            byte.append(b)
+            to.append(step[b])
+        edges.append(len(byte))
+    first, size, token = array("i", [0]), array("h"), array("i")
+    for state in range(n):
+        at = state
+        while at > 0:
+            for length, number in auto.ends.get(at, ()):
+                size.append(length)
+                token.append(ids[number])
+            at = auto.up[at]
+        first.append(len(size))
+    out = {"edge_first": np.array(edges, np.int32), "edge_byte": np.array(byte, np.uint8), "edge_to": np.array(to, np.int32),
+           "link": np.array(auto.link, np.int32), "depth": np.array(auto.depth, np.int16),
+           "first": np.array(first, np.int32), "size": np.array(size, np.int16), "token": np.array(token, np.int32)}
+    del auto
+    column = _columns()
+    state = np.repeat(np.arange(n), np.diff(out["edge_first"]))
+    used = column[out["edge_byte"]] >= 0
+    out["next"] = np.full((n, int(column.max()) + 1), -1, np.int32)
+    out["next"][state[used], column[out["edge_byte"][used]]] = out["edge_to"][used]
+    return out
+
+
+def _columns() -> np.ndarray:
+    """The column of each byte that a Latin word can hold in the dense table (-1: none)."""
+    used = [0x20, *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0xCA)]
+    column = np.full(256, -1, np.int16)
+    column[used] = np.arange(len(used))
+    return column
+
+
+def save_tables(tables: dict[str, np.ndarray], path: str) -> None:
+    """One file: a line of JSON that says where each array is, then the arrays."""
+    place, head = 0, {}
+    for name, x in tables.items():
+        head[name] = (str(x.dtype), x.shape, place)
+        place += -(-x.nbytes // 64) * 64
+    line = json.dumps(head).encode()
+    with open(path, "wb") as f:
+        f.write(line.ljust(TABLE_HEAD - 1) + b"\n")
+        for x in tables.values():
+            f.write(x.tobytes().ljust(-(-x.nbytes // 64) * 64, b"\0"))
+
+
+def open_tables(path: str) -> dict[str, np.ndarray]:
+    """The arrays of a file, mapped: workers of one machine share its pages."""
+    with open(path, "rb") as f:
+        head = json.loads(f.readline())
+    return {name: np.memmap(path, dtype, "r", TABLE_HEAD + at, tuple(shape)) for name, (dtype, shape, at) in head.items()}
+
+
 class Tokenizer:
-    """A byte-level BPE tokenizer file, encoded by prefix tables."""
+    """A byte-level BPE tokenizer file, encoded by prefix tables; ``tables``: a file of them, else they are made here."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, tables: str | None = None) -> None:
+        self.tables_file = tables
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, pre = spec["model"], spec["pre_tokenizer"] or {}
@@ -144,8 +226,12 @@ class Tokenizer:
         return ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
 
     @cached_property
-    def automaton(self) -> SuffixAutomaton:
-        return SuffixAutomaton([self.bytes_of[i] for i in self.words])
+    def arrays(self) -> dict[str, np.ndarray]:
+        return open_tables(self.tables_file) if self.tables_file else automaton_tables([self.bytes_of[i] for i in self.words], self.words)
+
+    @cached_property
+    def step(self) -> _Steps:
+        return _Steps(self.arrays)
 
     @cached_property
     def tables(self) -> _Tables:
@@ -187,8 +273,8 @@ class Tokenizer:
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """Ids of one piece: fill the table of last tokens, then walk it backwards."""
-        auto, fits, compatible = self.automaton, self.fits, self._remembered
-        step, link, depth, ending = auto.step, auto.link, auto.depth, self.ending
+        fits, compatible = self.fits, self._remembered
+        step, link, depth, ending = self.step, self.arrays["link"], self.arrays["depth"], self.ending
         n = len(piece)
         last, length = [0] * (n + 1), [0] * (n + 1)
         state = have = 0
@@ -196,8 +282,8 @@ class Tokenizer:
             while byte not in step[state]:
                 if state == 0:
                     raise ValueError(f"byte {byte} is not in the vocabulary")
-                state = link[state]
-                have = depth[state]
+                state = int(link[state])
+                have = int(depth[state])
             state = step[state][byte]
             have += 1
             for size, token in ending.get(state) or self.ending_at(state):
@@ -220,11 +306,10 @@ class Tokenizer:
 
     def ending_at(self, state: int) -> tuple[tuple[int, int], ...]:
         """(length, id) of the tokens that are suffixes of a state's strings, longest first."""
-        found, at = [], state
-        while at > 0:
-            found += [(size, self.words[number]) for size, number in self.automaton.ends.get(at, ())]
-            at = self.automaton.up[at]
-        self.ending[state] = tuple(found)
+        a, b = self.arrays["first"][state:state + 2].tolist()
+        if len(self.ending) >= STEP_ENTRIES:
+            self.ending.clear()
+        self.ending[state] = tuple(zip(self.arrays["size"][a:b].tolist(), self.arrays["token"][a:b].tolist(), strict=True))
         return self.ending[state]
 
     def encode_unit(self, unit: str) -> array:
@@ -317,25 +402,9 @@ class _Tables:
     """
 
     def __init__(self, owner: Tokenizer) -> None:
-        auto = owner.automaton
-        self.owner, n = owner, len(auto.step)
-        used = [0x20, *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0xCA)]
-        self.column = np.full(256, -1, np.int16)
-        self.column[used] = np.arange(len(used))
-        self.next = np.full((n, len(used)), -1, np.int32)
-        for s, step in enumerate(auto.step):
-            for byte, to in step.items():
-                if self.column[byte] >= 0:
-                    self.next[s, self.column[byte]] = to
-        self.link = np.array(auto.link, np.int32)
-        self.depth = np.array(auto.depth, np.int16)
-        ending = [owner.ending_at(s) for s in range(n)]
-        owner.ending.clear()        # single pieces ask for few states
-        count = np.array([len(x) for x in ending])
-        self.first = np.concatenate([[0], np.cumsum(count)])
-        flat = [x for y in ending for x in y]
-        self.size = np.array([x[0] for x in flat], np.int64)
-        self.token = np.array([x[1] for x in flat], np.int64)
+        self.owner, self.column = owner, _columns()
+        self.next, self.link, self.depth, self.first, self.size, self.token = (
+            owner.arrays[name] for name in ("next", "link", "depth", "first", "size", "token"))
         self.keys = np.full(1 << 20, -1, np.int64)      # known pairs: open addressing
         self.fits = np.zeros(1 << 20, bool)
         self.known = 0
@@ -365,7 +434,7 @@ class _Tables:
             have[:m] += 1
             left, nth = np.arange(m), self.first[to]
             while len(left):
-                size, token = self.size[nth[left]], self.token[nth[left]]
+                size, token = (x[nth[left]].astype(np.int64) for x in (self.size, self.token))
                 right = size <= have[left]
                 inner = np.flatnonzero(right & (size < i))
                 right[inner] = self._compatible(last[i - size[inner], left[inner]], token[inner])
@@ -458,10 +527,31 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(0x100 + k): b for k, b in enumerate(hidden)}
 
 
+def _tables_name(path: str) -> str:
+    with open(path, "rb") as f:
+        return f"bpe-tables-{hashlib.sha256(f.read()).hexdigest()[:16]}"
+
+
 @lru_cache(maxsize=4)
 def tokenizer(path: str) -> Tokenizer:
-    """One tokenizer per worker process and file."""
-    return Tokenizer(path)
+    """One tokenizer per worker process and file, over the tables that ``ship_tables`` sent, if it did."""
+    sent = SparkFiles.get(_tables_name(path)) if SparkFiles._is_running_on_worker else ""
+    return Tokenizer(path, sent if os.path.exists(sent) else None)
+
+
+_sent: set[tuple[str, str]] = set()
+
+
+def ship_tables(spark: SparkSession, path: str) -> None:
+    """Make a tokenizer's tables once, on the driver, and send them with Spark's own file distribution: each
+    executor gets one copy, which its workers map."""
+    name = _tables_name(path)
+    app = spark.sparkContext.applicationId
+    if (app, name) not in _sent:
+        place = os.path.join(tempfile.mkdtemp(prefix="tables-"), name)
+        save_tables(Tokenizer(path).arrays, place)
+        spark.sparkContext.addFile(place)
+        _sent.add((app, name))
 
 
 def token_ids(text: Column, tokenizer_path: str) -> Column:
@@ -502,6 +592,7 @@ def _free(df: DataFrame, *names: str) -> None:
 def encode(df: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:
     """``df`` with the ids of its texts.  No shuffle; each batch of rows is encoded by itself."""
     _free(df, ids_col)
+    ship_tables(df.sparkSession, tokenizer_path)
     return df.withColumn(ids_col, token_ids(F.col(text_col), tokenizer_path))
 
 
@@ -515,6 +606,7 @@ def encode_and_decode(df: DataFrame, tokenizer_path: str, text_col: str = "text"
                       decoded_col: str = "decoded") -> DataFrame:
     """``encode`` and then ``decode``, in one pass of the Python workers."""
     _free(df, ids_col, decoded_col)
+    ship_tables(df.sparkSession, tokenizer_path)
 
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tok = tokenizer(tokenizer_path)

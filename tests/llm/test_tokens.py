@@ -21,8 +21,11 @@ TEXTS = [None, "", " ", "\n", "a", "Hello, world.\nIt's 2024!", "x  y\t\tz ", "<
          "word " * 3000, "q" * 5000, "THE!! END!!\n\n\n  indented\r\n"]
 
 
+LIBRARY = Library.from_file(PATH)
+
+
 def library_ids(text):
-    return Library.from_file(PATH).encode(text or "", add_special_tokens=False).ids
+    return LIBRARY.encode(text or "", add_special_tokens=False).ids
 
 
 def test_suffix_automaton_finds_every_word_that_ends_at_a_position():
