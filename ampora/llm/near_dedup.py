@@ -8,10 +8,9 @@ has an exact similarity of at least ``THRESHOLD``.  A class is a connected compo
 
 A bucket is never expanded into its pairs.  Its members are first compared with one
 leader, the one that shares the most buckets with others; a bucket whose members then are in
-one class is done.  In the others, members of different classes are compared by their
-signatures, in blocks of bounded size; pairs whose distances to the leader differ by more than
-1 - ``THRESHOLD`` need no look, as 1 - similarity is a metric.  So all pairs that share a bucket
-are decided, whatever the bucket's size.  Pairs are verified in groups that share most of their texts.
+one class is done.  In the others, members of different classes meet in cells of bounded size, are compared by their
+signatures and then exactly in the same task, and only links that join two classes leave it: fewer than the cells have
+members.  So all pairs that share a bucket are decided, whatever the bucket's size.
 
 Rows: null and empty texts, and texts without words, have no shingles and form classes of
 their own.  Equal texts are one node, so groups of copies cost no pairs.  Rows with a null
@@ -27,8 +26,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path
 from .words import U, mix, shingles, slices, word_hashes
@@ -196,8 +196,8 @@ def _is_marked(spark: SparkSession, table: bytes, column: Column) -> Column:
     return F.arrow_udf(look, "boolean")(F.pmod(F.xxhash64(column), F.lit(MARKS)))
 
 
-def _verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame, bags: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """(the pairs with their similarity, bags read for them).
+def _verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs with their similarity.
 
     pairs: a, b and x, y, the group in which a pair is verified.  A text's bag goes to each of
     its groups once, not to each of its pairs.  Texts that no pair needs are left out by a
@@ -206,15 +206,12 @@ def _verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame, bags: Data
     ends = pairs.select("x", "y", F.col("a").alias("id")).union(pairs.select("x", "y", F.col("b").alias("id")))
     used = _kept(spark, ends.distinct(), "near-used")
     needed = used.select("id").distinct()
-    if bags is not None:
-        needed = needed.join(bags.select("id").distinct(), "id", "left_anti")
     texts = docs.select(F.col("doc_id").alias("id"), "text")
     texts = texts.where(_is_marked(spark, _marked(needed), F.col("id"))).join(needed, "id", "left_semi")
-    new = _kept(spark, texts.select("id", _bag(F.col("text")).alias("bag")), "near-bags")
-    bags = new if bags is None else bags.union(new)
+    bags = _kept(spark, texts.select("id", _bag(F.col("text")).alias("bag")), "near-bags")
     found = (pairs.groupBy("x", "y").cogroup(used.join(bags, "id").groupBy("x", "y"))
              .applyInPandas(_compared, "a bigint, b bigint, similarity double"))
-    return _kept(spark, found, "near-compared"), bags
+    return _kept(spark, found, "near-compared")
 
 
 def _links(compared: DataFrame) -> DataFrame:
@@ -252,70 +249,79 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     return _kept(spark, found.join(least, "root").select("id", F.col("least").alias("root")), "near-roots")
 
 
-def _cross(members: DataFrame) -> DataFrame:
-    """Pairs of members of one bucket, but of different classes, whose signatures agree enough.
+def _across(spark: SparkSession, members: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) that join the classes of members of one bucket: a spanning forest of those found in each task.
 
-    members: bucket, band, id, root, far (distance to the bucket's leader), n_words, signs.  Of each bucket, the members of its largest class
-    are compared with the rest, and the rest among themselves, in blocks of about ``BLOCK``.
+    members: bucket, id, content, root, n_words, signs.  A text lives in a cell, a share of about ``BLOCK`` members of its
+    largest bucket; members of that bucket's largest class have cells of their own.  Cells that share a bucket meet in a
+    task, unless both hold one class only and the same, and texts of different classes are compared there, by signatures and
+    then by their bags.  A text's bag goes to each of its tasks once; no pair leaves a task but those that join two classes.
     """
-    sizes = members.groupBy("bucket", "root").count()
-    largest = sizes.groupBy("bucket").agg(
-        F.max_by("root", F.struct("count", "root")).alias("main"),
-        F.max("count").alias("n_main"), F.sum("count").alias("n"))
-    spread = lambda n: F.pmod(F.xxhash64("id"), F.ceil(F.col(n) / BLOCK)).cast("int")
-    blocks = (members.join(largest, "bucket")
-              .withColumn("n_rest", F.col("n") - F.col("n_main"))
-              .withColumn("is_main", F.col("root") == F.col("main"))
-              .withColumn("block", F.when(F.col("is_main"), spread("n_main")).otherwise(spread("n_rest")))
-              .withColumn("rest_blocks", F.ceil(F.col("n_rest") / BLOCK).cast("int"))
-              .withColumn("main_blocks", F.ceil(F.col("n_main") / BLOCK).cast("int")))
-    # a task is (i, j): i >= 0 block of the rest or, as -1 - i, of the main class; j block of the rest
-    to_rest = F.transform(F.sequence(F.lit(0), F.col("rest_blocks") - 1), lambda j: F.struct(
-        F.least(F.col("block"), j).alias("i"), F.greatest(F.col("block"), j).alias("j")))
-    to_main = F.transform(F.sequence(F.lit(0), F.col("main_blocks") - 1), lambda i: F.struct(
-        (-1 - i).alias("i"), F.col("block").alias("j")))
-    with_rest = F.transform(F.sequence(F.lit(0), F.col("rest_blocks") - 1), lambda j: F.struct(
-        (-1 - F.col("block")).alias("i"), j.alias("j")))
-    dealt = blocks.select(
-        "bucket", "band", "id", "root", "far", "n_words", "signs",
-        F.when(F.col("is_main"), -1 - F.col("block")).otherwise(F.col("block")).alias("place"),
-        F.explode(F.when(F.col("is_main"), with_rest).otherwise(F.concat(to_rest, to_main))).alias("task"))
-    return dealt.groupBy("bucket", "task").applyInPandas(_near, "a bigint, b bigint")
-
-
-def _near(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of two blocks, or of one, that are near by their signatures.
-
-    A pair is given by the first band that it shares only.
-    """
-    ids, roots, n, place = (part[c].to_numpy() for c in ("id", "root", "n_words", "place"))
-    far = part["far"].to_numpy()
+    sized = members.join(members.groupBy("bucket").agg(F.count("*").alias("n")), "bucket")
+    home = sized.groupBy("id").agg(F.max(F.struct("n", "bucket"))["bucket"].alias("home"), F.min("root").alias("root"))
+    most = home.groupBy("home", "root").agg(F.count("*").alias("n")).groupBy("home").agg(
+        F.max(F.struct("n", "root"))["root"].alias("main"))
+    homed = home.join(most, "home").withColumn("is_main", F.col("root") == F.col("main")).drop("main")
+    parts = homed.groupBy("home", "is_main").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    cells = _kept(spark, homed.join(parts, ["home", "is_main"]).select("id", "root", F.xxhash64(
+        "home", "is_main", F.pmod(F.xxhash64("id"), "parts")).alias("cell")), "near-cells")
+    classes = cells.groupBy("cell").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    meets = members.select("bucket", "id").join(cells.select("id", "cell"), "id").select("bucket", "cell").distinct().join(classes, "cell")
+    left, right = (meets.select("bucket", *[F.col(c).alias(f"{c}_{s}") for c in ("cell", "low", "high")]) for s in "xy")
+    one_class = (F.col("low_x") == F.col("high_x")) & (F.col("low_y") == F.col("high_y")) & (F.col("low_x") == F.col("low_y"))
+    tasks = _kept(spark, left.join(right, "bucket").where((F.col("cell_x") <= F.col("cell_y")) & ~one_class)
+                  .select(F.col("cell_x").alias("x"), F.col("cell_y").alias("y")).distinct(), "near-tasks")
+    needed = _kept(spark, members.select("id", "content", "n_words", "signs").distinct(), "near-entries")
+    texts = docs.select(F.col("doc_id").alias("id"), "text").where(_is_marked(spark, _marked(needed.select("id").distinct()), F.col("id")))
+    texts = texts.withColumn("content", F.unhex(F.sha2("text", 256))).join(needed.select("id", "content"), ["id", "content"], "left_semi")
+    bags = texts.dropDuplicates(["id", "content"]).select("id", "content", _bag(F.col("text")).alias("bag"))
+    entries = _kept(spark, needed.join(bags, ["id", "content"]).join(cells, "id").drop("content"), "near-members")
+    dealt = tasks.select("x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("cell")).join(entries, "cell")
+    return _kept(spark, dealt.groupBy("x", "y").applyInPandas(_forest, "a bigint, b bigint"), "near-forest")
+
+
+def _forest(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+    """Links between texts of two cells, or of one, that join classes which no other link of this task joins."""
+    ids, roots, n, cell = (part[c].to_numpy() for c in ("id", "root", "n_words", "cell"))
     signs = np.stack([np.frombuffer(x, np.uint16) for x in part["signs"]])
-    band, task = int(part["band"].iloc[0]), key[1]
-    left, right = np.flatnonzero(place == task["i"]), np.flatnonzero(place == task["j"])
-    found = []
-    for at in range(0, len(left), 32):
-        some = left[at:at + 32]
+    bags = [np.frombuffer(x, U) for x in part["bag"]]
+    left, right = np.flatnonzero(cell == key[0]), np.flatnonzero(cell == key[1])
+    numbers, of = np.unique(roots, return_inverse=True)
+    group = np.arange(len(numbers))                      # the joined class of each class
+    links: list[tuple[int, int]] = []
+    for row in left:
         # of two texts of n and m words, a similarity of THRESHOLD needs n - 4 >= THRESHOLD * (m - 4)
-        less, more = np.minimum.outer(n[some], n[right]), np.maximum.outer(n[some], n[right])
-        fits = (roots[some][:, None] != roots[right][None, :]) & (less >= THRESHOLD * more - SHINGLE)
-        fits &= np.abs(np.subtract.outer(far[some], far[right])) <= 1 - THRESHOLD + 1e-9
-        i, j = np.nonzero(fits)
-        for lo in range(0, len(i), 1 << 14):
-            a, b = some[i[lo:lo + (1 << 14)]], right[j[lo:lo + (1 << 14)]]
-            same = signs[a] == signs[b]
-            ok = same.mean(axis=1) >= SIGNS
-            ok[ok] = same[ok].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band
-            found.append(np.stack([ids[a[ok]], ids[b[ok]]]))
-    x, y = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
-    return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)}).drop_duplicates()
+        less, more = np.minimum(n[row], n[right]), np.maximum(n[row], n[right])
+        some = right[(group[of[right]] != group[of[row]]) & (less >= THRESHOLD * more - SHINGLE)]
+        same = signs[some] == signs[row]
+        some = some[(same.mean(axis=1) >= SIGNS) & same.reshape(-1, BANDS, ROWS).all(axis=2).any(axis=1)]
+        for at in some[_similarities(bags[row], [bags[i] for i in some]) >= THRESHOLD - 1e-12] if len(some) else some:
+            mine, other = group[of[row]], group[of[at]]
+            if mine != other:
+                group[group == other] = mine
+                links.append((int(ids[row]), int(ids[at])))
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+
+def _similarities(bag: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Weighted Jaccard similarity of a bag with each of some others."""
+    sizes = np.array([len(x) for x in others])
+    flat = np.concatenate(others)
+    at = np.minimum(np.searchsorted(bag, flat), len(bag) - 1)
+    both = np.bincount(np.repeat(np.arange(len(sizes)), sizes), bag[at] == flat, len(sizes))
+    return both / (len(bag) + sizes - both)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, class_id): class_id is the smallest doc_id of the document's class."""
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    known = docs.where("doc_id IS NOT NULL")
+    without = docs.where("doc_id IS NULL").select("doc_id", F.lit(None).cast("long").alias("class_id"))
+    return _classes(docs.where("doc_id IS NOT NULL")).drop("content").union(without)
+
+
+def _classes(known: DataFrame) -> DataFrame:
+    """(doc_id, content, class_id) of rows that have an id; content is the SHA-256 of the text."""
+    spark = known.sparkSession
     found = _signature(F.col("text"))
     signed = _kept(spark, known.select("doc_id", F.unhex(F.sha2("text", 256)).alias("content"), found.alias("s"))
                    .select("doc_id", "content", "s.*"), "near-signed")
@@ -338,35 +344,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rays = stars.groupBy(F.col("a").alias("x")).agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
     grouped = stars.join(rays, F.col("a") == F.col("x")).select(
         "a", "b", "x", F.pmod(F.xxhash64("b"), "parts").alias("y"))
-    compared, bags = _verified(spark, grouped, known, None)
-    links = _links(compared)
+    links = _links(_verified(spark, grouped, known))
     roots = components(spark, links)
 
-    rooted = shared.join(roots, "id", "left").select("bucket", "band", "id", F.coalesce("root", "id").alias("root"))
+    rooted = shared.join(roots, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
     mixed = rooted.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-    distance = compared.groupBy(F.col("a").alias("leader"), F.col("b").alias("id")).agg((1 - F.max("similarity")).alias("far"))
-    led = rooted.join(mixed.select("bucket"), "bucket", "left_semi").join(ranked, "bucket")
-    members = _kept(spark, led.join(distance, ["leader", "id"], "left").withColumn("far", F.coalesce("far", F.lit(0.0)))
-                    .join(own.select("id", "n_words", "signs"), "id"), "near-mixed")
-    tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = _kept(spark, _cross(members).join(tested, ["a", "b"], "left_anti"), "near-rest")
-    if not rest.isEmpty():
-        # texts of one bucket are in one cell, split by hash if it is large; a pair goes to its two cells' group
-        home = members.groupBy("id").agg(F.min("bucket").alias("home"))
-        parts = home.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
-        cell = _kept(spark, home.join(parts, "home").select(
-            "id", F.xxhash64("home", F.pmod(F.xxhash64("id"), "parts")).alias("cell")), "near-cells")
-        placed = (rest.join(cell.select(F.col("id").alias("a"), F.col("cell").alias("p")), "a")
-                  .join(cell.select(F.col("id").alias("b"), F.col("cell").alias("q")), "b")
-                  .select("a", "b", F.least("p", "q").alias("x"), F.greatest("p", "q").alias("y")))
-        more = _links(_verified(spark, placed, known, bags)[0])
+    members = _kept(spark, rooted.join(mixed.select("bucket"), "bucket", "left_semi")
+                    .join(own.select("id", "content", "n_words", "signs"), "id"), "near-mixed")
+    if not members.isEmpty():
+        more = _across(spark, members, known)
         if not more.isEmpty():
             roots = components(spark, links.union(more))
-    out = nodes.join(roots, "id", "left").select("doc_id", F.coalesce("root", "id").alias("class_id"))
-    return out.union(docs.where("doc_id IS NULL").select("doc_id", F.lit(None).cast("long").alias("class_id")))
+    return nodes.join(roots, "id", "left").select("doc_id", "content", F.coalesce("root", "id").alias("class_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents without those that follow another of their class; columns stay."""
-    classes = near_duplicates(docs).where("doc_id <> class_id").select(F.col("doc_id").alias("dropped_id")).distinct()
-    return docs.join(classes, docs["doc_id"] == classes["dropped_id"], "left_anti")
+    """The documents without those that follow another of their class; columns stay.
+
+    Rows that repeat an id and its text, or a text without an id, leave one row too: the first by a hash of its columns.
+    Texts without words are classes of their own, and of an id with several texts each is judged by itself.
+    """
+    text = F.unhex(F.sha2("text", 256))
+    held = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__content": text})
+    known = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    follow = _classes(known).where("doc_id <> class_id").select(
+        F.col("doc_id").alias("__id"), F.col("content").alias("__content")).distinct()
+    kept = held.join(follow, ["__id", "__content"], "left_anti")
+    again = held.groupBy("__id", "__content").count().where("count > 1").select(F.col("__id").alias("__i"), F.col("__content").alias("__c"))
+    repeated = F.col("__id").eqNullSafe(F.col("__i")) & F.col("__content").eqNullSafe(F.col("__c"))
+    plain = [f.name for f in docs.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    first = Window.partitionBy("__id", "__content").orderBy(F.xxhash64(*plain))
+    once = kept.join(again, repeated, "left_semi").withColumn("__nth", F.row_number().over(first)).where("__nth = 1")
+    return kept.join(again, repeated, "left_anti").select(*docs.columns).union(once.select(*docs.columns))

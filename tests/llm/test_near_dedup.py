@@ -115,3 +115,38 @@ def test_first_band_by_signs_is_shared():
     assert linked.mean() > 0.999
     assert (linked & ~shared[np.arange(len(shared)), first]).sum() <= 1
     assert (same.mean(axis=1) < SIGNS).sum() <= 8
+
+
+def test_one_row_of_each_class_stays(spark):
+    long = " ".join(f"w{i}" for i in range(40))
+    other = " ".join(f"v{i}" for i in range(40))
+    rows = [(5, long, 1), (5, long, 1), (5, long, 2), (9, long, 2), (9, other, 3), (None, long, 4), (None, long, 4), (7, "...", 5), (7, "...", 5), (8, "...", 6)]
+    kept = one_of_each(spark.createDataFrame(rows, "doc_id long, text string, content int").repartition(3))
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted(
+        [("5", long), ("9", other), ("None", long), ("7", "..."), ("8", "...")])
+
+
+def test_a_large_group_in_small_cells(spark, monkeypatch):
+    """Near copies of one text, half of them too far from the rest to be links, and their leader among the others."""
+    from ampora.llm import near_dedup
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(2000)]
+    base = rng.choices(words, k=60)
+    docs = {}
+    for i in range(150):
+        text = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2, 2, 2, 3])):
+            text[rng.randrange(60)] = rng.choice(words)
+        docs[i] = " ".join(text)
+    rows = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(4)
+    assert {r.doc_id: r.class_id for r in near_duplicates(rows).collect()} == brute_classes(docs)
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(5)
+    long = [f"w{rng.randrange(10**6)}" for _ in range(200_000)]
+    near = long[:100_000] + ["x"] * 1000 + long[101_000:]
+    rows = [(1, " ".join(long)), (2, " ".join(near)), (3, " ".join(long[:100_000]))]
+    got = {r.doc_id: r.class_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
