@@ -6,11 +6,13 @@ cut at the longest window), and every benchmark window is looked up in it by bin
 the range found holds all its occurrences.  A position can start a match only if enough
 words from it on occur in the benchmark at all, so the arrays stay short.
 
-A window is ``WINDOW`` consecutive words of an item; an item of fewer words, but not none,
-is one window.  Words inside an occurrence of a window are hit.
+A window is ``WINDOW`` consecutive words of an item, that is the start of one of its suffixes; an item of fewer
+words, but not none, is one window.  Occurrences of an item's windows at consecutive words of a document, in the same order, are
+one match: the longest one that the item's suffix has there, with its places in both.  Words inside a match are hit.
 
-The benchmark is sent to the tasks in blocks of about ``BLOCK_BYTES`` of text; the documents
-are passed once for each block and the hits are united, so any benchmark size gives whole results.
+The benchmark is sent to the tasks in blocks of about ``BLOCK_BYTES`` of text.  With more than one, the documents are
+written once with a row number, and read once for each block; only the rows with matches are kept of each pass
+and joined at the end, so any benchmark size gives whole results.
 
 Rows: null and empty texts have no words and no hits.  Items without words have no windows.
 The windows of an item whose ``item_id`` is null hit words, but it isn't counted among the
@@ -22,6 +24,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,21 +37,21 @@ from .words import slices, word_hashes
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
-HITS = "struct<n_words:bigint,spans:array<struct<start:bigint,end:bigint>>,items:array<string>>"
+MATCH = "struct<item:string,item_start:bigint,start:bigint,length:bigint>"
+HITS = f"struct<n_words:bigint,spans:array<struct<start:bigint,end:bigint>>,items:array<string>,matches:array<{MATCH}>>"
 
 
 class Windows:
     """The distinct windows of some items, ready to be looked up."""
 
     def __init__(self, items: list[tuple[str | None, str]], width: int = WINDOW) -> None:
-        self.names = sorted({i for i, _ in items if i is not None})
-        number = {name: k for k, name in enumerate(self.names)}
         parts = [(word_hashes(data, ends)) for data, ends in slices(pa.array([t for _, t in items], pa.string()))]
         words = [h[b[i]:b[i + 1]] for h, b in parts for i in range(len(b) - 1)]
         self.width = width
         self.vocabulary = np.unique(np.concatenate(words)) if words else np.empty(0, np.uint64)
         rows, sizes, owner = [], [], []
-        for (name, _), w in zip(items, words, strict=True):
+        self.item_name = [name for name, _ in items]
+        for row, w in enumerate(words):
             if not len(w):
                 continue
             ids = (np.searchsorted(self.vocabulary, w) + 1).astype(np.uint32)
@@ -55,7 +59,7 @@ class Windows:
             cut = np.lib.stride_tricks.sliding_window_view(ids, size)
             rows.append(np.pad(cut, ((0, 0), (0, width - size))))
             sizes += [size] * len(cut)
-            owner += [number.get(name, -1)] * len(cut)
+            owner += [(row, q) for q in range(len(cut))]
         table = np.concatenate(rows) if rows else np.empty((0, width), np.uint32)
         self.keys, of = np.unique(self._key(table), return_inverse=True)
         self.size = np.zeros(len(self.keys), np.int64)
@@ -65,10 +69,10 @@ class Windows:
         top = np.zeros((len(self.keys), width), np.uint32)
         top[of] = np.where(np.arange(width) < np.array(sizes)[:, None], table, 0xFFFFFFFF) if rows else top
         self.past = self._key(top)
-        pairs = np.unique(np.stack([of, np.array(owner, np.int64)], 1), axis=0) if rows else np.empty((0, 2), np.int64)
-        pairs = pairs[pairs[:, 1] >= 0]
-        self.item = pairs[:, 1]
-        self.item_from = np.searchsorted(pairs[:, 0], np.arange(len(self.keys) + 1))
+        # the items, by their row, and their words at which each window starts
+        order = np.argsort(of, kind="stable") if rows else np.empty(0, np.int64)
+        self.owner = np.array(owner, np.int64).reshape(-1, 2)[order]
+        self.owner_from = np.searchsorted(of[order] if rows else order, np.arange(len(self.keys) + 1))
 
     def _key(self, rows: np.ndarray) -> np.ndarray:
         """Rows of word ids as byte strings that sort as the rows do."""
@@ -106,31 +110,38 @@ class Windows:
         """For each document: its number of words, hit spans of word numbers, and items."""
         words, bounds = word_hashes(data, ends)
         place, window = self.find(words, bounds)
-        out = [{"n_words": int(n), "spans": [], "items": []} for n in np.diff(bounds)]
-        if not len(place):
-            return out
-        change = np.zeros(len(words) + 1, np.int64)
-        np.add.at(change, place, 1)
-        np.add.at(change, place + self.size[window], -1)
-        hit = np.concatenate([[False], np.cumsum(change[:-1]) > 0, [False]])
-        flip = np.flatnonzero(hit[1:] != hit[:-1])
-        first, last = flip[::2], flip[1::2]
-        # a hit stretch that runs over a document's end is cut there
-        doc_of = np.searchsorted(bounds, np.arange(len(words)), "right") - 1
-        cuts = np.unique(np.concatenate([first, bounds[1:-1][np.isin(bounds[1:-1], place)]]))
-        for a in cuts.tolist():
-            b = int(last[np.searchsorted(last, a, "right")])
-            d = int(doc_of[a])
-            b = min(b, int(bounds[d + 1]))
-            out[d]["spans"].append({"start": a - int(bounds[d]), "end": b - int(bounds[d])})
-        pairs = np.unique(np.stack([doc_of[place], window], 1), axis=0)
-        for d, w in pairs.tolist():
-            out[d]["items"].append(self.item[self.item_from[w]:self.item_from[w + 1]])
-        for d in np.unique(pairs[:, 0]).tolist():
-            found = np.unique(np.concatenate(out[d]["items"]))
-            out[d]["items"] = [self.names[i] for i in found.tolist()]
+        out = [{"n_words": int(n), "spans": [], "items": [], "matches": []} for n in np.diff(bounds)]
+        doc, start, length, item, item_start = self.matches(place, window, bounds)
+        for d, s, n, i, q in zip(doc.tolist(), start.tolist(), length.tolist(), item.tolist(), item_start.tolist(), strict=True):
+            out[d]["matches"].append({"item": self.item_name[i], "item_start": q, "start": s, "length": n})
+        for d in np.unique(doc).tolist():
+            mine = out[d]["matches"]
+            out[d]["items"] = sorted({m["item"] for m in mine if m["item"] is not None})
+            spans = out[d]["spans"]
+            for a, b in sorted({(m["start"], m["start"] + m["length"]) for m in mine}):
+                if spans and a <= spans[-1]["end"]:
+                    spans[-1]["end"] = max(spans[-1]["end"], b)
+                else:
+                    spans.append({"start": a, "end": b})
         return out
 
+    def matches(self, place: np.ndarray, window: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(document, start, length, item row, item start) of the longest matches, from the occurrences of windows."""
+        count = self.owner_from[window + 1] - self.owner_from[window]
+        of = np.repeat(np.arange(len(place)), count)
+        nth = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+        item, at = self.owner[self.owner_from[window][of] + nth].T
+        place, size = place[of], self.size[window][of]
+        doc = np.searchsorted(bounds, place, "right") - 1
+        # words in step with the item's lie on one diagonal; a match is a run of consecutive places on it
+        order = np.lexsort((place, place - at, item, doc))
+        place, size, item, at, doc = (x[order] for x in (place, size, item, at, doc))
+        new = np.ones(len(place), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (place[1:] != place[:-1] + 1) | (at[1:] != at[:-1] + 1)
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(place))[:len(first)] - 1
+        return doc[first], place[first] - bounds[doc[first]], place[last] + size[last] - place[first], item[first], at[first]
+
 
 _ready: dict[str, Windows] = {}
 
@@ -146,9 +157,9 @@ def _windows(key: str, items) -> Windows:  # noqa: ANN001 - a Spark broadcast
 def _hits(text: Column, key: str, items) -> Column:  # noqa: ANN001 - a Spark broadcast
     def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         windows = _windows(key, items)
-        kind = pa.struct([("n_words", pa.int64()), ("items", pa.list_(pa.string())), ("spans", pa.list_(
-            pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
-        kind = pa.struct([kind.field("n_words"), kind.field("spans"), kind.field("items")])
+        span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+        match = pa.struct([("item", pa.string()), ("item_start", pa.int64()), ("start", pa.int64()), ("length", pa.int64())])
+        kind = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(span)), ("items", pa.list_(pa.string())), ("matches", pa.list_(match))])
         for batch in batches:
             yield pa.array([x for data, ends in slices(batch) for x in windows.hits(data, ends)], kind)
 
@@ -181,24 +192,48 @@ def blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -
 
 def find_benchmark(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, text: str = "text",
                    found: str = "hits") -> DataFrame:
-    """``docs`` with a struct of n_words, spans (of word numbers, end exclusive) and items."""
+    """``docs`` with a struct of n_words, spans (of word numbers, end exclusive), items and longest matches."""
     if found.lower() in {c.lower() for c in docs.columns}:
         raise ValueError(f"column {found} already exists")
-    out, first = docs, True
-    for items in blocks(benchmark):
-        new = _hits(F.col(text), uuid.uuid4().hex, spark.sparkContext.broadcast(items))
-        if first:
-            out = out.withColumn(found, new)
-        else:
-            path = scratch_path(spark, "benchmark-hits")
-            out.write.parquet(path)
-            old = F.col(found)
-            out = spark.read.schema(out.schema).parquet(path).withColumn("new_hits__", new).withColumn(found, F.struct(
-                old["n_words"].alias("n_words"),
-                _united(F.concat(old["spans"], F.col("new_hits__.spans"))).alias("spans"),
-                F.array_union(old["items"], F.col("new_hits__.items")).alias("items"))).drop("new_hits__")
-        first = False
-    return out
+    def passed(of: DataFrame, items: list[tuple[str | None, str]]) -> DataFrame:
+        return of.withColumn(found, _hits(F.col(text), uuid.uuid4().hex, spark.sparkContext.broadcast(items)))
+
+    parts = blocks(benchmark)
+    first, second = next(parts), next(parts, None)
+    if second is None:
+        return passed(docs, first)
+    row = "__row"
+    numbered = _kept(spark, docs.withColumn(row, F.monotonically_increasing_id()), "benchmark-docs")
+    out = _kept(spark, passed(numbered, first), "benchmark-hits")
+    others = [_kept(spark, passed(numbered.select(row, text), items).where(F.size(F.col(found)["spans"]) > 0).select(row, found), "benchmark-hits")
+              for items in chain([second], parts)]
+    more = reduce(DataFrame.unionByName, others).groupBy(row).agg(*[
+        F.flatten(F.collect_list(F.col(found)[x])).alias(f"__{x}") for x in ("spans", "items", "matches")])
+    old = F.col(found)
+    joined = out.join(more, row, "left")
+    both = {x: F.concat(old[x], F.coalesce(F.col(f"__{x}"), F.array().cast(joined.schema[f"__{x}"].dataType))) for x in ("spans", "items", "matches")}
+    return joined.withColumn(found, F.struct(
+        old["n_words"].alias("n_words"), _united(both["spans"]).alias("spans"),
+        F.array_distinct(both["items"]).alias("items"), both["matches"].alias("matches"))).select(*docs.columns, found)
+
+
+def _kept(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """A table in the shared folder."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def longest_matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+    """A row per longest verbatim match: the columns of ``docs`` but its text, item, item_start, start and length (in words)."""
+    name = "hits"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    keep = [c for c in docs.columns if c != text]
+    clash = {c.lower() for c in keep} & {"item", "item_start", "start", "length"}
+    if clash:
+        raise ValueError(f"output columns already exist: {sorted(clash)}")
+    return find_benchmark(spark, docs, benchmark, text, name).select(*keep, F.inline(F.col(name)["matches"]))
 
 
 def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -209,6 +244,7 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) ->
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
+        F.coalesce(F.array_max(F.transform("matches", lambda m: m["length"])), F.lit(0).cast("long")).alias("longest_match"),
     )
 
 

@@ -1,6 +1,7 @@
 """Decontamination, quality, toxicity, URL filter and licence scan."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -60,7 +61,7 @@ def test_hits_equal_brute_force_in_any_number_of_blocks(spark, monkeypatch, bloc
     got = contamination(spark, docs, bench).collect()
     assert len(got) == len(DOCS) + 1
     for r in got:
-        assert tuple(r)[1:] == brute_hits(DOCS[r.doc_id], ITEMS), DOCS[r.doc_id]
+        assert tuple(r)[1:6] == brute_hits(DOCS[r.doc_id], ITEMS), DOCS[r.doc_id]
     kept = remove_contaminated(spark, docs, bench)
     assert kept.columns == docs.columns
     clean = {i for i, t in enumerate(DOCS) if not brute_hits(t, ITEMS)[4]}
@@ -339,3 +340,47 @@ def test_runs_equal_brute_force():
             hashes, bounds = word_hashes(*next(slices(pa.array(runs))))
             best = templates.nearest(hashes, bounds, whole=False)[1].max()
         assert cosine == pytest.approx(best if best >= 0.6 else 0.0), text
+
+
+def brute_matches(docs, items):
+    """Longest runs of equal words of ten or more, or of a whole shorter item, by every diagonal."""
+    out = []
+    for d, text in docs:
+        w = words(text)
+        for name, item in items:
+            v = words(item)
+            least = min(10, len(v))
+            for shift in range(-len(v), len(w)):
+                run = 0
+                for q in range(len(v) + 1):
+                    p = q + shift
+                    if q < len(v) and 0 <= p < len(w) and w[p] == v[q]:
+                        run += 1
+                        continue
+                    if run and run >= least:
+                        out.append((d, name, q - run, p - run, run))
+                    run = 0
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("block", [60, 4 << 20])
+def test_longest_matches_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+    rng = random.Random(12)
+    letters = "abc"                              # few words, so that windows repeat within items and documents
+    items = [(f"i{k}", " ".join(rng.choices(letters, k=rng.choice([3, 12, 30])))) for k in range(6)]
+    items += [(None, " ".join(rng.choices(letters, k=15))), ("none", "..."), ("twin", items[2][1]), ("i1", "x y z w")]
+    docs = []
+    for k in range(40):
+        parts = [rng.choices(letters, k=rng.randrange(20)) for _ in range(2)]
+        whole = rng.choice(items)[1].split()
+        cut = rng.randrange(len(whole))
+        docs.append((k, " ".join([*parts[0], *whole[cut:], *parts[1]])))
+    docs += [(50, None), (51, ""), (52, items[0][1]), (52, items[0][1]), (None, items[3][1])]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    found = decontaminate.longest_matches(spark, df, bench)
+    got = sorted((tuple(r) for r in found.select("doc_id", "item", "item_start", "start", "length").collect()), key=str)
+    assert got == brute_matches(docs, items)
+    with pytest.raises(ValueError, match="length"):
+        decontaminate.longest_matches(spark, df.withColumn("Length", F.lit(1)), bench)
