@@ -19,17 +19,21 @@ from ampora.operators.coverage import (coverage_gaps, coverage_grid, extract_com
                                        range_violations, select_regions, unknown_regions)
 from ampora.operators.dedup import dedup_latest
 from ampora.operators.flatten import (balance_envelope, balance_violations, flatten_balance,
-                                      flatten_weather, weather_violations)
+                                      flatten_weather, measure_violations, weather_violations)
 from ampora.operators.merge import merge_balance_years, merge_weather_years
 from ampora.operators.models import curate, mart_energy_weather, stage_balance, stage_weather
-from ampora.operators.quality import not_null_report
+from ampora.operators.quality import not_null_report, observed, observed_report
 from ampora.session import build_session, scale_conf
-from ampora.sinks.writers import (append_load, dedup_rewrite, write_landing, write_mart,
-                                  write_processed)
+from ampora.sinks.tables import drop_old_versions
+from ampora.sinks.writers import (append_load, append_load_table, create_staging_view,
+                                  dedup_rewrite, dedup_table, save_mart, upsert_latest,
+                                  write_landing, write_mart, write_named_documents,
+                                  write_processed, write_routes)
 from ampora.sources.catalog import load_regions, region_catalog
 from ampora.sources.config import label_rows, relationship_rows
 from ampora.sources.documents import (latest_document, parse_documents, payload_errors,
-                                      read_daily_csv, scan_documents, scan_named_documents,
-                                      split_documents, split_error_payloads)
+                                      read_daily_csv, routed_documents, scan_documents,
+                                      scan_named_documents, split_documents,
+                                      split_error_payloads)
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -3,6 +3,8 @@
 E  energy fact      orders x customer x nation, per nation, month, priority
 WD daily weather    lineitem x supplier x nation, per day; nations >= 20 under a station slug
 C  catalogue        nation x region (nations >= 23 inactive)
+   sites            the same facts per customer (energy) and per supplier (weather), so that regions and rows
+                    grow with the tables
 plus documents built from E and WD, so the document operators have real,
 data-sized input whose flattened form is known exactly.
 """
@@ -66,6 +68,40 @@ def energy_fact_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.col("value") / F.sum("value").over(w), 6).alias("percentage"))
 
 
+def site_energy_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E with a region per customer, whose key is the geo id; the columns of ``energy_fact_ext``."""
+    m = read(spark, sf_dir, "orders").groupBy(
+        F.concat(F.lit("site_"), "o_custkey").alias("region_slug"), F.concat(F.lit("Site "), "o_custkey").alias("region_name"),
+        F.col("o_custkey").alias("n_nationkey"), _ym(F.col("o_orderdate")).alias("year_month"),
+        F.col("o_orderpriority").alias("metric_type")).agg(
+        F.round(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double"), 0).alias("value"))
+    w = Window.partitionBy("region_slug", "year_month")
+    return m.select(
+        "region_slug", "region_name", "n_nationkey", "year_month",
+        F.when(F.col("metric_type").isin("1-URGENT", "2-HIGH"), F.lit("high")).otherwise(F.lit("normal")).alias("group_type"),
+        "metric_type", "value", F.round(F.col("value") / F.sum("value").over(w), 6).alias("percentage"))
+
+
+def site_weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WD with a region per supplier; the columns of ``weather_daily``."""
+    li = read(spark, sf_dir, "lineitem")
+    tmax, tmin = (F.round(f("l_discount") * 100, 0) for f in (F.max, F.min))
+    k = F.col("l_suppkey")
+    g = li.groupBy(k, F.to_date("l_shipdate").alias("d")).agg(
+        tmax.alias("temperature_2m_max"), ((tmax + tmin) / 2).alias("temperature_2m_mean"), tmin.alias("temperature_2m_min"),
+        F.round(F.sum("l_quantity"), 0).alias("precipitation_sum"), F.min("l_linenumber").cast("long").alias("weather_code"),
+        F.round(F.max("l_tax") * 100, 0).alias("wind_speed_10m_max"),
+        F.round(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double"), 0).alias("shortwave_radiation_sum"))
+    return g.select(
+        F.lit(WEATHER_SOURCE).alias("source"), F.lit(INGESTED_AT).alias("ingestion_timestamp"),
+        F.concat(F.lit("site_"), k).alias("region_slug"), F.concat(F.lit("Site "), k).alias("region_name"),
+        F.concat(F.lit("Supplier "), k).alias("location_name"), (k % 180 - 90).cast("double").alias("latitude"),
+        (k % 360 - 180).cast("double").alias("longitude"), F.lit("Europe/Madrid").alias("timezone"),
+        F.lit("site").alias("weather_point_type"), F.date_format("d", "yyyy-MM-dd").alias("date"),
+        "temperature_2m_max", "temperature_2m_mean", "temperature_2m_min", "precipitation_sum", "weather_code",
+        "wind_speed_10m_max", "shortwave_radiation_sum")
+
+
 def energy_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return energy_fact_ext(spark, sf_dir).drop("n_nationkey")
 
@@ -158,12 +194,13 @@ def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 # unbounded group.
 
 
-def balance_payloads(spark: SparkSession, sf_dir: str, bad_measures: bool = False) -> DataFrame:
+def balance_payloads(spark: SparkSession, sf_dir: str, bad_measures: bool = False, energy: DataFrame | None = None) -> DataFrame:
     """Yearly balance payloads: (region_slug, region_name, geo_id, year, payload struct).
 
     ``bad_measures``: values and totals are delivered as text; '5-LOW' has no number in June, nor a total '2-HIGH' in 1993.
+    ``energy``: the facts, by default those of the nations.
     """
-    e = energy_fact_ext(spark, sf_dir).withColumn("year", F.substring("year_month", 1, 4))
+    e = (energy_fact_ext(spark, sf_dir) if energy is None else energy).withColumn("year", F.substring("year_month", 1, 4))
 
     def value(c):
         if not bad_measures:
@@ -207,9 +244,9 @@ def balance_payloads(spark: SparkSession, sf_dir: str, bad_measures: bool = Fals
         F.struct(F.transform("bs", lambda x: x["b"]).alias("included")).alias("payload"))
 
 
-def balance_documents(spark: SparkSession, sf_dir: str, bad_measures: bool = False) -> DataFrame:
-    """Landed balance documents (JSON text), one per region and year; ``bad_measures``: see ``balance_payloads``."""
-    p = balance_payloads(spark, sf_dir, bad_measures)
+def balance_documents(spark: SparkSession, sf_dir: str, bad_measures: bool = False, energy: DataFrame | None = None) -> DataFrame:
+    """Landed balance documents (JSON text), one per region and year; options: see ``balance_payloads``."""
+    p = balance_payloads(spark, sf_dir, bad_measures, energy)
     env = F.struct(
         F.lit(BALANCE_SOURCE).alias("source"), F.lit(BALANCE_ENDPOINT).alias("endpoint"),
         "region_slug", "region_name", F.col("geo_id").alias("redata_geo_id"),
@@ -267,8 +304,8 @@ def weather_payload_columns(wd: DataFrame) -> DataFrame:
 
 
 def weather_documents(spark: SparkSession, sf_dir: str, broken_region_key: int | None = None,
-                      bad_elements: bool = False) -> DataFrame:
-    """Landed weather documents, one per region and year.
+                      bad_elements: bool = False, daily: DataFrame | None = None) -> DataFrame:
+    """Landed weather documents, one per region and year; ``daily``: the days, by default those of the nations.
 
     ``broken_region_key``: for nations of that TPC-H region the
     ``wind_speed_10m_max`` series loses its last element (a length defect).
@@ -276,7 +313,7 @@ def weather_documents(spark: SparkSession, sf_dir: str, broken_region_key: int |
     ``weather_code`` is a fraction; on other days one is delivered as text, the other as a decimal.
     """
     from ampora.constants import DAILY_SERIES
-    p = weather_payload_columns(weather_daily(spark, sf_dir))
+    p = weather_payload_columns(weather_daily(spark, sf_dir) if daily is None else daily)
     if broken_region_key is not None:
         nation = read(spark, sf_dir, "nation").select(weather_slug().alias("region_slug"), "n_regionkey")
         p = p.join(nation, "region_slug")
@@ -326,10 +363,10 @@ def two_ingestions(flat: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [first, again])
 
 
-def balance_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+def balance_flat(spark: SparkSession, sf_dir: str, energy: DataFrame | None = None) -> DataFrame:
     """The 22-column flat balance table that flattening ``balance_documents``
     yields, built directly from E (for load / dedup / staging jobs)."""
-    e = energy_fact_ext(spark, sf_dir).withColumn("year", F.substring("year_month", 1, 4))
+    e = (energy_fact_ext(spark, sf_dir) if energy is None else energy).withColumn("year", F.substring("year_month", 1, 4))
     w = Window.partitionBy("region_slug", "year", "metric_type")
     return e.select(
         F.lit(BALANCE_SOURCE).alias("source"), F.lit(BALANCE_ENDPOINT).alias("endpoint"),

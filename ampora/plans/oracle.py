@@ -132,6 +132,34 @@ flat as (
   from e_ext)"""
 
 
+E_SITE = """
+e_m as (
+  select 'site_' || o_custkey as region_slug, 'Site ' || o_custkey as region_name, o_custkey as n_nationkey,
+         strftime(o_orderdate, '%Y-%m') as year_month, o_orderpriority as metric_type,
+         round(cast(sum(cast(o_totalprice as decimal(18,2))) as double), 0) as value
+  from orders group by all),
+e_ext as (
+  select region_slug, region_name, n_nationkey, year_month,
+         case when metric_type in ('1-URGENT','2-HIGH') then 'high' else 'normal' end as group_type,
+         metric_type, value,
+         round(value / sum(value) over (partition by region_slug, year_month), 6) as percentage
+  from e_m),
+e as (select region_slug, region_name, year_month, group_type, metric_type, value, percentage from e_ext)"""
+
+WD_SITE = f"""
+wd as (
+  select 'open_meteo' as source, '{fx.INGESTED_AT}' as ingestion_timestamp, 'site_' || l_suppkey as region_slug,
+         'Site ' || l_suppkey as region_name, 'Supplier ' || l_suppkey as location_name,
+         cast(l_suppkey % 180 - 90 as double) as latitude, cast(l_suppkey % 360 - 180 as double) as longitude,
+         'Europe/Madrid' as timezone, 'site' as weather_point_type, strftime(cast(l_shipdate as date), '%Y-%m-%d') as date,
+         round(max(l_discount)*100, 0) as temperature_2m_max,
+         (round(max(l_discount)*100, 0) + round(min(l_discount)*100, 0)) / 2 as temperature_2m_mean,
+         round(min(l_discount)*100, 0) as temperature_2m_min, round(sum(l_quantity), 0) as precipitation_sum,
+         cast(min(l_linenumber) as bigint) as weather_code, round(max(l_tax)*100, 0) as wind_speed_10m_max,
+         round(cast(sum(cast(l_extendedprice as decimal(18,2))) as double), 0) as shortwave_radiation_sum
+  from lineitem group by l_suppkey, cast(l_shipdate as date))"""
+
+
 def with_(*parts: str) -> str:
     return "with " + ",".join(parts) + "\n"
 

@@ -853,6 +853,52 @@ def q_not_null_report(spark, sf):
     return observed_report(spark, metrics)
 
 
+# --- sites: regions and rows that grow with the tables -----------------------------
+
+
+@register("site_flatten_balance", o.with_(o.E_SITE, o.FLAT) + f"select {_FLAT_COLS} from flat")
+def q_site_flatten_balance(spark, sf):
+    return flatten_balance(fx.balance_documents(spark, sf, energy=fx.site_energy_ext(spark, sf)), fx.FALLBACK_TS)
+
+
+@register("site_flatten_weather", o.with_(o.WD_SITE) + f"select {_WD_YEAR_TS} from wd")
+def q_site_flatten_weather(spark, sf):
+    return flatten_weather(fx.weather_documents(spark, sf, daily=fx.site_weather_daily(spark, sf)))
+
+
+@register("site_merge_balance_years", o.with_(o.E_SITE, o.FLAT) + """
+, n as (select region_slug as rs, metric_id as mid, count(distinct substr(year_month, 1, 4)) as n_payloads,
+               min(substr(year_month, 1, 4)) as first_year
+        from flat group by region_slug, metric_id)
+select region_slug, metric_id, year_month, metric_type || ' ' || first_year as metric_title, value, percentage,
+       case when n_payloads = 1 then total end as total
+from flat join n on region_slug = rs and metric_id = mid""")
+def q_site_merge_balance_years(spark, sf):
+    docs = fx.balance_documents(spark, sf, energy=fx.site_energy_ext(spark, sf))
+    return merge_balance_years(docs, fallback_ts=fx.FALLBACK_TS).select(
+        "region_slug", "metric_id", "year_month", "metric_title", "value", "percentage", "total")
+
+
+@register("site_dedup_latest", o.with_(o.E_SITE, o.FLAT) + f"""
+select region_slug, metric_id, datetime,
+       case when metric_type = '1-URGENT' then '{fx.REINGESTED_AT}' else '{fx.INGESTED_AT}' end as ingestion_timestamp,
+       case when metric_type = '1-URGENT' then value + 1 else value end as value
+from flat""")
+def q_site_dedup_latest(spark, sf):
+    d = dedup_latest(fx.two_ingestions(fx.balance_flat(spark, sf, fx.site_energy_ext(spark, sf))), BALANCE_KEY)
+    return d.select("region_slug", "metric_id", "datetime", "ingestion_timestamp", "value")
+
+
+@register("site_energy_weather_corr", o.with_(o.E_SITE, o.WD_SITE, o.W, o.M, o.REL, o.CURW) + _CORR_SQL.removeprefix(_ECW))
+def q_site_energy_weather_corr(spark, sf):
+    """Monthly rollup, join, curated filter and correlation for each site and metric."""
+    mart = mart_energy_weather(fx.site_energy_ext(spark, sf), daily_to_monthly(fx.site_weather_daily(spark, sf)))
+    cw = an.with_weather_value(curate(mart, fx.FIXTURE_CURATED), relationship_rows(fx.FIXTURE_RELATIONSHIPS))
+    c = an.energy_weather_corr(cw)
+    return c.select("region_name", "metric_type", "weather_column", "n_pairs",
+                    round6(F.col("pearson_correlation")).alias("pearson_correlation"))
+
+
 # --- whole batch flow -------------------------------------------------------------
 
 
