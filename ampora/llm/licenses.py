@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .words import slices, word_hashes
 
 HEADER, WHOLE = 0.6, 0.75
@@ -234,6 +235,17 @@ def directory(path: Column) -> Column:
     return F.coalesce(F.regexp_replace(F.when(F.contains(path, F.lit("/")), path).otherwise(F.lit("")), r"/[^/]*$", ""), F.lit(""))
 
 
+def url_path(url: Column) -> Column:
+    """Lower-cased host and the path of a URL as a file path; null without ``://``.  Query and fragment are left out."""
+    rest = F.regexp_extract(url, r"^[^/?#]*://([^/?#]*)([^?#]*)", 1)
+    return F.when(F.contains(url, F.lit("://")), F.concat(F.lower(rest), F.regexp_extract(url, r"^[^/?#]*://([^/?#]*)([^?#]*)", 2)))
+
+
+def page_text(html: Column) -> Column:
+    """A page's text, a line per run between tags."""
+    return F.regexp_replace(html, r"<[^>]*>", "\n")
+
+
 def spdx_tag(text: Column) -> Column:
     """The expression of a text's first SPDX tag, or null; a single licence without its ``-only``, ``-or-later`` or ``+``."""
     tag = F.regexp_replace(F.regexp_extract(text, TAG, 1), r"[.\-]+$", "")
@@ -274,7 +286,12 @@ def license_scan(files: DataFrame, path: str = "path", text: str = "text", templ
                     .when(header, F.get(label, j["template"])),
         "score": F.when(tag.isNotNull(), F.lit(1.0))
                   .when(whole | header, F.round(F.greatest(j["whole_cosine"], j["cosine"]), 6)),
-        "how": F.when(any_of & named, "file").when(any_of, "header")})
+        "how": F.when(any_of & named, "file").when(any_of, "header")}).drop("judged_file", "tag_of_file")
+    # judged once, however many joins read it
+    spark = files.sparkSession
+    place = scratch_path(spark, "licences-judged")
+    own.write.parquet(place)
+    own = spark.read.schema(own.schema).parquet(place)
     of_directory = own.where("how = 'file'").groupBy("dir_of_file").agg(
         F.min(F.struct((-F.col("score")).alias("order"), F.col(path).alias("from"), "license")).alias("given"))
     parts = F.split("dir_of_file", "/")

@@ -135,14 +135,18 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 
 @query
 def op8_tfidf_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, which have no path, and pages, whose host and path are a tree: a page named like a licence file
+    licenses the pages of its directory and below."""
     from pyspark.sql import functions as F
 
-    from .licenses import license_scan
+    from .licenses import license_scan, page_text, url_path
 
-    # documents have no paths: a source is a tree, a language a directory of it; no document is named
-    # like a licence file, so none gives its licence to others
-    place = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
-    return license_scan(table(spark, sf_dir, "documents").select("doc_id", place.alias("path"), "text"))
+    docs = table(spark, sf_dir, "documents").select(
+        F.lit("documents").alias("kind"), F.col("doc_id").cast("long").alias("id"), F.lit(None).cast("string").alias("path"), "text")
+    pages = table(spark, sf_dir, "pages").select(
+        F.lit("pages").alias("kind"), F.col("page_id").cast("long").alias("id"), url_path(F.col("url")).alias("path"),
+        page_text(F.col("html")).alias("text"))
+    return license_scan(docs.unionByName(pages))
 
 
 @query

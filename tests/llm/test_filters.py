@@ -238,10 +238,57 @@ def test_a_short_page_does_not_license_its_directory(spark):
     assert got == {"src/en/1": ("GPL-3.0", "header"), "src/en/2": (None, "none"), "t/LICENSE": ("GPL-3.0", "file"), "t/en/2": ("GPL-3.0", "inherited")}
 
 
-def test_registered_licence_scan_inherits_nothing(spark):
-    got = Counter(r.how for r in QUERIES["op8_tfidf_license_scan"](spark, SF).collect())
+def test_registered_licence_scan(spark, tmp_path):
+    """On the given tables documents, which have no path, declare and inherit nothing from pages."""
+    rows = QUERIES["op8_tfidf_license_scan"](spark, SF).collect()
     (said,), = duckdb.sql(f"SELECT count(*) FROM '{SF}/documents.parquet' WHERE regexp_matches(text, 'icensed under|Released under the MIT')").fetchall()
+    got = Counter(r.how for r in rows if r.kind == "documents")
     assert got["inherited"] == got["file"] == 0 and got["header"] == said > 0
+    (pages,), = duckdb.sql(f"SELECT count(*) FROM '{SF}/pages.parquet'").fetchall()
+    assert sum(r.kind == "pages" for r in rows) == pages
+
+
+def nearest_licence(files, path):
+    """The licence file of the nearest directory above, by a walk over all of them."""
+    parts = path.rpartition("/")[0].split("/") if "/" in path else [""]
+    for n in range(len(parts), -1, -1):
+        folder = "/".join(parts[:n])
+        if folder in files:
+            return files[folder]
+    return None
+
+
+def test_registered_licence_scan_inherits_as_an_ancestor_walk_does(spark, tmp_path):
+    rng = random.Random(3)
+    mit, gpl = ("<html><p>Released under the MIT License.</p>", "<p>This work is licensed under the GNU General Public License, version 3.</p>")
+    pages, files = [], {}
+    for k in range(300):
+        depth = rng.randrange(1, 5)
+        folder = "/".join(["Hot.example.org" if k % 3 == 0 else f"h{rng.randrange(4)}.example.org", *(rng.choice("ab") for _ in range(depth - 1))])
+        named = rng.random() < 0.06
+        html = rng.choice([mit, gpl]) if named else "<p>nothing said here</p>"
+        host, _, rest = folder.partition("/")
+        path = f"{host.lower()}/{rest + '/' if rest else ''}{'LICENSE' if named else f'{k}.html'}"
+        pages.append((k, f"https://{host}{path[len(host):]}?q=/x#top", html))
+        if named:
+            files.setdefault(path.rpartition("/")[0], ("MIT" if html is mit else "GPL-3.0", path))
+    # of two licence files in one directory, with one score, the smaller path counts: here they are one page twice
+    pages = [p for i, p in enumerate(pages) if "LICENSE" not in p[1] or p[1] not in {q[1] for q in pages[:i]}]
+    pages += [(900, None, mit), (901, "no-scheme/LICENSE", mit), (902, "http://h0.example.org/LICENSE-notes/x", None), (903, "http://alone.example.org", "")]
+    spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4).write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([(1, "free text"), (2, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op8_tfidf_license_scan"](spark, str(tmp_path)).collect()
+    assert len(rows) == len(pages) + 2
+    inherited = 0
+    for r in rows:
+        if r.kind == "documents" or r.path is None:
+            assert r.how in ("none", "header")
+        elif r.how != "file":
+            found = nearest_licence(files, r.path)
+            assert (r.license, r.from_path) == (found or (None, None)), r.path
+            assert r.how == ("inherited" if found else "none")
+            inherited += found is not None
+    assert inherited > 50
 
 
 CODE = "import one\n\ndef lamp(shade):\n    return shade.bulb * 17\n"
