@@ -3,6 +3,7 @@ rewrites never overwrite the path they read from."""
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -294,8 +295,9 @@ def upsert_latest(spark: SparkSession, batch: DataFrame, name: str, keys: list[s
 def _publish(spark: SparkSession, name: str, at: int, force: dict[str, str]) -> None:
     """Replace the view; the list of versions is written before, under the view's new version number."""
     data = spark.table(tables.quoted(f"{name}__data"))
-    rows = spark.createDataFrame(sorted(force.items()), f"{PART} string, {LOAD} string").coalesce(1)
-    rows.write.mode("overwrite").parquet(f"{tables.location(spark, f'{name}__data')}__published/{at}")
+    listed = json.dumps([{PART: p, LOAD: v} for p, v in sorted(force.items())])
+    rows = spark.range(1).select(F.inline(F.from_json(F.lit(listed), f"array<struct<{PART}:string,{LOAD}:string>>")))
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{tables.location(spark, f'{name}__data')}__published/{at}")
     columns = ", ".join(f"`{c}`" for c in data.columns if c not in (PART, LOAD))
     listed = ", ".join("'" + f"{p}/{v}".replace("\\", "\\\\").replace("'", "\\'") + "'" for p, v in sorted(force.items()))
     spark.sql(f"CREATE OR REPLACE VIEW {tables.quoted(name)} TBLPROPERTIES ('{tables.VERSION}'='{at}') AS "
