@@ -21,3 +21,10 @@ def sample_ids(rows: DataFrame, where: Column | None, bound: int, name: str) ->
     ids = rows.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
     ids = (ids if where is None else ids.where(where)).select("doc_id").distinct()
     return ids.orderBy(F.xxhash64(F.col("doc_id").cast("long")), "doc_id").limit(bound).withColumn("role", F.lit(name))
+
+
+def sampled(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(role, doc_id, text) of the chosen ids (a bounded number): of the rows that share an id one, the first by a
+    hash of its text, so that repeated ids don't swell the sample."""
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return rows.groupBy("role", "doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))

@@ -12,7 +12,9 @@ Training uses at most ``POSITIVES`` and ``UNLABELLED`` texts, the first in hash
 
 Rows: null and empty texts are scored like any other, by their measures of zero.  Without any
 positive or unlabelled text every score is the prior, 0.5 if that is unknown too.  A null
-``doc_id`` is scored, and isn't held out.  Further columns are kept; clashing names raise ``ValueError``.
+``doc_id`` is scored, and isn't held out.  Rows that share a ``doc_id`` are scored one by one; one of them
+can be in the sample.  Equal texts have equal scores.  ``quality_scores`` reads only doc_id and text;
+``keep_good`` keeps all columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .labelled import held_out, sample_ids
+from .labelled import held_out, sample_ids, sampled
 from .words import shingles, slices, word_hashes
 
 POSITIVES, UNLABELLED = 10_000, 20_000
@@ -153,8 +155,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     prior = min(max(counts["good"] / counts["n"], 0.01), 0.99) if counts["n"] else 0.5
     chosen = sample_ids(labels, F.col("quality") == 1, POSITIVES, "p").union(sample_ids(docs, None, UNLABELLED, "u"))
     # at most POSITIVES + UNLABELLED ids: a broadcast of bounded size
-    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-            .select("role", _measured(F.col("text")).alias("x")).toPandas())
+    rows = sampled(docs, chosen).select("role", _measured(F.col("text")).alias("x")).toPandas()
     of = lambda r: np.stack(rows["x"][rows["role"] == r].tolist()) if (rows["role"] == r).any() else np.empty((0, MEASURES))
     return fit(of("p"), of("u"), prior)
 

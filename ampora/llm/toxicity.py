@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .labelled import held_out, sample_ids
+from .labelled import held_out, sample_ids, sampled
 
 TOXIC, CLEAN = 3_000, 6_000
 SHORTEST, LONGEST = 3, 10     # letters of a term
@@ -214,7 +214,7 @@ def learn(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = EXCE
     chosen = sample_ids(labels, F.col("toxic") == 1, TOXIC, "t").union(
         sample_ids(labels, F.col("toxic") == 0, CLEAN, "c"))
     # at most TOXIC + CLEAN ids: a broadcast of bounded size
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("role", "text")
+    rows = sampled(docs, chosen).select("role", "text")
     sizes = {r["role"]: r["n"] for r in rows.groupBy("role").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
         return seed
