@@ -39,6 +39,7 @@ BANDS, ROWS = 30, 5
 REGISTERS = BANDS * ROWS     # at similarity 0.8 a pair is missed with probability 7e-6
 SIGNS = 0.68                 # share of equal registers below which a pair isn't verified (3.7 deviations)
 MARKS = 1 << 23              # bits of the mark table that thins texts before their join
+SIGNED_BYTES = 1 << 19       # text whose signatures are made at once: about a hundred times as much memory
 BLOCK = 256                  # members of a bucket, or bags, that are compared at once
 
 
@@ -105,7 +106,7 @@ def _fill(sig: np.ndarray, doc: np.ndarray, count: np.ndarray, low: np.ndarray,
 def _sign_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
         words, bands, signs = [], [], []
-        for data, ends in slices(batch):
+        for data, ends in slices(batch, SIGNED_BYTES):
             hashes, bounds = word_hashes(data, ends)
             sig = bag_minhash(*shingles(hashes, bounds, SHINGLE), len(ends))
             words.append(np.diff(bounds))
@@ -127,7 +128,7 @@ def _bag_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Sorted hashes of the shingles, each with its running number among equal ones: a set."""
     for batch in batches:
         out: list[bytes] = []
-        for data, ends in slices(batch):
+        for data, ends in slices(batch, SIGNED_BYTES):
             docs, hashes = shingles(*word_hashes(data, ends), SHINGLE)
             order = np.lexsort((hashes, docs))
             docs, hashes = docs[order], hashes[order]
@@ -252,13 +253,16 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 def _across(spark: SparkSession, members: DataFrame, docs: DataFrame) -> DataFrame:
     """Links (a, b) that join the classes of members of one bucket: a spanning forest of those found in each task.
 
-    members: bucket, id, content, root, n_words, signs.  A text lives in a cell, a share of about ``BLOCK`` members of its
-    largest bucket; members of that bucket's largest class have cells of their own.  Cells that share a bucket meet in a
+    members: bucket, id, content, root, n_words, signs.  A text's home is the largest bucket of any text that shares one
+    with it, so that the texts of one group have one home, whichever of its buckets they are in.  It lives in a cell, a share of
+    about ``BLOCK`` texts of that home; those of the home's largest class have cells of their own.  Cells that share a bucket meet in a
     task, unless both hold one class only and the same, and texts of different classes are compared there, by signatures and
     then by their bags.  A text's bag goes to each of its tasks once; no pair leaves a task but those that join two classes.
     """
     sized = members.join(members.groupBy("bucket").agg(F.count("*").alias("n")), "bucket")
-    home = sized.groupBy("id").agg(F.max(F.struct("n", "bucket"))["bucket"].alias("home"), F.min("root").alias("root"))
+    largest = sized.groupBy("id").agg(F.max(F.struct("n", "bucket")).alias("largest"))
+    capital = members.select("bucket", "id").join(largest, "id").groupBy("bucket").agg(F.max("largest").alias("capital"))
+    home = members.join(capital, "bucket").groupBy("id").agg(F.max("capital")["bucket"].alias("home"), F.min("root").alias("root"))
     most = home.groupBy("home", "root").agg(F.count("*").alias("n")).groupBy("home").agg(
         F.max(F.struct("n", "root"))["root"].alias("main"))
     homed = home.join(most, "home").withColumn("is_main", F.col("root") == F.col("main")).drop("main")

@@ -48,8 +48,8 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return made[0], made[1]
 
 
-def slices(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(bytes, document ends) of consecutive rows, about ``SLICE_BYTES`` at a time; nulls are empty."""
+def slices(texts: pa.Array, at_once: int = SLICE_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(bytes, document ends) of consecutive rows, about ``at_once`` bytes at a time; nulls are empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     if texts.null_count:
@@ -63,7 +63,7 @@ def slices(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     data = np.frombuffer(held, np.uint8) if held is not None and held.size else np.empty(0, np.uint8)
     first = 0
     while first < n:
-        last = max(first + 1, int(np.searchsorted(ends, ends[first] + SLICE_BYTES, "right")) - 1)
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] + at_once, "right")) - 1)
         last = min(last, n)
         yield data[ends[first]:ends[last]], ends[first + 1:last + 1] - ends[first]
         first = last
