@@ -107,28 +107,28 @@ class _Steps(dict):
     """Transitions of the states that were asked for, from sorted edges."""
 
     def __init__(self, tables: dict[str, np.ndarray]) -> None:
-        self.first, self.byte, self.to = tables["edge_first"], tables["edge_byte"], tables["edge_to"]
+        self.first, self.key, self.to = tables["edge_first"], tables["edge_key"], tables["edge_to"]
 
     def __missing__(self, state: int) -> dict[int, int]:
         a, b = int(self.first[state]), int(self.first[state + 1])
         if len(self) >= STEP_ENTRIES:
             self.clear()
-        self[state] = dict(zip(self.byte[a:b].tolist(), self.to[a:b].tolist(), strict=True))
+        self[state] = dict(zip((self.key[a:b] & 0xFF).tolist(), self.to[a:b].tolist(), strict=True))
         return self[state]
 
 
 def automaton_tables(words: list[bytes], ids: list[int]) -> dict[str, np.ndarray]:
-    """The suffix automaton of a vocabulary as arrays: edges of each state in order of bytes, the same for the bytes
-    of Latin words as a dense table, links, depths, and the tokens that end in each state, longest first."""
+    """The suffix automaton of a vocabulary as arrays: edges in the order of their state and byte, links, depths, and
+    the tokens that end in each state, longest first."""
     auto = SuffixAutomaton(words)
     n = len(auto.step)
     edges = array("i", [0])
-    byte, to = array("B"), array("i")
-    for step in auto.step:
+    key, to = array("i"), array("i")
+    for state, step in enumerate(auto.step):
         for b in sorted(step):
-            byte.append(b)
+            key.append(state << 8 | b)
             to.append(step[b])
-        edges.append(len(byte))
+        edges.append(len(key))
     first, size, token = array("i", [0]), array("h"), array("i")
     for state in range(n):
         at = state
@@ -138,24 +138,9 @@ def automaton_tables(words: list[bytes], ids: list[int]) -> dict[str, np.ndarray
                 token.append(ids[number])
             at = auto.up[at]
         first.append(len(size))
-    out = {"edge_first": np.array(edges, np.int32), "edge_byte": np.array(byte, np.uint8), "edge_to": np.array(to, np.int32),
-           "link": np.array(auto.link, np.int32), "depth": np.array(auto.depth, np.int16),
-           "first": np.array(first, np.int32), "size": np.array(size, np.int16), "token": np.array(token, np.int32)}
-    del auto
-    column = _columns()
-    state = np.repeat(np.arange(n), np.diff(out["edge_first"]))
-    used = column[out["edge_byte"]] >= 0
-    out["next"] = np.full((n, int(column.max()) + 1), -1, np.int32)
-    out["next"][state[used], column[out["edge_byte"][used]]] = out["edge_to"][used]
-    return out
-
-
-def _columns() -> np.ndarray:
-    """The column of each byte that a Latin word can hold in the dense table (-1: none)."""
-    used = [0x20, *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0xCA)]
-    column = np.full(256, -1, np.int16)
-    column[used] = np.arange(len(used))
-    return column
+    return {"edge_first": np.array(edges, np.int32), "edge_key": np.array(key, np.int32), "edge_to": np.array(to, np.int32),
+            "link": np.array(auto.link, np.int32), "depth": np.array(auto.depth, np.int16),
+            "first": np.array(first, np.int32), "size": np.array(size, np.int16), "token": np.array(token, np.int32)}
 
 
 def save_tables(tables: dict[str, np.ndarray], path: str) -> None:
@@ -175,7 +160,7 @@ def open_tables(path: str) -> dict[str, np.ndarray]:
     """The arrays of a file, mapped: workers of one machine share its pages."""
     with open(path, "rb") as f:
         head = json.loads(f.readline())
-    return {name: np.memmap(path, dtype, "r", TABLE_HEAD + at, tuple(shape)) for name, (dtype, shape, at) in head.items()}
+    return {name: np.asarray(np.memmap(path, dtype, "r", TABLE_HEAD + at, tuple(shape))) for name, (dtype, shape, at) in head.items()}
 
 
 class Tokenizer:
@@ -402,9 +387,9 @@ class _Tables:
     """
 
     def __init__(self, owner: Tokenizer) -> None:
-        self.owner, self.column = owner, _columns()
-        self.next, self.link, self.depth, self.first, self.size, self.token = (
-            owner.arrays[name] for name in ("next", "link", "depth", "first", "size", "token"))
+        self.owner = owner
+        self.edge_key, self.edge_to, self.link, self.depth, self.first, self.size, self.token = (
+            owner.arrays[name] for name in ("edge_key", "edge_to", "link", "depth", "first", "size", "token"))
         self.keys = np.full(1 << 20, -1, np.int64)      # known pairs: open addressing
         self.fits = np.zeros(1 << 20, bool)
         self.known = 0
@@ -418,17 +403,16 @@ class _Tables:
         n, sizes = len(words), sizes[order]
         width = int(sizes[0])
         text = np.frombuffer(b"".join(words[i].ljust(width) for i in order.tolist()), np.uint8).reshape(n, width)
-        column = self.column[text]
         last, length = np.zeros((width + 1, n), np.int64), np.zeros((width + 1, n), np.int64)
         state, have = np.zeros(n, np.int32), np.zeros(n, np.int16)
         for i in range(1, width + 1):
             m = int(np.searchsorted(-sizes, -i, "right"))      # words of i bytes or more
-            to = self.next[state[:m], column[:m, i - 1]]
+            to = self._step(state[:m], text[:m, i - 1])
             stuck = np.flatnonzero(to < 0)
             while len(stuck):
                 state[stuck] = self.link[state[stuck]]
                 have[stuck] = self.depth[state[stuck]]
-                to[stuck] = self.next[state[stuck], column[stuck, i - 1]]
+                to[stuck] = self._step(state[stuck], text[stuck, i - 1])
                 stuck = stuck[to[stuck] < 0]
             state[:m] = to
             have[:m] += 1
@@ -454,6 +438,12 @@ class _Tables:
             result[i] = flat[4 * (width * (k + 1) - c):4 * width * (k + 1)]
         return result
 
+    def _step(self, state: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """The state after each byte, -1 if there is no such edge."""
+        key = state << 8 | byte.astype(np.int32)
+        at = np.minimum(np.searchsorted(self.edge_key, key), len(self.edge_key) - 1)
+        return np.where(self.edge_key[at] == key, self.edge_to[at], np.int32(-1))
+
     def _compatible(self, before: np.ndarray, token: np.ndarray) -> np.ndarray:
         key = before << 20 | token
         slot = self._slot(key)
