@@ -32,6 +32,7 @@ from .words import shingles, slices, word_hashes
 
 POSITIVES, UNLABELLED = 10_000, 20_000
 BINS = 16
+MEASURED_BYTES = 1 << 19     # text measured at once: a bound on a worker's memory
 ACCEPT = 0.3
 STEPS = 600
 
@@ -140,7 +141,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Model:
 def _measured(text: Column) -> Column:
     def measure(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            parts = [measures(data, ends) for data, ends in slices(batch)]
+            parts = [measures(data, ends) for data, ends in slices(batch, MEASURED_BYTES)]
             flat = np.concatenate([np.empty((0, MEASURES), np.float32), *parts])
             yield pa.ListArray.from_arrays(
                 pa.array(np.arange(len(flat) + 1, dtype=np.int32) * MEASURES), pa.array(flat.reshape(-1)))
@@ -163,7 +164,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 def quality_score(text: Column, model: Model) -> Column:
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            parts = [model.score(measures(data, ends)) for data, ends in slices(batch)]
+            parts = [model.score(measures(data, ends)) for data, ends in slices(batch, MEASURED_BYTES)]
             yield pa.array(np.concatenate([np.empty(0), *parts]))
 
     return F.arrow_udf(score, "double")(text).alias("score")

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from .labelled import held_out, sample_ids, sampled
 
 TOXIC, CLEAN = 3_000, 6_000
+SCORED = 250                   # texts scored at once: a bound on a worker's memory
 SHORTEST, LONGEST = 3, 10     # letters of a term
 LEAST_SHARE = 0.01            # of the toxic texts that hold a term
 LEAST_RATIO = 4.0             # log of how much more often toxic texts hold it
@@ -246,7 +247,7 @@ def toxicity_score(text: Column, lexicon: Lexicon) -> Column:
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             yield pa.array(np.concatenate([np.empty(0), *(
-                lexicon.scores(batch.slice(at, 1000).to_pylist()) for at in range(0, len(batch), 1000))]))
+                lexicon.scores(batch.slice(at, SCORED).to_pylist()) for at in range(0, len(batch), SCORED))]))
 
     return F.arrow_udf(score, "double")(text).alias("score")
 
