@@ -38,7 +38,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 30, 5
 REGISTERS = BANDS * ROWS     # at similarity 0.8 a pair is missed with probability 7e-6
 SIGNS = 0.68                 # share of equal registers below which a pair isn't verified (3.7 deviations)
-MARKS = 1 << 23              # bits of the mark table that thins texts before their join
+MARKS, PAGE = 1 << 23, 1 << 12   # bits of the mark table that thins texts before their join, and of its pages
+WIDE = 4                     # files for each core of tables that are large or costly to make
 SIGNED_BYTES = 1 << 19       # text whose signatures are made at once: about a hundred times as much memory
 BLOCK = 256                  # members of a bucket, or bags, that are compared at once
 
@@ -166,35 +167,27 @@ def _bag(text: Column) -> Column:
     return F.arrow_udf(_bag_batches, "binary")(text)
 
 
-def _kept(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: a table in the shared folder."""
+def _kept(spark: SparkSession, df: DataFrame, name: str, per_core: int = 1) -> DataFrame:
+    """Cut the lineage: a table in the shared folder, of at most ``per_core`` files for each core.
+
+    A session's width may be far beyond what these tables need, and each file costs an executor a process that sets its mode.
+    Tables of ids have a file for each core; those whose rows are costly to make, or large, ``WIDE``.
+    """
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.coalesce(per_core * spark.sparkContext.defaultParallelism).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _marked(ids: DataFrame) -> bytes:
-    """A table of ``MARKS`` bits with a bit for the hash of each id: 1 MB, whatever the number of ids."""
+def _thinned(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose ``id`` hashes to a set bit of a table of ``MARKS`` bits; all of ``ids`` set theirs, few others are
+    let through by chance.  The table is sent as pages of ``PAGE`` bits: 1 MB, whatever the number of ids."""
     at = F.pmod(F.xxhash64("id"), F.lit(MARKS))
-    rows = (ids.select((F.floor(at / 4096)).alias("page"), F.pmod(at, F.lit(4096)).alias("bit"))
-            .groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bits")).collect())
-    table = bytearray(MARKS // 8)
-    for r in rows:
-        table[r["page"] * 512:(r["page"] + 1) * 512] = r["bits"][:512]
-    return bytes(table)
-
-
-def _is_marked(spark: SparkSession, table: bytes, column: Column) -> Column:
-    """Whether a hash's bit is set; it is for every id of the table, and by chance for few others."""
-    sent = spark.sparkContext.broadcast(table)
-
-    def look(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bits = np.frombuffer(sent.value, np.uint8)
-        for batch in batches:
-            at = batch.to_numpy(zero_copy_only=False)
-            yield pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
-
-    return F.arrow_udf(look, "boolean")(F.pmod(F.xxhash64(column), F.lit(MARKS)))
+    page, bit = F.floor(at / PAGE), F.pmod(at, F.lit(PAGE))
+    pages = (ids.select(page.alias("__page"), bit.alias("__bit")).groupBy("__page")
+             .agg(F.substring(F.bitmap_construct_agg("__bit"), 1, PAGE // 8).alias("__bits")))
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.floor(byte / F.pow(F.lit(2), F.pmod(bit, F.lit(8)))) % 2 == 1
+    return rows.join(F.broadcast(pages), (page == F.col("__page")) & is_set).select(*rows.columns)
 
 
 def _verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -208,11 +201,11 @@ def _verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame) -> DataFra
     used = _kept(spark, ends.distinct(), "near-used")
     needed = used.select("id").distinct()
     texts = docs.select(F.col("doc_id").alias("id"), "text")
-    texts = texts.where(_is_marked(spark, _marked(needed), F.col("id"))).join(needed, "id", "left_semi")
-    bags = _kept(spark, texts.select("id", _bag(F.col("text")).alias("bag")), "near-bags")
+    texts = _thinned(texts, needed).join(needed, "id", "left_semi")
+    bags = _kept(spark, texts.select("id", _bag(F.col("text")).alias("bag")), "near-bags", WIDE)
     found = (pairs.groupBy("x", "y").cogroup(used.join(bags, "id").groupBy("x", "y"))
              .applyInPandas(_compared, "a bigint, b bigint, similarity double"))
-    return _kept(spark, found, "near-compared")
+    return _kept(spark, found, "near-compared", WIDE)
 
 
 def _links(compared: DataFrame) -> DataFrame:
@@ -275,13 +268,13 @@ def _across(spark: SparkSession, members: DataFrame, docs: DataFrame) -> DataFra
     one_class = (F.col("low_x") == F.col("high_x")) & (F.col("low_y") == F.col("high_y")) & (F.col("low_x") == F.col("low_y"))
     tasks = _kept(spark, left.join(right, "bucket").where((F.col("cell_x") <= F.col("cell_y")) & ~one_class)
                   .select(F.col("cell_x").alias("x"), F.col("cell_y").alias("y")).distinct(), "near-tasks")
-    needed = _kept(spark, members.select("id", "content", "n_words", "signs").distinct(), "near-entries")
-    texts = docs.select(F.col("doc_id").alias("id"), "text").where(_is_marked(spark, _marked(needed.select("id").distinct()), F.col("id")))
+    needed = _kept(spark, members.select("id", "content", "n_words", "signs").distinct(), "near-entries", WIDE)
+    texts = _thinned(docs.select(F.col("doc_id").alias("id"), "text"), needed.select("id").distinct())
     texts = texts.withColumn("content", F.unhex(F.sha2("text", 256))).join(needed.select("id", "content"), ["id", "content"], "left_semi")
     bags = texts.dropDuplicates(["id", "content"]).select("id", "content", _bag(F.col("text")).alias("bag"))
-    entries = _kept(spark, needed.join(bags, ["id", "content"]).join(cells, "id").drop("content"), "near-members")
+    entries = _kept(spark, needed.join(bags, ["id", "content"]).join(cells, "id").drop("content"), "near-members", WIDE)
     dealt = tasks.select("x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("cell")).join(entries, "cell")
-    return _kept(spark, dealt.groupBy("x", "y").applyInPandas(_forest, "a bigint, b bigint"), "near-forest")
+    return _kept(spark, dealt.groupBy("x", "y").applyInPandas(_forest, "a bigint, b bigint"), "near-forest", WIDE)
 
 
 def _forest(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
@@ -328,7 +321,7 @@ def _classes(known: DataFrame) -> DataFrame:
     spark = known.sparkSession
     found = _signature(F.col("text"))
     signed = _kept(spark, known.select("doc_id", F.unhex(F.sha2("text", 256)).alias("content"), found.alias("s"))
-                   .select("doc_id", "content", "s.*"), "near-signed")
+                   .select("doc_id", "content", "s.*"), "near-signed", WIDE)
     worded = signed.where("n_words > 0")
     copies = worded.groupBy("content").agg(F.min("doc_id").alias("id"), F.count("*").alias("n"))
     # texts without copies need no representative but themselves
@@ -339,7 +332,7 @@ def _classes(known: DataFrame) -> DataFrame:
     own = worded.join(copied, ["doc_id", "content"], "left_anti").withColumnRenamed("doc_id", "id")
     in_bucket = own.select("id", F.posexplode("bands").alias("band", "bucket"))
     sizes = in_bucket.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    shared = _kept(spark, in_bucket.join(sizes, "bucket"), "near-shared")
+    shared = _kept(spark, in_bucket.join(sizes, "bucket"), "near-shared", WIDE)
     central = shared.groupBy("id").agg(F.sum("n").alias("score"))
     ranked = _kept(spark, shared.join(central, "id").groupBy("bucket").agg(
         F.max(F.struct("score", "id"))["id"].alias("leader")), "near-leaders")
@@ -354,7 +347,7 @@ def _classes(known: DataFrame) -> DataFrame:
     rooted = shared.join(roots, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
     mixed = rooted.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
     members = _kept(spark, rooted.join(mixed.select("bucket"), "bucket", "left_semi")
-                    .join(own.select("id", "content", "n_words", "signs"), "id"), "near-mixed")
+                    .join(own.select("id", "content", "n_words", "signs"), "id"), "near-mixed", WIDE)
     if not members.isEmpty():
         more = _across(spark, members, known)
         if not more.isEmpty():

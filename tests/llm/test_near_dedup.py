@@ -8,7 +8,8 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 
-from ampora.llm.near_dedup import BANDS, ROWS, SIGNS, _sign_batches, bag_minhash, components, near_duplicates, one_of_each
+from ampora.llm.near_dedup import (BANDS, ROWS, SIGNS, WIDE, _kept, _sign_batches, _verified, bag_minhash, components, near_duplicates,
+                                   one_of_each)
 from ampora.llm.words import U, mix
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -150,3 +151,32 @@ def test_a_very_long_text(spark):
     rows = [(1, " ".join(long)), (2, " ".join(near)), (3, " ".join(long[:100_000]))]
     got = {r.doc_id: r.class_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: 1, 2: 1, 3: 3}
+
+
+def test_a_wide_session_writes_few_files(spark):
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(0, 5000, 1, 20 * WIDE * cores)
+    for per_core, table in ((1, _kept(spark, rows, "few")), (WIDE, _kept(spark, rows, "more", WIDE))):
+        assert len(table.inputFiles()) <= per_core * cores
+        assert table.count() == 5000
+
+
+def test_texts_of_pairs_are_thinned_without_a_second_worker(spark, monkeypatch):
+    """Bags are made in the only Python step of their stage, from the texts that pairs need and few others."""
+    from ampora.llm import near_dedup
+
+    plans = {}
+
+    def seen(spark, df, name, *wide):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return _kept(spark, df, name, *wide)
+
+    monkeypatch.setattr(near_dedup, "_kept", seen)
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(i, text if i < 8 else f"other {i}") for i in range(-2000, 2000)], "doc_id long, text string")
+    pairs = spark.createDataFrame([(a, b, a, 0) for a in (-2000, 0, 7, 1999) for b in (-1999, 5, 6)], "a long, b long, x long, y long")
+    found = {(r.a, r.b): r.similarity for r in _verified(spark, pairs, docs).collect()}
+    assert found[0, 5] == found[7, 6] == found[-2000, -1999] == 1.0 and found[1999, 5] == 0.0 and len(found) == 12
+    assert plans["near-bags"].count("ArrowEvalPython") == 1
+    needed, docs = spark.createDataFrame([(-2000,), (7,), (1999,)], "id long"), docs.withColumnRenamed("doc_id", "id")
+    assert {-2000, 7, 1999} <= {r.id for r in near_dedup._thinned(docs, needed).collect()} and near_dedup._thinned(docs, needed).count() < 20
