@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .ship import ship
+from .ship import bound_batches, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -44,6 +44,7 @@ def op2_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_bag_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_dedup import near_duplicates
 
+    bound_batches(spark)
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 

@@ -9,6 +9,8 @@ import zipfile
 from pyspark.sql import SparkSession
 
 _sent: set[str] = set()
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXTS_AT_ONCE = 1_000        # rows of an Arrow batch: a bound on what executors and workers hold of whole texts
 
 
 def ship(spark: SparkSession) -> None:
@@ -31,3 +33,13 @@ def ship(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(top)))
     spark.sparkContext.addPyFile(path)
     _sent.add(app)
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let rows go to the workers in batches of at most ``TEXTS_AT_ONCE``; a smaller setting of the session stays.
+
+    Spark's default of 10,000 rows has a worker and the executor hold some 20 MB of texts of 2 KB for each task, several
+    times over, and long-lived executors keep that memory.
+    """
+    if not 0 < int(spark.conf.get(_ROWS)) <= TEXTS_AT_ONCE:
+        spark.conf.set(_ROWS, str(TEXTS_AT_ONCE))

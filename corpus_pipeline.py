@@ -16,33 +16,38 @@ from ampora.llm.decontaminate import remove_contaminated
 from ampora.llm.near_dedup import one_of_each
 from ampora.llm.quality import keep_good
 from ampora.llm.queries import table, tokenizer_path
-from ampora.llm.ship import ship
+from ampora.llm.ship import bound_batches, ship
 from ampora.llm.toxicity import drop_toxic
 from ampora.session import scratch_path
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
+    bound_batches(spark)
     return keep_good(docs, table(spark, sf_dir, "labels"), table(spark, sf_dir, "documents"))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
+    bound_batches(spark)
     return drop_toxic(docs, table(spark, sf_dir, "labels"), table(spark, sf_dir, "documents"))
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
+    bound_batches(spark)
     return one_of_each(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
+    bound_batches(spark)
     return remove_contaminated(spark, docs, table(spark, sf_dir, "benchmark"))
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
+    bound_batches(spark)
     return bpe_digests(docs, tokenizer_path())
 
 

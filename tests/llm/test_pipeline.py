@@ -58,3 +58,23 @@ def test_stages_take_nulls_empty_tables_and_clashing_columns(spark):
             assert kept.columns == rows.columns, name
             assert kept.count() <= given.count()
         assert corpus_pipeline.STAGES[-1][1](spark, given, SF).count() == given.count()
+
+
+def test_stages_bound_the_batches_of_texts(spark):
+    """Workers get a bounded number of rows at once; a smaller setting of the session stays."""
+    import corpus_pipeline
+    from ampora.llm.ship import TEXTS_AT_ONCE, bound_batches
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(3)], "doc_id long, text string")
+    before = spark.conf.get(key)
+    try:
+        for given, held in (("10000", str(TEXTS_AT_ONCE)), ("0", str(TEXTS_AT_ONCE)), ("7", "7")):
+            spark.conf.set(key, given)
+            corpus_pipeline.bpe_encoding(spark, docs, "")
+            assert spark.conf.get(key) == held
+            spark.conf.set(key, given)
+            bound_batches(spark)
+            assert spark.conf.get(key) == held
+    finally:
+        spark.conf.set(key, before)
