@@ -50,9 +50,10 @@ def json_field(v: Column, path: str, type_: str) -> Column:
 def json_field_or(v: Column, path: str, type_: str, default: Column) -> Column:
     """``dict.get(key, default)``: default only when the member is *absent*.
 
-    An explicit JSON null stays NULL (the reference would print ``None``).
+    An explicit JSON null stays NULL (the reference would print ``None``).  The member is only copied, to see whether it
+    is there, where it has no value.
     """
-    return F.when(is_present(v, path), F.try_variant_get(v, path, type_)).otherwise(default)
+    return F.coalesce(F.try_variant_get(v, path, type_), F.when(~is_present(v, path), default))
 
 
 def array_field(v: Column, path: str) -> Column:
@@ -72,7 +73,8 @@ def uncastable(v: Column, path: str, type_: str) -> Column:
     if type_ == "bigint":
         number = F.try_variant_get(v, path, "double")
         bad = bad | (number != F.floor(number))
-    return F.coalesce(raw.isNotNull() & ~F.is_variant_null(raw) & (text != "") & bad, F.lit(False))
+    # the copy of the member is last: it is only made where the number is in doubt
+    return F.coalesce(bad & (text != "") & raw.isNotNull() & ~F.is_variant_null(raw), F.lit(False))
 
 
 def json_text(v: Column, path: str = "$") -> Column:

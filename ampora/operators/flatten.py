@@ -77,7 +77,8 @@ def balance_envelope(docs: DataFrame, fallback_ts: str | None = None,
 
     blocks = F.when(wrapped, array_field(vv, "$.payload.included")) \
         .otherwise(array_field(vv, "$.included"))
-    inc_present = F.when(wrapped, is_present(vv, "$.payload.included")) \
+    # a list is present; the member is only copied where it is none
+    inc_present = F.when(blocks.isNotNull(), True).when(wrapped, is_present(vv, "$.payload.included")) \
         .otherwise(is_present(vv, "$.included"))
     e = d.select(
         *docs.columns,

@@ -65,21 +65,24 @@ def balance_records(docs: DataFrame, doc_col: str = "doc", fallback_ts: str | No
     head = F.struct("source", "endpoint", slug.alias("region_slug"), "region_name", "redata_geo_id", "ingestion_timestamp")
     b = env.select(region.alias("region"), _year(docs).alias("year"), head.alias("envelope"), F.explode(
         guarded(F.col("blocks"), F.col("violations"), strict, "balance payload")).alias("b"))
+    bv, rv = F.col("b"), F.col("r")
     # a non-object block has no content array; non-object records are dropped
     marker = F.lit(None).cast("variant")
     content = array_field(F.col("b"), "$.attributes.content")
     items = F.concat(F.array(marker), F.coalesce(content, F.array(marker)))
-    r = b.select("*", F.posexplode(items).alias("_pos", "r")) \
-        .where((F.col("_pos") == 0) | is_object(F.col("r")))
-    bv, rv = F.col("b"), F.col("r")
-    values = F.transform(F.filter(checked_values(rv, strict, "balance payload"), lambda x: is_object(x)), lambda x: F.struct(
-        json_field(x, "$.datetime", "string").alias("datetime"), is_present(x, "$.datetime").alias("dated"),
-        json_field(x, "$.value", "double").alias("value"), json_field(x, "$.percentage", "double").alias("percentage")))
+    # a block's own members are read once, and the block isn't copied to each of its records
+    r = b.select("region", "year", "envelope", json_field(bv, "$.id", "string").alias("group_id"),
+                 F.struct(json_field(bv, "$.type", "string").alias("group_type"),
+                          json_field(bv, "$.attributes.title", "string").alias("group_title")).alias("block_attrs"),
+                 F.posexplode(items).alias("_pos", "r")).where((F.col("_pos") == 0) | is_object(F.col("r")))
+    # all members of a value at once; one that is no object has no struct
+    objects = F.filter(F.transform(checked_values(rv, strict, "balance payload"), lambda x: json_field(
+        x, "$", "struct<datetime:variant,value:double,percentage:double>")), lambda x: x.isNotNull())
+    values = F.transform(objects, lambda x: F.struct(
+        json_field(x["datetime"], "$", "string").alias("datetime"), x["datetime"].isNotNull().alias("dated"),
+        x["value"].alias("value"), x["percentage"].alias("percentage")))
     return r.select(
-        "region", "year", "envelope", (F.col("_pos") == 0).alias("is_block"),
-        json_field(bv, "$.id", "string").alias("group_id"),
-        F.struct(json_field(bv, "$.type", "string").alias("group_type"),
-                 json_field(bv, "$.attributes.title", "string").alias("group_title")).alias("block_attrs"),
+        "region", "year", "envelope", (F.col("_pos") == 0).alias("is_block"), "group_id", "block_attrs",
         json_field(rv, "$.id", "string").alias("metric_id"),
         F.struct(json_field(rv, "$.type", "string").alias("metric_type"),
                  json_field(rv, "$.groupId", "string").alias("metric_group_id"),

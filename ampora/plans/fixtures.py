@@ -213,7 +213,10 @@ def balance_payloads(spark: SparkSession, sf_dir: str, bad_measures: bool = Fals
         return F.when((F.col("metric_type") == "2-HIGH") & (F.col("year") == "1993"), F.lit("n/a")).otherwise(c.cast("string"))
 
     rec_keys = ["region_slug", "region_name", "n_nationkey", "year", "group_type", "metric_type"]
-    recs = e.groupBy(*rec_keys).agg(
+    # records, blocks and payloads are all of one region and year: one shuffle serves the three.  Rows are few bytes but costly
+    # to make documents of, so where regions grow with the tables the session's full width is used, not a task for each core
+    width = [] if energy is None else [int(spark.conf.get("spark.sql.shuffle.partitions"))]
+    recs = e.repartition(*width, "region_slug", "year").groupBy(*rec_keys).agg(
         F.sort_array(F.collect_list(F.struct(
             F.concat("year_month", F.lit(DATETIME_SUFFIX)).alias("datetime"),
             value(F.col("value")).alias("value"), F.col("percentage")))).alias("values"),

@@ -99,3 +99,24 @@ def test_merge_refuses_badly_typed_measures(spark):
     with pytest.raises(Exception, match="value is not a number"):
         merge_balance_years(df, "payload")
     assert len(merge_balance_years(df, "payload", strict=False).collect()) == 3
+
+
+def test_documents_of_sites_take_one_shuffle_after_the_facts(spark):
+    """Records, blocks and payloads share a shuffle by region and year, of the session's full width."""
+    from ampora.plans import fixtures as fx
+    from tests.conftest import SF001
+
+    docs = fx.balance_documents(spark, SF001, energy=fx.site_energy_ext(spark, SF001))
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 3 and plan.count("REPARTITION_BY_NUM") == 1
+
+
+def test_members_of_values_that_are_missing_null_or_of_another_type(spark):
+    values = [{}, {"datetime": None, "value": None}, {"datetime": 2024, "value": "5.5"}, None, 7, "x", [1],
+              {"datetime": "2024-03-01", "value": 1, "percentage": 0.25}]
+    record = {"id": "m", "attributes": {"values": values, "total": 3}}
+    doc = {"region_slug": "r", "payload": {"included": [{"id": "g", "attributes": {"content": [record]}}]}}
+    rows = merge_balance_years(spark.createDataFrame([(json.dumps(doc),)], "doc string"), fallback_ts="x").collect()
+    assert sorted(((r.year_month, r.datetime, r.value, r.percentage, r.total) for r in rows), key=str) == sorted([
+        ("", None, None, None, 3.0), (None, None, None, None, 3.0), ("2024", "2024", 5.5, None, 3.0),
+        ("2024-03", "2024-03-01", 1.0, 0.25, 3.0)], key=str)
