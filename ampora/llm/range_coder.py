@@ -2,13 +2,18 @@
 
 The probability of the next id is a mixture of three predictions: order 0 (how often ids
 occurred), order 1 and order 2 (the id that last followed the previous one or two ids).  The mixture's
-weights depend on how well the two contexts have predicted so far; each id moves them towards
-the predictions that gave it its probability.  Counts, contexts and weights start anew in each
+weights depend on how well the two contexts have predicted so far; the ids move them towards
+the predictions that gave them their probability.  Counts, contexts and weights start anew in each
 block, so a block can be decoded by itself; its ids carry a CRC-32.
 
 A block is cut into lanes that are coded side by side as arrays and share the model: the ids at
 one step of all lanes are coded by the state before the step, which then learns from all of them.
-All arithmetic is on integers, so that any machine decodes what another has written.
+The coder is the range variant of asymmetric numeral systems: an id may own several stretches of the
+mixture's total, one for each prediction that names it, so that its own probability is their sum and
+decoding finds it by one look at the order-0 table.  Ids are put in from the last step to the first and come out in
+their order; the lanes share one sequence of words.
+All arithmetic is on integers, or on floating-point quotients that are exact enough to be cut to
+integers, so that any machine decodes what another has written.
 """
 
 from __future__ import annotations
@@ -19,15 +24,31 @@ import zlib
 import numpy as np
 
 U = np.uint64
-LANES, LANE_IDS = 2048, 128       # at most so many lanes, of at least so many ids
+LANES, LANE_IDS = 4096, 128       # at most so many lanes, of at least so many ids
 BASE = 1 << 18                    # total of the order-0 frequencies
 BITS = 26                         # of the mixture's total
 SLOTS = 1 << 18                   # order-2 contexts
 SURE = 7
+PLACE = 7
+MIXTURES = 1 << PLACE             # sureness of order 1 (0 to SURE), of order 2, and whether they agree
+GONE = 1
+LOW = U(1) << U(31)               # a lane's state is from LOW up to LOW << 32
 LOW32 = U(0xFFFFFFFF)
 HEAD = struct.Struct("<IIIII")    # ids, CRC-32, largest id + 1, lanes, words
 
 
+def _changes(unit: int) -> np.ndarray:
+    """What a miss, and one place on a hit, adds to a sureness counted in units; GONE: the guess was too unsure to stay."""
+    by = np.zeros((SURE + 1) * unit, np.int32)
+    for sure in range(SURE + 1):
+        by[sure * unit] = ((sure >> 1) - sure) * unit if sure > 1 else GONE
+        by[sure * unit + 1] = (min(sure + 1, SURE) - sure) * unit
+    return by
+
+
+CHANGE1, CHANGE2 = _changes(2 * (SURE + 1)), _changes(2)
+
+
 class Model:
     """Order-0 to order-2 predictions and their mixture, for ``lanes`` ids at a time."""
 
@@ -37,14 +58,14 @@ class Model:
         self.kinds = kinds
         self.count = np.zeros(kinds, np.int64)
         self.seen: list[np.ndarray] = []
-        self.step, self.next_count = 0, 1
-        # by context: guessed id * 8 + sureness
-        self.memory1, self.memory2 = np.zeros(kinds + 1, np.int64), np.zeros(SLOTS, np.int64)
+        self.credit: list[tuple[np.ndarray, ...]] = []
+        self.step, self.next_count, self.next_weights = 0, 1, 1
+        # by context: guessed id * MIXTURES + sureness as it stands in the number of a mixture
+        self.memory1, self.memory2 = np.zeros(kinds + 1, np.int32), np.zeros(SLOTS, np.int32)
         self.back1 = np.full(lanes, kinds, np.int64)      # no id yet
         self.slot = np.zeros(lanes, np.int64)
-        # how much each prediction contributed, by context: sureness of order 1 and 2, and whether they agree
-        self.share = np.ones((3, 2 * (SURE + 1) ** 2), np.int64) << 12
-        self.inverse: np.ndarray | None = None
+        # how much each prediction contributed, by mixture: sureness of order 1 and 2, and whether they agree
+        self.share = np.ones((3, MIXTURES), np.int64) << 12
         self._recount()
         self._reweigh()
 
@@ -55,72 +76,77 @@ class Model:
         total = int(self.count.sum())
         freq = 1 + self.count * (BASE - self.kinds) // max(total, 1)
         freq[int(np.argmax(freq))] += BASE - int(freq.sum())
-        self.freq, self.inverse = freq, None
-        self.before = np.cumsum(freq) - freq
+        self.freq, self.inverse = freq.astype(np.int32), None
+        self.before = (np.cumsum(freq) - freq).astype(np.int32)
 
     def _reweigh(self) -> None:
+        if self.credit:
+            mixture, by1, by2 = map(np.concatenate, zip(*self.credit, strict=True))
+            self.credit = []
+            # sums of quotients in a fixed order, cut to integers
+            got1, got2 = ((np.bincount(mixture, by, MIXTURES) * 4096).astype(np.int64) for by in (by1, by2))
+            self.share += np.stack([np.maximum((np.bincount(mixture, minlength=MIXTURES) << 12) - got1 - got2, 0), got1, got2])
+            large = self.share.sum(axis=0) > 1 << 24
+            if large.any():
+                self.share[:, large] = np.maximum(self.share[:, large] >> 1, 1)
         s0, s1, s2 = self.share
-        whole = s0 + s1 + s2
-        weight0 = np.clip(s0 * ((1 << BITS) // BASE) // whole, 1, (1 << BITS) // BASE)
+        most = (1 << BITS) // BASE
+        weight0 = np.clip(s0 * most // (s0 + s1 + s2), 1, most)
         rest = (1 << BITS) - weight0 * BASE
         weight1 = rest * s1 // (s1 + s2)
-        self.weights = np.stack([weight0, weight1, rest - weight1])
+        self.weight0, self.weight1, self.weight2 = (w.astype(np.int32) for w in (weight0, weight1, rest - weight1))
 
     def look(self, n: int) -> None:
         """Predictions and weights for the next id of the first ``n`` lanes."""
         self.c1, self.c2 = self.back1[:n], self.slot[:n]
-        m1, m2 = self.memory1[self.c1], self.memory2[self.c2]
-        self.p1, self.p2 = m1 >> 3, m2 >> 3
-        self.s1, self.s2 = m1 & SURE, m2 & SURE
-        self.context = (self.s1 << 4 | self.s2 << 1) + (self.p1 == self.p2)
-        self.w0, self.w1, self.w2 = self.weights[:, self.context]
-
-    def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(start, width) of ids in the mixture's total."""
-        self.hit1, self.hit2 = self.p1 == ids, self.p2 == ids
-        self.of0 = self.w0 * self.freq[ids]
-        start = self.w0 * self.before[ids] + self.w1 * (self.p1 < ids) + self.w2 * (self.p2 < ids)
-        self.width = self.of0 + self.w1 * self.hit1 + self.w2 * self.hit2
-        return start, self.width
+        # in numpy, clipped places are looked up in half the time of checked ones; none is out of range
+        self.m1, self.m2 = self.memory1.take(self.c1, mode="clip"), self.memory2.take(self.c2, mode="clip")
+        self.p1, self.p2 = self.m1 >> PLACE, self.m2 >> PLACE
+        self.s1, self.s2 = self.m1 & MIXTURES - 1, self.m2 & MIXTURES - 1
+        self.mixture = np.add(self.s1, self.s2, dtype=np.int64)
+        self.mixture += self.p1 == self.p2
+        self.w0, self.w1, self.w2 = (w.take(self.mixture, mode="clip") for w in (self.weight0, self.weight1, self.weight2))
+        self.floor = self.w0 * BASE               # order 0 has what is below; then come orders 1 and 2
+
+    def stretches(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(width in all, width in order 0, place in order 0, place beyond minus the width in order 0) of ids."""
+        self.ids = ids.astype(np.int32)
+        self.hit1, self.hit2 = self.p1 == self.ids, self.p2 == self.ids
+        of0, of1, of2 = self.w0 * self.freq.take(ids, mode="clip"), self.w1 * self.hit1, self.w2 * self.hit2
+        width = of0 + of1 + of2
+        self.credit.append((self.mixture, of1 / width, of2 / width))
+        return width, of0, self.w0 * self.before.take(ids, mode="clip"), self.floor - of0 + (self.w1 - of1)
 
     def at(self, value: np.ndarray) -> np.ndarray:
-        """The ids whose intervals hold the values."""
+        """The ids that own places of the mixture's total."""
         if self.inverse is None:
             self.inverse = np.repeat(np.arange(self.kinds, dtype=np.int32), self.freq)
-        swap = self.p1 > self.p2
-        a, b = np.where(swap, self.p2, self.p1), np.where(swap, self.p1, self.p2)
-        wa, wb = np.where(swap, self.w2, self.w1), np.where(swap, self.w1, self.w2)
-        from_a, from_b = self.w0 * self.before[a], self.w0 * self.before[b] + np.where(a < b, wa, 0)
-        end_a = from_a + self.w0 * self.freq[a] + wa + np.where(a == b, wb, 0)
-        end_b = np.where(a == b, end_a, from_b + self.w0 * self.freq[b] + wb)
-        past = np.where(value >= end_a, wa, 0) + np.where(value >= end_b, wb, 0)
         # quotients of integers this small are far enough from the next one for floating point
-        found = self.inverse[np.minimum(((value - past) / self.w0).astype(np.int64), BASE - 1)]
-        found = np.where((value >= from_b) & (value < end_b), b, found)
-        return np.where((value >= from_a) & (value < end_a), a, found)
+        ids = self.inverse.take((value / self.w0).astype(np.int64), mode="clip").astype(np.int64)
+        over = np.flatnonzero(value >= self.floor)
+        first = value[over] - self.floor[over] < self.w1[over]
+        ids[over] = np.where(first, self.p1[over], self.p2[over])
+        return ids
 
     def learn(self, ids: np.ndarray) -> None:
-        """Take in the ids of this step; ``interval`` has been called for them."""
-        one = 1 << 12
-        size = self.share.shape[1]
-        by1, by2 = (np.bincount(self.context, ((w * hit << 12) / self.width).astype(np.int64), size).astype(np.int64)
-                    for w, hit in ((self.w1, self.hit1), (self.w2, self.hit2)))
-        self.share += np.stack([np.bincount(self.context, minlength=size) * one - by1 - by2, by1, by2])
-        large = self.share.sum(axis=0) > 1 << 24
-        if large.any():
-            self.share[:, large] = np.maximum(self.share[:, large] >> 1, 1)
-        self._reweigh()
-        for memory, at, guess, sure, hit in ((self.memory1, self.c1, self.p1, self.s1, self.hit1),
-                                             (self.memory2, self.c2, self.p2, self.s2, self.hit2)):
-            memory[at] = (np.where(hit | (sure > 1), guess, ids) << 3) + np.where(hit, np.minimum(sure + 1, SURE), sure >> 1)
+        """Take in the ids of this step; ``stretches`` has been called for them."""
+        for hit, memory, at, old, sure, change in ((self.hit1, self.memory1, self.c1, self.m1, self.s1, CHANGE1),
+                                                   (self.hit2, self.memory2, self.c2, self.m2, self.s2, CHANGE2)):
+            by = change.take(sure + hit, mode="clip")
+            memory[at] = old + by
+            new = np.flatnonzero(by == GONE)      # a guess that was unsure and wrong makes room
+            memory[at[new]] = self.ids[new] << PLACE
         n = len(ids)
-        self.slot[:n] = (self.back1[:n] * 0x2F0B4C47 + ids * 0x61C88647 >> 7) & (SLOTS - 1)
+        self.slot[:n] = self.c1 * 0x2F0B4C47 + ids & SLOTS - 1
         self.back1[:n] = ids
-        self.seen.append(ids.copy())
+        self.seen.append(ids)
         self.step += 1
-        if self.step >= self.next_count:      # often at first, then every 32 steps
+        if self.step >= self.next_weights:    # often at first, then every 8 steps
+            self._reweigh()
+            self.next_weights = self.step + min(self.step, 8)
+        if self.step >= self.next_count:      # often at first, then every 64 steps
             self._recount()
-            self.next_count = self.step + min(self.step, 32)
+            self.next_count = self.step + min(self.step, 64)
 
 
 def _lanes(n: int) -> tuple[int, int]:
@@ -129,14 +155,6 @@ def _lanes(n: int) -> tuple[int, int]:
     return lanes, -(-n // lanes)
 
 
-def _shift(low: np.ndarray, span: np.ndarray) -> np.ndarray:
-    """Lanes whose upper word is settled; where the span has become small, it is cut to settle it."""
-    settled = (low ^ (low + span - U(1))) <= LOW32
-    small = ~settled & (span <= LOW32)
-    span[small] = (U(0) - low[small]) & LOW32
-    return np.flatnonzero(settled | small)
-
-
 def encode_block(ids: np.ndarray) -> bytes:
     """A block of ids (unsigned 32-bit) with its header."""
     n = len(ids)
@@ -145,40 +163,36 @@ def encode_block(ids: np.ndarray) -> bytes:
         return HEAD.pack(0, zlib.crc32(b""), 0, 0, 0)
     kinds = int(raw.max()) + 1
     lanes, length = _lanes(n)
-    table = np.zeros(lanes * length, np.int64)
+    table = np.zeros(lanes * length, np.uint32)
     table[:n] = raw
     table = np.ascontiguousarray(table.reshape(lanes, length).T)
-    model = Model(kinds, lanes)
-    low, span = np.zeros(lanes, U), np.full(lanes, 0xFFFFFFFFFFFFFFFF, U)
-    out, used = np.zeros((lanes, length + 2), np.uint32), np.zeros(lanes, np.int64)
+    model, plan = Model(kinds, lanes), np.zeros((length, 4, lanes), np.int32)
     for step in range(length):
         m = -(-(n - step) // length)           # lanes that still have an id
-        x = table[step, :m]
+        x = table[step, :m].astype(np.int64)
         model.look(m)
-        start, width = model.interval(x)
-        lo, sp = low[:m], span[:m]
-        unit = sp >> U(BITS)
-        lo += unit * start.astype(U)
-        sp[:] = unit * width.astype(U)
-        go = _shift(lo, sp)
-        out[go, used[go]] = (lo[go] >> U(32)).astype(np.uint32)
-        used[go] += 1
-        lo[go] <<= U(32)
-        sp[go] <<= U(32)
+        for row, part in zip(plan[step], model.stretches(x), strict=True):
+            row[:m] = part
         model.learn(x)
-    rows = np.arange(lanes)
-    for part in (low >> U(32), low & LOW32):
-        out[rows, used] = part.astype(np.uint32)
-        used += 1
-    words = out[np.arange(out.shape[1]) < used[:, None]].astype("<u4")
-    return (HEAD.pack(n, zlib.crc32(raw.tobytes()), kinds, lanes, len(words))
-            + used.astype("<u4").tobytes() + words.tobytes())
+    state, out = np.full(lanes, LOW), []
+    for step in range(length - 1, -1, -1):
+        m = -(-(n - step) // length)
+        width, of0, start, beyond = plan[step, :, :m]
+        s, wide = state[:m], width.astype(U)
+        go = np.flatnonzero(s >= wide << U(63 - BITS))
+        out.append((s[go] & LOW32).astype("<u4"))
+        s[go] >>= U(32)
+        whole = s // wide
+        left = (s - whole * wide).astype(np.int32)
+        s[:] = (whole << U(BITS)) + (left + np.where(left < of0, start, beyond)).astype(U)
+    words = np.concatenate(out[::-1])
+    return HEAD.pack(n, zlib.crc32(raw.tobytes()), kinds, lanes, len(words)) + state.astype("<u8").tobytes() + words.tobytes()
 
 
 def block_size(head: bytes) -> int:
     """Bytes that follow a block's header."""
     _, _, _, lanes, words = HEAD.unpack(head)
-    return 4 * (lanes + words)
+    return 8 * lanes + 4 * words
 
 
 def decode_block(head: bytes, body: bytes) -> np.ndarray:
@@ -187,32 +201,26 @@ def decode_block(head: bytes, body: bytes) -> np.ndarray:
     if not n:
         return np.empty(0, np.uint32)
     length = _lanes(n)[1]
-    used = np.frombuffer(body, "<u4", lanes).astype(np.int64)
-    words = np.append(np.frombuffer(body, "<u4", count, 4 * lanes).astype(U), U(0))
-    at = np.cumsum(used) - used
-    model = Model(kinds, lanes)
-    low, span = np.zeros(lanes, U), np.full(lanes, 0xFFFFFFFFFFFFFFFF, U)
-    code = words[at] << U(32) | words[at + 1]
-    at = at + 2
-    table = np.zeros((length, lanes), np.int64)
+    state = np.frombuffer(body, "<u8", lanes).astype(U)
+    # a damaged block may ask for more words than it has
+    words, at = np.append(np.frombuffer(body, "<u4", count, 8 * lanes), np.zeros(lanes, np.uint32)).astype(U), 0
+    model, mask = Model(kinds, lanes), U((1 << BITS) - 1)
+    table = np.zeros((length, lanes), np.uint32)
     for step in range(length):
         m = -(-(n - step) // length)
         model.look(m)
-        lo, sp, co = low[:m], span[:m], code[:m]
-        unit = sp >> U(BITS)
-        value = np.minimum((co - lo) // unit, U((1 << BITS) - 1)).astype(np.int64)
+        s = state[:m]
+        value = (s & mask).astype(np.int32)
         x = model.at(value)
-        start, width = model.interval(x)
-        lo += unit * start.astype(U)
-        sp[:] = unit * width.astype(U)
-        go = _shift(lo, sp)
-        co[go] = co[go] << U(32) | words[np.minimum(at[go], count)]
-        at[go] += 1
-        lo[go] <<= U(32)
-        sp[go] <<= U(32)
+        width, of0, start, beyond = model.stretches(x)
+        left = value - np.where(value < model.floor, start, beyond)
+        s[:] = (s >> U(BITS)) * width.astype(U) + left.astype(U)
+        go = np.flatnonzero(s < LOW)
+        s[go] = s[go] << U(32) | words[at:at + len(go)]
+        at = min(at + len(go), count)
         table[step, :m] = x
         model.learn(x)
-    ids = table.T.reshape(-1)[:n].astype("<u4")
+    ids = table.T.reshape(-1)[:n].astype("<u4", copy=False)
     if zlib.crc32(ids.tobytes()) != check:
         raise ValueError("a block's checksum doesn't fit its ids")
     return ids

@@ -5,14 +5,16 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer as Library
 
+from ampora.llm import token_files
 from ampora.llm.bpe import SuffixAutomaton, bpe_digests, encode, tokenizer
 from ampora.llm.range_coder import HEAD, block_size, decode_block, encode_block
-from ampora.llm.token_files import read_tokens, token_file_digests, write_tokens
+from ampora.llm.token_files import Encoder, read_tokens, token_file_digests, write_tokens
 from ampora.session import scratch_path
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -113,3 +115,38 @@ def test_token_files_of_null_and_repeated_ids_and_of_nothing(spark):
     assert ids == [library_ids(t) for t in ("n", "a", "a", "b")]
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert token_file_digests(empty, PATH).collect() == []
+
+
+@pytest.mark.parametrize("entries", [token_files.CACHE_ENTRIES, 300])
+def test_token_file_encoder_equals_the_library(monkeypatch, entries):
+    monkeypatch.setattr(token_files, "CACHE_ENTRIES", entries)
+    rng, encoder = random.Random(6), Encoder(PATH)
+    parts = ["a", "the", " the", " a", " 1,", "  ", "\n", "\t", "é", "中", "🙂", "1", " 12", "'s", "n't", ".", ",", "!!", "\u00a0", "\u2003",
+             "\x1c", "\x85", "\x0b", "\r", "ing", " xq", "<|endoftext|>", "\u0301", " "]
+    texts = [t or "" for t in TEXTS] + ["".join(rng.choices(parts[:rng.choice([5, len(parts)])], k=rng.randrange(14))) for _ in range(4000)]
+    for at in range(0, len(texts), 500):
+        want = [[*library_ids(t), 0] for t in texts[at:at + 500]]
+        ids, counts = encoder.encode(pa.array(texts[at:at + 500]))
+        assert counts.tolist() == [len(x) for x in want]
+        assert ids.tolist() == [i for x in want for i in x]
+
+
+def test_the_library_is_asked_for_new_units_only_and_for_several_at_once(monkeypatch):
+    encoder, asked = Encoder(PATH), []
+    ask = encoder._library
+    monkeypatch.setattr(encoder, "_library", lambda texts: asked.extend(texts) or ask(texts))
+    words = [f"w{i}x" for i in range(900)]
+    encoder.encode(pa.array(["first " + " ".join(words)]))
+    assert len(asked) == 1 + 900 // token_files.JOINED      # 901 single units before
+    asked.clear()
+    encoder.encode(pa.array(["first " + " ".join(reversed(words))] * 3))
+    assert asked == ["first"] * 3
+
+
+def test_pieces_of_a_batch_have_every_row(monkeypatch):
+    monkeypatch.setattr(token_files, "TEXT_BYTES", 10)
+    for texts in ([], [""], ["", ""], ["a" * 30], ["a" * 30, "", "b" * 4, "c" * 9, "d"], ["ab"] * 20):
+        batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+        pieces = [p["text"].to_pylist() for p in token_files._pieces(batch)]
+        assert [t for p in pieces for t in p] == texts
+        assert all(len(p) == 1 or sum(map(len, p)) <= 10 for p in pieces)
